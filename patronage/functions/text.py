@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import re
-from functools import reduce
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .numbers import round_half_even
+
 # The road pattern, the age words and the words that mean "missing".
 ROAD = r"([가-힣A-Za-z0-9\- ]+(로|길))"
 YOUNG_WORDS = [
@@ -56,9 +58,8 @@ def masked_tokens(text: str | Column) -> Column:
 def age_group(label: str | Column) -> Column:
     """Age band of a freely written age label; NULL where no age is recognised."""
     s = F.lower(strip(label))
-    young = reduce(lambda a, b: a | b, [s.contains(w) for w in YOUNG_WORDS])
+    young, senior = s.rlike("|".join(YOUNG_WORDS)), s.rlike("|".join(SENIOR_WORDS))
     number = F.regexp_extract(s, AGE_NUMBER, 1)
-    senior = reduce(lambda a, b: a | b, [s.contains(w) for w in SENIOR_WORDS])
     return (
         F.when(young | number.isin("10", "20"), "10s")
         .when(number.isin("30", "40", "50"), F.concat(number, F.lit("s")))
@@ -78,22 +79,30 @@ def header_age_group(header: str) -> str | None:
     return "60p" if any(w in s for w in SENIOR_WORDS) else None
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` applied to a value that is worked out once, however often ``use`` mentions it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def parse_ratio(cell: str | Column) -> Column:
     """A ratio in [0, 1] to four decimals out of texts such as ``35``, ``0.35``, ``35%``, ``1,2``.
 
     Above 1 the number is taken as a percent. Missing words, other texts and anything outside the
     range give NULL.
     """
-    from .numbers import round_half_even
+
+    def number(bare: Column) -> Column:
+        digits = strip(F.regexp_replace(bare, "%$", ""))
+        known = F.when(~bare.isin(NO_RATIO), digits)
+        plain = F.when(known.rlike(NUMBER), F.replace(known, F.lit("_"), F.lit("")))
+        return plain.try_cast("double")
+
+    def ratio(value: Column) -> Column:
+        part = F.when(value > 1.0, value / 100.0).otherwise(value)
+        return F.when((value >= 0.0) & (value <= 100.0), _let(part, lambda p: round_half_even(p, 4)))
 
     bare = F.replace(strip(_col(cell).cast("string")), F.lit(","), F.lit(""))
-    number = strip(F.regexp_replace(bare, "%$", ""))
-    value = F.when(
-        ~bare.isin(NO_RATIO) & number.rlike(NUMBER),
-        F.replace(number, F.lit("_"), F.lit("")).try_cast("double"),
-    )
-    ratio = F.when(value > 1.0, value / 100.0).otherwise(value)
-    return F.when(ratio.between(0.0, 1.0), round_half_even(ratio, 4))
+    return _let(_let(bare, number), ratio)
 
 
 def span_age_group(youngest: str | Column, oldest: str | Column) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,7 +34,7 @@ class Scaler:
         ]
 
     def vector(self) -> Column:
-        return F.array(*self.columns()).alias(VECTOR)
+        return array_to_vector(F.array(*self.columns())).alias(VECTOR)
 
 
 def fill_missing(df: DataFrame, features: list[str]) -> DataFrame:
@@ -190,10 +191,15 @@ def nearest_center(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
 
 
 def cluster_profile(labelled: DataFrame, features: list[str]) -> DataFrame:
-    """Mean, population deviation and row count per cluster and feature, in long form."""
-    stats = [F.struct(F.avg(f).cast("double").alias("mean"), F.stddev_pop(f).alias("std")).alias(f) for f in features]
+    """Mean, population deviation and row count per cluster and feature, in long form. Means are over
+    decimals, whose sums do not depend on the order of rows."""
+    means = {f: F.avg(F.col(f).cast("decimal(18,8)")).cast("double").alias("mean") for f in features}
+    stats = [F.struct(means[f], F.stddev_pop(f).alias("std")).alias(f) for f in features]
     wide = labelled.groupBy("cluster_id").agg(F.count("*").alias("n"), *stats)
-    rows = [F.struct(F.lit(f).alias("feature"), F.col(f"{f}.mean"), F.coalesce(F.col(f"{f}.std"), F.lit(0.0)).alias("std")) for f in features]
+    rows = [
+        F.struct(F.lit(f).alias("feature"), F.col(f"{f}.mean"), F.coalesce(F.col(f"{f}.std"), F.lit(0.0)).alias("std"))
+        for f in features
+    ]
     return wide.select("cluster_id", "n", F.inline(F.array(*rows))).select("cluster_id", "feature", "mean", "std", "n")
 
 

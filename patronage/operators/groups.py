@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import FEATURES
+from ..session import cut_lineage
 from .matching import like_matches
 
 PLACE = ["biz_zone", "sigungu", "sector"]
@@ -34,10 +35,9 @@ def _same(left: str, right: str, columns: list[str]):
 
 
 def matched_places(params: DataFrame, places: DataFrame) -> DataFrame:
-    """(area, sector) parameters with each place that meets them. A NULL parameter sets no
+    """Distinct (area, sector) parameters with each place that meets them. A NULL parameter sets no
     condition; an area may be named by the zone or by the district."""
-    asked = params.select(*PARAMS).distinct()
-    where = places.select(*PLACE).distinct()
+    asked, where = params.select(*PARAMS), places.select(*PLACE).distinct()
     zones = where.select(F.explode(F.array("biz_zone", "sigungu")).alias("value"))
     area_hits = like_matches(asked.select(F.col("area").alias("param")), zones)
     sector_hits = like_matches(
@@ -77,7 +77,10 @@ def group_profiles(params: DataFrame, sums: DataFrame) -> DataFrame:
 
     Pairs that no shop meets have NULL means and cluster 0. Equally frequent clusters: smallest id.
     """
-    hits = matched_places(params, sums).select(
+    # both are small next to requests and shops, and the match reads each several times
+    asked = cut_lineage(params.select(*PARAMS).distinct())
+    sums = cut_lineage(sums)
+    hits = matched_places(asked, sums).select(
         *PARAMS, *[F.col(f"place.{c}").alias(f"_{c}") for c in PLACE]
     )
     on = F.lit(True)
@@ -99,7 +102,6 @@ def group_profiles(params: DataFrame, sums: DataFrame) -> DataFrame:
         for c in FEATURES
     ]
     found = summed.select(*PARAMS, "cluster_id", "n", *means)
-    asked = params.select(*PARAMS).distinct()
     joined = asked.alias("a").join(found.alias("f"), _same("a", "f", PARAMS), "left")
     return joined.select(
         "a.area",

@@ -10,6 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The columns that name a sector or an area.
+NAME_COLUMNS = [
+    ("sector", "HPSN_MCT_ZCD_NM"),
+    ("area", "MCT_SIGUNGU_NM"),
+    ("area", "HPSN_MCT_BZN_CD_NM"),
+]
 _ESCAPE = "\u0001"
 
 
@@ -30,27 +36,32 @@ def _lengths(names: DataFrame, name: Column) -> Column:
 
 def vocabulary(stg_store: DataFrame) -> DataFrame:
     """Sector and area names of the shops: a name list per column, put together."""
-    columns = [
-        ("sector", "HPSN_MCT_ZCD_NM"),
-        ("area", "MCT_SIGUNGU_NM"),
-        ("area", "HPSN_MCT_BZN_CD_NM"),
-    ]
     lists = [
         stg_store.filter(F.col(source).isNotNull())
         .select(F.col(source).alias(kind))
         .distinct()
-        for kind, source in columns
+        for kind, source in NAME_COLUMNS
     ]
     both = lists[0].unionByName(lists[1], allowMissingColumns=True)
     return both.unionByName(lists[2], allowMissingColumns=True)
 
 
+def name_list(stg_store: DataFrame) -> DataFrame:
+    """The same names as distinct (kind, name) rows, off one scan."""
+    entries = [
+        F.struct(F.lit(kind).alias("kind"), F.col(source).alias("name"))
+        for kind, source in NAME_COLUMNS
+    ]
+    return stg_store.select(F.inline(F.array(*entries))).filter(F.col("name").isNotNull()).distinct()
+
+
 def longest_names(texts: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
     """Per text and kind of name the longest name the text contains; equal lengths in name order.
 
-    ``names`` has columns kind and name. Texts without any match are left out.
+    ``names`` has distinct rows (kind, name) and is read twice. Texts without any match are left
+    out.
     """
-    known = names.filter(F.col("name") != "").distinct()
+    known = names.filter(F.col("name") != "")
     pieces = _pieces(texts, F.col(text), _lengths(known, F.col("name")), [key])
     hits = pieces.join(known, F.col("_piece") == F.col("name"))
     first = F.min_by("name", F.struct(-F.length("name"), F.col("name")))

@@ -40,17 +40,23 @@ def _mean_of(per_point: DataFrame, sizes: dict[str, dict[int, int]]) -> dict[str
     return {n: float(row[n]) if len(sizes[n]) > 1 else -1.0 for n in sizes}
 
 
-def _scores(own: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Silhouette per point from its distance sums to each cluster (points x clusters)."""
-    rows = np.arange(len(labels))
-    inside = own[rows, labels] / np.maximum(counts[labels] - 1, 1)
-    means = own / counts
-    means[rows, labels] = np.inf
-    outside = means.min(axis=1)
-    largest = np.maximum(inside, outside)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        score = np.where(largest > 0, (outside - inside) / largest, 0.0)
-    return np.where(counts[labels] == 1, 0.0, score)
+def _scorer():
+    """The per-task scoring function. Made inside a function, so that it travels to the executors by
+    value and they need no copy of this package."""
+
+    def scores(own: np.ndarray, labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """Silhouette per point from its distance sums to each cluster (points x clusters)."""
+        rows = np.arange(len(labels))
+        inside = own[rows, labels] / np.maximum(counts[labels] - 1, 1)
+        means = own / counts
+        means[rows, labels] = np.inf
+        outside = means.min(axis=1)
+        largest = np.maximum(inside, outside)
+        with np.errstate(invalid="ignore", divide="ignore"):
+            score = np.where(largest > 0, (outside - inside) / largest, 0.0)
+        return np.where(counts[labels] == 1, 0.0, score)
+
+    return scores
 
 
 def _layout(sizes: dict[str, dict[int, int]]) -> dict[str, tuple[list[int], np.ndarray]]:
@@ -81,6 +87,7 @@ def euclidean(
     left = base.withColumn("other", every).withColumnsRenamed({"tile": "a", "other": "b"})
     right = base.withColumn("other", every).withColumnsRenamed({"tile": "b", "other": "a"})
     coordinates = [f"x{i}" for i in range(len(dims))]
+    chunk_points, scores = CHUNK_POINTS, _scorer()
 
     def tile_pair(mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
         x, y = mine[coordinates].to_numpy(), theirs[coordinates].to_numpy()
@@ -95,12 +102,12 @@ def euclidean(
         )
         y_norm = (y * y).sum(axis=1)
         parts = []
-        for start in range(0, len(x), CHUNK_POINTS):
-            chunk = x[start : start + CHUNK_POINTS]
+        for start in range(0, len(x), chunk_points):
+            chunk = x[start : start + chunk_points]
             squared = (chunk * chunk).sum(axis=1)[:, None] + y_norm[None, :] - 2.0 * (chunk @ y.T)
             distance = np.sqrt(np.maximum(squared, 0.0))
             if one_tile:
-                distance[my_ids[start : start + CHUNK_POINTS, None] == their_ids[None, :]] = 0.0
+                distance[my_ids[start : start + chunk_points, None] == their_ids[None, :]] = 0.0
             parts.append(distance @ member)
         out = mine[["id", "w", *labels]].reset_index(drop=True)
         near = np.concatenate(parts) if parts else np.zeros((0, len(sums)))
@@ -120,7 +127,7 @@ def euclidean(
                     out[n] = np.zeros(len(batch))
                     continue
                 own = batch[[f"d_{n}_{c}" for c in known]].to_numpy().copy()
-                out[n] = _scores(own, np.searchsorted(known, batch[n].to_numpy()), counts)
+                out[n] = scores(own, np.searchsorted(known, batch[n].to_numpy()), counts)
             yield pd.DataFrame(out)
 
     scored = whole.mapInPandas(score, "w double, " + ", ".join(f"{n} double" for n in labels))
@@ -142,6 +149,7 @@ def squared(points: DataFrame, dims: list[str], labels: list[str], weight: str)
     # a count, a norm and a vector per cluster
     per_cluster = {(r["run"], r["label"]): r for r in moments.collect()}
     norms = {n: np.array([per_cluster[n, c]["_norm"] for c in layout[n][0]]) for n in labels}
+    scores = _scorer()
     vectors = {n: np.array([[per_cluster[n, c][d] for d in dims] for c in layout[n][0]]) for n in labels}
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -155,7 +163,7 @@ def squared(points: DataFrame, dims: list[str], labels: list[str], weight: str)
                     out[n] = np.zeros(len(batch))
                     continue
                 own = np.maximum(x_norm[:, None] * counts + norms[n] - 2.0 * (x @ vectors[n].T), 0.0)
-                out[n] = _scores(own, np.searchsorted(known, batch[n].to_numpy()), counts)
+                out[n] = scores(own, np.searchsorted(known, batch[n].to_numpy()), counts)
             yield pd.DataFrame(out)
 
     scored = base.mapInPandas(score, "w double, " + ", ".join(f"{n} double" for n in labels))

@@ -13,7 +13,7 @@ from ..functions.text import masked_tokens, normalize_text, strip
 from ..operators.clustering import pivot_profile
 from ..operators.groups import attach, group_profiles, place_sums
 from ..operators.keyed import dedupe_last
-from ..operators.matching import longest_names, vocabulary
+from ..operators.matching import longest_names, name_list
 from ..operators.ranking import best_rules, latest_k, top_per_group
 from ..schemas import AGE_BANDS, AGE_COLS, AUD_COLS, AUDIENCES, FEATURES, FLAG_COLS
 from .features import dominant_age
@@ -86,14 +86,9 @@ def parse_requests(requests: DataFrame, stg_store: DataFrame) -> DataFrame:
         }
     ).withColumn("text_norm", normalize_text("user_input"))
     wanted = F.col("per_store") & (F.coalesce("mct_id", F.lit("")) == "")
-    vocab = vocabulary(stg_store)
-    names = vocab.select(
-        F.when(F.col("sector").isNotNull(), "sector").otherwise("area").alias("kind"),
-        F.coalesce("sector", "area").alias("name"),
-    )
     # equal texts are searched once
     texts = raw.filter(wanted).select("text_norm").distinct()
-    found = longest_names(texts, "text_norm", "text_norm", names)
+    found = longest_names(texts, "text_norm", "text_norm", name_list(stg_store))
     found = found.groupBy("text_norm").pivot("kind", ["area", "sector"]).agg(F.first("name"))
     found = found.withColumnsRenamed({"area": "found_area", "sector": "found_sector"})
 

@@ -51,9 +51,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise a frame that several later jobs read, so that no job recomputes it and a lost
-    executor costs a re-read of files and not a re-run of the plan."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """A frame that several later jobs read, written once to the shared folder and read back.
+
+    No later job recomputes it, a lost executor costs a re-read of files and not a re-run of the
+    plan, and the file sizes tell Spark which side of a join is small.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
