@@ -12,17 +12,15 @@ def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def share(percent: str | Column) -> Column:
-    """A 0-100 percent as 0-1. The value is held to its range first, so the sentinel ends as 0,
-    and so does a missing value."""
-    held = F.least(F.greatest(_col(percent).cast("double"), F.lit(0.0)), F.lit(100.0))
-    return F.coalesce(held / 100.0, F.lit(0.0))
+def share(percent: str) -> Column:
+    """A 0-100 percent column as 0-1. The value is held to its range first, so the sentinel ends as
+    0, and so does a missing value."""
+    return F.expr(f"coalesce(least(greatest(cast({percent} AS DOUBLE), 0D), 100D) / 100D, 0D)")
 
 
-def part_of(part: Column, total: Column) -> Column:
+def part_of(part: str, total: str) -> Column:
     """part / total to four decimals by way of six; 0 for a missing or zero total."""
-    quotient = part / F.nullif(total, F.lit(0.0))
-    return F.round(F.coalesce(quotient, F.lit(0.0)), 6).cast("decimal(6,4)")
+    return F.expr(f"cast(round(coalesce({part} / nullif({total}, 0D), 0D), 6) AS DECIMAL(6,4))")
 
 
 def mentions_high(text: str | Column) -> Column:
@@ -36,37 +34,41 @@ def above_half(value: str | Column) -> Column:
     return F.when(known > 0.5, 1).otherwise(0)
 
 
-def first_largest(names: list[str], values: list[Column]) -> Column:
-    """Name of the largest value; the earlier name wins a tie, a missing value counts as 0."""
-    filled = F.array(*[F.coalesce(v, F.lit(0).cast("double")) for v in (v.cast("double") for v in values)])
-    place = F.array_position(filled, F.array_max(filled)).cast("int")
-    return F.element_at(F.array(*[F.lit(n) for n in names]), place)
+def first_largest(names: list[str], columns: list[str]) -> Column:
+    """Name of the largest column; the earlier name wins a tie, a missing value counts as 0."""
+    values = ", ".join(f"coalesce(cast({c} AS DOUBLE), 0D)" for c in columns)
+    labels = ", ".join(f"'{n}'" for n in names)
+    return F.expr(f"element_at(array({labels}), cast(array_position(array({values}), array_max(array({values}))) AS INT))")
 
 
-def round_half_even(value: str | Column, digits: int) -> Column:
-    """Round a double by its exact binary value, ties to even.
+def half_even_sql(x: str, digits: int) -> str:
+    """SQL text that rounds the double named ``x`` by its exact binary value, ties to even.
 
-    F.round works on the shortest decimal text (0.345 counts as a tie), which differs from the
+    ``round`` works on the shortest decimal text (0.345 counts as a tie), which differs from the
     binary value that ``%.2f`` style formatting and IEEE rounding go by. Here the product with
-    10**digits is split into a rounded part and its exact error, and both decide.
+    10**digits is split into a rounded part and its exact error, and both decide. The factor
+    2**27 + 1 splits a double into two halves of 26 bits.
     """
-    x = _col(value).cast("double")
-    scale = float(10**digits)
-    product = x * scale
-    widened = x * 134217729.0  # 2**27 + 1 splits a double into two halves of 26 bits
-    high = widened - (widened - x)
-    low = x - high
-    error = (high * scale - product) + low * scale
-    whole = F.floor(product).cast("double")
-    beyond = (product - whole - 0.5) + error
-    odd = F.pmod(whole, F.lit(2.0)) == 1.0
-    up = (beyond > 0) | ((beyond == 0) & odd)
-    return (whole + up.cast("double")) / scale
-
-
-def fixed_text(value: str | Column, digits: int) -> Column:
-    """Number text with a fixed count of decimals."""
-    return F.format_string(f"%.{digits}f", round_half_even(value, digits))
+    scale = f"{10**digits}D"
+    high = f"({x} * 134217729D - ({x} * 134217729D - {x}))"
+    error = f"(({high} * {scale} - {x} * {scale}) + ({x} - {high}) * {scale})"
+    whole = f"cast(floor({x} * {scale}) AS DOUBLE)"
+    beyond = f"(({x} * {scale} - {whole} - 0.5D) + {error})"
+    up = f"if({beyond} > 0 OR ({beyond} = 0 AND pmod({whole}, 2D) = 1), 1D, 0D)"
+    return f"(({whole} + {up}) / {scale})"
+
+
+def fixed_text_sql(x: str, digits: int) -> str:
+    """SQL text for the number text of the double named ``x`` with a fixed count of decimals."""
+    return f"format_string('%.{digits}f', {half_even_sql(x, digits)})"
+
+
+def round_half_even(column: str, digits: int) -> Column:
+    return F.expr(half_even_sql(f"cast({column} AS DOUBLE)", digits))
+
+
+def fixed_text(column: str, digits: int) -> Column:
+    return F.expr(fixed_text_sql(f"cast({column} AS DOUBLE)", digits))
 
 
 def percent_label(value: str | Column) -> Column:

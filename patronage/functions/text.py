@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .numbers import round_half_even
+from .numbers import half_even_sql
 
 # The road pattern, the age words and the words that mean "missing".
 ROAD = r"([가-힣A-Za-z0-9\- ]+(로|길))"
@@ -79,30 +78,26 @@ def header_age_group(header: str) -> str | None:
     return "60p" if any(w in s for w in SENIOR_WORDS) else None
 
 
-def _let(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use`` applied to a value that is worked out once, however often ``use`` mentions it."""
-    return F.transform(F.array(value), use)[0]
-
-
-def parse_ratio(cell: str | Column) -> Column:
+def parse_ratio(column: str) -> Column:
     """A ratio in [0, 1] to four decimals out of texts such as ``35``, ``0.35``, ``35%``, ``1,2``.
 
     Above 1 the number is taken as a percent. Missing words, other texts and anything outside the
-    range give NULL.
+    range give NULL. The steps are nested one-element transforms, so that each is worked out once
+    however often the next one mentions it.
     """
-
-    def number(bare: Column) -> Column:
-        digits = strip(F.regexp_replace(bare, "%$", ""))
-        known = F.when(~bare.isin(NO_RATIO), digits)
-        plain = F.when(known.rlike(NUMBER), F.replace(known, F.lit("_"), F.lit("")))
-        return plain.try_cast("double")
-
-    def ratio(value: Column) -> Column:
-        part = F.when(value > 1.0, value / 100.0).otherwise(value)
-        return F.when((value >= 0.0) & (value <= 100.0), _let(part, lambda p: round_half_even(p, 4)))
-
-    bare = F.replace(strip(_col(cell).cast("string")), F.lit(","), F.lit(""))
-    return _let(_let(bare, number), ratio)
+    ends = f"r'^[{BLANK}]+|[{BLANK}]+$'"
+    missing = ", ".join(f"'{w}'" for w in NO_RATIO)
+    steps = [
+        ("bare", f"replace(regexp_replace(cast({column} AS STRING), {ends}, ''), ',', '')"),
+        ("digits", f"if(bare IN ({missing}), NULL, regexp_replace(regexp_replace(bare, '%$', ''), {ends}, ''))"),
+        ("value", f"if(digits RLIKE r'{NUMBER}', try_cast(replace(digits, '_', '') AS DOUBLE), NULL)"),
+        ("part", "if(value > 1, value / 100D, value)"),
+        ("ratio", f"if(part BETWEEN 0 AND 1, {half_even_sql('part', 4)}, NULL)"),
+    ]
+    sql = steps[0][1]
+    for (name, _), (_, step) in zip(steps, steps[1:]):
+        sql = f"transform(array({sql}), {name} -> {step})[0]"
+    return F.expr(sql)
 
 
 def span_age_group(youngest: str | Column, oldest: str | Column) -> Column:

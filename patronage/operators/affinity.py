@@ -49,6 +49,10 @@ def _tick(column: str) -> Column:
     return F.col(f"`{column}`")
 
 
+def _text(column: str) -> Column:
+    return _tick(column).cast("string").alias("text")
+
+
 def _headers(df: DataFrame) -> list[str]:
     return [c for c in df.columns if c != ROW_ORDER]
 
@@ -72,17 +76,14 @@ def _age_span(df: DataFrame) -> Column:
     return span_age_group(_tick(low), _tick(high))
 
 
-def _cells(df: DataFrame, cells: list[Column], age: Column | None = None) -> DataFrame:
-    """One row per cell struct, in column order; cells without age, item or value drop out."""
-    rows = df.select(
-        _tick(ROW_ORDER),
-        *([age.alias("_age")] if age is not None else []),
-        F.posexplode(F.array(*cells)).alias("col_ord", "cell"),
-    )
-    out = rows.select(
-        ROW_ORDER, "col_ord", *([F.col("_age").alias("age_group")] if age is not None else []), "cell.*"
-    )
-    return out.dropna(subset=["age_group", *[c for c in out.columns if c in ("channel", "keyword")], "affinity"])
+def _cells(df: DataFrame, cells: list[Column], kind: Kind, age: Column | None = None) -> DataFrame:
+    """One row per cell struct (age_group, item, text), in column order, with the text read as a
+    ratio. Cells without age, item or value drop out."""
+    row = [_tick(ROW_ORDER), *([age.alias("age_group")] if age is not None else [])]
+    rows = df.select(*row, F.posexplode(F.array(*cells)).alias("col_ord", "cell"))
+    known = [_tick(ROW_ORDER), *([F.col("age_group")] if age is not None else []), F.col("col_ord"), F.col("cell.*")]
+    out = rows.select(*known).withColumn("affinity", parse_ratio("text")).drop("text")
+    return out.dropna(subset=["age_group", kind.item, "affinity"])
 
 
 def by_age(df: DataFrame, kind: Kind) -> DataFrame | None:
@@ -94,10 +95,9 @@ def by_age(df: DataFrame, kind: Kind) -> DataFrame | None:
         return None
     name = kind.name(_tick(item_column(df, kind)))
     cells = [
-        F.struct(F.lit(a).alias("age_group"), name.alias(kind.item), parse_ratio(_tick(c)).alias("affinity"))
-        for c, a in ages
+        F.struct(F.lit(a).alias("age_group"), name.alias(kind.item), _text(c)) for c, a in ages
     ]
-    return _last_cell(_cells(df, cells), kind)
+    return _last_cell(_cells(df, cells, kind), kind)
 
 
 def ages_down(df: DataFrame, kind: Kind) -> DataFrame | None:
@@ -108,11 +108,9 @@ def ages_down(df: DataFrame, kind: Kind) -> DataFrame | None:
         return None
     ages = item_column(df, kind)
     cells = [
-        F.struct(kind.name(F.lit(c)).alias(kind.item), parse_ratio(_tick(c)).alias("affinity"))
-        for c in headers
-        if c != ages
+        F.struct(kind.name(F.lit(c)).alias(kind.item), _text(c)) for c in headers if c != ages
     ]
-    return _last_cell(_cells(df, cells, age_group(_tick(ages))), kind)
+    return _last_cell(_cells(df, cells, kind, age_group(_tick(ages))), kind)
 
 
 def _last_cell(cells: DataFrame, kind: Kind) -> DataFrame:
@@ -132,12 +130,11 @@ def media_by_span(df: DataFrame) -> DataFrame:
     media = [c for c in headers if "매체" in c]
     rates = [c for c in headers if "접촉률" in c or ("주간" in c and "시간" not in c)]
     cells = [
-        F.struct(channel_name(_tick(m)).alias("channel"), parse_ratio(_tick(r)).alias("affinity"))
-        for m, r in zip(media, rates)
+        F.struct(channel_name(_tick(m)).alias("channel"), _text(r)) for m, r in zip(media, rates)
     ]
     if not cells:
         raise ValueError(f"no media / rate column pair among {headers}")
-    return _mean_cell(_cells(df, cells, _age_span(df)), MEDIA)
+    return _mean_cell(_cells(df, cells, MEDIA, _age_span(df)), MEDIA)
 
 
 def interest_by_span(df: DataFrame) -> DataFrame:
@@ -151,15 +148,12 @@ def interest_by_span(df: DataFrame) -> DataFrame:
             paired[rate] = base
     totals = [c for c in headers if _has(c, ("_전체", "_개인")) and c not in paired]
     cells = [
-        F.struct(keyword_name(_tick(base)).alias("keyword"), parse_ratio(_tick(rate)).alias("affinity"))
-        for rate, base in paired.items()
-    ]
-    cells += [
-        F.struct(F.lit(c.strip()).alias("keyword"), parse_ratio(_tick(c)).alias("affinity")) for c in totals
+        F.struct(keyword_name(_tick(base)).alias("keyword"), _text(rate)) for rate, base in paired.items()
     ]
+    cells += [F.struct(F.lit(c.strip()).alias("keyword"), _text(c)) for c in totals]
     if not cells:
         raise ValueError(f"no interest / rate column pair among {headers}")
-    return _mean_cell(_cells(df, cells, _age_span(df)), INTEREST)
+    return _mean_cell(_cells(df, cells, INTEREST, _age_span(df)), INTEREST)
 
 
 def media_affinity(df: DataFrame) -> DataFrame:

@@ -28,10 +28,8 @@ class Scaler:
     deviations: list[float]
 
     def columns(self) -> list[Column]:
-        return [
-            ((F.col(f).cast("double") - F.lit(m)) / F.lit(d)).alias(f"z_{f}")
-            for f, m, d in zip(self.features, self.means, self.deviations)
-        ]
+        triples = zip(self.features, self.means, self.deviations)
+        return [F.expr(f"(cast({f} AS DOUBLE) - {m!r}D) / {d!r}D AS z_{f}") for f, m, d in triples]
 
     def vector(self) -> Column:
         return array_to_vector(F.array(*self.columns())).alias(VECTOR)
@@ -39,7 +37,7 @@ class Scaler:
 
 def fill_missing(df: DataFrame, features: list[str]) -> DataFrame:
     """Features as doubles, missing ones as 0."""
-    return df.withColumns({f: F.coalesce(F.col(f).cast("double"), F.lit(0.0)) for f in features})
+    return df.withColumns({f: F.expr(f"coalesce(cast({f} AS DOUBLE), 0D)") for f in features})
 
 
 def distinct_points(df: DataFrame, features: list[str]) -> DataFrame:
@@ -50,18 +48,16 @@ def distinct_points(df: DataFrame, features: list[str]) -> DataFrame:
 
 def fit_scaler(points: DataFrame, features: list[str], weight: str | None = WEIGHT) -> Scaler:
     """Two passes, the second around the means, so large counts cost no precision."""
-    w = F.col(weight).cast("double") if weight else F.lit(1.0)
-    x = {f: F.col(f).cast("double") for f in features}
+    w = f"cast({weight} AS DOUBLE)" if weight else "1D"
     first = points.agg(
-        F.sum(w).alias("_n"),
-        *[(F.sum(w * x[f]) / F.sum(w)).alias(f"mean_{f}") for f in features],
-        *[(F.min(f) == F.max(f)).alias(f"flat_{f}") for f in features],
+        *[F.expr(f"sum({w} * cast({f} AS DOUBLE)) / sum({w}) AS mean_{f}") for f in features],
+        *[F.expr(f"min({f}) = max({f}) AS flat_{f}") for f in features],
     ).first()
     means = [first[f"mean_{f}"] for f in features]
     if any(m is None for m in means):
         raise ValueError("no rows to standardise")
     second = points.agg(
-        *[(F.sum(w * F.pow(x[f] - F.lit(m), 2)) / F.sum(w)).alias(f) for f, m in zip(features, means)]
+        *[F.expr(f"sum({w} * pow(cast({f} AS DOUBLE) - {m!r}D, 2)) / sum({w}) AS {f}") for f, m in zip(features, means)]
     ).first()
     deviations = [1.0 if first[f"flat_{f}"] else float(second[f]) ** 0.5 for f in features]
     return Scaler(list(features), means, deviations)
@@ -73,14 +69,12 @@ def standardize(df: DataFrame, features: list[str], keep: list[str]) -> DataFram
     filled = fill_missing(df, features)
     stats = filled.agg(
         F.struct(
-            *[F.avg(f).alias(f"mean_{f}") for f in features],
-            *[F.when(F.min(f) == F.max(f), 1.0).otherwise(F.stddev_pop(f)).alias(f"dev_{f}") for f in features],
+            *[F.expr(f"avg({f}) AS mean_{f}") for f in features],
+            *[F.expr(f"if(min({f}) = max({f}), 1D, stddev_pop({f})) AS dev_{f}") for f in features],
         )
     ).scalar()
     scaled = filled.select(*keep, *features, stats.alias("_s"))
-    return scaled.select(
-        *keep, *[((F.col(f) - F.col(f"_s.mean_{f}")) / F.col(f"_s.dev_{f}")).alias(f) for f in features]
-    )
+    return scaled.select(*keep, *[F.expr(f"({f} - _s.mean_{f}) / _s.dev_{f} AS {f}") for f in features])
 
 
 def fit_kmeans(points: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
@@ -193,14 +187,13 @@ def nearest_center(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:
 def cluster_profile(labelled: DataFrame, features: list[str]) -> DataFrame:
     """Mean, population deviation and row count per cluster and feature, in long form. Means are over
     decimals, whose sums do not depend on the order of rows."""
-    means = {f: F.avg(F.col(f).cast("decimal(18,8)")).cast("double").alias("mean") for f in features}
-    stats = [F.struct(means[f], F.stddev_pop(f).alias("std")).alias(f) for f in features]
-    wide = labelled.groupBy("cluster_id").agg(F.count("*").alias("n"), *stats)
-    rows = [
-        F.struct(F.lit(f).alias("feature"), F.col(f"{f}.mean"), F.coalesce(F.col(f"{f}.std"), F.lit(0.0)).alias("std"))
+    stats = [
+        F.expr(f"struct(cast(avg(cast({f} AS DECIMAL(18,8))) AS DOUBLE) AS mean, stddev_pop({f}) AS std) AS {f}")
         for f in features
     ]
-    return wide.select("cluster_id", "n", F.inline(F.array(*rows))).select("cluster_id", "feature", "mean", "std", "n")
+    wide = labelled.groupBy("cluster_id").agg(F.count("*").alias("n"), *stats)
+    rows = ", ".join(f"struct('{f}' AS feature, {f}.mean AS mean, coalesce({f}.std, 0D) AS std)" for f in features)
+    return wide.selectExpr("cluster_id", "n", f"inline(array({rows}))").select("cluster_id", "feature", "mean", "std", "n")
 
 
 def pivot_profile(profile: DataFrame, features: list[str]) -> DataFrame:

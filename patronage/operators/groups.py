@@ -22,8 +22,8 @@ def place_sums(features: DataFrame, clusters: DataFrame) -> DataFrame:
     """Feature sums, counts of known values and row counts per place and cluster. Shops without a
     cluster count under NULL."""
     rows = features.join(clusters.select("mct_id", "cluster_id"), "mct_id", "left")
-    sums = [F.sum(c).alias(f"sum_{c}") for c in FEATURES]
-    known = [F.count(c).alias(f"known_{c}") for c in FEATURES]
+    sums = [F.expr(f"sum({c}) AS sum_{c}") for c in FEATURES]
+    known = [F.expr(f"count({c}) AS known_{c}") for c in FEATURES]
     return rows.groupBy(*PLACE, "cluster_id").agg(*sums, *known, F.count("*").alias("n"))
 
 
@@ -86,19 +86,16 @@ def group_profiles(params: DataFrame, sums: DataFrame) -> DataFrame:
     on = F.lit(True)
     for c in PLACE:
         on = on & F.col(f"h._{c}").eqNullSafe(F.col(f"s.{c}"))
-    columns = [F.col(f"h.{c}").alias(c) for c in PARAMS]
-    columns += [F.col(f"s.{c}") for c in sums.columns if c not in PLACE]
+    columns = [f"h.{c}" for c in PARAMS] + [f"s.{c}" for c in sums.columns if c not in PLACE]
     met = hits.alias("h").join(sums.alias("s"), on).select(columns)
     totals = [c for c in sums.columns if c not in (*PLACE, "cluster_id")]
-    per_cluster = met.groupBy(*PARAMS, "cluster_id").agg(*[F.sum(c).alias(c) for c in totals])
+    per_cluster = met.groupBy(*PARAMS, "cluster_id").agg(*[F.expr(f"sum({c}) AS {c}") for c in totals])
     most = F.max_by("cluster_id", F.when(F.col("cluster_id").isNotNull(), F.struct("n", -F.col("cluster_id"))))
     summed = per_cluster.groupBy(*PARAMS).agg(
-        most.alias("cluster_id"), *[F.sum(c).alias(c) for c in totals]
+        most.alias("cluster_id"), *[F.expr(f"sum({c}) AS {c}") for c in totals]
     )
     means = [
-        (F.col(f"sum_{c}").cast("decimal(28,4)") / F.nullif(F.col(f"known_{c}"), F.lit(0)).cast("decimal(18,0)"))
-        .cast("decimal(12,8)")
-        .alias(c)
+        F.expr(f"cast(cast(sum_{c} AS DECIMAL(28,4)) / cast(nullif(known_{c}, 0) AS DECIMAL(18,0)) AS DECIMAL(12,8)) AS {c}")
         for c in FEATURES
     ]
     found = summed.select(*PARAMS, "cluster_id", "n", *means)
@@ -108,12 +105,12 @@ def group_profiles(params: DataFrame, sums: DataFrame) -> DataFrame:
         "a.sector",
         F.coalesce("f.cluster_id", F.lit(0)).alias("cluster_id"),
         F.coalesce("f.n", F.lit(0)).alias("n"),
-        *[F.col(f"f.{c}").alias(c) for c in FEATURES],
+        *[f"f.{c}" for c in FEATURES],
     )
 
 
 def attach(requests: DataFrame, answers: DataFrame) -> DataFrame:
     """Each request with the answer for its (area, sector)."""
-    rest = [F.col(f"p.{c}").alias(c) for c in answers.columns if c not in PARAMS]
+    rest = [f"p.{c}" for c in answers.columns if c not in PARAMS]
     joined = requests.alias("r").join(answers.alias("p"), _same("r", "p", PARAMS), "left")
     return joined.select("r.*", *rest)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from ..functions.numbers import fixed_text
+from ..functions.numbers import fixed_text_sql
 from ..session import scratch_path
 
 PATH_TYPE = "array<struct<feature:string,threshold:double,op:string>>"
@@ -143,12 +143,10 @@ def accuracy(df: DataFrame, label: str, predicted: str) -> DataFrame:
     return df.agg(F.avg((F.col(label) == F.col(predicted)).cast("double")).alias("accuracy"))
 
 
-def rule_text(path: str | Column) -> Column:
+def rule_text(path: str) -> Column:
     """``feature op threshold`` tests joined by AND."""
-    test = F.transform(
-        path, lambda t: F.concat(t["feature"], F.lit(" "), t["op"], F.lit(" "), fixed_text(t["threshold"], 3))
-    )
-    return F.array_join(test, " AND ")
+    test = f"concat_ws(' ', t.feature, t.op, {fixed_text_sql('t.threshold', 3)})"
+    return F.expr(f"array_join(transform({path}, t -> {test}), ' AND ')")
 
 
 def leaf_stats(rows: DataFrame, leaf: str, label: str) -> DataFrame:

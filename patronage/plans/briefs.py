@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numbers import fixed_text, percent_label, strength_band
+from ..functions.numbers import fixed_text_sql, percent_label, strength_band
 from ..functions.text import masked_tokens, normalize_text, strip
 from ..operators.clustering import pivot_profile
 from ..operators.groups import attach, group_profiles, place_sums
@@ -131,7 +131,7 @@ def with_recommendations(rows: DataFrame, sources: Sources, top_media: int, top_
     rules = best_rules(sources.rules).select("k", "cluster_id", "rule_text")
     channels = top_items(sources.media, "channel", sources.version, top_media)
     keywords = top_items(sources.keywords, "keyword", sources.version, top_kw)
-    aged = rows.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in FEATURES})
+    aged = rows.withColumns({c: F.expr(f"coalesce(cast({c} AS DOUBLE), 0D)") for c in FEATURES})
     aged = aged.withColumn("dom_age", dominant_age())
     joined = (
         aged.join(F.broadcast(rules), ["k", "cluster_id"], "left")
@@ -148,13 +148,13 @@ def with_recommendations(rows: DataFrame, sources: Sources, top_media: int, top_
 
 
 def _numbers(labels: list[str], columns: list[str]) -> Column:
-    parts = [F.concat(F.lit(f"{label}="), fixed_text(c, 2)) for label, c in zip(labels, columns)]
-    return F.concat_ws(", ", *parts)
+    parts = ", ".join(f"concat('{label}=', {fixed_text_sql(c, 2)})" for label, c in zip(labels, columns))
+    return F.expr(f"concat_ws(', ', {parts})")
 
 
 def _listing(items: str, name: str) -> Column:
-    texts = F.transform(items, lambda e: F.concat(e[name], F.lit("("), fixed_text(e["affinity"], 2), F.lit(")")))
-    return F.when(F.size(items) > 0, F.array_join(texts, ", ")).otherwise(NO_ITEMS)
+    text = f"concat(e.{name}, '(', {fixed_text_sql('e.affinity', 2)}, ')')"
+    return F.expr(f"if(size({items}) > 0, array_join(transform({items}, e -> {text}), ', '), '{NO_ITEMS}')")
 
 
 def brief_title(context: Column) -> Column:

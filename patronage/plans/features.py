@@ -46,9 +46,8 @@ def _with_age_mix(keyed: DataFrame) -> DataFrame:
     sums = {
         f"_sum_{c}": share(f"M12_MAL_{code}_RAT") + share(f"M12_FME_{code}_RAT") for c, code in _AGE_CODES.items()
     }
-    total = sum((F.col(c) for c in list(sums)[1:]), F.col(list(sums)[0]))
-    summed = keyed.withColumns(sums).withColumn("_total", total)
-    return summed.withColumns({c: part_of(F.col(f"_sum_{c}"), F.col("_total")) for c in AGE_COLS})
+    summed = keyed.withColumns(sums).withColumn("_total", F.expr(" + ".join(sums)))
+    return summed.withColumns({c: part_of(f"_sum_{c}", "_total") for c in AGE_COLS})
 
 
 def _audience(source: str) -> Column:
@@ -127,13 +126,13 @@ def age_bucket(ages: DataFrame) -> DataFrame:
 
 def aud_bucket(audiences: DataFrame) -> DataFrame:
     return audiences.select(
-        "mct_id", "ym", first_largest(AUDIENCES, [F.col(a) for a in AUDIENCES]).alias("aud_bucket")
+        "mct_id", "ym", first_largest(AUDIENCES, AUDIENCES).alias("aud_bucket")
     )
 
 
 def dominant_age() -> Column:
     """Age band with the largest share; the younger band wins a tie, missing shares count as 0."""
-    return first_largest(AGE_BANDS, [F.col(c) for c in AGE_COLS])
+    return first_largest(AGE_BANDS, AGE_COLS)
 
 
 def build_all(stg_store: DataFrame, stg_perf: DataFrame, stg_demo: DataFrame) -> dict[str, DataFrame]:

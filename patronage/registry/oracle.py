@@ -24,6 +24,12 @@ def _half_up(total: str, n: str, have: int, want: int) -> str:
     return f"(((2 * {total} + {n}) // (2 * {n}))::DOUBLE / 1e{want})"
 
 
+def _short_mean(total: str, n: str) -> str:
+    """Mean of four-decimal values, rounded to eight decimals and then to four."""
+    eight = f"((2 * ({total})::HUGEINT * 10000 + {n}) // (2 * {n}))"
+    return f"((({eight} + 5000) // 10000)::DOUBLE / 1e4)"
+
+
 def _mean(column: str, want: int) -> str:
     """Mean of a column of four-decimal values."""
     return _half_up(f"sum(round({column} * 10000)::BIGINT)", f"count({column})", 4, want)
@@ -209,8 +215,7 @@ _CTES: dict[str, str] = {
           SELECT {_decade} AS decade, replace(p_name, ' ', '') AS keyword, {_percent.format('p_size')} AS affinity FROM part
           UNION ALL SELECT {_decade}, '뷰티_전체', {_percent.format('p_size')} FROM part)""",
     "interest_rows": f"""
-        SELECT age_group, keyword, {_half_up('sum(round(affinity * 10000)::BIGINT)', 'count(*)', 4, 8)} AS exact8,
-          round({_half_up('sum(round(affinity * 10000)::BIGINT)', 'count(*)', 4, 8)}, 4) AS affinity
+        SELECT age_group, keyword, {_short_mean('sum(round(affinity * 10000)::BIGINT)', 'count(*)')} AS affinity
         FROM interest_cells GROUP BY age_group, keyword""",
     "media_ranked": f"""
         SELECT '{VERSION}' AS version, *, row_number() OVER (PARTITION BY age_group ORDER BY affinity DESC, channel) AS rank
@@ -435,7 +440,7 @@ ORACLE: dict[str, str] = {
     "audience_type": "SELECT * FROM audience",
     "perf_flags": "SELECT mct_id, ym, cancel_high::BIGINT AS cancel_high, delivery_high::BIGINT AS delivery_high FROM flags",
     "region_age_avg": "SELECT HPSN_MCT_ZCD_NM AS sector, HPSN_MCT_BZN_CD_NM AS biz_zone, ym, "
-    + ", ".join(f"round({_mean(c, 8)}, 4) AS {c}" for c in AGE_COLS)
+    + ", ".join(f"{_short_mean(f'sum(round({c} * 10000)::BIGINT)', f'count({c})')} AS {c}" for c in AGE_COLS)
     + """ FROM age_mix JOIN stg_store ON ENCODED_MCT = mct_id
         WHERE HPSN_MCT_ZCD_NM IS NOT NULL AND HPSN_MCT_BZN_CD_NM IS NOT NULL GROUP BY ALL""",
     "store_features": f"SELECT mct_id, ym, sector, biz_zone, sigungu, {_feature_list} FROM features",
@@ -512,7 +517,7 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'r' || request_id::VARCHAR, user_input FROM requests)""",
     "affinity_by_age": "SELECT * FROM media_rows",
     "affinity_by_span": f"""
-        SELECT age_group, channel, round({_half_up('sum(round(affinity * 10000)::BIGINT)', 'count(*)', 4, 8)}, 4) AS affinity
+        SELECT age_group, channel, {_short_mean('sum(round(affinity * 10000)::BIGINT)', 'count(*)')} AS affinity
         FROM span_cells GROUP BY age_group, channel""",
     "affinity_name_pairs": "SELECT age_group, keyword, affinity FROM interest_rows",
     "affinity_transpose": f"""

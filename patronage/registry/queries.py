@@ -22,6 +22,7 @@ from ..schemas import AUD_COLS, AUDIENCES, FEATURES
 from ..session import cut_lineage, scratch_path
 from ..sources import star
 from ..sources.delimited import read_text_csv, typed
+from ..sources.star import read_table as _table
 from ..sources.tables import Tables
 
 RUN_TS = dt.datetime(2025, 10, 1)
@@ -45,10 +46,6 @@ def query(run: Query) -> Query:
     return run
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.store_features_from_staging(
         star.stg_demo(spark, sf_dir), star.stg_perf(spark, sf_dir), star.stg_store(spark, sf_dir)
@@ -291,8 +288,8 @@ def as_ratio(spark, sf_dir):
         .otherwise("NaN")
     )
     return _table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_linenumber", parse_ratio(cell).alias("ratio")
-    )
+        "l_orderkey", "l_partkey", "l_linenumber", cell.alias("cell")
+    ).select("l_orderkey", "l_partkey", "l_linenumber", parse_ratio("cell").alias("ratio"))
 
 
 @query
@@ -457,7 +454,7 @@ def _given_profile(rows: DataFrame) -> DataFrame:
 def _given_rules(rows: DataFrame) -> DataFrame:
     """One rule per strongest audience and cancel flag, with data-derived support and precision."""
     leaf = F.concat_ws(
-        " ", features.first_largest(AUDIENCES, [F.col(c) for c in AUD_COLS]), F.col("cancel_high").cast("int").cast("string")
+        " ", features.first_largest(AUDIENCES, AUD_COLS), F.col("cancel_high").cast("int").cast("string")
     )
     stats = tree_rules.leaf_stats(_labelled_rows(rows).withColumn("leaf", leaf), "leaf", "cluster_id")
     return stats.select(

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.numbers import SENTINEL
 
@@ -17,18 +18,25 @@ _AGES = {"1020": "1-URGENT", "30": "2-HIGH", "40": "3-MEDIUM", "50": "4-NOT SPEC
 _SEXES = {"MAL": "F", "FME": "O"}
 
 
-def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    """One sample table; its footer is looked at once per path."""
+    path = f"{sf_dir}/{table}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
-    nation, region = _read(spark, sf_dir, "nation"), _read(spark, sf_dir, "region")
+    nation, region = read_table(spark, sf_dir, "nation"), read_table(spark, sf_dir, "region")
     places = nation.join(region, nation.n_regionkey == region.r_regionkey)
     return places.select("n_nationkey", "n_name", "r_name")
 
 
 def stg_store(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customer = _read(spark, sf_dir, "customer")
+    customer = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey").cast("string")
     road = (
         F.when(F.col("c_mktsegment") == "BUILDING", "왕십리로")
@@ -49,43 +57,43 @@ def stg_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _read(spark, sf_dir, "orders").select(
+    orders = read_table(spark, sf_dir, "orders").select(
         F.col("o_orderkey"),
         F.col("o_custkey").cast("string").alias("ENCODED_MCT"),
         F.date_format("o_orderdate", "yyyyMM").alias("TA_YM"),
         F.col("o_orderpriority"),
         F.col("o_orderstatus"),
     )
-    lineitem = _read(spark, sf_dir, "lineitem").select(
+    lineitem = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_quantity", "l_discount", "l_returnflag", "l_linestatus"
     )
     return orders.join(lineitem, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
-def _rate(condition: Column) -> Column:
-    return F.count_if(condition).cast("double") * 100 / F.count("*")
+def _rate(condition: str) -> str:
+    return f"cast(count_if({condition}) AS DOUBLE) * 100 / count(*)"
 
 
 def stg_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def published(rate: Column) -> Column:
-        return F.when(F.count("*") == 1, F.lit(SENTINEL)).when(F.min("l_quantity") <= 40, rate)
+    def published(condition: str) -> str:
+        return f"CASE WHEN count(*) = 1 THEN {SENTINEL}D WHEN min(l_quantity) <= 40 THEN {_rate(condition)} END"
 
     shares = {
-        f"M12_{sex}_{age}_RAT": (F.col("o_orderpriority") == word) & (F.col("l_linestatus") == status)
+        f"M12_{sex}_{age}_RAT": f"o_orderpriority = '{word}' AND l_linestatus = '{status}'"
         for sex, status in _SEXES.items()
         for age, word in _AGES.items()
     }
     shares |= {
-        "MCT_UE_CLN_REU_RAT": F.col("l_discount") >= 0.05,
-        "MCT_UE_CLN_NEW_RAT": F.col("l_discount") < 0.05,
-        "RC_M1_SHC_RSD_UE_CLN_RAT": F.col("l_quantity") <= 17,
-        "RC_M1_SHC_WP_UE_CLN_RAT": (F.col("l_quantity") > 17) & (F.col("l_quantity") <= 34),
-        "RC_M1_SHC_FLP_UE_CLN_RAT": F.col("l_quantity") > 34,
+        "MCT_UE_CLN_REU_RAT": "l_discount >= 0.05",
+        "MCT_UE_CLN_NEW_RAT": "l_discount < 0.05",
+        "RC_M1_SHC_RSD_UE_CLN_RAT": "l_quantity <= 17",
+        "RC_M1_SHC_WP_UE_CLN_RAT": "l_quantity > 17 AND l_quantity <= 34",
+        "RC_M1_SHC_FLP_UE_CLN_RAT": "l_quantity > 34",
     }
     return (
         _lines(spark, sf_dir)
         .groupBy("ENCODED_MCT", "TA_YM")
-        .agg(*[published(_rate(condition)).alias(name) for name, condition in shares.items()])
+        .agg(*[F.expr(f"{published(condition)} AS {name}") for name, condition in shares.items()])
     )
 
 
@@ -102,7 +110,7 @@ def stg_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One request per customer: free text of three kinds; some name a shop, a few an unknown one."""
-    customer = _read(spark, sf_dir, "customer")
+    customer = read_table(spark, sf_dir, "customer")
     segment, balance = F.col("c_mktsegment"), F.col("c_acctbal")
     words = (
         F.when(segment.isin("BUILDING", "FURNITURE"), F.concat(F.lit("  "), "n_name", F.lit(" "), segment, F.lit("!! 스**커피 분석 ")))
@@ -119,25 +127,25 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _age_share(low: int, high: int) -> Column:
-    count = F.count_if(F.col("p_size").between(low, high)).cast("double")
-    return F.concat(F.floor(count * 100 / F.count("*")).cast("string"), F.lit("%"))
+def _age_share(low: int, high: int, name: str) -> Column:
+    rate = f"cast(count_if(p_size BETWEEN {low} AND {high}) AS DOUBLE) * 100 / count(*)"
+    return F.expr(f"concat(cast(floor({rate}) AS STRING), '%') AS `{name}`")
 
 
 _BY_AGE = [("10대", 1, 8), ("20대", 9, 16), ("30대", 17, 24), ("40대", 25, 32), ("50대", 33, 40), ("60대 이상", 41, 50)]
 
 
 def media_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = _read(spark, sf_dir, "part")
-    table = part.groupBy(F.col("p_brand").alias("channel")).agg(*[_age_share(a, b).alias(n) for n, a, b in _BY_AGE])
+    part = read_table(spark, sf_dir, "part")
+    table = part.groupBy(F.col("p_brand").alias("channel")).agg(*[_age_share(a, b, n) for n, a, b in _BY_AGE])
     return table.withColumn("row_ord", F.col("channel"))
 
 
 def video_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video platforms; the brands in it clash with media channels."""
-    part = _read(spark, sf_dir, "part").filter(F.col("p_retailprice") > 950)
+    part = read_table(spark, sf_dir, "part").filter(F.col("p_retailprice") > 950)
     kind = F.when(F.col("p_type") == "PROMO", F.col("p_brand")).otherwise(F.concat("p_type", F.lit(" video")))
-    table = part.groupBy(kind.alias("platform")).agg(*[_age_share(a, b).alias(n) for n, a, b in _BY_AGE])
+    table = part.groupBy(kind.alias("platform")).agg(*[_age_share(a, b, n) for n, a, b in _BY_AGE])
     return table.withColumn("row_ord", F.col("platform"))
 
 
@@ -148,9 +156,9 @@ def video_transposed(spark: SparkSession, sf_dir: str) -> DataFrame:
         age = age.when(F.col("p_size").between(low, high), label)
     kinds = ["ECONOMY", "STANDARD", "PROMO"]
     return (
-        _read(spark, sf_dir, "part")
+        read_table(spark, sf_dir, "part")
         .groupBy(age.alias("platform"))
-        .agg(*[F.concat(F.floor(_rate(F.col("p_type") == k)).cast("string"), F.lit("%")).alias(k) for k in kinds])
+        .agg(*[F.expr(f"concat(cast(floor({_rate(f"p_type = '{k}'")}) AS STRING), '%') AS {k}") for k in kinds])
         .withColumn("row_ord", F.col("platform"))
     )
 
@@ -158,7 +166,7 @@ def video_transposed(spark: SparkSession, sf_dir: str) -> DataFrame:
 def media_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     decade = F.floor(F.col("p_size") / 9) * 10
     size = F.col("p_size").cast("string")
-    return _read(spark, sf_dir, "part").select(
+    return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_ord"),
         (decade + 10).cast("string").alias("최소나이"),
         (decade + 19).cast("string").alias("최대나이"),
@@ -172,7 +180,7 @@ def media_span(spark: SparkSession, sf_dir: str) -> DataFrame:
 def interest_span(spark: SparkSession, sf_dir: str) -> DataFrame:
     decade = F.floor(F.col("p_size") / 9) * 10
     size = F.col("p_size").cast("string")
-    return _read(spark, sf_dir, "part").select(
+    return read_table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("row_ord"),
         (decade + 10).cast("string").alias("최소나이"),
         (decade + 19).cast("string").alias("최대나이"),
