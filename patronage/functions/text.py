@@ -20,7 +20,9 @@ SENIOR_WORDS = ["이상", "고령"]
 NO_RATIO = ["", "None", "none", "nan", "NaN", "-999999.9", "--", "-", "na", "NA"]
 NO_NAME = ["", "nan", "none"]
 
-# Characters that count as blank, spelled out so that every regex engine agrees on them.
+# Characters that count as blank, and the same as a regex class.
+BLANKS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B)))
+BLANKS += "\u2028\u2029\u202f\u205f\u3000"
 BLANK = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
@@ -33,7 +35,7 @@ def _col(c: str | Column) -> Column:
 
 def strip(text: str | Column) -> Column:
     """Drop blanks at both ends."""
-    return F.regexp_replace(_col(text), f"^[{BLANK}]+|[{BLANK}]+$", "")
+    return F.btrim(_col(text), F.lit(BLANKS))
 
 
 def road_name(address: str | Column) -> Column:
@@ -43,8 +45,7 @@ def road_name(address: str | Column) -> Column:
 
 def normalize_text(text: str | Column) -> Column:
     """Keep letters, digits, ``_`` and ``*``; any other run of characters becomes one blank."""
-    kept = F.regexp_replace(strip(F.coalesce(_col(text), F.lit(""))), rf"[^\p{{L}}\p{{N}}_*{BLANK}]", " ")
-    return F.regexp_replace(kept, f"[{BLANK}]+", " ")
+    return F.regexp_replace(strip(F.coalesce(_col(text), F.lit(""))), r"[^\p{L}\p{N}_*]+", " ")
 
 
 def masked_tokens(text: str | Column) -> Column:

@@ -81,7 +81,8 @@ def euclidean(
         F.col(weight).cast("double").alias("w"),
         *[F.col(d).cast("double").alias(f"x{i}") for i, d in enumerate(dims)],
         *[F.col(n).cast("int").alias(n) for n in labels],
-        F.pmod(F.xxhash64(id_col), F.lit(tiles)).alias("tile"),
+        # an int like the generated tile numbers: both sides of a cogroup must hash their keys alike
+        F.pmod(F.xxhash64(id_col), F.lit(tiles)).cast("int").alias("tile"),
     )
     every = F.explode(F.sequence(F.lit(0), F.lit(tiles - 1)))
     left = base.withColumn("other", every).withColumnsRenamed({"tile": "a", "other": "b"})

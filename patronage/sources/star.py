@@ -99,8 +99,8 @@ def stg_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stg_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = _lines(spark, sf_dir).filter(F.col("l_returnflag") != "A")
-    top = F.max("o_orderstatus")
-    band = F.when(top == "F", "1_상위1구간").when(top == "O", "HIGH").when(F.min("l_discount") < 0.05, "5_하위")
+    pending, opened = (F.count_if(F.col("o_orderstatus") == c) > 0 for c in "PO")
+    band = F.when(~pending & ~opened, "1_상위1구간").when(~pending, "HIGH").when(F.min("l_discount") < 0.05, "5_하위")
     delivery = F.count_if(F.col("l_returnflag") == "R").cast("double") / F.count("*")
     return lines.groupBy("ENCODED_MCT", "TA_YM").agg(
         band.alias("APV_CE_RAT"),
