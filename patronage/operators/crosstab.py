@@ -7,7 +7,7 @@ occur is enough and no table of all category pairs is built.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -32,12 +32,11 @@ def pair_counts(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
 def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
     """Long contingency table with 0 for absent cells, over the categories that occur."""
     counts = pair_counts(df, {"": (row, col)}).drop("pair_name")
-    by_row = counts.groupBy("row_cat").agg(F.map_from_entries(F.collect_list(F.struct("col_cat", "n"))).alias("cells"))
     # the category list is one array of the few values a category column has
     columns = counts.agg(F.sort_array(F.collect_set("col_cat"))).scalar()
-    filled = by_row.select("row_cat", "cells", F.explode(columns).alias("col_cat"))
-    cell = F.coalesce(F.try_element_at("cells", F.col("col_cat")), F.lit(0)).cast("long")
-    return filled.select("row_cat", "col_cat", cell.alias("n"))
+    cells = counts.select("row_cat").distinct().select("row_cat", F.explode(columns).alias("col_cat"))
+    filled = cells.join(counts, ["row_cat", "col_cat"], "left")
+    return filled.select("row_cat", "col_cat", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def association(counts: DataFrame) -> DataFrame:
@@ -49,7 +48,13 @@ def association(counts: DataFrame) -> DataFrame:
     per_row, per_col = W.partitionBy("pair_name", "row_cat"), W.partitionBy("pair_name", "col_cat")
     o, r, c, n = F.col("n"), F.col("r"), F.col("c"), F.col("total")
     cells = counts.withColumns(
-        {"r": F.sum("n").over(per_row), "c": F.sum("n").over(per_col), "total": F.sum("n").over(W.partitionBy("pair_name"))}
+        {
+            "r": F.sum("n").over(per_row),
+            "c": F.sum("n").over(per_col),
+            "in_row": F.count("*").over(per_row),
+            "in_col": F.count("*").over(per_col),
+            "total": F.sum("n").over(W.partitionBy("pair_name")),
+        }
     )
     expected = r * c / n.cast("double")
     summed = cells.groupBy("pair_name").agg(
@@ -61,12 +66,12 @@ def association(counts: DataFrame) -> DataFrame:
         F.sum(expected).alias("_expected"),
         F.max(F.abs(o - expected)).alias("_deviation"),
         # a 2 x 2 table has the inverse expectations sum to n * (1/r1 + 1/r2) * (1/c1 + 1/c2)
-        F.collect_set(F.struct("row_cat", "r")).alias("_r"),
-        F.collect_set(F.struct("col_cat", "c")).alias("_c"),
+        F.sum(1.0 / (r * F.col("in_row"))).alias("_per_row"),
+        F.sum(1.0 / (c * F.col("in_col"))).alias("_per_col"),
     )
     dof = ((F.col("rows") - 1) * (F.col("cols") - 1)).cast("int")
     shrunk = F.col("_deviation") - F.least(F.lit(0.5), F.col("_deviation"))
-    corrected = shrunk * shrunk * F.col("n") * _inverse_sum("_r", "r") * _inverse_sum("_c", "c")
+    corrected = shrunk * shrunk * F.col("n") * F.col("_per_row") * F.col("_per_col")
     full = F.col("_cells") == F.col("rows") * F.col("cols")
     plain = F.col("_seen") + F.when(full, 0.0).otherwise(F.col("n") - F.col("_expected"))
     chi2 = F.when(dof == 0, 0.0).when(dof == 1, corrected).otherwise(plain)
@@ -79,7 +84,3 @@ def association(counts: DataFrame) -> DataFrame:
         cramers_v(F.col("chi2"), F.col("n"), F.col("rows"), F.col("cols")).alias("cramers_v"),
         "n",
     )
-
-
-def _inverse_sum(margins: str, field: str) -> Column:
-    return F.aggregate(margins, F.lit(0.0), lambda acc, m: acc + 1.0 / m[field])

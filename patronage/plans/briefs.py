@@ -16,6 +16,7 @@ from ..operators.keyed import dedupe_last
 from ..operators.matching import longest_names, name_list
 from ..operators.ranking import best_rules, latest_k, top_per_group
 from ..schemas import AGE_BANDS, AGE_COLS, AUD_COLS, AUDIENCES, FEATURES, FLAG_COLS
+from ..session import cut_lineage
 from .features import dominant_age
 
 TOP_MEDIA, TOP_KEYWORDS = 5, 10
@@ -86,11 +87,16 @@ def parse_requests(requests: DataFrame, stg_store: DataFrame) -> DataFrame:
         }
     ).withColumn("text_norm", normalize_text("user_input"))
     wanted = F.col("per_store") & (F.coalesce("mct_id", F.lit("")) == "")
-    # equal texts are searched once
+    # equal texts are searched once, under a short id; written tables show Spark their size
     texts = raw.filter(wanted).select("text_norm").distinct()
-    found = longest_names(texts, "text_norm", "text_norm", name_list(stg_store))
-    found = found.groupBy("text_norm").pivot("kind", ["area", "sector"]).agg(F.first("name"))
-    found = found.withColumnsRenamed({"area": "found_area", "sector": "found_sector"})
+    texts = cut_lineage(texts.withColumn("text_id", F.monotonically_increasing_id()))
+    names = cut_lineage(name_list(stg_store))
+    found = longest_names(texts, "text_id", "text_norm", names)
+    found = found.groupBy("text_id").agg(
+        F.max(F.when(F.col("kind") == "area", F.col("name"))).alias("found_area"),
+        F.max(F.when(F.col("kind") == "sector", F.col("name"))).alias("found_sector"),
+    )
+    found = texts.join(found, "text_id").drop("text_id")
 
     def given(column: str) -> Column:
         filled = F.coalesce(F.nullif(F.col(column), F.lit("")), F.col(f"found_{column}"))
@@ -221,19 +227,13 @@ def shop_rows(features: DataFrame, clusters: DataFrame, ids: DataFrame) -> DataF
     """Newest feature row and cluster of each asked shop; a shop needs both to be found."""
     asked = ids.select("mct_id").distinct()
     columns = ["ym", "sector", "biz_zone", *FEATURES]
-    newest = (
-        features.join(asked, "mct_id", "left_semi")
-        .groupBy("mct_id")
-        .agg(F.max_by(F.struct(*columns), "ym").alias("_row"))
-        .select("mct_id", "_row.*")
-    )
-    latest = (
-        clusters.join(asked, "mct_id", "left_semi")
-        .groupBy("mct_id")
-        .agg(F.max_by(F.struct("cluster_id", "k"), F.struct("created_at", "ym")).alias("_cluster"))
-        .select("mct_id", "_cluster.*")
+    # reduced before the join, so a shop with very many rows arrives as one
+    newest = features.groupBy("mct_id").agg(F.max_by(F.struct(*columns), "ym").alias("_row"))
+    latest = clusters.groupBy("mct_id").agg(
+        F.max_by(F.struct("cluster_id", "k"), F.struct("created_at", "ym")).alias("_cluster")
     )
-    return newest.join(latest, "mct_id")
+    found = asked.join(newest, "mct_id").join(latest, "mct_id")
+    return found.select("mct_id", "_row.*", "_cluster.*")
 
 
 def store_briefs(
@@ -375,34 +375,35 @@ def run(tables, requests: DataFrame, sources: Sources, run_ts: dt.datetime) -> D
 # --- chart data ----------------------------------------------------------------------------------
 
 
-def _bars(profiles: DataFrame, keys: list[str], name: str, labels: list[str], columns: list[str]) -> DataFrame:
+def _bars(name: str, labels: list[str], columns: list[str]) -> Column:
+    """The bars of one profile row, in given order."""
     entries = [
-        F.struct(F.lit(i).alias("_ord"), F.lit(label).alias(name), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("value"))
+        f"struct(coalesce(cast({c} AS DOUBLE), 0D) AS value, {i} AS place, '{label}' AS {name})"
         for i, (label, c) in enumerate(zip(labels, columns))
     ]
-    return profiles.select(*keys, F.inline(F.array(*entries)))
+    return F.expr(f"array({', '.join(entries)})")
 
 
-def _ranked(bars: DataFrame, keys: list[str], name: str) -> DataFrame:
-    """Bars with their place by falling value; the five bars of a chart are ranked in one array."""
-    entry = F.struct((-F.col("value")).alias("_down"), *[c for c in bars.columns if c not in keys])
-    charts = bars.groupBy(*keys).agg(F.sort_array(F.collect_list(entry)).alias("_bars"))
-    placed = charts.select(*keys, F.posexplode("_bars").alias("_place", "_bar"))
-    return placed.select(*keys, "_bar.*", (F.col("_place") + 1).alias("rank")).drop("_down", "_ord")
+def _ranked(profiles: DataFrame, keys: list[str], bars: Column, name: str) -> DataFrame:
+    """Bars with their rank by falling value. They are ranked inside their row, without a shuffle."""
+    falling = F.array_sort(
+        F.transform(bars, lambda b: F.struct((-b["value"]).alias("down"), b["place"].alias("place"), b[name].alias(name), b["value"].alias("value")))
+    )
+    placed = profiles.select(*keys, F.posexplode(falling).alias("_place", "_bar"))
+    return placed.select(*keys, f"_bar.{name}", "_bar.value", (F.col("_place") + 1).alias("rank"))
 
 
 def chart_age(profiles: DataFrame, keys: list[str]) -> DataFrame:
     """Age bars per profile with label and rank."""
-    bars = _bars(profiles, keys, "bucket", AGE_BANDS, AGE_COLS)
-    return _ranked(bars, keys, "bucket").withColumn("label", percent_label("value"))
+    ranked = _ranked(profiles, keys, _bars("bucket", AGE_BANDS, AGE_COLS), "bucket")
+    return ranked.withColumn("label", percent_label("value"))
 
 
 def chart_audience(profiles: DataFrame, keys: list[str]) -> DataFrame:
     """Audience bars of at least 0.60 per profile with display name, band, label and rank."""
-    bars = _bars(profiles, keys, "metric", AUDIENCES, AUD_COLS).filter(F.col("value") >= CHART_FLOOR)
-    ranked = _ranked(bars, keys, "metric")
+    strong = F.filter(_bars("metric", AUDIENCES, AUD_COLS), lambda b: b["value"] >= CHART_FLOOR)
     names = F.create_map(*[F.lit(v) for pair in CHART_LABELS.items() for v in pair])
-    return ranked.withColumns(
+    return _ranked(profiles, keys, strong, "metric").withColumns(
         {"metric": names[F.col("metric")], "band": strength_band("value"), "label": percent_label("value")}
     )
 
@@ -410,9 +411,9 @@ def chart_audience(profiles: DataFrame, keys: list[str]) -> DataFrame:
 def profile_extract(profiles: DataFrame, keys: list[str], part: str) -> DataFrame:
     """The two-column extract of each profile: age bars (bucket, value) or audience bars (metric,
     value)."""
-    if part == "age":
-        return _bars(profiles, keys, "bucket", AGE_BANDS, AGE_COLS).drop("_ord")
-    return _bars(profiles, keys, "metric", AUDIENCES, AUD_COLS).drop("_ord")
+    age = part == "age"
+    bars = _bars("bucket", AGE_BANDS, AGE_COLS) if age else _bars("metric", AUDIENCES, AUD_COLS)
+    return profiles.select(*keys, F.inline(bars)).drop("place")
 
 
 def write_extracts(profiles: DataFrame, keys: list[str], folder: str) -> None:
