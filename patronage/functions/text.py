@@ -86,11 +86,11 @@ def parse_ratio(column: str) -> Column:
     range give NULL. The steps are nested one-element transforms, so that each is worked out once
     however often the next one mentions it.
     """
-    ends = f"r'^[{BLANK}]+|[{BLANK}]+$'"
+    blanks = "'" + "".join(f"\\u{ord(c):04x}" for c in BLANKS) + "'"
     missing = ", ".join(f"'{w}'" for w in NO_RATIO)
     steps = [
-        ("bare", f"replace(regexp_replace(cast({column} AS STRING), {ends}, ''), ',', '')"),
-        ("digits", f"if(bare IN ({missing}), NULL, regexp_replace(regexp_replace(bare, '%$', ''), {ends}, ''))"),
+        ("bare", f"replace(btrim(cast({column} AS STRING), {blanks}), ',', '')"),
+        ("digits", f"if(bare IN ({missing}), NULL, btrim(regexp_replace(bare, '%$', ''), {blanks}))"),
         ("value", f"if(digits RLIKE r'{NUMBER}', try_cast(replace(digits, '_', '') AS DOUBLE), NULL)"),
         ("part", "if(value > 1, value / 100D, value)"),
         ("ratio", f"if(part BETWEEN 0 AND 1, {half_even_sql('part', 4)}, NULL)"),

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 # The columns that name a sector or an area.
 NAME_COLUMNS = [
     ("sector", "HPSN_MCT_ZCD_NM"),
@@ -58,10 +60,11 @@ def name_list(stg_store: DataFrame) -> DataFrame:
 def longest_names(texts: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
     """Per text and kind of name the longest name the text contains; equal lengths in name order.
 
-    ``names`` has distinct rows (kind, name) and is read twice. Texts without any match are left
-    out.
+    ``names`` has distinct rows (kind, name). They are written once, because they are read twice and
+    so that Spark broadcasts them by their real size and otherwise shuffles. Texts without any match
+    are left out.
     """
-    known = names.filter(F.col("name") != "")
+    known = cut_lineage(names.filter(F.col("name") != ""))
     pieces = _pieces(texts, F.col(text), _lengths(known, F.col("name")), [key])
     hits = pieces.join(known, F.col("_piece") == F.col("name"))
     first = F.min_by("name", F.struct(-F.length("name"), F.col("name")))

@@ -87,11 +87,10 @@ def parse_requests(requests: DataFrame, stg_store: DataFrame) -> DataFrame:
         }
     ).withColumn("text_norm", normalize_text("user_input"))
     wanted = F.col("per_store") & (F.coalesce("mct_id", F.lit("")) == "")
-    # equal texts are searched once, under a short id; written tables show Spark their size
+    # equal texts are searched once, under a short id
     texts = raw.filter(wanted).select("text_norm").distinct()
     texts = cut_lineage(texts.withColumn("text_id", F.monotonically_increasing_id()))
-    names = cut_lineage(name_list(stg_store))
-    found = longest_names(texts, "text_id", "text_norm", names)
+    found = longest_names(texts, "text_id", "text_norm", name_list(stg_store))
     found = found.groupBy("text_id").agg(
         F.max(F.when(F.col("kind") == "area", F.col("name"))).alias("found_area"),
         F.max(F.when(F.col("kind") == "sector", F.col("name"))).alias("found_sector"),

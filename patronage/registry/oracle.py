@@ -575,6 +575,12 @@ ORACLE: dict[str, str] = {
     "store_brief": _brief("brief_store"),
     "group_brief": _brief("brief_group"),
     "cluster_brief": f"SELECT * EXCLUDE (request_id, context) FROM ({_brief('brief_cluster')})",
+    "brief_bundles": f"""
+        SELECT * EXCLUDE (request_id), '{VERSION}' AS version, NULL::VARCHAR AS system_prompt FROM (
+          {_brief("brief_store")} UNION ALL {_brief("brief_group")} UNION ALL {_brief("brief_cluster")}
+          WHERE EXISTS (SELECT 1 FROM parsed p ANTI JOIN newest n ON n.mct_id = p.mct_id
+            WHERE p.area IS NULL AND p.sector IS NULL))
+        QUALIFY row_number() OVER (PARTITION BY mct_id, ym ORDER BY request_id DESC) = 1""",
     "chart_age": """
         SELECT mct_id, ym, bucket, value, rank::BIGINT AS rank, round_even(value / 0.01, 0)::INT::VARCHAR || '%' AS label
         FROM (SELECT *, row_number() OVER (PARTITION BY mct_id, ym ORDER BY value DESC, o) AS rank FROM ("""

@@ -598,17 +598,24 @@ def _sources(spark, sf_dir) -> briefs.Sources:
     )
 
 
-def _shown(df: DataFrame) -> DataFrame:
+def _listed(df: DataFrame, *keys: str) -> DataFrame:
     """Brief rows with the nested parts as text."""
+
     def listing(items: str, name: str):
-        return F.array_join(F.transform(items, lambda e: F.concat(e[name], F.lit(":"), F.format_string("%.4f", e["affinity"]))), ",")
+        text = f"concat(e.{name}, ':', format_string('%.4f', e.affinity))"
+        return F.expr(f"array_join(transform({items}, e -> {text}), ',')")
 
     return df.select(
-        "request_id", "mct_id", "ym", "k", "cluster_id", "title", "user_prompt", "rule_text", "dom_age",
+        *keys,
+        *["k", "cluster_id", "title", "user_prompt", "rule_text", "dom_age"],
         listing("rec_channels", "channel").alias("channels"),
         listing("rec_keywords", "keyword").alias("keywords"),
         F.array_join("context_lines", "|").alias("context"),
-    )
+    )
+
+
+def _shown(df: DataFrame) -> DataFrame:
+    return _listed(df, "request_id", "mct_id", "ym")
 
 
 @query
@@ -644,6 +651,20 @@ def brief_json(spark, sf_dir):
     return briefs.bundles(made, VERSION)
 
 
+@query
+def brief_bundles(spark, sf_dir):
+    """The stored JSON rows of all requests, read back field by field."""
+    sources = _sources(spark, sf_dir)
+    stored = briefs.bundles(briefs.answer(star.requests(spark, sf_dir), sources, RUN_TS), VERSION)
+    item = "struct<channel:string,keyword:string,affinity:double>"
+    fields = (
+        "k int, cluster_id int, title string, system_prompt string, user_prompt string, rule_text string,"
+        f" dom_age string, rec_channels array<{item}>, rec_keywords array<{item}>, context_lines array<string>"
+    )
+    read = stored.select("mct_id", "ym", "version", F.from_json("bundle", fields).alias("_b")).select("*", "_b.*").drop("_b")
+    return _listed(read, "mct_id", "ym", "version", "system_prompt")
+
+
 def _profiles(spark, sf_dir):
     return clustering.pivot_profile(_given_profile(_features(spark, sf_dir)), FEATURES)
 
