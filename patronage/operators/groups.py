@@ -65,11 +65,10 @@ def matched_places(params: DataFrame, places: DataFrame) -> DataFrame:
         .select(*PARAMS, "place")
     )
     # at most one parameter pair is without any condition; it takes every place
-    anything = asked.filter(F.col("area").isNull() & F.col("sector").isNull())
-    everything = anything.select(*PARAMS, F.lit(1).alias("_all")).join(
-        where.select(place, F.lit(1).alias("_all")), "_all"
-    )
-    return only_area.unionByName(both).unionByName(only_sector).unionByName(everything.select(*PARAMS, "place"))
+    anything = asked.agg(F.bool_or(F.col("area").isNull() & F.col("sector").isNull())).scalar()
+    none = F.lit(None).cast("string")
+    everything = where.filter(anything).select(none.alias("area"), none.alias("sector"), place)
+    return only_area.unionByName(both).unionByName(only_sector).unionByName(everything)
 
 
 def group_profiles(params: DataFrame, sums: DataFrame) -> DataFrame:

@@ -331,7 +331,7 @@ def answer(
 ) -> DataFrame:
     """The briefs of a batch of requests; the cluster briefs appear once if any request falls back
     to them."""
-    routed = route(parse_requests(requests, sources.stg_store), sources)
+    routed = cut_lineage(route(parse_requests(requests, sources.stg_store), sources))
     stores = store_briefs(routed.filter(F.col("branch") == "store"), sources, top_media, top_kw)
     groups = group_briefs(routed.filter(F.col("branch") == "group"), sources, run_ts, top_media, top_kw)
     needed = routed.agg(F.bool_or(F.col("branch") == "cluster")).scalar()

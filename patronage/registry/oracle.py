@@ -190,7 +190,7 @@ _CTES: dict[str, str] = {
     "media_by_age": f"SELECT p_brand AS channel, {_by_age_sql} FROM part GROUP BY p_brand",
     "video_by_age": f"""
         SELECT CASE WHEN p_type = 'PROMO' THEN p_brand ELSE p_type || ' video' END AS platform, {_by_age_sql}
-        FROM part WHERE p_retailprice > 950 GROUP BY 1""",
+        FROM part GROUP BY 1""",
     "video_transposed": """
         SELECT age, ages.o AS row_ord, k AS channel, floor(share) AS value FROM (
           SELECT CASE WHEN p_size <= 8 THEN '10대' WHEN p_size <= 16 THEN '20대' WHEN p_size <= 24 THEN '30대'
@@ -209,7 +209,7 @@ _CTES: dict[str, str] = {
         SELECT {_span_bucket} AS age_group, channel, affinity FROM (
           SELECT {_decade} AS decade, lower(p_brand) AS channel, {_percent.format('p_size')} AS affinity FROM part
           UNION ALL
-          SELECT {_decade}, lower(p_type), {_percent.format('(p_size + 0.5)')} FROM part WHERE p_retailprice >= 920)""",
+          SELECT {_decade}, lower(p_type), {_percent.format('(p_size + 0.5)')} FROM part WHERE NOT starts_with(p_name, 'small'))""",
     "interest_cells": f"""
         SELECT {_span_bucket} AS age_group, keyword, affinity FROM (
           SELECT {_decade} AS decade, replace(p_name, ' ', '') AS keyword, {_percent.format('p_size')} AS affinity FROM part

@@ -26,6 +26,9 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
+_local: list[str] = []
+
+
 def _setting(spark: SparkSession, key: str) -> str | None:
     """A setting of the session, or None where it is unset or empty."""
     return spark.conf.get(key, "") or None
@@ -40,14 +43,33 @@ def shared_dir(spark: SparkSession) -> str:
     configured = _setting(spark, "spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if _local:
+        return _local[0]
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="patronage-")
+    _local.append(tempfile.mkdtemp(prefix="patronage-"))
+    return _local[0]
+
+
+_scratch: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
-    return f"{shared_dir(spark)}/patronage-{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/patronage-{name}-{uuid.uuid4().hex}"
+    _scratch.append(path)
+    return path
+
+
+def release(spark: SparkSession) -> int:
+    """Delete the scratch folders this process wrote; for the end of a run, when no frame that reads
+    them is needed any more. Returns their number."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs, spark._jsc.hadoopConfiguration()
+    done = 0
+    while _scratch:
+        path = hadoop.Path(_scratch.pop())
+        done += path.getFileSystem(conf).delete(path, True)
+    return done
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

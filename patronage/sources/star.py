@@ -143,7 +143,7 @@ def media_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def video_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video platforms; the brands in it clash with media channels."""
-    part = read_table(spark, sf_dir, "part").filter(F.col("p_retailprice") > 950)
+    part = read_table(spark, sf_dir, "part")
     kind = F.when(F.col("p_type") == "PROMO", F.col("p_brand")).otherwise(F.concat("p_type", F.lit(" video")))
     table = part.groupBy(kind.alias("platform")).agg(*[_age_share(a, b, n) for n, a, b in _BY_AGE])
     return table.withColumn("row_ord", F.col("platform"))
@@ -173,7 +173,7 @@ def media_span(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_brand").alias("매체1"),
         size.alias("접촉률1"),
         F.col("p_type").alias("매체2"),
-        F.when(F.col("p_retailprice") < 920, "-").otherwise(F.concat(size, F.lit(".5%"))).alias("접촉률2"),
+        F.when(F.col("p_name").startswith("small"), "-").otherwise(F.concat(size, F.lit(".5%"))).alias("접촉률2"),
     )
 
 

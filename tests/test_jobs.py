@@ -17,6 +17,19 @@ from patronage.sources.tables import Tables
 EARLY, LATE = dt.datetime(2025, 1, 1), dt.datetime(2025, 2, 1)
 
 
+def test_scratch_is_shared_and_released(spark, monkeypatch):
+    from patronage import session
+
+    shared = session.shared_dir(spark)
+    assert session.shared_dir(spark) == shared
+    monkeypatch.setattr(session, "_scratch", [])
+    kept = session.cut_lineage(spark.range(10))
+    assert kept.count() == 10 and session._scratch[0].startswith(shared)
+    assert session.release(spark) == 1 and session._scratch == []
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist|FAILED_READ_FILE"):
+        kept.count()
+
+
 def test_missing_words_are_those_of_pandas():
     from pandas._libs.parsers import STR_NA_VALUES
 
