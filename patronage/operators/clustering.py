@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
@@ -129,8 +131,14 @@ def choose_segments(
     """
     raw = silhouette.numbered(distinct_points(df, features), POINT_ID)
     scaler = fit_scaler(raw, features)
-    points = raw.select(POINT_ID, WEIGHT, scaler.vector())
-    models = {k: fit_kmeans(points, k, seed) for k in k_list}
+    points = raw.select(POINT_ID, WEIGHT, scaler.vector()).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        # the fits share one cached input, and small ones leave slots for each other
+        fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(points, k, seed))
+        with ThreadPool(len(k_list)) as pool:
+            models = dict(zip(k_list, pool.map(fit, k_list)))
+    finally:
+        points.unpersist()
 
     labelled = raw.select(POINT_ID, WEIGHT, *scaler.columns(), scaler.vector())
     names = {k: f"label_{k}" for k in k_list}

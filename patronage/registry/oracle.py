@@ -529,7 +529,7 @@ ORACLE: dict[str, str] = {
     "top_keywords": "SELECT version, age_group, keyword, affinity, rank::BIGINT AS rank FROM keywords_ranked",
     "standardize": "SELECT mct_id, ym, "
     + ", ".join(
-        f"round(({f} - avg({f}) OVER ()) / CASE WHEN min({f}) OVER () = max({f}) OVER () THEN 1 ELSE stddev_pop({f}) OVER () END, 6) AS {f}"
+        f"round(({f} - avg({f}) OVER ()) / CASE WHEN min({f}) OVER () = max({f}) OVER () THEN 1 ELSE stddev_pop({f}) OVER () END, 6) + 0 AS {f}"
         for f in FEATURES
     )
     + " FROM filled",

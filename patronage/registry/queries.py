@@ -375,7 +375,7 @@ def top_keywords(spark, sf_dir):
 @query
 def standardize(spark, sf_dir):
     scaled = clustering.standardize(_features(spark, sf_dir), FEATURES, ["mct_id", "ym"])
-    return scaled.withColumns({f: F.round(f, 6) for f in FEATURES})
+    return scaled.withColumns({f: F.expr(f"round({f}, 6) + 0D") for f in FEATURES})
 
 
 def _centers(points: DataFrame) -> DataFrame:
@@ -438,25 +438,26 @@ def _given_clusters(rows: DataFrame) -> DataFrame:
     )
 
 
-def _labelled_rows(rows: DataFrame) -> DataFrame:
-    return explain.labelled_rows(_given_clusters(rows), rows)
+def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature rows with the given label, written once: every user of them reads them twice."""
+    rows = cut_lineage(_features(spark, sf_dir))
+    return cut_lineage(explain.labelled_rows(_given_clusters(rows), rows))
 
 
-def _given_profile(rows: DataFrame) -> DataFrame:
-    """Profiles of two runs of the same k; the earlier one saw rows without performance data only."""
-    labelled = _labelled_rows(rows)
+def _given_profile(labelled: DataFrame) -> DataFrame:
+    """Profiles of two runs of the same k; the earlier one saw rows with neither flag only."""
     now = clustering.cluster_profile(labelled, FEATURES)
     before = clustering.cluster_profile(labelled.filter((F.col("cancel_high") == 0) & (F.col("delivery_high") == 0)), FEATURES)
     stamped = [p.withColumn("created_at", F.lit(ts)) for p, ts in ((now, RUN_TS), (before, EARLIER_TS))]
     return stamped[0].unionByName(stamped[1]).withColumn("k", F.lit(5))
 
 
-def _given_rules(rows: DataFrame) -> DataFrame:
+def _given_rules(labelled: DataFrame) -> DataFrame:
     """One rule per strongest audience and cancel flag, with data-derived support and precision."""
     leaf = F.concat_ws(
         " ", features.first_largest(AUDIENCES, AUD_COLS), F.col("cancel_high").cast("int").cast("string")
     )
-    stats = tree_rules.leaf_stats(_labelled_rows(rows).withColumn("leaf", leaf), "leaf", "cluster_id")
+    stats = tree_rules.leaf_stats(labelled.withColumn("leaf", leaf), "leaf", "cluster_id")
     return stats.select(
         F.dense_rank().over(W.orderBy("leaf")).cast("long").alias("rule_id"),
         F.lit(5).alias("k"),
@@ -470,13 +471,13 @@ def _given_rules(rows: DataFrame) -> DataFrame:
 
 @query
 def cluster_profile(spark, sf_dir):
-    profile = clustering.cluster_profile(_labelled_rows(_features(spark, sf_dir)), FEATURES)
+    profile = clustering.cluster_profile(_labelled(spark, sf_dir), FEATURES)
     return profile.withColumn("std", F.round("std", 6))
 
 
 @query
 def profile_pivot(spark, sf_dir):
-    return clustering.pivot_profile(_given_profile(_features(spark, sf_dir)), FEATURES)
+    return clustering.pivot_profile(_given_profile(_labelled(spark, sf_dir)), FEATURES)
 
 
 @query
@@ -490,7 +491,7 @@ def latest_k(spark, sf_dir):
 
 @query
 def stratified_counts(spark, sf_dir):
-    rows = cut_lineage(_labelled_rows(_features(spark, sf_dir)))
+    rows = _labelled(spark, sf_dir)
     train, test = tree_rules.stratified_split(rows, "cluster_id", ["mct_id", "ym"])
     parts = train.select("cluster_id", F.lit(0).alias("t")).unionByName(test.select("cluster_id", F.lit(1).alias("t")))
     return parts.groupBy("cluster_id").agg(F.count_if(F.col("t") == 0).alias("n_train"), F.sum("t").alias("n_test"))
@@ -507,7 +508,7 @@ _PATHS = [
 
 def _rule_rows(spark, sf_dir):
     rules = spark.createDataFrame(_PATHS, f"rule_id int, path {tree_rules.PATH_TYPE}")
-    return tree_rules.matching_rules(_labelled_rows(_features(spark, sf_dir)), rules, FEATURES)
+    return tree_rules.matching_rules(_labelled(spark, sf_dir), rules, FEATURES)
 
 
 @query
@@ -522,7 +523,7 @@ def rule_stats(spark, sf_dir):
 
 @query
 def best_rule(spark, sf_dir):
-    return ranking.best_rules(_given_rules(_features(spark, sf_dir)))
+    return ranking.best_rules(_given_rules(_labelled(spark, sf_dir)))
 
 
 @query
@@ -585,13 +586,15 @@ def representative_cluster(spark, sf_dir):
 def _sources(spark, sf_dir) -> briefs.Sources:
     """The tables behind the briefs, written once and then read, as in the stored pipeline."""
     rows = cut_lineage(_features(spark, sf_dir))
+    clusters = cut_lineage(_given_clusters(rows))
+    labelled = cut_lineage(explain.labelled_rows(clusters, rows))
     media, keywords = _affinity(spark, sf_dir)
     return briefs.Sources(
         features=rows,
         stg_store=star.stg_store(spark, sf_dir),
-        clusters=cut_lineage(_given_clusters(rows)),
-        profile=cut_lineage(_given_profile(rows)),
-        rules=cut_lineage(_given_rules(rows)),
+        clusters=clusters,
+        profile=cut_lineage(_given_profile(labelled)),
+        rules=cut_lineage(_given_rules(labelled)),
         media=cut_lineage(media),
         keywords=cut_lineage(keywords),
         version=VERSION,
@@ -666,7 +669,7 @@ def brief_bundles(spark, sf_dir):
 
 
 def _profiles(spark, sf_dir):
-    return clustering.pivot_profile(_given_profile(_features(spark, sf_dir)), FEATURES)
+    return clustering.pivot_profile(_given_profile(_labelled(spark, sf_dir)), FEATURES)
 
 
 @query

@@ -55,7 +55,12 @@ if __name__ == "__main__":
 
     sf_dir = sys.argv[1]
     names = sys.argv[2:] or list(entry.queries())
-    spark = build_session("local[8]", 8, spark__driver__memory="12g", spark__ui__enabled="false")
+    if os.environ.get("PLAIN_SESSION"):  # what a caller without any of our settings has
+        from pyspark.sql import SparkSession
+
+        spark = SparkSession.builder.master("local[8]").config("spark.driver.memory", "8g").getOrCreate()
+    else:
+        spark = build_session("local[8]", 8, spark__driver__memory="12g", spark__ui__enabled="false")
     spark.sparkContext.setLogLevel("ERROR")
     con, queries, oracles = duck(sf_dir), entry.queries(), entry.oracle_sql()
     for name in names:
