@@ -38,8 +38,8 @@ class Scaler:
 
 
 def fill_missing(df: DataFrame, features: list[str]) -> DataFrame:
-    """Features as doubles, missing ones as 0."""
-    return df.withColumns({f: F.expr(f"coalesce(cast({f} AS DOUBLE), 0D)") for f in features})
+    """Features as doubles, missing ones (NULL or NaN) as 0."""
+    return df.withColumns({f: F.expr(f"coalesce(nanvl(cast({f} AS DOUBLE), 0D), 0D)") for f in features})
 
 
 def distinct_points(df: DataFrame, features: list[str]) -> DataFrame:

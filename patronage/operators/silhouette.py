@@ -71,9 +71,9 @@ def euclidean(
     sizes = cluster_sizes(points, labels, weight)
     layout = _layout(sizes)
     total = points.count()
-    # at least as many tile pairs as there are task slots, and never a tile beyond the set size
+    # a few tile pairs per task slot, and never a tile beyond the set size
     slots = points.sparkSession.sparkContext.defaultParallelism
-    tiles = max(-(-total // tile_points), int(np.ceil(np.sqrt(slots))))
+    tiles = max(-(-total // tile_points), int(np.ceil(np.sqrt(4 * slots))))
     sums = [f"d_{n}_{c}" for n in labels for c in layout[n][0]]
 
     base = points.select(

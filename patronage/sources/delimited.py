@@ -18,7 +18,8 @@ def detect_charset(spark: SparkSession, path: str) -> str:
     """UTF-8 if every line decodes as such, else cp949 if every line does, else an error.
 
     Both checks run as Spark jobs over the whole input, since a wrong charset would not fail later
-    on but give replacement characters.
+    on but give replacement characters. Finding cp949 leaves the session open to the JVM's charsets,
+    without which Spark refuses to read it.
     """
     lines = spark.read.text(path)
     if lines.agg(F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))).first()[0]:

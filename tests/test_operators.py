@@ -282,6 +282,15 @@ def test_segments(spark):
     assert linear.measure == "squared" and -1 <= linear.silhouette <= 1
 
 
+def test_missing_features_count_as_zero(spark):
+    df = spark.createDataFrame([(None, 1.0), (float("nan"), 2.0), (0.5, 3.0)], "a double, b double")
+    assert [r["a"] for r in clustering.fill_missing(df, ["a"]).collect()] == [0.0, 0.0, 0.5]
+    scaler = clustering.fit_scaler(spark.createDataFrame([(-2.5e-7, 4.0), (-1.5e-7, 4.0)], "a double, b double"), ["a", "b"], None)
+    assert np.allclose(scaler.means, [-2e-7, 4.0]) and np.allclose(scaler.deviations, [5e-8, 1.0])
+    got = spark.createDataFrame([(-1.5e-7, 5.0)], "a double, b double").select(*scaler.columns()).first()
+    assert np.allclose(list(got), [1.0, 1.0])
+
+
 # --- rules ------------------------------------------------------------------------------------------
 
 
