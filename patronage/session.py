@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,29 +25,16 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return builder.getOrCreate()
 
 
-_local: list[str] = []
-
-
 def _setting(spark: SparkSession, key: str) -> str | None:
     """A setting of the session, or None where it is unset or empty."""
     return spark.conf.get(key, "") or None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor can reach: the one the session names in spark.checkpoint.dir.
-
-    Only a local session without that setting gets a temporary folder, since there driver and
-    executors are one process.
-    """
+    """The folder every executor can reach: the one the session names in spark.checkpoint.dir, or
+    else a folder below the warehouse, which every session has and a cluster shares."""
     configured = _setting(spark, "spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    if configured:
-        return configured.rstrip("/")
-    if _local:
-        return _local[0]
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    _local.append(tempfile.mkdtemp(prefix="patronage-"))
-    return _local[0]
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch").rstrip("/")
 
 
 _scratch: list[str] = []
