@@ -20,7 +20,6 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,21 +113,18 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray,
 
 
 def _pack_group(capacity: int, turn: int):
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["length", "doc_id", "piece", "ids_crc32"], kind="stable", ignore_index=True)
-        lengths = rows["length"].to_numpy(np.int64)
+    def pack(rows: pa.Table) -> pa.Table:
+        group = rows["part"][0].as_py()
+        rows = rows.drop_columns("part").sort_by([(c, "ascending") for c in rows.column_names if c != "part"])
+        lengths = rows["length"].to_numpy()
         sequence, offset, room = best_fit_decreasing(lengths, capacity)
-        bound = lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
-        group = int(rows["part"].iloc[0])
-        left, gap = np.array(room, np.int64), len(room) - bound
+        left = np.array(room, np.int64)
+        gap = len(room) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
         # without a gap only the emptiest sequence can be of use to other groups
         released = (left > 0) & ((gap > 0) | (left == left.max()))
-        return rows.drop(columns="part").assign(
-            # 6 bits for the round, 33 for the group, 24 for the sequence
-            sequence_id=(turn << 57) + (group << 24) + sequence,
-            offset=offset,
-            released=released[sequence],
-        )
+        # 6 bits for the round, 33 for the group, 24 for the sequence
+        rows = rows.append_column("sequence_id", pa.array((turn << 57) + (group << 24) + sequence))
+        return rows.append_column("offset", pa.array(offset)).append_column("released", pa.array(released[sequence]))
 
     return pack
 
@@ -139,7 +135,7 @@ def _round(items: DataFrame, groups: int, capacity: int, turn: int) -> DataFrame
     keys = [*items.columns, F.monotonically_increasing_id(), F.lit(turn)]
     dealt = items.withColumn("part", F.pmod(F.xxhash64(*keys), F.lit(groups)))
     schema = f"{PACKED}, released boolean"
-    return dealt.groupBy("part").applyInPandas(_pack_group(capacity, turn), schema)
+    return dealt.groupBy("part").applyInArrow(_pack_group(capacity, turn), schema)
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY, group_items: int = GROUP_ITEMS) -> DataFrame:
