@@ -30,7 +30,8 @@ from pyspark.sql import types as T
 
 from patronage.llm.tokens import PieceCache, gather, list_sizes, slices, sums
 
-MOST_NODES = 1_500_000
+MOST_NODES = 300_000
+MOST_PAIRS = 300_000
 
 #: How the vocabulary's file cuts text into words, and the white space it knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -94,7 +95,7 @@ class Vocabulary:
     def together(self, left: int, right: int) -> bool:
         known = self._together.get((left, right))
         if known is None:
-            if len(self._together) > 2_000_000:
+            if len(self._together) > MOST_PAIRS:
                 self._together.clear()
             known = self._together[left, right] = self._apart(left, right, len(self.rank))
         return known
@@ -115,12 +116,13 @@ class Trie:
     def encode(self, words: list[bytes]) -> dict[bytes, list[int]]:
         """Ids of distinct words. In sorted order the walk over them is the depth-first walk over
         the trie, and the path is kept from one word to the next."""
-        if len(self._last) > MOST_NODES:
-            self._clear()
         child, last, before = self._child, self._last, self._before
         id_of, together, longest = self._vocabulary.id_of, self._vocabulary.together, self._vocabulary.longest
         out = {}
         for word in sorted(words):
+            if len(last) > MOST_NODES:
+                self._clear()
+                child, last, before = self._child, self._last, self._before
             path, node = [0], 0
             for depth, byte in enumerate(word, 1):
                 key = node * 256 + byte

@@ -18,9 +18,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MOST_PIECES = 800_000
+MOST_PIECES = 400_000
 #: Bytes of text that are worked on at once inside a task.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 4_000_000
 #: Pieces that go to the tokenizer in one call.
 JOINED = 64
 
