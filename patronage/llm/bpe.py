@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -36,8 +37,12 @@ MOST_PAIRS = 300_000
 #: How the vocabulary's file cuts text into words, and the white space it knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SPACES = r"\x{09}-\x{0d}\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-#: Marks that can part the pieces of a slice; the first one that no text holds is taken.
-MARKS = ["\x00", "\x01\x02", "\ue000\ue001", "\ufdd0\ufdd1\ufdd2"]
+
+
+def marks() -> Iterator[str]:
+    """Strings that can part the pieces of a slice; the first one that no text holds is taken."""
+    yield "\x00"
+    yield from (f"\ue000{n}\ue001" for n in count())
 
 
 def _byte_letters() -> dict[str, int]:
@@ -165,7 +170,7 @@ class Cutter:
         )
 
     def __call__(self, texts: pa.Array) -> pa.Array:
-        mark = next(m for m in MARKS if not pc.any(pc.match_substring(texts, m)).as_py())
+        mark = next(m for m in marks() if not pc.any(pc.match_substring(texts, m)).as_py())
         odd = pc.match_substring_regex(texts, self._odd)
         for special in self._special:
             odd = pc.or_(odd, pc.match_substring(texts, special))

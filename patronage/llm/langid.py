@@ -8,8 +8,8 @@ gets the language with the lowest cross-entropy per symbol.
 The models are fitted on at most `FIT` labelled documents a language, and calibrated on at most
 `CALIBRATE` others, both in the order of a hash: whole documents, bounded in number. Calibration
 chooses the scale that turns cross-entropies into a probability (the score), and what cross-entropy a
-text of n symbols may have before it is rejected: the language's mean and `DEVIATIONS` deviations of
-texts of that length.
+text of n symbols may have before it is rejected: in deviations of texts of that length from the
+language's mean, `REACH` times as far as any labelled document of the calibration.
 
 Words are scored once for each distinct piece of text between white space in a task.
 
@@ -41,7 +41,8 @@ from patronage.session import cut_lineage
 ORDER = 5
 FIT = 1000
 CALIBRATE = 500
-DEVIATIONS = 5.0
+#: A text is rejected beyond so many times the largest deviation of the calibration's documents.
+REACH = 1.5
 UNKNOWN = "und"
 BEGIN, END = 2, 3
 MOST_PIECES = 400_000
@@ -228,6 +229,11 @@ class LanguageModel:
     mean: np.ndarray | None = None
     spread: np.ndarray | None = None  # between texts
     noise: np.ndarray | None = None  # of one symbol
+    reach: float = np.inf  # deviations that are accepted
+
+    def deviations(self, entropy: np.ndarray, of: np.ndarray, size: np.ndarray) -> np.ndarray:
+        usual = np.sqrt(self.spread[of] ** 2 + self.noise[of] ** 2 / np.maximum(size, 1))
+        return (entropy - self.mean[of]) / np.maximum(usual, 1e-3)
 
     def judge(self, sums: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(language's number or -1, score, accepted) of texts by their sums."""
@@ -238,10 +244,8 @@ class LanguageModel:
         best = entropy.argmin(axis=1)
         least = entropy.min(axis=1)
         score = 1 / np.exp(-self.scale * (entropy - least[:, None])).sum(axis=1)
-        limit = self.mean[best] + DEVIATIONS * np.sqrt(
-            self.spread[best] ** 2 + self.noise[best] ** 2 / np.maximum(size, 1)
-        )
-        return np.where(size > 0, best, -1), np.where(size > 0, score, 0.0), (size > 0) & (least <= limit)
+        near = self.deviations(least, best, size) <= self.reach
+        return np.where(size > 0, best, -1), np.where(size > 0, score, 0.0), (size > 0) & near
 
 
 def learnable(docs: DataFrame) -> Column:
@@ -329,7 +333,8 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
 
     if len(own):
         model.scale = min(np.geomspace(0.25, 64, 33), key=loss)
-    model.mean, model.spread, model.noise = (np.full(n, v) for v in (np.inf, 0.0, 0.0))
+    model.reach = 0.0 if len(own) else np.inf
+    model.mean, model.spread, model.noise = (np.zeros(n) for _ in range(3))
     for i in range(n):
         mine = sums[own == i]
         if not len(mine):
@@ -341,6 +346,7 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
         model.mean[i], model.noise[i] = mean, np.sqrt(noise)
         # what texts differ by beyond the noise of their symbols
         model.spread[i] = np.sqrt(max(float(((each - mean) ** 2 - noise / mine[:, n]).mean()), 0.0))
+        model.reach = REACH * max(model.reach / REACH, float(model.deviations(each, np.full(len(mine), i), mine[:, n]).max()))
 
 
 @lru_cache(maxsize=1)
