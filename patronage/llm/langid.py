@@ -43,6 +43,8 @@ FIT = 1000
 CALIBRATE = 500
 #: A text is rejected beyond so many times the largest deviation of the calibration's documents.
 REACH = 1.5
+#: ... and never within so many deviations, since few documents show few of the odd ones.
+LEAST_REACH = 8.0
 UNKNOWN = "und"
 BEGIN, END = 2, 3
 MOST_PIECES = 400_000
@@ -333,7 +335,7 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
 
     if len(own):
         model.scale = min(np.geomspace(0.25, 64, 33), key=loss)
-    model.reach = 0.0 if len(own) else np.inf
+    model.reach = LEAST_REACH if len(own) else np.inf
     model.mean, model.spread, model.noise = (np.zeros(n) for _ in range(3))
     for i in range(n):
         mine = sums[own == i]
@@ -346,7 +348,7 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
         model.mean[i], model.noise[i] = mean, np.sqrt(noise)
         # what texts differ by beyond the noise of their symbols
         model.spread[i] = np.sqrt(max(float(((each - mean) ** 2 - noise / mine[:, n]).mean()), 0.0))
-        model.reach = REACH * max(model.reach / REACH, float(model.deviations(each, np.full(len(mine), i), mine[:, n]).max()))
+        model.reach = max(model.reach, REACH * float(model.deviations(each, np.full(len(mine), i), mine[:, n]).max()))
 
 
 @lru_cache(maxsize=1)
