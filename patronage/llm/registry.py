@@ -6,6 +6,7 @@ import importlib
 import pkgutil
 from collections.abc import Callable
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 
 from patronage.llm import queries as modules
@@ -17,8 +18,9 @@ def _modules():
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {m.NAME: m.query for m in _modules()}
+    return {m.NAME: m.query for m in _modules()} | {"pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {m.NAME: m.SQL for m in _modules() if m.SQL}
+    found = {m.NAME: m.SQL for m in _modules()} | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return {name: sql for name, sql in found.items() if sql}
