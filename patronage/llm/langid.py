@@ -7,9 +7,10 @@ gets the language with the lowest cross-entropy per symbol.
 
 The models are fitted on at most `FIT` labelled documents a language, and calibrated on at most
 `CALIBRATE` others, both in the order of a hash: whole documents, bounded in number. Calibration
-chooses the scale that turns cross-entropies into a probability (the score), and what cross-entropy a
-text of n symbols may have before it is rejected: in deviations of texts of that length from the
-language's mean, `REACH` times as far as any labelled document of the calibration.
+chooses the scale that turns cross-entropies into a probability (the score), and when a text of n
+symbols is rejected: if its cross-entropy is further from its language's mean, in deviations of texts
+of that length, than `REACH` times any labelled document's of the calibration, and if also it is what
+labelled documents have under the best wrong model (all but the lowest `FOREIGN` of them).
 
 Words are scored once for each distinct piece of text between white space in a task.
 
@@ -45,6 +46,7 @@ CALIBRATE = 500
 REACH = 1.5
 #: ... and never within so many deviations, since few documents show few of the odd ones.
 LEAST_REACH = 8.0
+FOREIGN = 0.05
 UNKNOWN = "und"
 BEGIN, END = 2, 3
 MOST_PIECES = 400_000
@@ -232,6 +234,7 @@ class LanguageModel:
     spread: np.ndarray | None = None  # between texts
     noise: np.ndarray | None = None  # of one symbol
     reach: float = np.inf  # deviations that are accepted
+    foreign: float = -np.inf  # cross-entropy of texts in another language
 
     def deviations(self, entropy: np.ndarray, of: np.ndarray, size: np.ndarray) -> np.ndarray:
         usual = np.sqrt(self.spread[of] ** 2 + self.noise[of] ** 2 / np.maximum(size, 1))
@@ -247,6 +250,7 @@ class LanguageModel:
         least = entropy.min(axis=1)
         score = 1 / np.exp(-self.scale * (entropy - least[:, None])).sum(axis=1)
         near = self.deviations(least, best, size) <= self.reach
+        near |= least <= self.foreign + 3 * self.noise[best] / np.sqrt(np.maximum(size, 1))
         return np.where(size > 0, best, -1), np.where(size > 0, score, 0.0), (size > 0) & near
 
 
@@ -336,6 +340,10 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
     if len(own):
         model.scale = min(np.geomspace(0.25, 64, 33), key=loss)
     model.reach = LEAST_REACH if len(own) else np.inf
+    if len(own) and n > 1:
+        wrong = entropy.copy()
+        wrong[np.arange(len(own)), own] = np.inf
+        model.foreign = float(np.quantile(wrong.min(axis=1), FOREIGN))
     model.mean, model.spread, model.noise = (np.zeros(n) for _ in range(3))
     for i in range(n):
         mine = sums[own == i]
