@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from patronage.llm.frames import aside, restored
 from patronage.llm.langid import held_out
 from patronage.llm.tokens import list_sizes, slices
 from patronage.session import cut_lineage
@@ -74,8 +75,10 @@ def features(texts: pa.Array) -> np.ndarray:
     runs = np.bincount(of_byte[same], minlength=n)
     words = pc.ascii_split_whitespace(texts)
     coded = words.flatten().dictionary_encode()
-    at, number = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), list_sizes(words)
-    of = np.repeat(np.arange(n), number)
+    at = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    full = pc.not_equal(coded.dictionary, "").to_numpy(zero_copy_only=False).astype(bool)[at]  # at the ends, blanks part nothing
+    at, of = at[full], np.repeat(np.arange(n), list_sizes(words))[full]
+    number = np.bincount(of, minlength=n)
     distinct = np.bincount(np.unique(of * (len(coded.dictionary) + 1) + at) // (len(coded.dictionary) + 1), minlength=n)
     again = np.zeros(len(at), bool)
     again[1:] = (at[1:] == at[:-1]) & (of[1:] == of[:-1])
@@ -215,7 +218,8 @@ def _probability(logit: Column) -> Column:
 def score(docs: DataFrame, labels: DataFrame, names: tuple[str, ...] = ("quality", "text_score", "site", "accepted")):
     """The documents with posterior probability, the text's own, the site's posterior, and acceptance."""
     quality, own, site, accepted = names
-    docs = docs.drop(*names)
+    given = docs.drop(*names)
+    docs = aside(given, "doc_id", "text", "source", "lang")
     model = fit(docs, labels)
     narrow = docs.select("doc_id", "text", host_of(F.col("source")).alias("_host"), path_of().alias("_path"))
     judged = cut_lineage(_with_logit(narrow, model, "_logit").drop("text"))
@@ -243,7 +247,7 @@ def score(docs: DataFrame, labels: DataFrame, names: tuple[str, ...] = ("quality
     threshold = _threshold(posterior(judged), labels, quality) if model else 0.0
     rows = docs.withColumn("_host", host_of(F.col("source"))).withColumn("_path", path_of())
     out = posterior(_with_logit(rows, model, "_logit")).withColumn(accepted, F.col(quality) >= threshold)
-    return out.select(*docs.columns, *names)
+    return restored(out, given, *names)
 
 
 def _threshold(found: DataFrame, labels: DataFrame, quality: str) -> float:
@@ -257,5 +261,5 @@ def _threshold(found: DataFrame, labels: DataFrame, quality: str) -> float:
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that aren't rejected, with their own columns."""
-    names = ("_quality", "_text_score", "_site", "_accepted")
-    return score(docs, labels, names).where("_accepted").select(docs.columns)
+    given = aside(docs, "doc_id", "text", "source", "lang")
+    return restored(score(given, labels).where("accepted"), docs)

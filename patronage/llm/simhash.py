@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.components import LINKS, LinkBuffer, components
+from patronage.llm.frames import aside, restored
 from patronage.llm.tokens import slices
 from patronage.session import cut_lineage
 
@@ -209,7 +210,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     found = cut_lineage(near_duplicates(docs))
     kept = found.where("doc_id = component_id").groupBy("doc_id").count()
     kept = cut_lineage(kept.select(F.col("doc_id").alias("_kept"), (F.col("count") > 1).alias("_again")))
-    out = docs.join(kept, F.col("doc_id") == F.col("_kept"))
+    given = aside(docs, "doc_id")
+    out = given.join(kept, F.col("doc_id") == F.col("_kept"))
     if kept.where("_again").head(1):
         out = out.where("not _again").unionByName(out.where("_again").dropDuplicates(["doc_id"]))
-    return out.drop("_kept", "_again").unionByName(docs.where("doc_id is null"))
+    return restored(out, docs).unionByName(docs.where(F.col("doc_id").isNull()))
