@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.llm.tokens import PieceCache, gather, list_sizes, slices, sums
+from patronage.llm.tokens import PieceCache, byte_letters, gather, list_sizes, slices, sums
 
 MOST_NODES = 300_000
 MOST_PAIRS = 300_000
@@ -45,21 +45,13 @@ def marks() -> Iterator[str]:
     yield from (f"\ue000{n}\ue001" for n in count())
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in the vocabulary's file: printable ones for themselves,
-    the others for letters from 256 on, in order."""
-    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
-    rest = [b for b in range(256) if b not in set(shown)]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
-
-
 class Vocabulary:
     """Tokens as bytes, their merges, and which tokens can stand together."""
 
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        letters = _byte_letters()
+        letters = byte_letters()
         self.bytes_of = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}

@@ -25,7 +25,7 @@ from __future__ import annotations
 import pickle
 from collections import defaultdict
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -36,7 +36,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from patronage.llm.tokens import list_sizes, slices
+from patronage.llm.frames import aside, restored
+from patronage.llm.tokens import PieceIndex, slices
 from patronage.session import cut_lineage
 
 ORDER = 5
@@ -49,7 +50,6 @@ LEAST_REACH = 8.0
 FOREIGN = 0.05
 UNKNOWN = "und"
 BEGIN, END = 2, 3
-MOST_PIECES = 400_000
 
 _LETTERS = regex.compile(r"\p{L}+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -171,13 +171,15 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> tuple[np.
 # -- scoring
 
 
-@dataclass
 class Scorer:
     """Scores of pieces by all models, each distinct piece once."""
 
-    models: list[CharModel]
-    _known: dict[str, int] = field(default_factory=dict)
-    _sums: np.ndarray | None = None
+    def __init__(self, models: list[CharModel]):
+        self._models = models
+        self._index = PieceIndex(pc.ascii_split_whitespace, self._learn, self._forget)
+
+    def _forget(self) -> None:
+        self._sums = np.zeros((0, len(self._models) + 1))
 
     def _learn(self, fresh: list[str]) -> None:
         parted = [words_of(p) for p in fresh]
@@ -189,25 +191,16 @@ class Scorer:
         sizes = np.diff(np.append(begins, len(symbols)))
         place = np.arange(len(symbols)) - np.repeat(begins, sizes)
         of_piece = np.repeat(np.repeat(np.arange(len(fresh)), [len(ws) for ws in parted]), sizes)
-        table = np.zeros((len(fresh), len(self.models) + 1))
+        table = np.zeros((len(fresh), len(self._models) + 1))
         table[:, -1] = np.bincount(of_piece[place > 0], minlength=len(fresh))
-        for i, model in enumerate(self.models):
+        for i, model in enumerate(self._models):
             table[:, i] = -np.bincount(of_piece, weights=model.score(symbols, place), minlength=len(fresh))
-        self._known.update(zip(fresh, range(len(self._known), len(self._known) + len(fresh))))
-        self._sums = table if self._sums is None else np.concatenate([self._sums, table])
+        self._sums = np.concatenate([self._sums, table])
 
     def pieces(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Rows for all pieces (a column of nats for each model, then symbols), and the pieces of each text."""
-        if len(self._known) > MOST_PIECES:
-            self._known, self._sums = {}, None
-        cut = pc.ascii_split_whitespace(texts)
-        coded = cut.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        fresh = [p for p in distinct if p not in self._known]
-        if fresh or self._sums is None:
-            self._learn(fresh)
-        number = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
-        return self._sums[number[coded.indices.to_numpy(zero_copy_only=False)]], list_sizes(cut)
+        at, sizes = self._index.numbers(texts)
+        return self._sums[at], sizes
 
     def texts(self, texts: pa.Array) -> np.ndarray:
         """Sums over the pieces of each text."""
@@ -394,5 +387,5 @@ def held_out(doc_id: Column) -> Column:
 
 def accepted(docs: DataFrame) -> DataFrame:
     """The documents that aren't rejected, with their own columns, by models fitted on them."""
-    names = ("_lang_pred", "_lang_score", "_lang_accepted")
-    return predict(docs, fit(docs), names).where(names[2]).select(docs.columns)
+    named = aside(docs, "text")
+    return restored(predict(named, fit(docs)).where("accepted"), docs)

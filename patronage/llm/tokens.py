@@ -2,14 +2,13 @@
 
 `PieceCache` is shared by the operators on tokens. A cutter splits texts at places where the
 vocabulary joins nothing, Arrow numbers the distinct pieces of a slice, and the ids of a text are put
-together with one gather out of flat arrays. The cache is emptied when it holds `MOST_PIECES` pieces,
-which bounds a task's memory and changes no result.
+together with one gather out of flat arrays. The pieces are kept as one Arrow array and forgotten when
+there are more than `MOST_PIECES`, which bounds a task's memory and changes no result.
 """
 
 from __future__ import annotations
 
 import os
-import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 from itertools import chain
@@ -17,10 +16,11 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 
-MOST_PIECES = 400_000
+MOST_PIECES = 1_000_000
 #: Bytes of text that are worked on at once inside a task.
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 8_000_000
 #: Pieces that go to the tokenizer in one call.
 JOINED = 64
 
@@ -58,6 +58,39 @@ def list_sizes(lists: pa.Array) -> np.ndarray:
     return np.asarray(pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False), np.int64)
 
 
+class PieceIndex:
+    """Numbers of distinct pieces, kept as one Arrow array. `learn` is told of new pieces in the order of
+    their numbers, `forget` when all numbers are void."""
+
+    def __init__(
+        self,
+        cut: Callable[[pa.Array], pa.Array],
+        learn: Callable[[list[str]], None],
+        forget: Callable[[], None],
+        most: int = MOST_PIECES,
+    ):
+        self._cut, self._learn, self._forget, self._most = cut, learn, forget, most
+        self._known: pa.Array | None = None
+
+    def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The number of every piece of the texts in order, and how many pieces each text has."""
+        cut = self._cut(texts)
+        coded = cut.flatten().dictionary_encode()
+        distinct = coded.dictionary
+        if self._known is None or len(self._known) > self._most:
+            self._known = distinct.slice(0, 0)
+            self._forget()
+        place = pc.index_in(distinct, value_set=self._known)
+        number = pc.fill_null(place, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+        new = number < 0
+        if new.any():
+            fresh = distinct.filter(pa.array(new))
+            self._learn(fresh.to_pylist())
+            number[new] = len(self._known) + np.arange(len(fresh))
+            self._known = pa.concat_arrays([self._known, fresh])
+        return number[coded.indices.to_numpy(zero_copy_only=False)], list_sizes(cut)
+
+
 class PieceCache:
     """Ids of texts by the ids of their pieces.
 
@@ -65,11 +98,10 @@ class PieceCache:
     """
 
     def __init__(self, cut: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list]):
-        self._cut, self._encode = cut, encode
-        self._clear()
+        self._encode = encode
+        self._index = PieceIndex(cut, self._learn, self._forget)
 
-    def _clear(self) -> None:
-        self._known: dict[str, int] = {}
+    def _forget(self) -> None:
         self._flat = np.empty(0, np.int32)
         self._start = np.empty(0, np.int64)
         self._size = np.empty(0, np.int64)
@@ -78,50 +110,58 @@ class PieceCache:
         ids = self._encode(fresh)
         size = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter(chain.from_iterable(ids), np.int32, int(size.sum()))
-        self._known.update(zip(fresh, range(len(self._known), len(self._known) + len(fresh))))
         self._start = np.concatenate([self._start, len(self._flat) + np.cumsum(size) - size])
         self._size = np.concatenate([self._size, size])
         self._flat = np.concatenate([self._flat, flat])
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of each text's ids; a null text has none."""
-        if len(self._known) > MOST_PIECES:
-            self._clear()
-        cut = self._cut(texts)
-        coded = cut.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        fresh = [p for p in distinct if p not in self._known]
-        if fresh:
-            self._learn(fresh)
-        number = np.fromiter(map(self._known.__getitem__, distinct), np.int64, len(distinct))
-        at = number[coded.indices.to_numpy(zero_copy_only=False)]
+        at, pieces = self._index.numbers(texts)
         size = self._size[at]
-        return gather(self._flat, self._start[at], size), sums(size, list_sizes(cut))
+        return gather(self._flat, self._start[at], size), sums(size, pieces)
+
+
+#: How the word vocabulary's file cuts text in small letters.
+_WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
+#: Printable text below this needs no normalising but small letters, of which one has a letter that is two.
+_PLAIN_BELOW = chr(0x250)
+_TWO_LETTERS = chr(0x130)
+
+
+def _plain(piece: str) -> bool:
+    return piece.isprintable() and (
+        piece.isascii() or max(piece) < _PLAIN_BELOW and _TWO_LETTERS not in piece
+    )
 
 
-#: How the word vocabulary's file cuts ASCII text in lower case.
-_ASCII_WORDS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable ones for themselves,
+    the others for letters from 256 on, in order."""
+    shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 255 and b != 173]
+    rest = [b for b in range(256) if b not in set(shown)]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
 def _encode_words(tokenizer) -> Callable[[list[str]], list]:
-    """Ids of pieces. Printable ASCII needs no normalising, so its words go straight to the model;
-    everything else, and what may hold a special token, goes the tokenizer's whole way."""
-    model = tokenizer.model
+    """Ids of pieces. The words of plain pieces go straight to the model; everything else, and what may
+    hold a special token, goes the tokenizer's whole way."""
+    model, letters = tokenizer.model, {b: c for c, b in byte_letters().items()}
 
     def encode(fresh: list[str]) -> list:
         seen: dict[str, list[int]] = {}
         out: list = []
         rest = []
         for at, piece in enumerate(fresh):
-            if not (piece.isascii() and piece.isprintable()) or "<|" in piece:
+            if "<|" in piece or not _plain(piece):
                 out.append([])
                 rest.append(at)
                 continue
             ids: list[int] = []
-            for word in _ASCII_WORDS.findall(piece.lower()):
+            for word in _WORDS.findall(piece.lower()):
                 known = seen.get(word)
                 if known is None:
-                    known = seen[word] = [t.id for t in model.tokenize(word)]
+                    shown = word if word.isascii() else word.encode().decode("latin-1").translate(letters)
+                    known = seen[word] = [t.id for t in model.tokenize(shown)]
                 ids += known
             out.append(ids)
         for i in range(0, len(rest), JOINED):
