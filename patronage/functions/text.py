@@ -15,8 +15,12 @@ YOUNG_WORDS = [
     "10대", "10 대", "10s", "teens", "youth",
     "20대", "20 대", "20s", "1020", "10-20", "10~20",
 ]
-AGE_NUMBER = "(10|20|30|40|50|60)"
 SENIOR_WORDS = ["이상", "고령"]
+# Age bands by the first of these numbers in a label; young words come before it, senior words after.
+AGE_NUMBER = "(10|20|30|40|50|60)"
+AGE_BAND = {"10": "10s", "20": "10s", "30": "30s", "40": "40s", "50": "50s", "60": "60p"}
+# One rule list serves columns and headers: (pattern, band; None: the band of the number found).
+AGE_RULES = [("|".join(YOUNG_WORDS), "10s"), (AGE_NUMBER, None), ("|".join(SENIOR_WORDS), "60p")]
 NO_RATIO = ["", "None", "none", "nan", "NaN", "-999999.9", "--", "-", "na", "NA"]
 NO_NAME = ["", "nan", "none"]
 
@@ -26,6 +30,7 @@ BLANKS += "\u2028\u2029\u202f\u205f\u3000"
 BLANK = (
     r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
+NO_NUMBER = r"^[+-]?(?i:nan|inf|infinity)$"
 NUMBER = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
 
 
@@ -58,25 +63,19 @@ def masked_tokens(text: str | Column) -> Column:
 def age_group(label: str | Column) -> Column:
     """Age band of a freely written age label; NULL where no age is recognised."""
     s = F.lower(strip(label))
-    young, senior = s.rlike("|".join(YOUNG_WORDS)), s.rlike("|".join(SENIOR_WORDS))
-    number = F.regexp_extract(s, AGE_NUMBER, 1)
-    return (
-        F.when(young | number.isin("10", "20"), "10s")
-        .when(number.isin("30", "40", "50"), F.concat(number, F.lit("s")))
-        .when((number == "60") | senior, "60p")
-    )
+    bands = F.create_map(*[F.lit(v) for pair in AGE_BAND.items() for v in pair])
+    found = [
+        F.when(s.rlike(rule), F.lit(band) if band else bands[F.regexp_substr(s, F.lit(rule))])
+        for rule, band in AGE_RULES
+    ]
+    return F.coalesce(*found)
 
 
 def header_age_group(header: str) -> str | None:
     """age_group for one column header, which is metadata on the driver."""
-    s = header.strip().lower()
-    if any(w in s for w in YOUNG_WORDS):
-        return "10s"
-    found = re.search(AGE_NUMBER, s)
-    if found:
-        n = found.group(1)
-        return "10s" if n in ("10", "20") else "60p" if n == "60" else f"{n}s"
-    return "60p" if any(w in s for w in SENIOR_WORDS) else None
+    text = header.strip().lower()
+    hits = ((re.search(rule, text), band) for rule, band in AGE_RULES)
+    return next((band or AGE_BAND[hit[0]] for hit, band in hits if hit), None)
 
 
 def parse_ratio(column: str) -> Column:
@@ -101,11 +100,17 @@ def parse_ratio(column: str) -> Column:
     return F.expr(sql)
 
 
+def number(text: Column) -> Column:
+    """A number text as a double; NULL for texts that only the JVM takes for numbers (`30d`)."""
+    bare = strip(text)
+    return F.when(bare.rlike(NUMBER) | bare.rlike(NO_NUMBER), F.replace(bare, F.lit("_"), F.lit("")).try_cast("double"))
+
+
 def span_age_group(youngest: str | Column, oldest: str | Column) -> Column:
     """Age band of the middle of an age span. A missing end counts as the oldest band, a text that
     is not a number gives NULL."""
     low, high = _col(youngest).cast("string"), _col(oldest).cast("string")
-    a, b = strip(low).try_cast("double"), strip(high).try_cast("double")
+    a, b = number(low), number(high)
     readable = (low.isNull() | a.isNotNull()) & (high.isNull() | b.isNotNull())
     middle = (a + b) / 2.0
     return F.when(

@@ -1,7 +1,8 @@
 """Affinity tables (age band x channel or keyword) out of loosely structured wide tables.
 
-The role of each column is read off its header, which is driver metadata; the rows stay in Spark.
-Input frames carry a ``row_ord`` column with the order of their rows.
+The role of each column is read off its header, which is driver metadata; the rows stay in Spark. A
+layout says which cells a table has: for each value column where its age band and its item come from.
+One melt then serves all layouts. Input frames carry a ``row_ord`` column with the order of their rows.
 """
 
 from __future__ import annotations
@@ -26,134 +27,162 @@ from .keyed import dedupe_last, replace
 ROW_ORDER = "row_ord"
 
 
+@dataclass(frozen=True)
+class Role:
+    """Columns whose header holds one of the parts, and none of the others."""
+
+    parts: tuple[str, ...]
+    without: tuple[str, ...] = ()
+    any_case: bool = False
+
+    def fits(self, header: str) -> bool:
+        text = header.lower() if self.any_case else header
+        return any(p in text for p in self.parts) and not any(p in text for p in self.without)
+
+
+# Header parts that tell the role of a column.
+MEDIA_ITEM = Role(("채널", "매체", "channel", "media", "플랫폼", "platform", "service", "서비스"), any_case=True)
+VIDEO_ITEM = Role(("플랫폼", "platform", "채널", "service", "서비스"), any_case=True)
+INTEREST_ITEM = Role(("키워드", "keyword", "관심", "theme", "주제"), any_case=True)
+MIN_AGE = Role(("최소나이", "최소 나이", "min", "최소", "min_age"))
+MAX_AGE = Role(("최대나이", "최대 나이", "max", "최대", "max_age"))
+MEDIUM = Role(("매체",))
+CONTACT_RATE = Role(("접촉률",))
+WEEKLY = Role(("주간",), without=("시간",))
+TOTAL = Role(("_전체", "_개인"))
+RATE_SUFFIX = "비율"
+
+
 @dataclass(frozen=True)
 class Kind:
     """What differs between the affinity inputs."""
 
     item: str
-    headers: tuple[str, ...]
+    role: Role
 
-    def name(self, cell: str | Column) -> Column:
+    def name(self, cell: Column) -> Column:
         return channel_name(cell) if self.item == "channel" else keyword_name(cell)
 
 
-# Header parts that tell the role of a column.
-MEDIA = Kind("channel", ("채널", "매체", "channel", "media", "플랫폼", "platform", "service", "서비스"))
-VIDEO = Kind("channel", ("플랫폼", "platform", "채널", "service", "서비스"))
-INTEREST = Kind("keyword", ("키워드", "keyword", "관심", "theme", "주제"))
-MIN_AGE = ("최소나이", "최소 나이", "min", "최소", "min_age")
-MAX_AGE = ("최대나이", "최대 나이", "max", "최대", "max_age")
+MEDIA, VIDEO, INTEREST = Kind("channel", MEDIA_ITEM), Kind("channel", VIDEO_ITEM), Kind("keyword", INTEREST_ITEM)
+
 
+@dataclass(frozen=True)
+class Sheet:
+    """A wide table whose columns go by their place, since headers may differ in case only."""
 
-def _tick(column: str) -> Column:
-    return F.col(f"`{column}`")
+    headers: list[str]
+    rows: DataFrame
 
+    @classmethod
+    def of(cls, df: DataFrame) -> Sheet:
+        headers = [c for c in df.columns if c != ROW_ORDER]
+        places = iter(range(len(headers)))
+        return cls(headers, df.toDF(*(ROW_ORDER if c == ROW_ORDER else f"c{next(places)}" for c in df.columns)))
 
-def _text(column: str) -> Column:
-    return _tick(column).cast("string").alias("text")
+    def all(self, *roles: Role) -> list[int]:
+        return [i for i, h in enumerate(self.headers) if any(r.fits(h) for r in roles)]
 
+    def first(self, role: Role) -> int | None:
+        return next(iter(self.all(role)), None)
 
-def _headers(df: DataFrame) -> list[str]:
-    return [c for c in df.columns if c != ROW_ORDER]
+    def item(self, kind: Kind) -> int:
+        """The column with the item names: by header, else the first one."""
+        found = self.first(kind.role)
+        return 0 if found is None else found
 
+    def span(self) -> Column:
+        low, high = self.first(MIN_AGE), self.first(MAX_AGE)
+        if low is None or high is None:
+            raise ValueError(f"no youngest / oldest age column among {self.headers}")
+        return span_age_group(cell(low), cell(high))
 
-def _has(header: str, parts: tuple[str, ...]) -> bool:
-    return any(p in header for p in parts)
 
+def cell(place: int) -> Column:
+    return F.col(f"c{place}")
 
-def item_column(df: DataFrame, kind: Kind) -> str:
-    """The column with the item names: by header, else the first one."""
-    headers = _headers(df)
-    return next((c for c in headers if _has(c.lower(), kind.headers)), headers[0])
 
+@dataclass(frozen=True)
+class Cell:
+    """A value column with the age band and the item of its values."""
 
-def _age_span(df: DataFrame) -> Column:
-    headers = _headers(df)
-    low = next((c for c in headers if _has(c, MIN_AGE)), None)
-    high = next((c for c in headers if _has(c, MAX_AGE)), None)
-    if low is None or high is None:
-        raise ValueError(f"no youngest / oldest age column among {headers}")
-    return span_age_group(_tick(low), _tick(high))
+    age: Column
+    item: Column
+    value: int
 
 
-def _cells(df: DataFrame, cells: list[Column], kind: Kind, age: Column | None = None) -> DataFrame:
-    """One row per cell struct (age_group, item, text), in column order, with the text read as a
-    ratio. Cells without age, item or value drop out."""
-    row = [_tick(ROW_ORDER), *([age.alias("age_group")] if age is not None else [])]
-    rows = df.select(*row, F.posexplode(F.array(*cells)).alias("col_ord", "cell"))
-    known = [_tick(ROW_ORDER), *([F.col("age_group")] if age is not None else []), F.col("col_ord"), F.col("cell.*")]
-    out = rows.select(*known).withColumn("affinity", parse_ratio("text")).drop("text")
+def _melt(sheet: Sheet, cells: list[Cell], kind: Kind) -> DataFrame:
+    """One row per cell with the text read as a ratio; those without age, item or value drop out."""
+    parts = [
+        F.struct(c.age.alias("age_group"), c.item.alias(kind.item), cell(c.value).cast("string").alias("text"))
+        for c in cells
+    ]
+    rows = sheet.rows.select(ROW_ORDER, F.posexplode(F.array(*parts)).alias("col_ord", "cell"))
+    out = rows.select(ROW_ORDER, "col_ord", "cell.*").withColumn("affinity", parse_ratio("text")).drop("text")
     return out.dropna(subset=["age_group", kind.item, "affinity"])
 
 
+def _last_cell(cells: DataFrame, kind: Kind, order: list[str]) -> DataFrame:
+    last = dedupe_last(cells, ["age_group", kind.item], order)
+    return last.select("age_group", kind.item, F.col("affinity").cast(RATIO).alias("affinity"))
+
+
+def _mean_cell(cells: DataFrame, kind: Kind) -> DataFrame:
+    """Mean per key, rounded once to four decimals, ties to even. In whole ten-thousandths, so the
+    result does not depend on the order of rows."""
+    unit = F.round(F.col("affinity") * 10000).cast("long")
+    sums = cells.groupBy("age_group", kind.item).agg(F.sum(unit).alias("s"), F.count("*").alias("n"))
+    mean = F.expr("s div n + if(2 * (s % n) > n or (2 * (s % n) = n and (s div n) % 2 = 1), 1, 0)")
+    return sums.select("age_group", kind.item, (mean.cast("decimal(10,0)") / 10000).cast(RATIO).alias("affinity"))
+
+
 def by_age(df: DataFrame, kind: Kind) -> DataFrame | None:
     """Layout with one column per age label. NULL cells and unknown names drop out; of two cells
     for one key the later row, then the later column wins. None if no header names an age."""
-    ages = [(c, header_age_group(c)) for c in _headers(df)]
-    ages = [(c, a) for c, a in ages if a]
-    if not ages:
-        return None
-    name = kind.name(_tick(item_column(df, kind)))
-    cells = [
-        F.struct(F.lit(a).alias("age_group"), name.alias(kind.item), _text(c)) for c, a in ages
-    ]
-    return _last_cell(_cells(df, cells, kind), kind)
+    sheet = Sheet.of(df)
+    name = kind.name(cell(sheet.item(kind)))
+    bands = [(i, header_age_group(h)) for i, h in enumerate(sheet.headers)]
+    cells = [Cell(F.lit(band), name, i) for i, band in bands if band]
+    return _last_cell(_melt(sheet, cells, kind), kind, [ROW_ORDER, "col_ord"]) if cells else None
 
 
 def ages_down(df: DataFrame, kind: Kind) -> DataFrame | None:
-    """Transposed layout: ages down the item column, one column per item. None if the first column
+    """Transposed layout: ages down the item column, one column per item. Of two cells for one key the
+    later column, then the later row wins, as if the table were turned first. None if the first column
     names no age."""
-    headers = _headers(df)
-    if df.filter(age_group(_tick(headers[0])).isNotNull()).limit(1).count() == 0:
+    sheet = Sheet.of(df)
+    if df.limit(1).count() == 0 or not sheet.rows.filter(age_group(cell(0)).isNotNull()).head(1):
         return None
-    ages = item_column(df, kind)
-    cells = [
-        F.struct(kind.name(F.lit(c)).alias(kind.item), _text(c)) for c in headers if c != ages
-    ]
-    return _last_cell(_cells(df, cells, kind, age_group(_tick(ages))), kind)
-
-
-def _last_cell(cells: DataFrame, kind: Kind) -> DataFrame:
-    last = dedupe_last(cells, ["age_group", kind.item], [ROW_ORDER, "col_ord"])
-    return last.select("age_group", kind.item, F.col("affinity").cast(RATIO).alias("affinity"))
-
-
-def _mean_cell(cells: DataFrame, kind: Kind) -> DataFrame:
-    """Mean per key over exact decimals, so the result does not depend on the order of rows."""
-    mean = F.avg(F.col("affinity").cast(RATIO)).cast(RATIO)
-    return cells.groupBy("age_group", kind.item).agg(mean.alias("affinity"))
+    ages = sheet.item(kind)
+    band = age_group(cell(ages))
+    cells = [Cell(band, kind.name(F.lit(h)), i) for i, h in enumerate(sheet.headers) if i != ages]
+    return _last_cell(_melt(sheet, cells, kind), kind, ["col_ord", ROW_ORDER])
 
 
 def media_by_span(df: DataFrame) -> DataFrame:
     """Layout with an age span per row and pairs of media and rate columns, paired by position."""
-    headers = _headers(df)
-    media = [c for c in headers if "매체" in c]
-    rates = [c for c in headers if "접촉률" in c or ("주간" in c and "시간" not in c)]
-    cells = [
-        F.struct(channel_name(_tick(m)).alias("channel"), _text(r)) for m, r in zip(media, rates)
-    ]
-    if not cells:
-        raise ValueError(f"no media / rate column pair among {headers}")
-    return _mean_cell(_cells(df, cells, MEDIA, _age_span(df)), MEDIA)
+    sheet = Sheet.of(df)
+    pairs = list(zip(sheet.all(MEDIUM), sheet.all(CONTACT_RATE, WEEKLY)))
+    if not pairs:
+        raise ValueError(f"no media / rate column pair among {sheet.headers}")
+    span = sheet.span()
+    return _mean_cell(_melt(sheet, [Cell(span, channel_name(cell(m)), r) for m, r in pairs], MEDIA), MEDIA)
 
 
 def interest_by_span(df: DataFrame) -> DataFrame:
     """Layout with an age span per row and columns paired by name (``X`` with ``X비율`` or
     ``X_비율``); columns of totals stand for a keyword by their own header."""
-    headers = _headers(df)
-    paired = {}
-    for rate in headers:
-        base = rate.removesuffix("비율").rstrip("_")
-        if rate.endswith("비율") and base in headers:
-            paired[rate] = base
-    totals = [c for c in headers if _has(c, ("_전체", "_개인")) and c not in paired]
-    cells = [
-        F.struct(keyword_name(_tick(base)).alias("keyword"), _text(rate)) for rate, base in paired.items()
-    ]
-    cells += [F.struct(F.lit(c.strip()).alias("keyword"), _text(c)) for c in totals]
-    if not cells:
-        raise ValueError(f"no interest / rate column pair among {headers}")
-    return _mean_cell(_cells(df, cells, INTEREST, _age_span(df)), INTEREST)
+    sheet = Sheet.of(df)
+    place = {h: i for i, h in reversed(list(enumerate(sheet.headers)))}
+    named = {i: h.removesuffix(RATE_SUFFIX).rstrip("_") for i, h in enumerate(sheet.headers) if h.endswith(RATE_SUFFIX)}
+    pairs = {i: place[base] for i, base in named.items() if base in place}
+    totals = [i for i in sheet.all(TOTAL) if i not in pairs]
+    if not pairs and not totals:
+        raise ValueError(f"no interest / rate column pair among {sheet.headers}")
+    span = sheet.span()
+    cells = [Cell(span, keyword_name(cell(base)), rate) for rate, base in pairs.items()]
+    cells += [Cell(span, F.lit(sheet.headers[i].strip()), i) for i in totals]
+    return _mean_cell(_melt(sheet, cells, INTEREST), INTEREST)
 
 
 def media_affinity(df: DataFrame) -> DataFrame:

@@ -15,9 +15,7 @@ from . import silhouette
 
 SEED = 42
 K_LIST = (3, 4, 5, 6, 7)
-# Up to this many distinct points the choice of k compares plain-distance silhouettes, beyond it
-# squared-distance ones, which take linear time.
-EXACT_POINTS = 50_000
+MEASURES = ("squared", "euclidean")
 WEIGHT, POINT_ID, VECTOR = "weight", "point_id", "scaled"
 
 
@@ -116,19 +114,33 @@ def _stable_ids(model: KMeansModel, sizes: dict[int, int]) -> list[int]:
     return [order.index(i) for i in range(len(centers))]
 
 
+def _inertias(labelled: DataFrame, dims: list[str], models: dict[str, KMeansModel]) -> dict[str, float]:
+    """Squared distances of all rows to the centres that the models ended with, in one pass."""
+
+    def gap(label: str, model: KMeansModel) -> Column:
+        centers = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
+        own = F.element_at(centers, F.col(label) + 1)
+        squares = F.zip_with(F.array(*dims), own, lambda a, b: (a - b) * (a - b))
+        return F.aggregate(squares, F.lit(0.0), lambda total, s: total + s)
+
+    sums = [F.sum(F.col(WEIGHT) * gap(label, model)).alias(label) for label, model in models.items()]
+    return {label: float(value) for label, value in labelled.agg(*sums).first().asDict().items()}
+
+
 def choose_segments(
     df: DataFrame,
     features: list[str],
     k_list: tuple[int, ...] = K_LIST,
     seed: int = SEED,
-    measure: str = "auto",
-    exact_points: int = EXACT_POINTS,
+    measure: str = "squared",
 ) -> tuple[Segments, list[Segments]]:
     """The segmentation with the best silhouette (a tie keeps the smaller k), and all candidates.
 
-    ``measure``: "euclidean" and "squared" force one kind of distance at any size; "auto" takes
-    plain distances up to ``exact_points`` distinct points. The result says which was used.
+    ``measure`` is the kind of distance in the silhouette, the same at every size: "squared" takes
+    linear time, "euclidean" (plain distances) time with the square of the distinct points.
     """
+    if measure not in MEASURES:
+        raise ValueError(f"measure is one of {MEASURES}")
     raw = silhouette.numbered(distinct_points(df, features), POINT_ID)
     scaler = fit_scaler(raw, features)
     points = raw.select(POINT_ID, WEIGHT, scaler.vector()).persist(StorageLevel.MEMORY_AND_DISK)
@@ -148,21 +160,20 @@ def choose_segments(
     dims = [f"z_{f}" for f in features]
     labels = list(names.values())
 
-    if measure == "auto":
-        measure = "euclidean" if raw.count() <= exact_points else "squared"
     if measure == "euclidean":
         scores = silhouette.euclidean(labelled, POINT_ID, dims, labels, WEIGHT)
     else:
         scores = silhouette.squared(labelled, dims, labels, WEIGHT)
 
     sizes = silhouette.cluster_sizes(labelled, labels, WEIGHT)
+    inertias = _inertias(labelled, dims, {names[k]: m for k, m in models.items()})
     found = [
         Segments(
             k=k,
             model=models[k],
             scaler=scaler,
             ids=_stable_ids(models[k], sizes[names[k]]),
-            inertia=float(models[k].summary.trainingCost),
+            inertia=inertias[names[k]],
             silhouette=scores[names[k]],
             measure=measure,
         )
@@ -205,5 +216,7 @@ def cluster_profile(labelled: DataFrame, features: list[str]) -> DataFrame:
 
 
 def pivot_profile(profile: DataFrame, features: list[str]) -> DataFrame:
-    """One row per cluster with the mean of each feature; of several runs the oldest counts."""
-    return profile.groupBy("cluster_id").pivot("feature", features).agg(F.min_by("mean", "created_at"))
+    """One row per cluster of the newest run, with the mean of each feature."""
+    newest = profile.agg(F.max("created_at")).scalar()
+    rows = profile.filter(F.col("created_at") == newest)
+    return rows.groupBy("cluster_id").pivot("feature", features).agg(F.first("mean"))

@@ -30,6 +30,12 @@ def _short_mean(total: str, n: str) -> str:
     return f"((({eight} + 5000) // 10000)::DOUBLE / 1e4)"
 
 
+_units, _of = "sum(round(affinity * 10000)::BIGINT)::HUGEINT", "count(*)"
+# mean of four-decimal values, rounded once, ties to even
+_even_mean = f"""(({_units} // {_of} + CASE WHEN 2 * ({_units} % {_of}) > {_of}
+          OR (2 * ({_units} % {_of}) = {_of} AND ({_units} // {_of}) % 2 = 1) THEN 1 ELSE 0 END)::DOUBLE / 1e4)"""
+
+
 def _mean(column: str, want: int) -> str:
     """Mean of a column of four-decimal values."""
     return _half_up(f"sum(round({column} * 10000)::BIGINT)", f"count({column})", 4, want)
@@ -124,7 +130,9 @@ _CTES: dict[str, str] = {
             WHEN 'HOUSEHOLD' THEN '무학2길' ELSE '행당동' END || ' ' || c_custkey::VARCHAR AS MCT_BSE_AR,
           c_name AS MCT_NM, CASE WHEN c_acctbal > 8000 THEN 'B' || c_nationkey::VARCHAR END AS MCT_BRD_NUM,
           r_name AS MCT_SIGUNGU_NM, CASE WHEN c_acctbal >= -800 THEN c_mktsegment END AS HPSN_MCT_ZCD_NM,
-          CASE WHEN c_acctbal <= 9700 THEN n_name END AS HPSN_MCT_BZN_CD_NM
+          CASE WHEN c_acctbal <= 9700 THEN n_name END AS HPSN_MCT_BZN_CD_NM,
+          CASE WHEN c_custkey % 14 < 12 THEN strftime(make_date(c_nationkey::BIGINT + 1990, c_custkey % 14 + 1, c_nationkey::BIGINT + 1), '%Y-%m-%d')
+            END AS opened, CASE WHEN c_acctbal < 0 AND c_custkey % 2 = 0 THEN '1999-01-31' END AS closed
         FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN region ON r_regionkey = n_regionkey""",
     "lines": """
         SELECT o_custkey::VARCHAR AS mct_id, strftime(o_orderdate, '%Y%m') AS ym, o_orderpriority, o_orderstatus,
@@ -192,13 +200,15 @@ _CTES: dict[str, str] = {
         SELECT CASE WHEN p_type = 'PROMO' THEN p_brand ELSE p_type || ' video' END AS platform, {_by_age_sql}
         FROM part GROUP BY 1""",
     "video_transposed": """
-        SELECT age, ages.o AS row_ord, k AS channel, floor(share) AS value FROM (
+        SELECT age, ages.o AS row_ord, replace(k, '2', '') AS channel, floor(share) AS value, k AS header FROM (
           SELECT CASE WHEN p_size <= 8 THEN '10대' WHEN p_size <= 16 THEN '20대' WHEN p_size <= 24 THEN '30대'
             WHEN p_size <= 32 THEN '40대' WHEN p_size <= 40 THEN '50대' ELSE '60대 이상' END AS age,
             count(*) FILTER (WHERE p_type = 'ECONOMY') * 100.0::DOUBLE / count(*) AS economy,
             count(*) FILTER (WHERE p_type = 'STANDARD') * 100.0::DOUBLE / count(*) AS standard,
-            count(*) FILTER (WHERE p_type = 'PROMO') * 100.0::DOUBLE / count(*) AS promo
-          FROM part GROUP BY 1) UNPIVOT (share FOR k IN (economy, standard, promo))
+            count(*) FILTER (WHERE p_type = 'PROMO') * 100.0::DOUBLE / count(*) AS pro_mo,
+            CASE WHEN age NOT IN ('20대', '40대') THEN count(*) FILTER (WHERE p_type = 'SMALL') * 100.0::DOUBLE / count(*) END AS pro_mo2,
+            CASE WHEN age IN ('30대', '50대') THEN count(*) FILTER (WHERE p_type = 'LARGE') * 100.0::DOUBLE / count(*) END AS pro_mo22
+          FROM part GROUP BY 1) UNPIVOT (share FOR k IN (economy, standard, pro_mo, pro_mo2, pro_mo22))
         JOIN (VALUES ('10대', 1), ('20대', 2), ('30대', 3), ('40대', 4), ('50대', 5), ('60대 이상', 6)) ages(a, o) ON a = age""",
     "media_rows": _cells("media_by_age", "lower(channel)"),
     "video_rows": _cells("video_by_age", "replace(lower(platform), ' ', '_')"),
@@ -215,7 +225,7 @@ _CTES: dict[str, str] = {
           SELECT {_decade} AS decade, replace(p_name, ' ', '') AS keyword, {_percent.format('p_size')} AS affinity FROM part
           UNION ALL SELECT {_decade}, '뷰티_전체', {_percent.format('p_size')} FROM part)""",
     "interest_rows": f"""
-        SELECT age_group, keyword, {_short_mean('sum(round(affinity * 10000)::BIGINT)', 'count(*)')} AS affinity
+        SELECT age_group, keyword, {_even_mean} AS affinity
         FROM interest_cells GROUP BY age_group, keyword""",
     "media_ranked": f"""
         SELECT '{VERSION}' AS version, *, row_number() OVER (PARTITION BY age_group ORDER BY affinity DESC, channel) AS rank
@@ -431,7 +441,8 @@ ORACLE: dict[str, str] = {
     "dim_store": """
         SELECT ENCODED_MCT AS mct_id, MCT_NM AS name, HPSN_MCT_ZCD_NM AS sector, HPSN_MCT_BZN_CD_NM AS biz_zone,
           MCT_SIGUNGU_NM AS sigungu, MCT_BSE_AR AS addr,
-          nullif(regexp_extract(MCT_BSE_AR, '([가-힣A-Za-z0-9\\- ]+(로|길))'), '') AS road_name, MCT_BRD_NUM AS brand_code
+          nullif(regexp_extract(MCT_BSE_AR, '([가-힣A-Za-z0-9\\- ]+(로|길))'), '') AS road_name, MCT_BRD_NUM AS brand_code,
+          opened AS open_dt, closed AS close_dt
         FROM stg_store""",
     "road_names": """
         SELECT ENCODED_MCT, nullif(regexp_extract(MCT_BSE_AR, '([가-힣A-Za-z0-9\\- ]+(로|길))'), '') AS road_name
@@ -481,7 +492,7 @@ ORACLE: dict[str, str] = {
           THEN c_mktsegment || ', "' || c_name || '"' END AS word, '가게' AS "한글"
         FROM customer""",
     "typed_cast": """
-        SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
+        SELECT o_orderkey AS id, CASE WHEN o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW' THEN strftime(o_orderdate, '%Y-%m-%d') END AS day,
           CASE WHEN o_orderstatus <> 'F' THEN round(o_totalprice, 2) END AS amount,
           CASE WHEN o_totalprice < 99.99995 THEN round(o_totalprice, 4) END AS ratio, NULL::VARCHAR AS absent
         FROM orders""",
@@ -505,7 +516,8 @@ ORACLE: dict[str, str] = {
               WHEN l_linestatus = 'O' THEN q || '.5%' WHEN l_quantity <= 10 THEN '-' WHEN l_quantity <= 20 THEN '-999999.9'
               WHEN l_quantity <= 30 THEN q || 'e-3' WHEN l_quantity <= 40 THEN q || 'd' ELSE 'NaN' END AS cell
             FROM (SELECT *, l_quantity::INT::VARCHAR AS q FROM lineitem)))))""",
-    "age_span_bucket": f"SELECT p_partkey AS row_ord, {_span_bucket} AS age_group FROM (SELECT p_partkey, {_decade} AS decade FROM part)",
+    # a low end of 10n0 (digits parted by _) with a high end of 10n + 9 has its middle above 60
+    "age_span_bucket": f"SELECT p_partkey AS row_ord, CASE p_type WHEN 'PROMO' THEN NULL WHEN 'SMALL' THEN CASE WHEN (10 * (decade + 10) + decade + 19) / 2 < 60 THEN '50s' ELSE '60p' END ELSE {_span_bucket} END AS age_group FROM (SELECT p_partkey, {_decade} AS decade, p_type FROM part)",
     "normalized_texts": f"""
         SELECT id, {_norm('text')} AS text_norm FROM (
           SELECT 'd' || doc_id::VARCHAR AS id, text FROM documents
@@ -517,12 +529,12 @@ ORACLE: dict[str, str] = {
           UNION ALL SELECT 'r' || request_id::VARCHAR, user_input FROM requests)""",
     "affinity_by_age": "SELECT * FROM media_rows",
     "affinity_by_span": f"""
-        SELECT age_group, channel, {_short_mean('sum(round(affinity * 10000)::BIGINT)', 'count(*)')} AS affinity
+        SELECT age_group, channel, {_even_mean} AS affinity
         FROM span_cells GROUP BY age_group, channel""",
     "affinity_name_pairs": "SELECT age_group, keyword, affinity FROM interest_rows",
     "affinity_transpose": f"""
         SELECT CASE age {' '.join(f"WHEN '{a}' THEN '{g}'" for a, g in _groups.items())} END AS age_group, channel,
-          round(arg_max(CASE WHEN value > 1 THEN value / 100 ELSE value END, row_ord), 4) AS affinity
+          round(arg_max(CASE WHEN value > 1 THEN value / 100 ELSE value END, (length(header), row_ord)), 4) AS affinity
         FROM video_transposed GROUP BY ALL""",
     "affinity_merge": f"SELECT '{VERSION}' AS version, * FROM media_merged",
     "top_media": "SELECT version, age_group, channel, affinity, rank::BIGINT AS rank FROM media_ranked",

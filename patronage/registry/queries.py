@@ -57,7 +57,8 @@ def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dim_store(spark, sf_dir):
-    return features.dim_store(star.stg_store(spark, sf_dir)).drop("open_dt", "close_dt")
+    stores = features.dim_store(star.stg_store(spark, sf_dir))
+    return stores.withColumns({c: F.date_format(c, "yyyy-MM-dd") for c in ("open_dt", "close_dt")})
 
 
 @query
@@ -230,7 +231,11 @@ def typed_cast(spark, sf_dir):
     texts = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"),
         F.when(F.col("o_orderstatus") == "P", F.col("o_orderpriority"))
-        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd"))
+        .when(F.col("o_orderpriority") == "1-URGENT", F.date_format("o_orderdate", "yyyyMMdd"))
+        .when(F.col("o_orderpriority") == "2-HIGH", F.date_format("o_orderdate", "yyyy/M/d"))
+        .when(F.col("o_orderpriority") == "3-MEDIUM", F.date_format("o_orderdate", "yy.MM.dd"))
+        .when(F.col("o_orderpriority") == "5-LOW", F.date_format("o_orderdate", "yyyyMMdd 'x'"))
+        .otherwise(F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"))
         .alias("day"),
         F.when(F.col("o_orderstatus") == "F", "x").otherwise(priced).alias("amount"),
         priced.alias("ratio"),
@@ -294,7 +299,11 @@ def as_ratio(spark, sf_dir):
 
 @query
 def age_span_bucket(spark, sf_dir):
-    return star.media_span(spark, sf_dir).select("row_ord", span_age_group("최소나이", "최대나이").alias("age_group"))
+    """Ages as plain numbers, with suffixes that are no part of one, and with digit separators."""
+    kind, low = F.col("매체2"), F.col("최소나이")
+    written = F.when(kind == "PROMO", F.concat(low, F.lit("d"))).when(kind == "SMALL", F.concat(F.lit(" +"), low, F.lit("_0 ")))
+    rows = star.media_span(spark, sf_dir).withColumn("최소나이", F.coalesce(written, low))
+    return rows.select("row_ord", span_age_group("최소나이", "최대나이").alias("age_group"))
 
 
 @query
@@ -434,6 +443,7 @@ def _given_clusters(rows: DataFrame) -> DataFrame:
         F.lit(5).alias("k"),
         F.lit(0.0).alias("inertia"),
         F.lit(0.0).alias("silhouette"),
+        F.lit("squared").alias("measure"),
         F.lit(RUN_TS).alias("created_at"),
     )
 

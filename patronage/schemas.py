@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from functools import cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -13,72 +16,111 @@ FLAG_COLS = ["cancel_high", "delivery_high"]
 FEATURES = AGE_COLS + AUD_COLS + FLAG_COLS
 
 RATIO = T.DecimalType(6, 4)
-PERCENT = T.DecimalType(12, 4)
-AMOUNT = T.DecimalType(12, 2)
-SCORE = T.DecimalType(8, 4)
-
-_CODES = {
-    "s": T.StringType(),
-    "d": T.DateType(),
-    "i": T.IntegerType(),
-    "l": T.LongType(),
-    "f": T.DoubleType(),
-    "t": T.TimestampType(),
-    "ratio": RATIO,
-    "pct": PERCENT,
-    "amt": AMOUNT,
-    "score": SCORE,
+
+# The declared columns of each table.
+COLUMNS: dict[str, str] = {
+    "stg_store": (
+        "ENCODED_MCT string, MCT_BSE_AR string, MCT_NM string, MCT_BRD_NUM string, "
+        "MCT_SIGUNGU_NM string, HPSN_MCT_ZCD_NM string, HPSN_MCT_BZN_CD_NM string, ARE_D date, "
+        "MCT_ME_D date"
+    ),
+    "stg_perf": (
+        "ENCODED_MCT string, TA_YM string, MCT_OPE_MS_CN string, RC_M1_SAA decimal(12,2), "
+        "RC_M1_TO_UE_CT decimal(12,2), RC_M1_UE_CUS_CN string, RC_M1_AV_NP_AT decimal(12,2), "
+        "APV_CE_RAT string, DLV_SAA_RAT decimal(12,4), M1_SME_RY_SAA_RAT decimal(12,4), "
+        "M1_SME_RY_CNT_RAT decimal(12,4), M12_SME_RY_SAA_PCE_RT decimal(12,4), "
+        "M12_SME_BZN_SAA_PCE_RT decimal(12,4), M12_SME_RY_ME_MCT_RAT decimal(12,4), "
+        "M12_SME_BZN_ME_MCT_RAT decimal(12,4)"
+    ),
+    "stg_demo": (
+        "ENCODED_MCT string, TA_YM string, M12_MAL_1020_RAT decimal(12,4), "
+        "M12_MAL_30_RAT decimal(12,4), M12_MAL_40_RAT decimal(12,4), M12_MAL_50_RAT decimal(12,4), "
+        "M12_MAL_60_RAT decimal(12,4), M12_FME_1020_RAT decimal(12,4), M12_FME_30_RAT decimal(12,4), "
+        "M12_FME_40_RAT decimal(12,4), M12_FME_50_RAT decimal(12,4), M12_FME_60_RAT decimal(12,4), "
+        "MCT_UE_CLN_REU_RAT decimal(12,4), MCT_UE_CLN_NEW_RAT decimal(12,4), "
+        "RC_M1_SHC_RSD_UE_CLN_RAT decimal(12,4), RC_M1_SHC_WP_UE_CLN_RAT decimal(12,4), "
+        "RC_M1_SHC_FLP_UE_CLN_RAT decimal(12,4)"
+    ),
+    "dim_store": (
+        "mct_id string, name string, sector string, biz_zone string, sigungu string, addr string, "
+        "road_name string, brand_code string, open_dt date, close_dt date"
+    ),
+    "fx_age_mix": (
+        "mct_id string, ym string, age_10s decimal(6,4), age_30s decimal(6,4), age_40s decimal(6,4), "
+        "age_50s decimal(6,4), age_60p decimal(6,4)"
+    ),
+    "fx_audience_type": (
+        "mct_id string, ym string, NEW decimal(6,4), REU decimal(6,4), RES decimal(6,4), "
+        "WORK decimal(6,4), FLOW decimal(6,4)"
+    ),
+    "fx_perf_flags": (
+        "mct_id string, ym string, cancel_high int, delivery_high int"
+    ),
+    "fx_region_age_avg": (
+        "sector string, biz_zone string, ym string, age_10s decimal(6,4), age_30s decimal(6,4), "
+        "age_40s decimal(6,4), age_50s decimal(6,4), age_60p decimal(6,4)"
+    ),
+    "dim_age_affinity_media": (
+        "version string, age_group string, channel string, affinity decimal(6,4)"
+    ),
+    "dim_age_affinity_keyword": (
+        "version string, age_group string, keyword string, affinity decimal(6,4)"
+    ),
+    "mat_age_channel_score": (
+        "mct_id string, ym string, version string, channel string, score decimal(8,4)"
+    ),
+    "mat_age_keyword_score": (
+        "mct_id string, ym string, version string, keyword string, score decimal(8,4)"
+    ),
+    "mat_prompt_bundle": (
+        "mct_id string, ym string, version string, bundle string"
+    ),
+    "fx_age_bucket": (
+        "mct_id string, ym string, age_bucket string"
+    ),
+    "fx_aud_bucket": (
+        "mct_id string, ym string, aud_bucket string"
+    ),
+    "mat_assoc": (
+        "pair_name string, chi2 double, dof int, p_value double, cramers_v double, n bigint, "
+        "created_at timestamp"
+    ),
+    "mat_store_cluster": (
+        "mct_id string, ym string, cluster_id int, k int, inertia double, silhouette double, "
+        "measure string, created_at timestamp"
+    ),
+    "mat_cluster_profile": (
+        "cluster_id int, k int, feature string, mean double, std double, n bigint, "
+        "created_at timestamp"
+    ),
+    "mat_tree_rules": (
+        "rule_id bigint, k int, depth int, cluster_id int, rule_text string, support bigint, "
+        "rule_precision double, train_acc double, created_at timestamp"
+    ),
+    "mat_store_rule_assign": (
+        "mct_id string, k int, rule_id bigint, cluster_id int, created_at timestamp"
+    ),
 }
 
+class _Schemas(Mapping):
+    """The same as types; parsed on first use, for which Spark needs a running session."""
 
-def _shape(spec: str) -> T.StructType:
-    """``name:code`` words to a StructType."""
-    fields = (word.split(":") for word in spec.split())
-    return T.StructType([T.StructField(name, _CODES[code]) for name, code in fields])
-
-
-_AGE_RATIOS = " ".join(f"{c}:ratio" for c in AGE_COLS)
-
-SCHEMAS: dict[str, T.StructType] = {
-    "stg_store": _shape(
-        "ENCODED_MCT:s MCT_BSE_AR:s MCT_NM:s MCT_BRD_NUM:s MCT_SIGUNGU_NM:s"
-        " HPSN_MCT_ZCD_NM:s HPSN_MCT_BZN_CD_NM:s ARE_D:d MCT_ME_D:d"
-    ),
-    "stg_perf": _shape(
-        "ENCODED_MCT:s TA_YM:s MCT_OPE_MS_CN:s RC_M1_SAA:amt RC_M1_TO_UE_CT:amt RC_M1_UE_CUS_CN:s"
-        " RC_M1_AV_NP_AT:amt APV_CE_RAT:s DLV_SAA_RAT:pct M1_SME_RY_SAA_RAT:pct M1_SME_RY_CNT_RAT:pct"
-        " M12_SME_RY_SAA_PCE_RT:pct M12_SME_BZN_SAA_PCE_RT:pct M12_SME_RY_ME_MCT_RAT:pct"
-        " M12_SME_BZN_ME_MCT_RAT:pct"
-    ),
-    "stg_demo": _shape(
-        "ENCODED_MCT:s TA_YM:s"
-        " M12_MAL_1020_RAT:pct M12_MAL_30_RAT:pct M12_MAL_40_RAT:pct M12_MAL_50_RAT:pct M12_MAL_60_RAT:pct"
-        " M12_FME_1020_RAT:pct M12_FME_30_RAT:pct M12_FME_40_RAT:pct M12_FME_50_RAT:pct M12_FME_60_RAT:pct"
-        " MCT_UE_CLN_REU_RAT:pct MCT_UE_CLN_NEW_RAT:pct RC_M1_SHC_RSD_UE_CLN_RAT:pct"
-        " RC_M1_SHC_WP_UE_CLN_RAT:pct RC_M1_SHC_FLP_UE_CLN_RAT:pct"
-    ),
-    "dim_store": _shape(
-        "mct_id:s name:s sector:s biz_zone:s sigungu:s addr:s road_name:s brand_code:s open_dt:d close_dt:d"
-    ),
-    "fx_age_mix": _shape(f"mct_id:s ym:s {_AGE_RATIOS}"),
-    "fx_audience_type": _shape("mct_id:s ym:s " + " ".join(f"{a}:ratio" for a in AUDIENCES)),
-    "fx_perf_flags": _shape("mct_id:s ym:s cancel_high:i delivery_high:i"),
-    "fx_region_age_avg": _shape(f"sector:s biz_zone:s ym:s {_AGE_RATIOS}"),
-    "dim_age_affinity_media": _shape("version:s age_group:s channel:s affinity:ratio"),
-    "dim_age_affinity_keyword": _shape("version:s age_group:s keyword:s affinity:ratio"),
-    "mat_age_channel_score": _shape("mct_id:s ym:s version:s channel:s score:score"),
-    "mat_age_keyword_score": _shape("mct_id:s ym:s version:s keyword:s score:score"),
-    "mat_prompt_bundle": _shape("mct_id:s ym:s version:s bundle:s"),
-    "fx_age_bucket": _shape("mct_id:s ym:s age_bucket:s"),
-    "fx_aud_bucket": _shape("mct_id:s ym:s aud_bucket:s"),
-    "mat_assoc": _shape("pair_name:s chi2:f dof:i p_value:f cramers_v:f n:l created_at:t"),
-    "mat_store_cluster": _shape("mct_id:s ym:s cluster_id:i k:i inertia:f silhouette:f created_at:t"),
-    "mat_cluster_profile": _shape("cluster_id:i k:i feature:s mean:f std:f n:l created_at:t"),
-    "mat_tree_rules": _shape(
-        "rule_id:l k:i depth:i cluster_id:i rule_text:s support:l rule_precision:f train_acc:f created_at:t"
-    ),
-    "mat_store_rule_assign": _shape("mct_id:s k:i rule_id:l cluster_id:i created_at:t"),
-}
+    def __getitem__(self, table: str) -> T.StructType:
+        return _parsed(COLUMNS[table])
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(COLUMNS)
+
+    def __len__(self) -> int:
+        return len(COLUMNS)
+
+
+@cache
+def _parsed(columns: str) -> T.StructType:
+    return T.StructType.fromDDL(columns)
+
+
+SCHEMAS = _Schemas()
 
 KEYS: dict[str, list[str]] = {
     "stg_store": ["ENCODED_MCT"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -65,6 +65,24 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> Da
     return blank_missing(reader.csv(path))
 
 
+# The delimiters between year, month and day may be any one mark; without any, the digits tell.
+_PARTED = r"^\s*(\d{4}|\d{2})[^0-9A-Za-z\s](\d{1,2})[^0-9A-Za-z\s](\d{1,2})(?:[T\s].*)?$"
+_COMPACT = r"^\s*(\d{4}|\d{2})(\d{2})(\d{2})\s*$"
+
+
+def as_date(text: Column) -> Column:
+    """A date out of `2022-10-24`, `2022/10/24`, `2022.1.4`, `20221024` or with a year of two digits (70
+    to 99 are of the last century); a time after it is dropped. NULL for everything else."""
+    compact = text.rlike(_COMPACT)
+
+    def part(i: int) -> Column:
+        return F.when(compact, F.regexp_extract(text, _COMPACT, i)).otherwise(F.regexp_extract(text, _PARTED, i))
+
+    century = F.when(F.length(part(1)) == 4, "").when(part(1) >= "70", "19").otherwise("20")
+    whole = F.concat(century, part(1), F.lit("-"), F.lpad(part(2), 2, "0"), F.lit("-"), F.lpad(part(3), 2, "0"))
+    return F.when(compact | text.rlike(_PARTED), whole.try_cast("date"))
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast text columns to a target schema; what does not fit becomes NULL, what is absent too."""
     have = set(df.columns)
@@ -72,6 +90,9 @@ def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     def one(field: T.StructField):
         if field.name not in have:
             return F.lit(None).cast(field.dataType).alias(field.name)
-        return F.col(f"`{field.name}`").try_cast(field.dataType).alias(field.name)
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.DateType) and isinstance(df.schema[field.name].dataType, T.StringType):
+            return as_date(column).alias(field.name)
+        return column.try_cast(field.dataType).alias(field.name)
 
     return df.select([one(f) for f in schema.fields])

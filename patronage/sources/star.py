@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.numbers import SENTINEL
+from .delimited import as_date
 
 _AGES = {"1020": "1-URGENT", "30": "2-HIGH", "40": "3-MEDIUM", "50": "4-NOT SPECIFIED", "60": "5-LOW"}
 _SEXES = {"MAL": "F", "FME": "O"}
@@ -35,6 +36,20 @@ def _places(spark: SparkSession, sf_dir: str) -> DataFrame:
     return places.select("n_nationkey", "n_name", "r_name")
 
 
+def _opened() -> Column:
+    """An opening day, written in another way in each market segment."""
+    year, month, day = F.col("c_nationkey") + 1990, F.col("c_custkey") % 14 + 1, F.col("c_nationkey") + 1
+    pieces = [F.lpad(c.cast("string"), n, "0") for c, n in ((year, 4), (month, 2), (day, 2))]
+    segment = F.col("c_mktsegment")
+    return (
+        F.when(segment == "BUILDING", F.concat(*pieces))
+        .when(segment == "MACHINERY", F.concat_ws("/", *pieces))
+        .when(segment == "HOUSEHOLD", F.concat_ws(".", year, month, day))
+        .when(segment == "FURNITURE", F.concat(F.concat_ws("-", *pieces), F.lit(" 10:30:00")))
+        .otherwise(F.concat_ws("-", *pieces))
+    )
+
+
 def stg_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = read_table(spark, sf_dir, "customer")
     key = F.col("c_custkey").cast("string")
@@ -51,8 +66,8 @@ def stg_store(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("r_name").alias("MCT_SIGUNGU_NM"),
         F.when(F.col("c_acctbal") >= -800, F.col("c_mktsegment")).alias("HPSN_MCT_ZCD_NM"),
         F.when(F.col("c_acctbal") <= 9700, F.col("n_name")).alias("HPSN_MCT_BZN_CD_NM"),
-        F.lit(None).cast("date").alias("ARE_D"),
-        F.lit(None).cast("date").alias("MCT_ME_D"),
+        as_date(_opened()).alias("ARE_D"),
+        as_date(F.when(F.col("c_acctbal") < 0, F.concat(F.lit("99"), F.col("c_custkey") % 2, F.lit("131")))).alias("MCT_ME_D"),
     )
 
 
@@ -150,17 +165,19 @@ def video_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def video_transposed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ages down the first column, one column per platform."""
+    """Ages down the first column, one column per platform; some headers differ in case or blanks only."""
     age = F.when(F.col("p_size") <= 8, "10대").when(F.col("p_size") <= 16, "20대")
     for label, low, high in _BY_AGE[2:]:
         age = age.when(F.col("p_size").between(low, high), label)
-    kinds = ["ECONOMY", "STANDARD", "PROMO"]
-    return (
-        read_table(spark, sf_dir, "part")
-        .groupBy(age.alias("platform"))
-        .agg(*[F.expr(f"concat(cast(floor({_rate(f"p_type = '{k}'")}) AS STRING), '%') AS {k}") for k in kinds])
-        .withColumn("row_ord", F.col("platform"))
-    )
+    kinds = {"ECONOMY": "ECONOMY", "STANDARD": "STANDARD", "Pro Mo": "PROMO", "pro_mo": "SMALL", "pro mo": "LARGE"}
+    shares = [
+        F.expr(f"concat(cast(floor({_rate(f"p_type = '{k}'")}) AS STRING), '%') AS {k}") for k in kinds.values()
+    ]
+    table = read_table(spark, sf_dir, "part").groupBy(age.alias("platform")).agg(*shares)
+    # three headers are one platform, and the later two have gaps
+    gaps = {"pro_mo": F.col("platform").isin("20대", "40대"), "pro mo": ~F.col("platform").isin("30대", "50대")}
+    columns = [F.when(~gaps[name], F.col(k)) if name in gaps else F.col(k) for name, k in kinds.items()]
+    return table.select("platform", *columns, F.col("platform")).toDF("platform", *kinds, "row_ord")
 
 
 def media_span(spark: SparkSession, sf_dir: str) -> DataFrame:
