@@ -29,14 +29,16 @@ def pair_counts(df: DataFrame, pairs: dict[str, tuple[str, str]]) -> DataFrame:
     return long.groupBy("pair_name", "row_cat", "col_cat").agg(F.count("*").alias("n"))
 
 
-def crosstab(df: DataFrame, row: str, col: str) -> DataFrame:
-    """Long contingency table with 0 for absent cells, over the categories that occur."""
+def crosstab(df: DataFrame, row: str, col: str, categories: list[str]) -> DataFrame:
+    """Long contingency table with 0 for absent cells, over the categories that occur. ``categories`` is
+    the closed list of what the column can hold; a value outside of it is an error."""
     counts = pair_counts(df, {"": (row, col)}).drop("pair_name")
-    # the category list is one array of the few values a category column has
-    columns = counts.agg(F.sort_array(F.collect_set("col_cat"))).scalar()
-    cells = counts.select("row_cat").distinct().select("row_cat", F.explode(columns).alias("col_cat"))
-    filled = cells.join(counts, ["row_cat", "col_cat"], "left")
-    return filled.select("row_cat", "col_cat", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+    strange = F.raise_error(F.concat(F.lit(f"{col} has a category that isn't listed: "), F.col("col_cat")))
+    listed = counts.withColumn("col_cat", F.when(F.col("col_cat").isin(categories), F.col("col_cat")).otherwise(strange))
+    wide = listed.groupBy("row_cat").pivot("col_cat", categories).agg(F.sum("n"))
+    long = wide.unpivot("row_cat", categories, "col_cat", "n")
+    seen = long.groupBy("col_cat").agg(F.max("n").alias("_most")).filter("_most IS NOT NULL").select("col_cat")
+    return long.join(seen, "col_cat", "left_semi").select("row_cat", "col_cat", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
 
 
 def association(counts: DataFrame) -> DataFrame:

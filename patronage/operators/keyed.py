@@ -1,11 +1,13 @@
-"""Keyed writes as one aggregation: no merge support needed from the table format.
+"""Keyed writes without merge support from the table format.
 
-Target and source rows are put together and reduced per key with max_by / min_by. Each side is
-combined before the shuffle, so a key with very many copies costs one row per task.
+Source rows are reduced per key with max_by / min_by, combined before the shuffle, so a key with very
+many copies costs one row per task; then each key meets the target once.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,17 +61,24 @@ def replace(target: DataFrame, source: DataFrame, keys: list[str], order: list[s
 def _merge(
     target: DataFrame, source: DataFrame, keys: list[str], order: list[str], last: list[str], first: list[str]
 ) -> DataFrame:
+    """The target, whose keys are unique, joined with one row per key of the source: the target's rows
+    are neither grouped nor packed. NULL keys are equal."""
     present = set(source.columns)
     types = {f.name: f.dataType for f in target.schema.fields}
     fresh = source.select(
         *[(F.col(f"`{c}`") if c in present else F.lit(None)).cast(types[c]).alias(c) for c in target.columns],
-        F.lit(1).alias("_side"),
         _pack(order).alias("_order"),
     )
-    nothing = F.lit(None).cast(fresh.schema["_order"].dataType)
-    old = target.withColumns({"_side": F.lit(0), "_order": nothing})
-    both = old.unionByName(fresh)
-    return _reduce(both, keys, last, first, F.struct("_side", "_order")).select(target.columns)
+    new = _reduce(fresh, keys, last, first, F.col("_order")).withColumn("_new", F.lit(True)).alias("new")
+    old = target.withColumn("_old", F.lit(True)).alias("old")
+    same = reduce(lambda a, b: a & b, (F.col(f"old.`{k}`").eqNullSafe(F.col(f"new.`{k}`")) for k in keys))
+
+    def side(column: str) -> Column:
+        mine, theirs = F.col(f"old.`{column}`"), F.col(f"new.`{column}`")
+        prefer_new = F.col("_new").isNotNull() if column in last else F.col("_old").isNull()
+        return F.when(prefer_new, theirs).otherwise(mine).alias(column)
+
+    return old.join(new, same, "full_outer").select([side(c) for c in target.columns])
 
 
 def backfill(df: DataFrame, column: str, value: Column, where: Column) -> DataFrame:

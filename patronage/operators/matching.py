@@ -1,8 +1,8 @@
 """Substring joins as equi-joins.
 
 "Text contains name" holds if some piece of the text equals the name. Only pieces as long as some
-name can match, so a text of c characters gives c pieces per name length, and the pieces meet the
-names in a hash join: work grows with the texts, not with texts x names.
+name can match, so a text of c characters gives at most c pieces per name length, and the pieces meet
+the names in a hash join: work grows with the texts, not with texts x names.
 """
 
 from __future__ import annotations
@@ -19,16 +19,29 @@ NAME_COLUMNS = [
     ("area", "HPSN_MCT_BZN_CD_NM"),
 ]
 _ESCAPE = "\u0001"
+# Letters of a text that are searched at once.
+BLOCK = 64
 
 
 def _pieces(df: DataFrame, text: Column, lengths: Column, keep: list[str]) -> DataFrame:
-    """Every piece of the text with one of the lengths."""
-    long_text = df.select(*keep, text.alias("_text"))
-    sized = long_text.select("*", F.explode(lengths).alias("_len"))
-    starts = F.sequence(F.lit(1), F.length("_text") - F.col("_len") + 1)
-    fits = sized.filter(F.length("_text") >= F.col("_len"))
-    placed = fits.select("*", F.explode(starts).alias("_pos"))
-    return placed.select(*keep, F.substring("_text", F.col("_pos"), F.col("_len")).alias("_piece"))
+    """The different pieces of each block of a text that have one of the lengths.
+
+    Finding a place in a long text means walking there from its start, so a text is cut once into
+    letters, and these into blocks that overlap by the longest piece; pieces are taken inside the
+    short blocks. The work grows with the text's length, not with its square.
+    """
+    letters = "regexp_extract_all(_text, '(?s).', 0)"
+    starts = f"sequence(1, greatest(size(letters), 1), {BLOCK})"
+    block = f"array_join(slice(letters, s, {BLOCK} + array_max(_lengths) - 1), '')"
+    blocks = f"transform(array({letters}), letters -> transform({starts}, s -> {block}))[0]"
+    places = f"sequence(1, least({BLOCK}, char_length(_block) - n + 1))"
+    inside = f"transform({places}, p -> substring(_block, p, n))"
+    fitting = "filter(_lengths, n -> n > 0 AND n <= char_length(_block))"
+    empty = "if(array_contains(_lengths, 0), array(''), cast(array() AS array<string>))"  # is in every text
+    pieces = f"array_distinct(concat({empty}, flatten(transform({fitting}, n -> {inside}))))"
+    texts = df.select(*keep, text.alias("_text"), lengths.alias("_lengths")).filter("size(_lengths) > 0")
+    cut = texts.select(*keep, "_lengths", F.explode(F.expr(blocks)).alias("_block"))
+    return cut.select(*keep, F.explode(F.expr(pieces)).alias("_piece"))
 
 
 def _lengths(names: DataFrame, name: Column) -> Column:

@@ -23,6 +23,12 @@ def best_rules(rules: DataFrame) -> DataFrame:
     return best.select("k", "cluster_id", "_best.*")
 
 
+def newest_runs(rules: DataFrame) -> DataFrame:
+    """The rows of the newest run of each k: cluster 2 of an older run is another cluster."""
+    newest = rules.groupBy("k").agg(F.max("created_at").alias("created_at"))
+    return rules.join(newest, ["k", "created_at"], "left_semi")
+
+
 def latest_k(clusters: DataFrame) -> DataFrame:
     """One row with the k of the newest run; of runs at the same moment the larger k."""
     return clusters.agg(F.max(F.struct("created_at", "k")).alias("_newest")).select(F.col("_newest.k").alias("k"))

@@ -6,7 +6,10 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
+from ..functions.numbers import first_largest
 from ..operators.crosstab import association, pair_counts
+from ..schemas import AUD_COLS, AUDIENCES
+from .features import dominant_age
 
 # The tests by name.
 TESTS = {
@@ -23,8 +26,20 @@ def dataset(age_buckets: DataFrame, aud_buckets: DataFrame, flags: DataFrame) ->
     return both.select("mct_id", "ym", "age_bucket", "aud_bucket", "cancel_high", "delivery_high")
 
 
-def run_tests(rows: DataFrame) -> DataFrame:
-    return association(pair_counts(rows, TESTS))
+def dataset_from_features(rows: DataFrame) -> DataFrame:
+    """The same rows out of the wide feature rows: both buckets and the flags in one projection."""
+    return rows.select(
+        "mct_id",
+        "ym",
+        dominant_age().alias("age_bucket"),
+        first_largest(AUDIENCES, AUD_COLS).alias("aud_bucket"),
+        "cancel_high",
+        "delivery_high",
+    )
+
+
+def run_tests(rows: DataFrame, tests: dict[str, tuple[str, str]] = TESTS) -> DataFrame:
+    return association(pair_counts(rows, tests))
 
 
 def run(tables, run_ts: dt.datetime) -> None:

@@ -14,7 +14,7 @@ from ..operators.clustering import pivot_profile
 from ..operators.groups import attach, group_profiles, place_sums
 from ..operators.keyed import dedupe_last
 from ..operators.matching import longest_names, name_list
-from ..operators.ranking import best_rules, latest_k, top_per_group
+from ..operators.ranking import best_rules, latest_k, newest_runs, top_per_group
 from ..schemas import AGE_BANDS, AGE_COLS, AUD_COLS, AUDIENCES, FEATURES, FLAG_COLS
 from ..session import cut_lineage
 from .features import dominant_age
@@ -55,19 +55,20 @@ TAIL = """
 """
 CHART_LABELS = {"NEW": "신규", "REU": "단골", "RES": "예약", "WORK": "직장인", "FLOW": "유동"}
 CHART_FLOOR = 0.60
+EXTRACTS = ("age", "audience")
 
 
 @dataclass(frozen=True)
 class Sources:
-    """The tables a brief draws on."""
+    """The tables a brief draws on; a branch that doesn't need one may leave it out."""
 
     features: DataFrame
     stg_store: DataFrame
     clusters: DataFrame
-    profile: DataFrame
-    rules: DataFrame
-    media: DataFrame
-    keywords: DataFrame
+    profile: DataFrame | None
+    rules: DataFrame | None
+    media: DataFrame | None
+    keywords: DataFrame | None
     version: str
 
 
@@ -101,7 +102,10 @@ def parse_requests(requests: DataFrame, stg_store: DataFrame) -> DataFrame:
         filled = F.coalesce(F.nullif(F.col(column), F.lit("")), F.col(f"found_{column}"))
         return F.when(wanted, filled).otherwise(F.col(column))
 
-    both = raw.join(found, "text_norm", "left")
+    # only requests that need a lookup meet the names; the others keep what they came with
+    none = [F.lit(None).cast("string").alias(c) for c in ("found_area", "found_sector")]
+    looked_up = raw.filter(wanted).join(found, "text_norm", "left").select(*raw.columns, "found_area", "found_sector")
+    both = looked_up.unionByName(raw.filter(~wanted).select(*raw.columns, *none))
     return both.select(
         *[c for c in raw.columns if c not in ("area", "sector")],
         given("area").alias("area"),
@@ -131,9 +135,9 @@ def with_recommendations(rows: DataFrame, sources: Sources, top_media: int, top_
     """Rows (k, cluster_id, features) with the dominant age, the best rule and the ranked lists.
 
     The lookups are broadcast: the lists hold one row per age band, the rules one per cluster of
-    the few k that were tried.
+    the newest run of the few k that were tried.
     """
-    rules = best_rules(sources.rules).select("k", "cluster_id", "rule_text")
+    rules = best_rules(newest_runs(sources.rules)).select("k", "cluster_id", "rule_text")
     channels = top_items(sources.media, "channel", sources.version, top_media)
     keywords = top_items(sources.keywords, "keyword", sources.version, top_kw)
     aged = rows.withColumns({c: F.expr(f"coalesce(cast({c} AS DOUBLE), 0D)") for c in FEATURES})
@@ -314,9 +318,12 @@ def route(parsed: DataFrame, sources: Sources) -> DataFrame:
         "mct_id", F.lit(True).alias("_known")
     )
     named = (F.coalesce("area", F.lit("")) != "") | (F.coalesce("sector", F.lit("")) != "")
+    # a request without a shop meets nobody, and such requests would all be one key
+    names_shop = F.coalesce("mct_id", F.lit("")) != ""
+    met = parsed.filter(names_shop).join(known, "mct_id", "left").select(*parsed.columns, "_known")
+    both = met.unionByName(parsed.filter(~names_shop).withColumn("_known", F.lit(None).cast("boolean")))
     return (
-        parsed.join(known, "mct_id", "left")
-        .withColumn(
+        both.withColumn(
             "branch",
             F.when(F.col("per_store") & F.col("_known"), "store")
             .when(F.col("per_store") & named, "group")
@@ -327,20 +334,26 @@ def route(parsed: DataFrame, sources: Sources) -> DataFrame:
 
 
 def answer(
-    requests: DataFrame, sources: Sources, run_ts: dt.datetime, top_media: int = TOP_MEDIA, top_kw: int = TOP_KEYWORDS
+    requests: DataFrame,
+    sources: Sources,
+    run_ts: dt.datetime,
+    top_media: int = TOP_MEDIA,
+    top_kw: int = TOP_KEYWORDS,
+    k: int | None = None,
 ) -> DataFrame:
-    """The briefs of a batch of requests; the cluster briefs appear once if any request falls back
-    to them."""
+    """The briefs of a batch of requests; the cluster briefs, of ``k`` or else the latest k, appear
+    once if any request falls back to them."""
     routed = cut_lineage(route(parse_requests(requests, sources.stg_store), sources))
     stores = store_briefs(routed.filter(F.col("branch") == "store"), sources, top_media, top_kw)
     groups = group_briefs(routed.filter(F.col("branch") == "group"), sources, run_ts, top_media, top_kw)
     needed = routed.agg(F.bool_or(F.col("branch") == "cluster")).scalar()
-    clusters = cluster_briefs(sources, run_ts, None, top_media, top_kw).filter(needed)
+    clusters = cluster_briefs(sources, run_ts, k, top_media, top_kw).filter(needed)
     return stores.unionByName(groups).unionByName(clusters)
 
 
 def brief_json(rows: DataFrame) -> Column:
-    """The brief as one JSON document; missing parts stay as null."""
+    """The brief as one JSON document; missing parts stay as null. ``assets`` is in it where there are
+    extracts."""
     payload = F.struct(
         "k",
         "cluster_id",
@@ -354,6 +367,7 @@ def brief_json(rows: DataFrame) -> Column:
         "rec_keywords",
         "context_lines",
         "user_input",
+        *(["assets"] if "assets" in rows.columns else []),
     )
     return F.to_json(payload, {"ignoreNullFields": "false"})
 
@@ -364,9 +378,26 @@ def bundles(briefs: DataFrame, version: str) -> DataFrame:
     return dedupe_last(rows, ["mct_id", "ym", "version"], ["request_id"]).drop("request_id")
 
 
-def run(tables, requests: DataFrame, sources: Sources, run_ts: dt.datetime) -> DataFrame:
-    """Answer requests and store the briefs; returns the brief rows."""
-    made = answer(requests, sources, run_ts)
+def run(
+    tables,
+    requests: DataFrame,
+    sources: Sources,
+    run_ts: dt.datetime,
+    k: int | None = None,
+    top_media: int = TOP_MEDIA,
+    top_kw: int = TOP_KEYWORDS,
+    extracts_folder: str | None = None,
+) -> DataFrame:
+    """Answer requests and store the briefs; returns the brief rows. With a folder the chart extracts of
+    all targets are written there, below the run's time, and every bundle names its own."""
+    made = answer(requests, sources, run_ts, top_media, top_kw, k)
+    if extracts_folder is not None:
+        made = cut_lineage(made)
+        folder = f"{extracts_folder}/{run_ts:%Y%m%dT%H%M%S}"
+        made = made.withColumn("target", F.md5(F.concat_ws("/", "mct_id", "ym")))
+        write_extracts(made.dropDuplicates(["target"]), ["target"], folder)
+        places = [F.concat(F.lit(f"{folder}/{part}/target="), F.col("target")) for part in EXTRACTS]
+        made = made.withColumn("assets", F.array(*places)).drop("target")
     tables.replace("mat_prompt_bundle", bundles(made, sources.version), ["version"])
     return made
 
@@ -412,11 +443,11 @@ def profile_extract(profiles: DataFrame, keys: list[str], part: str) -> DataFram
     value)."""
     age = part == "age"
     bars = _bars("bucket", AGE_BANDS, AGE_COLS) if age else _bars("metric", AUDIENCES, AUD_COLS)
-    return profiles.select(*keys, F.inline(bars)).drop("place")
+    return profiles.select(*keys, F.inline(bars)).select(*keys, "bucket" if age else "metric", "value")
 
 
 def write_extracts(profiles: DataFrame, keys: list[str], folder: str) -> None:
-    """Both extracts as CSV, one folder per profile."""
-    for part in ("age", "audience"):
+    """Both extracts as CSV, one folder per profile, in a folder that isn't there yet."""
+    for part in EXTRACTS:
         rows = profile_extract(profiles, keys, part)
-        rows.write.mode("overwrite").option("header", True).partitionBy(*keys).csv(f"{folder}/{part}")
+        rows.write.option("header", True).partitionBy(*keys).csv(f"{folder}/{part}")

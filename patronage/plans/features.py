@@ -111,8 +111,29 @@ def store_features_from_staging(
     return _finish(demo, perf_flags(stg_perf), dim_store(stg_store), latest_only)
 
 
+def store_features_from_months(months: DataFrame, stg_store: DataFrame, latest_only: bool = False) -> DataFrame:
+    """The same rows from staged months that hold demographics and performance side by side, with
+    ``has_perf`` false where the performance table lacks the month: no join on the month at all."""
+    keyed = _keyed(months)
+    flags = [
+        F.when(F.col("has_perf"), flag).alias(name)
+        for name, flag in (("cancel_high", mentions_high("APV_CE_RAT")), ("delivery_high", above_half("DLV_SAA_RAT")))
+    ]
+    rows = _with_age_mix(keyed).select(
+        "mct_id",
+        "ym",
+        *AGE_COLS,
+        *[_audience(_AUD_SOURCES[name]).alias(c) for name, c in zip(AUDIENCES, AUD_COLS)],
+        *flags,
+    )
+    return _with_shops(rows, dim_store(stg_store), latest_only)
+
+
 def _finish(rows: DataFrame, flags: DataFrame, stores: DataFrame, latest_only: bool) -> DataFrame:
-    wide = rows.join(flags, ["mct_id", "ym"], "left")
+    return _with_shops(rows.join(flags, ["mct_id", "ym"], "left"), stores, latest_only)
+
+
+def _with_shops(wide: DataFrame, stores: DataFrame, latest_only: bool) -> DataFrame:
     if latest_only:
         rest = F.struct("ym", *FEATURES)
         wide = wide.groupBy("mct_id").agg(F.max_by(rest, "ym").alias("_row")).select("mct_id", "_row.*")

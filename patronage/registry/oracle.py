@@ -146,7 +146,7 @@ _CTES: dict[str, str] = {
             ELSE CASE WHEN min(l_discount) < 0.05 THEN '5_하위' END END AS APV_CE_RAT,
           CASE WHEN count(*) = 1 THEN -999999.9
             ELSE (count(*) FILTER (WHERE l_returnflag = 'R'))::DOUBLE / count(*) END AS DLV_SAA_RAT
-        FROM lines WHERE l_returnflag <> 'A' GROUP BY mct_id, ym""",
+        FROM lines GROUP BY mct_id, ym HAVING count(*) FILTER (l_returnflag <> 'A') > 0""",
     "age_sums": "SELECT mct_id, ym, "
     + ", ".join(f"{_share(f'M12_MAL_{code}_RAT')} + {_share(f'M12_FME_{code}_RAT')} AS s_{c}" for c, code in zip(AGE_COLS, _AGE_CODES))
     + " FROM stg_demo",
@@ -172,6 +172,9 @@ _CTES: dict[str, str] = {
         SELECT ag.mct_id, ag.ym, age_bucket, aud_bucket, cancel_high, delivery_high
         FROM age_bucket ag JOIN aud_bucket au ON au.mct_id = ag.mct_id AND au.ym = ag.ym
         LEFT JOIN flags f ON f.mct_id = ag.mct_id AND f.ym = ag.ym""",
+    "flag_cells": """
+        SELECT cancel_high AS r, delivery_high AS c, count(*) AS n FROM assoc
+        WHERE cancel_high IS NOT NULL AND delivery_high IS NOT NULL GROUP BY ALL""",
     "assoc_cells": """
         SELECT 'age_bucket~aud_bucket' AS pair_name, age_bucket AS r, aud_bucket AS c, count(*) AS n FROM assoc GROUP BY ALL
         UNION ALL SELECT 'age_bucket~cancel_high', age_bucket, cancel_high::VARCHAR, count(*)
@@ -196,6 +199,7 @@ _CTES: dict[str, str] = {
         SELECT mct_id, ym, arg_max(age_bucket, o_orderkey) AS age_bucket, min(o_orderkey) AS first_key
         FROM orders_src GROUP BY mct_id, ym""",
     "media_by_age": f"SELECT p_brand AS channel, {_by_age_sql} FROM part GROUP BY p_brand",
+    "keyword_by_age": f"SELECT p_name, {_by_age_sql} FROM part GROUP BY p_name",
     "video_by_age": f"""
         SELECT CASE WHEN p_type = 'PROMO' THEN p_brand ELSE p_type || ' video' END AS platform, {_by_age_sql}
         FROM part GROUP BY 1""",
@@ -248,16 +252,9 @@ _CTES: dict[str, str] = {
         " FROM labelled GROUP BY cluster_id"
         for f in FEATURES
     ),
-    "profile_before": "SELECT cluster_id, "
-    + ", ".join(f"{_mean(f, 12)} AS {f}" for f in FEATURES)
-    + " FROM labelled WHERE cancel_high = 0 AND delivery_high = 0 GROUP BY cluster_id",
     "profile_now": "SELECT cluster_id, "
     + ", ".join(f"{_mean(f, 12)} AS {f}" for f in FEATURES)
     + " FROM labelled GROUP BY cluster_id",
-    # every cluster of the earlier run is in the later one; a cluster only in the later one takes its values
-    "profile_first": "SELECT cluster_id, "
-    + ", ".join(f"coalesce(b.{f}, n.{f}) AS {f}" for f in FEATURES)
-    + " FROM profile_now n LEFT JOIN profile_before b USING (cluster_id)",
     "leaf_counts": f"""
         SELECT {_argmax(AUD_COLS, AUDIENCES)} || ' ' || cancel_high::INT::VARCHAR AS leaf, cluster_id, count(*) AS n
         FROM labelled GROUP BY ALL""",
@@ -362,7 +359,7 @@ _CTES: dict[str, str] = {
 }
 
 
-def _brief(source: str) -> str:
+def _brief(source: str, extra: str = "") -> str:
     """Title and text over one of the brief row sources."""
     title = (
         "left(CASE WHEN ctx_title <> '' THEN ctx_title || ' | ' ELSE '' END || '[Cluster ' || b.cluster_id::VARCHAR"
@@ -399,7 +396,7 @@ def _brief(source: str) -> str:
     return f"""
         SELECT b.request_id, b.mct_id, b.ym, b.k::BIGINT AS k, b.cluster_id::BIGINT AS cluster_id, {title} AS title,
           {' || '.join(parts)} AS user_prompt, r.rule_text, dom_age, coalesce(m.listing, '') AS channels,
-          coalesce(w.listing, '') AS keywords, context
+          coalesce(w.listing, '') AS keywords, context{extra}
         FROM (SELECT *, {_argmax(AGE_COLS, AGE_BANDS)} AS dom_age FROM {source}) b
         LEFT JOIN best_rules r ON r.k = b.k AND r.cluster_id = b.cluster_id
         LEFT JOIN media_lists m ON m.age_group = dom_age LEFT JOIN keyword_lists w ON w.age_group = dom_age"""
@@ -437,6 +434,15 @@ _ratio_value = (
 )
 _audience_names = {"NEW": "신규", "REU": "단골", "RES": "예약", "WORK": "직장인", "FLOW": "유동"}
 
+_profile = " || ',' || ".join(f"format('{{:.8f}}', coalesce(b.{c}, 0)::DOUBLE)" for c in FEATURES)
+_extra = f", {_profile} AS profile, b.user_input"
+_bundles = f"""
+        SELECT *, '{VERSION}' AS version FROM (
+          {_brief("brief_store", _extra)} UNION ALL {_brief("brief_group", _extra)} UNION ALL {_brief("brief_cluster", _extra)}
+          WHERE EXISTS (SELECT 1 FROM parsed p ANTI JOIN newest n ON n.mct_id = p.mct_id
+            WHERE p.area IS NULL AND p.sector IS NULL))
+        QUALIFY row_number() OVER (PARTITION BY mct_id, ym ORDER BY request_id DESC) = 1"""
+
 ORACLE: dict[str, str] = {
     "dim_store": """
         SELECT ENCODED_MCT AS mct_id, MCT_NM AS name, HPSN_MCT_ZCD_NM AS sector, HPSN_MCT_BZN_CD_NM AS biz_zone,
@@ -471,6 +477,14 @@ ORACLE: dict[str, str] = {
             lambda i: pow(chi2 / 2, i) / factorial(i::INTEGER)::DOUBLE)), 8) AS p_value,
           round(sqrt(chi2 / n / (least(nr, nc) - 1)), 8) AS cramers_v, n::BIGINT AS n
         FROM assoc_sums""",
+    # the tail for one degree of freedom is 1 - erf(sqrt(chi2 / 2)), by a series without alternating signs
+    "assoc_two_by_two": """
+        SELECT 'cancel_high~delivery_high' AS pair_name, round(chi2, 8) AS chi2, 1::BIGINT AS dof,
+          round(1 - list_sum(list_transform(range(0, 400),
+            lambda i: CASE WHEN chi2 > 0 THEN exp(-chi2 / 2 + (i + 0.5) * ln(chi2 / 2) - lgamma(i + 1.5)) ELSE 0 END)), 8) + 0 AS p_value,
+          round(sqrt(chi2 / n), 8) AS cramers_v, n::BIGINT AS n
+        FROM (SELECT sum(pow(abs(o - e) - least(0.5, abs(o - e)), 2) / e) AS chi2, sum(o) AS n FROM (
+          SELECT n AS o, (sum(n) OVER (PARTITION BY r)) * (sum(n) OVER (PARTITION BY c))::DOUBLE / sum(n) OVER () AS e FROM flag_cells))""",
     "upsert_rows": """
         SELECT coalesce(t.mct_id, s.mct_id) AS mct_id, coalesce(t.ym, s.ym) AS ym,
           CASE WHEN s.mct_id IS NOT NULL THEN s.age_bucket ELSE t.age_bucket END AS age_bucket,
@@ -536,6 +550,10 @@ ORACLE: dict[str, str] = {
         SELECT CASE age {' '.join(f"WHEN '{a}' THEN '{g}'" for a, g in _groups.items())} END AS age_group, channel,
           round(arg_max(CASE WHEN value > 1 THEN value / 100 ELSE value END, (length(header), row_ord)), 4) AS affinity
         FROM video_transposed GROUP BY ALL""",
+    "affinity_keyword_by_age": _cells("keyword_by_age", "replace(p_name, ' ', '')").replace("channel", "keyword"),
+    "affinity_stored": f"""
+        SELECT '{VERSION}' AS version, 'channel' AS kind, age_group, channel AS item, affinity FROM media_merged
+        UNION ALL SELECT '{VERSION}', 'keyword', age_group, keyword, affinity FROM interest_rows""",
     "affinity_merge": f"SELECT '{VERSION}' AS version, * FROM media_merged",
     "top_media": "SELECT version, age_group, channel, affinity, rank::BIGINT AS rank FROM media_ranked",
     "top_keywords": "SELECT version, age_group, keyword, affinity, rank::BIGINT AS rank FROM keywords_ranked",
@@ -548,7 +566,7 @@ ORACLE: dict[str, str] = {
     "nearest_center": "SELECT vec_id, cluster_id::BIGINT AS cluster_id, round(d, 6) AS squared_distance FROM near",
     "inertia_fixed": "SELECT round(sum(d), 6) AS inertia FROM near",
     "cluster_profile": "SELECT cluster_id::BIGINT AS cluster_id, feature, mean, std, n::BIGINT AS n FROM profile",
-    "profile_pivot": f"SELECT cluster_id::BIGINT AS cluster_id, {', '.join(FEATURES)} FROM profile_first",
+    "profile_pivot": f"SELECT cluster_id::BIGINT AS cluster_id, {', '.join(FEATURES)} FROM profile_now",
     "latest_k": "SELECT left(o_orderpriority, 1)::BIGINT AS k FROM orders ORDER BY o_orderdate DESC, 1 DESC LIMIT 1",
     "stratified_counts": """
         SELECT cluster_id::BIGINT AS cluster_id, (n - t)::BIGINT AS n_train, t::BIGINT AS n_test FROM (
@@ -570,6 +588,10 @@ ORACLE: dict[str, str] = {
         FROM rule_rows r JOIN rule_stats s USING (rule_id)""",
     "vocab": "SELECT * FROM vocab",
     "longest_match": "SELECT request_id, kind, name FROM found",
+    "names_in_documents": """
+        SELECT doc_id, kind, name FROM documents JOIN (
+          SELECT DISTINCT 'word' AS kind, lower(string_split(text, ' ')[1]) AS name FROM benchmark) ON contains(text, name)
+        WHERE length(name) BETWEEN 5 AND 8 QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY length(name) DESC, name) = 1""",
     "like_filter": """
         SELECT param, value FROM (SELECT DISTINCT 'nat%' || substr(n_name, 8) AS param FROM nation)
         JOIN (SELECT DISTINCT 'Nation ' || p_name || ' ' || p_size::VARCHAR AS value FROM part)
@@ -587,12 +609,16 @@ ORACLE: dict[str, str] = {
     "store_brief": _brief("brief_store"),
     "group_brief": _brief("brief_group"),
     "cluster_brief": f"SELECT * EXCLUDE (request_id, context) FROM ({_brief('brief_cluster')})",
-    "brief_bundles": f"""
-        SELECT * EXCLUDE (request_id), '{VERSION}' AS version, NULL::VARCHAR AS system_prompt FROM (
-          {_brief("brief_store")} UNION ALL {_brief("brief_group")} UNION ALL {_brief("brief_cluster")}
-          WHERE EXISTS (SELECT 1 FROM parsed p ANTI JOIN newest n ON n.mct_id = p.mct_id
-            WHERE p.area IS NULL AND p.sector IS NULL))
-        QUALIFY row_number() OVER (PARTITION BY mct_id, ym ORDER BY request_id DESC) = 1""",
+    "brief_bundles": f"SELECT * EXCLUDE (request_id), NULL::VARCHAR AS system_prompt FROM ({_bundles})",
+    "brief_json": f"""
+        SELECT mct_id, ym, version, 'k,cluster_id,title,system_prompt,user_prompt,rule_text,dom_age,profile,rec_channels,rec_keywords,'
+          || 'context_lines,user_input' AS fields FROM ({_bundles})""",
+    "kmeans_choose_k": """
+        SELECT unnest(range(3, 8)) AS k, n, true AS inertia_of_centers, true AS chosen_is_best FROM (SELECT count(*) AS n FROM features)""",
+    "store_clusters": "SELECT mct_id, max(ym) AS ym, true AS nearest FROM features GROUP BY mct_id",
+    "fitted_rules": """
+        SELECT (count(*) - ceil(0.2 * count(*)))::BIGINT AS support, true AS full_leaves, true AS shallow, true AS no_gap FROM features""",
+    "rule_assign": "SELECT DISTINCT mct_id, 5::BIGINT AS k, true AS meets_rule FROM features",
     "chart_age": """
         SELECT mct_id, ym, bucket, value, rank::BIGINT AS rank, round_even(value / 0.01, 0)::INT::VARCHAR || '%' AS label
         FROM (SELECT *, row_number() OVER (PARTITION BY mct_id, ym ORDER BY value DESC, o) AS rank FROM ("""
@@ -605,17 +631,18 @@ ORACLE: dict[str, str] = {
     + _bars(f"SELECT mct_id, ym, '{_audience_names[a]}' AS metric, {c}::DOUBLE AS value, {i} AS o FROM features" for i, (a, c) in enumerate(zip(AUDIENCES, AUD_COLS)))
     + ") WHERE value >= 0.6)",
     "profile_extract_age": _bars(
-        f"SELECT cluster_id::BIGINT AS cluster_id, '{b}' AS bucket, {c} AS value FROM profile_first" for b, c in zip(AGE_BANDS, AGE_COLS)
+        f"SELECT cluster_id::BIGINT AS cluster_id, '{b}' AS bucket, {c} AS value FROM profile_now" for b, c in zip(AGE_BANDS, AGE_COLS)
     ),
     "profile_extract_audience": _bars(
-        f"SELECT cluster_id::BIGINT AS cluster_id, '{a}' AS metric, {c} AS value FROM profile_first" for a, c in zip(AUDIENCES, AUD_COLS)
+        f"SELECT cluster_id::BIGINT AS cluster_id, '{a}' AS metric, {c} AS value FROM profile_now" for a, c in zip(AUDIENCES, AUD_COLS)
     ),
     "rounded_shares": """
         SELECT l_orderkey, l_partkey, l_linenumber::BIGINT AS l_linenumber,
           format('{:.2f}', l_extendedprice * l_discount)::DOUBLE AS v2, format('{:.3f}', l_extendedprice * l_discount)::DOUBLE AS v3
         FROM lineitem""",
 }
-ORACLE["store_features_joined"] = ORACLE["store_features"]
+ORACLE["store_features_joined"] = ORACLE["store_features_staged"] = ORACLE["store_features"]
+ORACLE["assoc_dataset_joined"] = ORACLE["assoc_dataset"]
 ORACLE["table_reload"] = ORACLE["region_age_avg"]
 
 

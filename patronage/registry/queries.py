@@ -17,6 +17,7 @@ from ..operators import rules as tree_rules
 from ..operators.crosstab import crosstab
 from ..operators.groups import attach, group_profiles, place_sums
 from ..operators.matching import like_matches, longest_names, name_list, vocabulary
+from ..plans import affinity as affinity_job
 from ..plans import association, briefs, explain, features, segments
 from ..schemas import AUD_COLS, AUDIENCES, FEATURES
 from ..session import cut_lineage, scratch_path
@@ -47,9 +48,7 @@ def query(run: Query) -> Query:
 
 
 def _features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return features.store_features_from_staging(
-        star.stg_demo(spark, sf_dir), star.stg_perf(spark, sf_dir), star.stg_store(spark, sf_dir)
-    )
+    return features.store_features_from_months(star.staged_months(spark, sf_dir), star.stg_store(spark, sf_dir))
 
 
 # --- features --------------------------------------------------------------------------------------
@@ -105,8 +104,16 @@ def store_features_joined(spark, sf_dir):
 
 @query
 def store_features_latest(spark, sf_dir):
+    return features.store_features_from_months(
+        star.staged_months(spark, sf_dir), star.stg_store(spark, sf_dir), latest_only=True
+    )
+
+
+@query
+def store_features_staged(spark, sf_dir):
+    """The same rows by way of the two staging tables."""
     return features.store_features_from_staging(
-        star.stg_demo(spark, sf_dir), star.stg_perf(spark, sf_dir), star.stg_store(spark, sf_dir), latest_only=True
+        star.stg_demo(spark, sf_dir), star.stg_perf(spark, sf_dir), star.stg_store(spark, sf_dir)
     )
 
 
@@ -124,6 +131,12 @@ def aud_bucket(spark, sf_dir):
 
 
 def _assoc_rows(spark, sf_dir):
+    return association.dataset_from_features(_features(spark, sf_dir))
+
+
+@query
+def assoc_dataset_joined(spark, sf_dir):
+    """The same rows by way of the stored bucket and flag tables."""
     demo = star.stg_demo(spark, sf_dir)
     return association.dataset(
         features.age_bucket(features.age_mix(demo)),
@@ -139,17 +152,17 @@ def assoc_dataset(spark, sf_dir):
 
 @query
 def crosstab_age_aud(spark, sf_dir):
-    return crosstab(_assoc_rows(spark, sf_dir), "age_bucket", "aud_bucket")
+    return crosstab(_assoc_rows(spark, sf_dir), "age_bucket", "aud_bucket", AUDIENCES)
 
 
 @query
 def crosstab_age_cancel(spark, sf_dir):
-    return crosstab(_assoc_rows(spark, sf_dir), "age_bucket", "cancel_high")
+    return crosstab(_assoc_rows(spark, sf_dir), "age_bucket", "cancel_high", ["0", "1"])
 
 
 @query
 def crosstab_aud_delivery(spark, sf_dir):
-    return crosstab(_assoc_rows(spark, sf_dir), "aud_bucket", "delivery_high")
+    return crosstab(_assoc_rows(spark, sf_dir), "aud_bucket", "delivery_high", ["0", "1"])
 
 
 @query
@@ -158,6 +171,14 @@ def assoc_tests(spark, sf_dir):
     return tested.withColumns({c: F.round(c, 8) for c in ("chi2", "p_value", "cramers_v")})
 
 
+@query
+def assoc_two_by_two(spark, sf_dir):
+    """Both flags against each other: one degree of freedom, with continuity correction."""
+    tests = {"cancel_high~delivery_high": ("cancel_high", "delivery_high")}
+    tested = association.run_tests(_assoc_rows(spark, sf_dir), tests)
+    return tested.withColumns({c: F.round(c, 8) for c in ("chi2", "p_value", "cramers_v")})
+
+
 # --- keyed writes ----------------------------------------------------------------------------------
 
 
@@ -352,6 +373,32 @@ def affinity_name_pairs(spark, sf_dir):
     return affinity.interest_affinity(star.interest_span(spark, sf_dir))
 
 
+@query
+def affinity_keyword_by_age(spark, sf_dir):
+    """Keywords in rows, one column per age."""
+    return affinity.interest_affinity(star.keyword_by_age(spark, sf_dir))
+
+
+@query
+def affinity_stored(spark, sf_dir):
+    """Affinity inputs written to CSV, loaded by the job into stored tables over an earlier load of the
+    same version, read back."""
+    folder = scratch_path(spark, "affinity")
+    made = {"media": star.media_by_age, "interest": star.interest_span, "video": star.video_by_age}
+    for name, build in made.items():
+        rows = build(spark, sf_dir).drop("row_ord")
+        rows.coalesce(1).write.option("header", True).option("escape", '"').csv(f"{folder}/{name}")
+    tables = Tables(spark, f"{folder}/tables")
+    paths = {name: f"{folder}/{name}" for name in made}
+    affinity_job.run(tables, {"media": paths["media"], "interest": paths["interest"]}, VERSION)
+    affinity_job.run(tables, paths, VERSION)
+    media, keywords = tables.read("dim_age_affinity_media"), tables.read("dim_age_affinity_keyword")
+    both = media.withColumnRenamed("channel", "item").withColumn("kind", F.lit("channel")).unionByName(
+        keywords.withColumnRenamed("keyword", "item").withColumn("kind", F.lit("keyword"))
+    )
+    return both.select("version", "kind", "age_group", "item", "affinity")
+
+
 @query
 def affinity_transpose(spark, sf_dir):
     return affinity.video_affinity(star.video_transposed(spark, sf_dir))
@@ -463,12 +510,13 @@ def _given_profile(labelled: DataFrame) -> DataFrame:
 
 
 def _given_rules(labelled: DataFrame) -> DataFrame:
-    """One rule per strongest audience and cancel flag, with data-derived support and precision."""
+    """Rules of two runs. In the newer one a rule per strongest audience and cancel flag, with
+    data-derived support and precision; in the older one the same rules, certain, for other clusters."""
     leaf = F.concat_ws(
         " ", features.first_largest(AUDIENCES, AUD_COLS), F.col("cancel_high").cast("int").cast("string")
     )
     stats = tree_rules.leaf_stats(labelled.withColumn("leaf", leaf), "leaf", "cluster_id")
-    return stats.select(
+    rules = stats.select(
         F.dense_rank().over(W.orderBy("leaf")).cast("long").alias("rule_id"),
         F.lit(5).alias("k"),
         F.when(F.col("leaf").startswith("NEW"), 1).otherwise(2).alias("depth"),
@@ -476,7 +524,16 @@ def _given_rules(labelled: DataFrame) -> DataFrame:
         F.col("leaf").alias("rule_text"),
         "support",
         F.round("rule_precision", 2).alias("rule_precision"),
+        F.lit(RUN_TS).alias("created_at"),
     )
+    older = {
+        "rule_id": F.col("rule_id") + 100,
+        "cluster_id": 4 - F.col("cluster_id"),
+        "rule_text": F.concat(F.lit("old "), F.col("rule_text")),
+        "rule_precision": F.lit(1.0),
+        "created_at": F.lit(EARLIER_TS),
+    }
+    return rules.unionByName(rules.withColumns(older))
 
 
 @query
@@ -533,7 +590,8 @@ def rule_stats(spark, sf_dir):
 
 @query
 def best_rule(spark, sf_dir):
-    return ranking.best_rules(_given_rules(_labelled(spark, sf_dir)))
+    rules = ranking.newest_runs(_given_rules(_labelled(spark, sf_dir)))
+    return ranking.best_rules(rules).drop("created_at")
 
 
 @query
@@ -558,6 +616,15 @@ def longest_match(spark, sf_dir):
     return longest_names(star.requests(spark, sf_dir), "request_id", "user_input", names)
 
 
+@query
+def names_in_documents(spark, sf_dir):
+    """The longest name in each whole document: opening words of the benchmark's texts of five to eight letters."""
+    first = F.lower(F.substring_index("text", " ", 1))
+    names = _table(spark, sf_dir, "benchmark").select(F.lit("word").alias("kind"), first.alias("name"))
+    names = names.filter(F.length("name").between(5, 8)).distinct()
+    return longest_names(_table(spark, sf_dir, "documents"), "doc_id", "text", names)
+
+
 @query
 def like_filter(spark, sf_dir):
     """Names of nations as patterns over all customer and part names; ``_`` is a wildcard."""
@@ -593,20 +660,21 @@ def representative_cluster(spark, sf_dir):
     return attach(asked.select("request_id", "area", "sector"), answers.select("area", "sector", "cluster_id"))
 
 
-def _sources(spark, sf_dir) -> briefs.Sources:
-    """The tables behind the briefs, written once and then read, as in the stored pipeline."""
+def _sources(spark, sf_dir, profile: bool = False, lists: bool = True) -> briefs.Sources:
+    """The tables behind the briefs. The feature rows are written once, since several jobs read them;
+    profiles and the lists of rules and affinities are made only where a branch asks for them."""
     rows = cut_lineage(_features(spark, sf_dir))
-    clusters = cut_lineage(_given_clusters(rows))
-    labelled = cut_lineage(explain.labelled_rows(clusters, rows))
-    media, keywords = _affinity(spark, sf_dir)
+    clusters = _given_clusters(rows)
+    labelled = cut_lineage(explain.labelled_rows(clusters, rows)) if lists else None
+    media, keywords = _affinity(spark, sf_dir) if lists else (None, None)
     return briefs.Sources(
         features=rows,
         stg_store=star.stg_store(spark, sf_dir),
         clusters=clusters,
-        profile=cut_lineage(_given_profile(labelled)),
-        rules=cut_lineage(_given_rules(labelled)),
-        media=cut_lineage(media),
-        keywords=cut_lineage(keywords),
+        profile=_given_profile(labelled) if profile else None,
+        rules=_given_rules(labelled) if lists else None,
+        media=media,
+        keywords=keywords,
         version=VERSION,
     )
 
@@ -633,7 +701,7 @@ def _shown(df: DataFrame) -> DataFrame:
 
 @query
 def request_branch(spark, sf_dir):
-    sources = _sources(spark, sf_dir)
+    sources = _sources(spark, sf_dir, lists=False)
     parsed = briefs.parse_requests(star.requests(spark, sf_dir), sources.stg_store)
     return briefs.route(parsed, sources).select("request_id", "branch")
 
@@ -653,29 +721,32 @@ def group_brief(spark, sf_dir):
 
 @query
 def cluster_brief(spark, sf_dir):
-    return _shown(briefs.cluster_briefs(_sources(spark, sf_dir), RUN_TS)).drop("request_id", "context")
+    return _shown(briefs.cluster_briefs(_sources(spark, sf_dir, profile=True), RUN_TS)).drop("request_id", "context")
 
 
 @query
 def brief_json(spark, sf_dir):
-    """All requests answered by their branch, as stored JSON rows."""
-    sources = _sources(spark, sf_dir)
-    made = cut_lineage(briefs.answer(star.requests(spark, sf_dir), sources, RUN_TS))
-    return briefs.bundles(made, VERSION)
+    """All requests answered by their branch, as stored JSON rows: the fields of each document."""
+    sources = _sources(spark, sf_dir, profile=True)
+    stored = briefs.bundles(briefs.answer(star.requests(spark, sf_dir), sources, RUN_TS), VERSION)
+    return stored.select("mct_id", "ym", "version", F.array_join(F.json_object_keys("bundle"), ",").alias("fields"))
 
 
 @query
 def brief_bundles(spark, sf_dir):
     """The stored JSON rows of all requests, read back field by field."""
-    sources = _sources(spark, sf_dir)
+    sources = _sources(spark, sf_dir, profile=True)
     stored = briefs.bundles(briefs.answer(star.requests(spark, sf_dir), sources, RUN_TS), VERSION)
     item = "struct<channel:string,keyword:string,affinity:double>"
     fields = (
         "k int, cluster_id int, title string, system_prompt string, user_prompt string, rule_text string,"
-        f" dom_age string, rec_channels array<{item}>, rec_keywords array<{item}>, context_lines array<string>"
+        f" dom_age string, rec_channels array<{item}>, rec_keywords array<{item}>, context_lines array<string>,"
+        f" profile struct<{','.join(f'{c}:double' for c in FEATURES)}>, user_input string"
     )
     read = stored.select("mct_id", "ym", "version", F.from_json("bundle", fields).alias("_b")).select("*", "_b.*").drop("_b")
-    return _listed(read, "mct_id", "ym", "version", "system_prompt")
+    values = ", ".join(f"format_string('%.8f', profile.{c})" for c in FEATURES)
+    read = read.withColumn("profile", F.expr(f"concat_ws(',', {values})"))
+    return _listed(read, "mct_id", "ym", "version", "system_prompt", "profile", "user_input")
 
 
 def _profiles(spark, sf_dir):
@@ -715,35 +786,80 @@ def rounded_shares(spark, sf_dir):
     )
 
 
-# --- fitted models (rows only) -------------------------------------------------------------------------
+# --- fitted models: what holds for every fit -------------------------------------------------------------
+
+
+def _center_distances(segs: clustering.Segments) -> F.Column:
+    """Squared distances of a row with the scaled features to each centre of a fit, with its cluster id."""
+    rows = []
+    for i, center in zip(segs.ids, segs.model.clusterCenters()):
+        squares = " + ".join(f"pow(z_{f} - {float(x)!r}D, 2)" for f, x in zip(FEATURES, center))
+        rows.append(F.expr(f"struct({squares} AS distance, {i} AS cluster_id)"))
+    return F.array_min(F.array(*rows))
 
 
 @query
 def kmeans_choose_k(spark, sf_dir):
+    """Each k that was tried: rows, whether the inertia is that of the centres, and whether one k is
+    chosen that has the top silhouette."""
     rows = cut_lineage(_features(spark, sf_dir))
     best, found = clustering.choose_segments(rows, FEATURES)
-    values = [(s.k, s.inertia, s.silhouette, s.measure, s.k == best.k) for s in found]
-    return spark.createDataFrame(values, "k int, inertia double, silhouette double, measure string, chosen boolean")
+    scaled = clustering.fill_missing(rows, FEATURES).select(*best.scaler.columns())
+    nearest = [F.sum(_center_distances(s)["distance"]).alias(f"k{s.k}") for s in found]
+    sums = scaled.agg(F.count("*").alias("n"), *nearest).first()
+    top = max(s.silhouette for s in found)
+    values = [
+        (s.k, sums["n"], abs(s.inertia - sums[f"k{s.k}"]) <= 1e-9 * s.inertia, best.silhouette == top and best in found)
+        for s in found
+    ]
+    return spark.createDataFrame(values, "k int, n long, inertia_of_centers boolean, chosen_is_best boolean")
 
 
 def _segmented(spark, sf_dir):
     rows = cut_lineage(_features(spark, sf_dir))
-    made = segments.segment(rows, RUN_TS, k=5, measure="squared")
-    return rows, made
+    return rows, segments.segment(rows, RUN_TS, k=5)
 
 
 @query
 def store_clusters(spark, sf_dir):
-    return _segmented(spark, sf_dir)[1].clusters
+    """Every shop's newest month, and whether the centre of the shop's cluster is the nearest to it."""
+    rows, made = _segmented(spark, sf_dir)
+    scaled = clustering.fill_missing(rows, FEATURES).select("mct_id", "ym", *made.segments.scaler.columns())
+    near = scaled.select("mct_id", "ym", _center_distances(made.segments)["cluster_id"].alias("_near"))
+    joined = made.clusters.join(near, ["mct_id", "ym"])
+    return joined.select("mct_id", "ym", (F.col("_near") == F.col("cluster_id")).alias("nearest"))
+
+
+def _explained(spark, sf_dir):
+    rows, made = _segmented(spark, sf_dir)
+    return rows, explain.explain(cut_lineage(made.clusters), rows, RUN_TS)
 
 
 @query
 def fitted_rules(spark, sf_dir):
-    rows, made = _segmented(spark, sf_dir)
-    return explain.explain(cut_lineage(made.clusters), rows, RUN_TS).rules.drop("path")
+    """All rules of a fit: training rows they cover, leaf size, depth, and ids without a gap."""
+    rules = _explained(spark, sf_dir)[1].rules
+    return rules.agg(
+        F.sum("support").alias("support"),
+        (F.min("support") >= 50).alias("full_leaves"),
+        (F.max("depth") <= 3).alias("shallow"),
+        ((F.min("rule_id") == 1) & (F.max("rule_id") == F.count("*")) & (F.count_distinct("rule_id") == F.count("*"))).alias(
+            "no_gap"
+        ),
+    )
 
 
 @query
 def rule_assign(spark, sf_dir):
-    rows, made = _segmented(spark, sf_dir)
-    return explain.explain(cut_lineage(made.clusters), rows, RUN_TS).assigned
+    """Every shop with whether its newest month meets all tests of the rule it was given."""
+    rows, made = _explained(spark, sf_dir)
+    newest = clustering.fill_missing(rows, FEATURES).groupBy("mct_id").agg(F.max_by(F.struct("ym", *FEATURES), "ym").alias("_row"))
+    values = F.create_map(*[part for f in FEATURES for part in (F.lit(f), F.col(f).cast("double"))])
+
+    def met(test):
+        value = F.col("_values")[test["feature"]]
+        return F.when(test["op"] == "<=", value <= test["threshold"]).otherwise(value > test["threshold"])
+
+    months = newest.select("mct_id", "_row.*").withColumn("_values", values)
+    joined = made.assigned.join(months, "mct_id").join(made.rules.select("rule_id", "path"), "rule_id")
+    return joined.select("mct_id", "k", F.forall("path", met).alias("meets_rule"))

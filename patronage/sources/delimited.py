@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import cut_lineage
+
 # Cell texts that count as missing.
 MISSING = [
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -14,27 +20,34 @@ MISSING = [
 KOREAN = "x-windows-949"  # JVM name of cp949, which contains euc-kr
 
 
-def detect_charset(spark: SparkSession, path: str) -> str:
-    """UTF-8 if every line decodes as such, else cp949 if every line does, else an error.
-
-    Both checks run as Spark jobs over the whole input, since a wrong charset would not fail later
-    on but give replacement characters. Finding cp949 leaves the session open to the JVM's charsets,
-    without which Spark refuses to read it.
-    """
-    lines = spark.read.text(path)
-    if lines.agg(F.coalesce(F.bool_and(F.is_valid_utf8("value")), F.lit(True))).first()[0]:
-        return "UTF-8"
-    spark.conf.set("spark.sql.legacy.javaCharsets", "true")
-    tolerant = spark.conf.get("spark.sql.legacy.codingErrorAction")
-    spark.conf.set("spark.sql.legacy.codingErrorAction", "true")
+@contextmanager
+def _settings(spark: SparkSession, **values: str) -> Iterator[None]:
+    """Settings of the session that hold inside a block only."""
+    names = {k: k.replace("__", ".") for k in values}
+    before = {k: spark.conf.get(name) for k, name in names.items()}
+    for k, name in names.items():
+        spark.conf.set(name, values[k])
     try:
-        decoded = F.decode(F.col("value").cast("binary"), KOREAN)
-        broken = lines.filter(decoded.contains("�")).limit(1).count()
+        yield
     finally:
-        spark.conf.set("spark.sql.legacy.codingErrorAction", tolerant)
-    if broken:
-        raise ValueError(f"{path} is neither UTF-8 nor cp949")
-    return KOREAN
+        for k, name in names.items():
+            spark.conf.set(name, before[k])
+
+
+def detect_charsets(spark: SparkSession, path: str) -> dict[str, str]:
+    """Charset by file, off one pass: UTF-8 if every line decodes as such, else cp949 if every line
+    does, else an error. A wrong charset would not fail later on but give replacement characters."""
+    with _settings(spark, spark__sql__legacy__javaCharsets="true", spark__sql__legacy__codingErrorAction="true"):
+        korean = F.decode(F.col("value").cast("binary"), KOREAN)
+        lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+        verdicts = lines.groupBy("file").agg(
+            F.bool_and(F.is_valid_utf8("value")).alias("utf8"), F.bool_and(~korean.contains("�")).alias("korean")
+        )
+        found = verdicts.collect()  # one row a file
+    for r in found:
+        if not (r["utf8"] or r["korean"]):
+            raise ValueError(f"{r['file']} is neither UTF-8 nor cp949")
+    return {r["file"]: "UTF-8" if r["utf8"] else KOREAN for r in found}
 
 
 def blank_missing(df: DataFrame) -> DataFrame:
@@ -54,15 +67,27 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> Da
 
     ``multiline`` allows line breaks inside quotes, at the price of one task per file.
     """
-    charset = detect_charset(spark, path)
+    charsets = detect_charsets(spark, path)
     reader = (
-        spark.read.option("header", True)
-        .option("encoding", charset)
-        .option("escape", '"')
-        .option("multiLine", multiline)
-        .option("inferSchema", False)
+        spark.read.option("header", True).option("escape", '"').option("multiLine", multiline).option("inferSchema", False)
     )
-    return blank_missing(reader.csv(path))
+    korean = sorted(f for f, charset in charsets.items() if charset == KOREAN)
+    if not korean:
+        return blank_missing(reader.option("encoding", "UTF-8").csv(path))
+    # the JVM's charsets are open to Spark in this block only, so these files are read inside of it
+    with _settings(spark, spark__sql__legacy__javaCharsets="true"):
+        parts = [cut_lineage(reader.option("encoding", KOREAN).csv(korean))]
+    others = sorted(set(charsets) - set(korean))
+    if others:
+        parts.insert(0, reader.option("encoding", "UTF-8").csv(others))
+    return blank_missing(reduce(DataFrame.unionByName, parts))
+
+
+def read_ordered_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """The same with a ``row_ord`` column, which grows with the place of the row: these are sheets of some
+    hundred rows, whose files are read one task each."""
+    rows = read_text_csv(spark, path, multiline)
+    return rows.withColumn("row_ord", F.monotonically_increasing_id())
 
 
 # The delimiters between year, month and day may be any one mark; without any, the digits tell.

@@ -89,7 +89,13 @@ def _rate(condition: str) -> str:
     return f"cast(count_if({condition}) AS DOUBLE) * 100 / count(*)"
 
 
-def stg_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def staged_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Demographics and performance columns of every shop month, off one pass over the lines;
+    ``has_perf`` tells whether the performance table has the month."""
+    return _lines(spark, sf_dir).groupBy("ENCODED_MCT", "TA_YM").agg(*_demo_columns(), *_perf_columns())
+
+
+def _demo_columns() -> list[Column]:
     def published(condition: str) -> str:
         return f"CASE WHEN count(*) = 1 THEN {SENTINEL}D WHEN min(l_quantity) <= 40 THEN {_rate(condition)} END"
 
@@ -105,22 +111,27 @@ def stg_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
         "RC_M1_SHC_WP_UE_CLN_RAT": "l_quantity > 17 AND l_quantity <= 34",
         "RC_M1_SHC_FLP_UE_CLN_RAT": "l_quantity > 34",
     }
-    return (
-        _lines(spark, sf_dir)
-        .groupBy("ENCODED_MCT", "TA_YM")
-        .agg(*[F.expr(f"{published(condition)} AS {name}") for name, condition in shares.items()])
-    )
+    return [F.expr(f"{published(condition)} AS {name}") for name, condition in shares.items()]
 
 
-def stg_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = _lines(spark, sf_dir).filter(F.col("l_returnflag") != "A")
+def _perf_columns() -> list[Column]:
     pending, opened = (F.count_if(F.col("o_orderstatus") == c) > 0 for c in "PO")
     band = F.when(~pending & ~opened, "1_상위1구간").when(~pending, "HIGH").when(F.min("l_discount") < 0.05, "5_하위")
     delivery = F.count_if(F.col("l_returnflag") == "R").cast("double") / F.count("*")
-    return lines.groupBy("ENCODED_MCT", "TA_YM").agg(
+    return [
         band.alias("APV_CE_RAT"),
         F.when(F.count("*") == 1, F.lit(SENTINEL)).otherwise(delivery).alias("DLV_SAA_RAT"),
-    )
+        # a month with returns of one kind only isn't in the performance table
+        (F.count_if(F.col("l_returnflag") != "A") > 0).alias("has_perf"),
+    ]
+
+
+def stg_demo(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy("ENCODED_MCT", "TA_YM").agg(*_demo_columns())
+
+
+def stg_perf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _lines(spark, sf_dir).groupBy("ENCODED_MCT", "TA_YM").agg(*_perf_columns()).filter("has_perf").drop("has_perf")
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,6 +167,12 @@ def media_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.withColumn("row_ord", F.col("channel"))
 
 
+def keyword_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = read_table(spark, sf_dir, "part")
+    table = part.groupBy(F.col("p_name").alias("관심 키워드")).agg(*[_age_share(a, b, n) for n, a, b in _BY_AGE])
+    return table.withColumn("row_ord", F.col("관심 키워드"))
+
+
 def video_by_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Video platforms; the brands in it clash with media channels."""
     part = read_table(spark, sf_dir, "part")

@@ -18,9 +18,14 @@ from .delimited import read_text_csv, typed
 
 
 class Tables:
-    def __init__(self, spark: SparkSession, root: str):
+    """``keep_runs`` is how many runs of a keyed table stay, the newest among them; all by default."""
+
+    def __init__(self, spark: SparkSession, root: str, keep_runs: int | None = None):
+        if keep_runs is not None and keep_runs < 1:
+            raise ValueError("the newest run stays")
         self.spark = spark
         self.root = root.rstrip("/")
+        self.keep_runs = keep_runs
 
     def _complete_runs(self, table: str) -> list[str]:
         hadoop = self.spark._jvm.org.apache.hadoop.fs
@@ -50,15 +55,26 @@ class Tables:
 
     def upsert(self, table: str, df: DataFrame, order: list[str], update: list[str] | None = None) -> None:
         self.write(table, upsert_rows(self.read(table), df, KEYS[table], order, update))
+        self._drop_old(table)
 
     def replace(self, table: str, df: DataFrame, order: list[str]) -> None:
         self.write(table, replace_rows(self.read(table), df, KEYS[table], order))
+        self._drop_old(table)
+
+    def _drop_old(self, table: str) -> None:
+        """Delete the runs of a keyed table that are older than those to keep."""
+        if self.keep_runs is None:
+            return
+        for run in self._complete_runs(table)[: -self.keep_runs]:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(run)
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
     def append(self, table: str, df: DataFrame, created_at: dt.datetime) -> None:
         """History rows with the run's timestamp."""
         self.write(table, df.withColumn("created_at", F.lit(created_at)))
 
-    def load_staging(self, store_csv: str, perf_csv: str, demo_csv: str) -> None:
-        """Full reload of the three staging tables from CSV files."""
+    def load_staging(self, store_csv: str, perf_csv: str, demo_csv: str, multiline: bool = False) -> None:
+        """Full reload of the three staging tables from CSV files. ``multiline`` reads line breaks inside
+        quotes, at the price of one task per file."""
         for table, path in (("stg_store", store_csv), ("stg_perf", perf_csv), ("stg_demo", demo_csv)):
-            self.write(table, typed(read_text_csv(self.spark, path), SCHEMAS[table]))
+            self.write(table, typed(read_text_csv(self.spark, path, multiline), SCHEMAS[table]))

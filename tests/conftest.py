@@ -10,7 +10,7 @@ SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 @pytest.fixture(scope="session")
 def spark():
-    from patronage.session import build_session
+    from patronage.session import build_session, release
 
     session = build_session(
         "local[8]",
@@ -21,6 +21,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

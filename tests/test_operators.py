@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.operators import affinity, clustering, keyed, rules, silhouette
+from patronage.operators import affinity, clustering, keyed, ranking, rules, silhouette
 from patronage.operators.crosstab import association, crosstab, pair_counts
 from patronage.operators.groups import attach, group_profiles, place_sums
 from patronage.operators.matching import like_matches, longest_names
@@ -50,6 +50,9 @@ def test_upsert_and_replace_like_row_by_row_writes(spark):
     assert rows(keyed.upsert(once, s, ["key"], ["ord"], ["a", "b"])) == rows(once)
     short = s.drop("made")
     assert {r["made"] for r in keyed.replace(t, short, ["key"], ["ord"]).collect()} == {None, "old"}
+    nulls = t.limit(1).withColumn("key", F.lit(None).cast("string"))
+    merged = keyed.upsert(t.unionByName(nulls), s.limit(2).withColumn("key", F.lit(None).cast("string")), ["key"], ["ord"], ["b"])
+    assert merged.count() == t.count() + 1 and merged.filter("key IS NULL").first()["b"] == "s1"
     assert keyed.dedupe_last(s, ["key"], ["ord"]).filter("key = 'hot'").first()["ord"] == 297
 
 
@@ -200,7 +203,7 @@ def test_association(spark, table):
     assert math.isclose(got["cramers_v"], v, rel_tol=1e-9, abs_tol=1e-9)
     if dof == 1:
         assert math.isclose(got["p_value"], math.erfc(math.sqrt(chi2 / 2)), rel_tol=1e-9)
-    full = {(r["row_cat"], r["col_cat"]): r["n"] for r in crosstab(df, "a", "b").collect()}
+    full = {(r["row_cat"], r["col_cat"]): r["n"] for r in crosstab(df, "a", "b", ["c0", "c1", "c2", "c3"]).collect()}
     kept = [i for i, line in enumerate(table) if sum(line)], [j for j in range(len(table[0])) if sum(r[j] for r in table)]
     assert full == {(f"r{i}", f"c{j}"): table[i][j] for i in kept[0] for j in kept[1]}
 
@@ -266,7 +269,7 @@ def _blobs(spark):
 def test_segments(spark):
     df = _blobs(spark)
     best, found = clustering.choose_segments(df, FEATURES, (2, 3, 4))
-    assert best.silhouette == max(s.silhouette for s in found) and best.measure == "euclidean"
+    assert best.silhouette == max(s.silhouette for s in found) and best.measure == "squared"
     labelled = best.label(df)
     sizes = {r["cluster_id"]: r["n"] for r in labelled.groupBy("cluster_id").agg(F.count("*").alias("n")).collect()}
     assert sorted(sizes) == list(range(best.k))
@@ -277,9 +280,25 @@ def test_segments(spark):
     assert np.allclose(best.scaler.deviations, np.where(deviation == 0, 1, deviation))
     z = (x - x.mean(0)) / np.where(deviation == 0, 1, deviation)
     centers = np.array([c for c in best.model.clusterCenters()])
-    assert math.isclose(best.inertia, (((z[:, None, :] - centers[None]) ** 2).sum(-1)).min(1).sum(), rel_tol=1e-6)
-    linear, _ = clustering.choose_segments(df, FEATURES, (2, 3, 4), exact_points=10)
-    assert linear.measure == "squared" and -1 <= linear.silhouette <= 1
+    assert math.isclose(best.inertia, (((z[:, None, :] - centers[None]) ** 2).sum(-1)).min(1).sum(), rel_tol=1e-12)
+    plain, _ = clustering.choose_segments(df, FEATURES, (2, 3, 4), measure="euclidean")
+    assert plain.measure == "euclidean" and -1 <= plain.silhouette <= 1
+    with pytest.raises(ValueError, match="measure"):
+        clustering.choose_segments(df, FEATURES, (2,), measure="auto")
+
+
+def test_the_same_rows_ten_times_choose_the_same(spark):
+    df = _blobs(spark)
+    one, _ = clustering.choose_segments(df, FEATURES, (2, 3, 4))
+    ten, _ = clustering.choose_segments(df.crossJoin(spark.range(10)), FEATURES, (2, 3, 4))
+    assert (one.k, one.measure) == (ten.k, ten.measure)
+    assert math.isclose(one.silhouette, ten.silhouette, rel_tol=0.02) and math.isclose(10 * one.inertia, ten.inertia, rel_tol=1e-6)
+
+
+def test_rules_of_the_newest_run_of_each_k(spark):
+    rows = [(3, 1, 1), (3, 2, 2), (3, 2, 3), (4, 1, 4)]
+    df = spark.createDataFrame(rows, "k int, created_at int, rule_id int")
+    assert sorted(r["rule_id"] for r in ranking.newest_runs(df).collect()) == [2, 3, 4]
 
 
 def test_missing_features_count_as_zero(spark):
@@ -363,6 +382,22 @@ def test_span_layouts(spark):
         affinity.media_affinity(spark.createDataFrame([(1, "x")], ["row_ord", "매체"]))
 
 
+def test_turned_sheet_later_platform_wins(spark):
+    down = spark.createDataFrame([(1, "10대", "10", "40"), (2, "20대", "30", None)], ["row_ord", "구분", "You Tube", "you_tube"])
+    assert _cells(affinity.video_affinity(down), "channel") == {("10s", "you_tube"): 0.4}
+    same = spark.createDataFrame([(1, "10대", "10", "40")], ["row_ord", "구분", "You Tube", "x"]).toDF("row_ord", "구분", "You Tube", "you tube")
+    assert _cells(affinity.video_affinity(same), "channel") == {("10s", "you_tube"): 0.4}
+
+
+def test_means_are_rounded_once(spark):
+    # 0.03004999... would become 0.0301 by way of eight decimals
+    rows = [(i, "10", "19", "tv", x) for i, x in enumerate(["0.03", "0.0301", "0.03", "0.0301", "0.0300", "0.0301", "0.03"])]
+    media = spark.createDataFrame(rows, ["row_ord", "최소나이", "최대나이", "매체1", "접촉률1"])
+    assert _cells(affinity.media_affinity(media), "channel") == {("10s", "tv"): 0.03}
+    even = spark.createDataFrame(rows[:2], ["row_ord", "최소나이", "최대나이", "매체1", "접촉률1"])
+    assert _cells(affinity.media_affinity(even), "channel") == {("10s", "tv"): 0.03}
+
+
 def test_video_layouts(spark):
     down = spark.createDataFrame([(1, "10대", "10%", "20"), (2, "20대", "30%", None), (3, "60대 이상", "5", "6")], ["row_ord", "구분", "You Tube", "TV"])
     assert _cells(affinity.video_affinity(down), "channel") == {

@@ -76,11 +76,12 @@ def test_parse_ratio(spark):
 
 def test_span_age_group(spark):
     df = spark.createDataFrame(
-        [("10", "19"), ("25", "34"), ("30", "39"), ("35", "45"), ("50", "59"), ("60", "99"), (None, "19"), ("x", "19"), (" 20 ", "29")],
+        [("10", "19"), ("25", "34"), ("30", "39"), ("35", "45"), ("50", "59"), ("60", "99"), (None, "19"), ("x", "19"), (" 20 ", "29"),
+         ("30d", "39"), ("30", "39f"), ("3_0", "39"), ("1e1", "19")],
         "a string, b string",
     )
     got = [r[0] for r in df.select(span_age_group("a", "b")).collect()]
-    assert got == ["10s", "10s", "30s", "40s", "50s", "60p", "60p", None, "10s"]
+    assert got == ["10s", "10s", "30s", "40s", "50s", "60p", "60p", None, "10s", None, None, "30s", "10s"]
 
 
 def test_names(spark):
