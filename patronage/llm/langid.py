@@ -50,6 +50,7 @@ LEAST_REACH = 8.0
 FOREIGN = 0.05
 UNKNOWN = "und"
 BEGIN, END = 2, 3
+MOST_PIECES = 800_000
 
 _LETTERS = regex.compile(r"\p{L}+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -176,7 +177,7 @@ class Scorer:
 
     def __init__(self, models: list[CharModel]):
         self._models = models
-        self._index = PieceIndex(pc.ascii_split_whitespace, self._learn, self._forget)
+        self._index = PieceIndex(pc.ascii_split_whitespace, self._learn, self._forget, MOST_PIECES)
 
     def _forget(self) -> None:
         self._sums = np.zeros((0, len(self._models) + 1))
@@ -274,13 +275,14 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 
 def _sample(docs: DataFrame, most: int) -> DataFrame:
-    """(lang, text, turn) of the first `most` documents of each language in the order of a hash."""
+    """(lang, text, turn) of at most `most` documents of each language, the first ones in the order of a
+    hash. The share of the hash's range that holds about one and a half times as many is known from the
+    languages' counts, so other texts go nowhere; the limit then holds for what is left."""
     some = docs.where(learnable(docs)).withColumn("_h", F.xxhash64(F.col("doc_id").cast("long")))
-    order = Window.partitionBy("lang").orderBy("_h")
-    turned = some.select("lang", "_h").withColumn("turn", F.row_number().over(order)).where(F.col("turn") <= most)
-    last = turned.groupBy(F.col("lang").alias("_lang")).agg(F.max("_h").alias("_last"))
-    # only texts up to a language's last hash travel; the second limit holds where rows repeat a doc_id
-    near = some.join(last, (F.col("lang") == F.col("_lang")) & (F.col("_h") <= F.col("_last")))
+    counts = docs.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
+    counts = cut_lineage(counts)  # written, so that Spark knows that a row a language can be broadcast
+    share = F.shiftrightunsigned("_h", 1) / float(2**63)
+    near = some.join(counts, (F.col("lang") == F.col("_lang")) & (share * F.col("_n") <= 2.25 * most))
     order = Window.partitionBy("lang").orderBy("_h", "text")
     near = near.select("lang", "text", "_h").withColumn("turn", F.row_number().over(order))
     return cut_lineage(near.where(F.col("turn") <= most).select("lang", "text", "turn"))

@@ -211,7 +211,8 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     kept = found.where("doc_id = component_id").groupBy("doc_id").count()
     kept = cut_lineage(kept.select(F.col("doc_id").alias("_kept"), (F.col("count") > 1).alias("_again")))
     given = aside(docs, "doc_id")
-    out = given.join(kept, F.col("doc_id") == F.col("_kept"))
+    # one plan at every size: the ids that stay grow with the input, so they aren't broadcast
+    out = given.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col("_kept"))
     if kept.where("_again").head(1):
         out = out.where("not _again").unionByName(out.where("_again").dropDuplicates(["doc_id"]))
     return restored(out, docs).unionByName(docs.where(F.col("doc_id").isNull()))
