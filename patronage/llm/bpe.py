@@ -31,8 +31,11 @@ from pyspark.sql import types as T
 
 from patronage.llm.tokens import PieceCache, byte_letters, gather, list_sizes, slices, sums
 
-MOST_NODES = 300_000
-MOST_PAIRS = 300_000
+MOST_NODES = 150_000
+MOST_PAIRS = 200_000
+MOST_PIECES = 600_000
+#: Bytes of text that are encoded, and ids that are decoded at once.
+SLICE, DECODED = 4_000_000, 500_000
 
 #: How the vocabulary's file cuts text into words, and the white space it knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -45,16 +48,25 @@ def marks() -> Iterator[str]:
     yield from (f"\ue000{n}\ue001" for n in count())
 
 
+def _read(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
+def _bytes_of(spec: dict) -> tuple[dict[int, bytes], dict[str, int]]:
+    """Every token's bytes by id, and the special tokens' ids."""
+    letters = byte_letters()
+    own = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items()}
+    special = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return own | {i: t.encode() for t, i in special.items()}, special
+
+
 class Vocabulary:
     """Tokens as bytes, their merges, and which tokens can stand together."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        letters = byte_letters()
-        self.bytes_of = {i: bytes(letters[c] for c in t) for t, i in spec["model"]["vocab"].items()}
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
+        spec = _read(path)
+        self.bytes_of, self.special = _bytes_of(spec)
         ids = spec["model"]["vocab"]
         pairs = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.rank = {(ids[a], ids[b]): r for r, (a, b) in enumerate(pairs)}
@@ -188,13 +200,13 @@ def byte_cache(path: str) -> PieceCache:
             for p, ws in zip(fresh, cut)
         ]
 
-    return PieceCache(Cutter(list(vocabulary.special)), encode)
+    return PieceCache(Cutter(list(vocabulary.special)), encode, MOST_PIECES)
 
 
 @lru_cache(maxsize=1)
 def _token_bytes(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All tokens' bytes in one array, with start and size by id."""
-    of = Vocabulary(path).bytes_of
+    of = _bytes_of(_read(path))[0]
     rows = [of.get(i, b"") for i in range(max(of) + 1)]
     size = np.array([len(r) for r in rows], np.int64)
     return np.frombuffer(b"".join(rows), np.uint8), np.cumsum(size) - size, size
@@ -217,11 +229,13 @@ def _with_column(df: DataFrame, source: str, name: str, kind: T.DataType, make)
 
 
 class _Encode:
-    ranges = staticmethod(slices)
-
     def __init__(self, path: str):
         self._path = path
 
+    @staticmethod
+    def ranges(texts: pa.Array) -> Iterator[tuple[int, int]]:
+        return slices(texts, SLICE)
+
     def __call__(self, texts: pa.Array) -> pa.Array:
         flat, sizes = byte_cache(self._path).ids(texts)
         return pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), flat)
@@ -236,7 +250,7 @@ class _Decode:
         ends, begin = np.cumsum(list_sizes(lists)), 0
         while begin < len(ends):
             held = ends[begin - 1] if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, held + 2_000_000)))
+            end = max(begin + 1, int(np.searchsorted(ends, held + DECODED)))
             yield begin, end
             begin = end
 

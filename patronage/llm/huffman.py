@@ -29,13 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from patronage.llm.tokens import gather, list_sizes, token_slices
+from patronage.llm.tokens import slices, token_slices, word_cache
 
 MAX_BITS = 18
 MARK = 128
 #: Bytes of payload after which a block ends with the document it is in.
 BLOCK_BYTES = 262_144
-SHARDS = 256
+#: Ids that are coded at once.
+ENCODED = 1_000_000
+#: Ids of a shard, which one task writes; their number grows with the input.
+SHARD_IDS = 4_000_000
 CODED = "shard int, doc_id long, n_tokens long, marks array<long>, payload binary"
 BLOCKS = (
     "shard int, block int, docs array<long>, counts array<long>, sizes array<long>, marks array<long>, payload binary"
@@ -46,15 +49,21 @@ def count_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
     """(id, count) over all documents."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(0, np.int64)
-        for _, flat, _ in token_slices(batches, vocabulary, end_id):
-            part = np.bincount(flat, minlength=len(total))
-            part[: len(total)] += total
-            total = part
+        total, cache = np.zeros(end_id + 1, np.int64), word_cache(vocabulary)
+        for batch in batches:
+            texts = batch.column("text")
+            for begin, end in slices(texts):
+                part = cache.counts(texts.slice(begin, end - begin))
+                pa.default_memory_pool().release_unused()
+                if len(part) < len(total):
+                    part = np.pad(part, (0, len(total) - len(part)))
+                part[: len(total)] += total
+                part[end_id] += end - begin
+                total = part
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "count"])
 
-    counted = docs.select("doc_id", "text").mapInArrow(run, "id long, count long")
+    counted = docs.select("text").mapInArrow(run, "id long, count long")
     return counted.groupBy("id").agg(F.sum("count").alias("count"))
 
 
@@ -155,13 +164,24 @@ def _marks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return inside + np.repeat(np.cumsum(sizes) - sizes, number), number
 
 
+def _smaller(found):
+    """The same documents in parts of about ENCODED ids."""
+    for doc_ids, flat, sizes in found:
+        ends, begin = np.cumsum(sizes), 0
+        while begin < len(sizes):
+            held = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, held + ENCODED)))
+            yield doc_ids.slice(begin, end - begin), flat[held : int(ends[end - 1])], sizes[begin:end]
+            begin = end
+
+
 def _coded(docs: DataFrame, vocabulary: str, end_id: int, code, bits, edges: np.ndarray) -> DataFrame:
     """CODED rows: each document's bits, and the shard that its doc_id belongs to."""
     shared = docs.sparkSession.sparkContext.broadcast((code, bits, edges))  # bounded by the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         code, bits, edges = shared.value
-        for doc_ids, flat, sizes in token_slices(batches, vocabulary, end_id):
+        for doc_ids, flat, sizes in _smaller(token_slices(batches, vocabulary, end_id)):
             payload, begin, size, inside = encode_ids(flat, sizes, code, bits)
             at, number = _marks(sizes)
             shard = np.zeros(len(sizes), np.int32)
@@ -225,7 +245,7 @@ def _edges(docs: DataFrame, shards: int) -> np.ndarray:
 
 
 def write(
-    docs: DataFrame, path: str, vocabulary: str, end_id: int, shards: int = SHARDS, max_bits: int = MAX_BITS
+    docs: DataFrame, path: str, vocabulary: str, end_id: int, shard_ids: int = SHARD_IDS, max_bits: int = MAX_BITS
 ) -> None:
     """Write the ids of all documents, `end_id` after each, as a store below `path`."""
     spark = docs.sparkSession
@@ -235,7 +255,8 @@ def write(
     code, bits = canonical(ids, lengths)
     codes = pa.table({"id": ids, "bits": lengths})
     spark.createDataFrame(codes).coalesce(1).write.parquet(f"{path}/codes")
-    coded = _coded(docs, vocabulary, end_id, code, bits, _edges(docs, shards))
+    edges = _edges(docs, -(-int(counts.sum()) // shard_ids))
+    coded = _coded(docs, vocabulary, end_id, code, bits, edges)
     dealt = coded.repartition("shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "payload")
     blocks = dealt.mapInArrow(_to_blocks(BLOCK_BYTES), BLOCKS)
     # the bits are as dense as they get

@@ -51,6 +51,8 @@ FOREIGN = 0.05
 UNKNOWN = "und"
 BEGIN, END = 2, 3
 MOST_PIECES = 800_000
+#: Bytes of text that are scored at once.
+SLICE = 4_000_000
 
 _LETTERS = regex.compile(r"\p{L}+")
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -373,7 +375,7 @@ def predict(
         model, scorer = _scorer(shared.value)
         said = pa.array([*model.languages, UNKNOWN])
         for batch in batches:
-            for begin, end in slices(batch.column("text")):
+            for begin, end in slices(batch.column("text"), SLICE):
                 part = batch.slice(begin, end - begin)
                 best, score, accepted = model.judge(scorer.texts(part.column("text")))
                 of = said.take(pa.array(np.where(best < 0, len(model.languages), best)))

@@ -18,9 +18,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-MOST_PIECES = 1_000_000
+MOST_PIECES = 2_000_000
+#: New pieces that are encoded at once.
+LEARNED = 100_000
 #: Bytes of text that are worked on at once inside a task.
-SLICE_BYTES = 8_000_000
+SLICE_BYTES = 12_000_000
 #: Pieces that go to the tokenizer in one call.
 JOINED = 64
 
@@ -43,7 +45,8 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     ends = np.cumsum(size)
     if not len(ends) or not ends[-1]:
         return flat[:0]
-    return flat[np.arange(ends[-1]) + np.repeat(start - (ends - size), size)]
+    kind = np.int32 if max(ends[-1], len(flat)) < 2**31 else np.int64  # half the memory, as a rule
+    return flat[np.arange(ends[-1], dtype=kind) + np.repeat((start - (ends - size)).astype(kind), size)]
 
 
 def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -85,7 +88,8 @@ class PieceIndex:
         new = number < 0
         if new.any():
             fresh = distinct.filter(pa.array(new))
-            self._learn(fresh.to_pylist())
+            for i in range(0, len(fresh), LEARNED):
+                self._learn(fresh.slice(i, LEARNED).to_pylist())
             number[new] = len(self._known) + np.arange(len(fresh))
             self._known = pa.concat_arrays([self._known, fresh])
         return number[coded.indices.to_numpy(zero_copy_only=False)], list_sizes(cut)
@@ -97,9 +101,11 @@ class PieceCache:
     `cut` makes lists of pieces of an array of texts, `encode` the ids of each of the new pieces.
     """
 
-    def __init__(self, cut: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list]):
+    def __init__(
+        self, cut: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list], most: int = MOST_PIECES
+    ):
         self._encode = encode
-        self._index = PieceIndex(cut, self._learn, self._forget)
+        self._index = PieceIndex(cut, self._learn, self._forget, most)
 
     def _forget(self) -> None:
         self._flat = np.empty(0, np.int32)
@@ -120,6 +126,14 @@ class PieceCache:
         size = self._size[at]
         return gather(self._flat, self._start[at], size), sums(size, pieces)
 
+    def counts(self, texts: pa.Array) -> np.ndarray:
+        """How often each id is in the texts: by the pieces, without the ids in order."""
+        often = np.bincount(self._index.numbers(texts)[0])
+        used = np.flatnonzero(often)
+        size = self._size[used]
+        flat = gather(self._flat, self._start[used], size)
+        return np.bincount(flat, weights=np.repeat(often[used], size)).astype(np.int64)
+
 
 #: How the word vocabulary's file cuts text in small letters.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -200,4 +214,6 @@ def token_slices(batches, vocabulary: str, end_id: int):
         for begin, end in slices(texts):
             flat, sizes = cache.ids(texts.slice(begin, end - begin))
             with_end = np.insert(flat, np.cumsum(sizes), end_id)
+            del flat
             yield doc_ids.slice(begin, end - begin), with_end, sizes + 1
+            pa.default_memory_pool().release_unused()  # else a worker keeps its largest slice's memory

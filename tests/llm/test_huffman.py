@@ -64,7 +64,7 @@ def want(rows, path):
 def test_odd_documents(spark, odd_docs, clashing, vocabularies, monkeypatch):
     monkeypatch.setattr(huffman, "BLOCK_BYTES", 100)
     path = scratch_path(spark, "test")
-    huffman.write(clashing(odd_docs), path, vocabularies["word"], 1, shards=3)
+    huffman.write(clashing(odd_docs), path, vocabularies["word"], 1, shard_ids=20_000)
     docs = [tuple(r) for r in odd_docs.select("doc_id", "text").collect()]
     found = sorted((tuple(r) for r in huffman.read_digests(spark, path).collect()), key=lambda r: r[1])
     expected = want(docs, vocabularies["word"])
