@@ -434,7 +434,7 @@ _ratio_value = (
 )
 _audience_names = {"NEW": "신규", "REU": "단골", "RES": "예약", "WORK": "직장인", "FLOW": "유동"}
 
-_profile = " || ',' || ".join(f"format('{{:.8f}}', coalesce(b.{c}, 0)::DOUBLE)" for c in FEATURES)
+_profile = " || ',' || ".join(f"format('{{:.12f}}', coalesce(b.{c}, 0)::DOUBLE)" for c in FEATURES)
 _extra = f", {_profile} AS profile, b.user_input"
 _bundles = f"""
         SELECT *, '{VERSION}' AS version FROM (

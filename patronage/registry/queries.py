@@ -744,7 +744,7 @@ def brief_bundles(spark, sf_dir):
         f" profile struct<{','.join(f'{c}:double' for c in FEATURES)}>, user_input string"
     )
     read = stored.select("mct_id", "ym", "version", F.from_json("bundle", fields).alias("_b")).select("*", "_b.*").drop("_b")
-    values = ", ".join(f"format_string('%.8f', profile.{c})" for c in FEATURES)
+    values = ", ".join(f"format_string('%.12f', profile.{c})" for c in FEATURES)
     read = read.withColumn("profile", F.expr(f"concat_ws(',', {values})"))
     return _listed(read, "mct_id", "ym", "version", "system_prompt", "profile", "user_input")
 
