@@ -34,6 +34,8 @@ BITS = 2
 MOST_BUCKET = 4096
 #: Shingles whose bits are counted at once.
 COUNTED = 200_000
+#: Bytes of text whose shingles are hashed at once.
+SLICE = 3_000_000
 
 
 def _hashes(text: str, shingle: int) -> list[int]:
@@ -77,7 +79,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
-            for begin, end in slices(texts):
+            for begin, end in slices(texts, SLICE):
                 found = [_hashes(t, shingle) if t else [] for t in texts.slice(begin, end - begin).to_pylist()]
                 sizes = np.array([len(f) for f in found], np.int64)
                 flat = np.fromiter((h for f in found for h in f), np.uint64, int(sizes.sum()))
