@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 
 from patronage.llm.tokens import PieceCache, byte_letters, gather, list_sizes, slices, sums
 
-MOST_NODES = 150_000
-MOST_PAIRS = 200_000
-MOST_PIECES = 600_000
+MOST_NODES = 500_000
+MOST_PAIRS = 400_000
+MOST_PIECES = 1_200_000
 #: Bytes of text that are encoded, and ids that are decoded at once.
-SLICE, DECODED = 4_000_000, 500_000
+SLICE, DECODED = 8_000_000, 1_500_000
 
 #: How the vocabulary's file cuts text into words, and the white space it knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -127,14 +127,21 @@ class Trie:
         the trie, and the path is kept from one word to the next."""
         child, last, before = self._child, self._last, self._before
         id_of, together, longest = self._vocabulary.id_of, self._vocabulary.together, self._vocabulary.longest
-        out = {}
+        out, path, previous = {}, [0], b""
         for word in sorted(words):
             if len(last) > MOST_NODES:
                 self._clear()
                 child, last, before = self._child, self._last, self._before
-            path, node = [0], 0
-            for depth, byte in enumerate(word, 1):
-                key = node * 256 + byte
+                path, previous = [0], b""
+            shared = 0
+            for a, b in zip(previous, word):
+                if a != b:
+                    break
+                shared += 1
+            del path[shared + 1 :]
+            node, previous = path[shared], word
+            for depth in range(shared + 1, len(word) + 1):
+                key = node * 256 + word[depth - 1]
                 node = child.get(key, -1)
                 if node < 0:
                     node = child[key] = len(last)
