@@ -31,11 +31,11 @@ from pyspark.sql import types as T
 
 from patronage.llm.tokens import PieceCache, byte_letters, gather, list_sizes, slices, sums
 
-MOST_NODES = 500_000
-MOST_PAIRS = 400_000
-MOST_PIECES = 1_200_000
+MOST_NODES = 250_000
+MOST_PAIRS = 300_000
+MOST_PIECES = 600_000
 #: Bytes of text that are encoded, and ids that are decoded at once.
-SLICE, DECODED = 8_000_000, 1_500_000
+SLICE, DECODED = 4_000_000, 500_000
 
 #: How the vocabulary's file cuts text into words, and the white space it knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
