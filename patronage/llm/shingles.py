@@ -1,0 +1,260 @@
+"""Groups of texts whose sets of word shingles have a Jaccard similarity of `LEAST` or more.
+
+Texts with the same set are one kind. Every kind has `HASHES` minimum hashes; `BAND` of them make a
+bucket, and kinds that share one of their buckets are candidates. A pair of similarity 0.8 shares
+none in 2 of 10,000 cases, a more similar pair more rarely. Candidates are linked only if their exact
+sets, made again out of their texts, are similar enough: no link is wrong but for equal 64-bit hashes.
+
+In its sorted bucket each kind is paired with the next `NEXT` ones, which are all pairs of most buckets.
+Larger buckets whose kinds aren't in one component yet go on: each kind is paired with those kinds of
+other components that agree with it in most minimum hashes, a growing number of them, until all pairs
+that can be similar are linked or tested. So a large group costs few pairs a member, and none is capped.
+
+Defined results: a text of fewer words than a shingle has one, the whole; texts without words are equal.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from patronage.llm.components import LINKS, components
+from patronage.llm.tokens import slices
+from patronage.session import cut_lineage
+
+SHINGLE = 5
+#: Least similarity, as a fraction: exact in whole numbers.
+LEAST = (4, 5)
+SEED = 42
+HASHES, BAND = 64, 4
+NEXT = 8
+#: Of HASHES, agreeing ones below which a pair isn't compared exactly: 6 deviations under what 0.8 gives.
+AGREE = 32
+#: Bits of the filter of documents whose sets are made again; more documents pass it if more are needed.
+FILTER = 1 << 22
+#: Bytes of text whose shingles are hashed at once.
+SLICE = 1_000_000
+#: Pairs of rows of a bucket that are compared at once.
+COMPARED = 200_000
+
+
+def hashes(text: str, shingle: int) -> list[int]:
+    """XXH64 of all runs of `shingle` words, or of the whole sequence if it is shorter."""
+    words = text.encode().lower().split()  # of bytes: ASCII letters and ASCII white space only
+    if not words:
+        return []
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    begins = np.concatenate([[0], ends[:-1] + 1])
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends[shingle - 1 :].tolist())]
+
+
+def _sets(texts: pa.Array, shingle: int) -> list[np.ndarray]:
+    return [np.unique(np.array(hashes(t, shingle) if t else [], np.uint64)) for t in texts.to_pylist()]
+
+
+def _key(own: np.ndarray) -> int:
+    return xxhash.xxh64_intdigest(own.tobytes(), SEED)
+
+
+def _minima(flat: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """A row of HASHES minimum hashes for each run of a set's hashes; an empty one has zeros."""
+    rng = np.random.default_rng(SEED)
+    factor = rng.integers(0, 2**63, HASHES, np.uint64) * np.uint64(2) + np.uint64(1)
+    plus = rng.integers(0, 2**63, HASHES, np.uint64)
+    out = np.zeros((len(sizes), HASHES), np.uint64)
+    some = np.flatnonzero(sizes)
+    if len(some):
+        starts = (np.cumsum(sizes) - sizes)[some]
+        mixed = flat ^ (flat >> np.uint64(32))
+        for i in range(HASHES):
+            out[some, i] = np.minimum.reduceat(mixed * factor[i] + plus[i], starts)
+    return out
+
+
+def sketches(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, key, size, buckets, sketch) of every document; texts with equal keys have equal sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, texts = batch.column("doc_id"), batch.column("text")
+            for begin, end in slices(texts, SLICE):
+                found = _sets(texts.slice(begin, end - begin), shingle)
+                sizes = np.array([len(s) for s in found], np.int64)
+                least = _minima(np.concatenate([np.empty(0, np.uint64), *found]), sizes)
+                keys = np.array([_key(s) for s in found], np.uint64).view(np.int64)
+                low = (least >> np.uint64(7)).astype(np.uint8)
+                buckets = [
+                    [] if not n else [xxhash.xxh64_intdigest(r[i : i + BAND].tobytes(), i) for i in range(0, HASHES, BAND)]
+                    for n, r in zip(sizes.tolist(), least)
+                ]
+                flat = np.array([b for of in buckets for b in of], np.uint64).view(np.int64)
+                ends = np.concatenate([[0], np.cumsum([len(of) for of in buckets])])
+                columns = [
+                    ids.slice(begin, end - begin), pa.array(keys), pa.array(sizes),
+                    pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat)),
+                    pa.array([r.tobytes() for r in low], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "key", "size", "buckets", "sketch"])
+                pa.default_memory_pool().release_unused()
+
+    schema = "doc_id long, key long, size long, buckets array<long>, sketch binary"
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, schema)
+
+
+def _alike(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether sets of these sizes can be similar enough."""
+    return np.minimum(a, b) * LEAST[1] >= np.maximum(a, b) * LEAST[0]
+
+
+def _pairs(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+
+
+def _next(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Over rows sorted by bucket: each kind with the NEXT ones after it."""
+    last = [np.empty(0, np.int64)] * 3
+    for batch in batches:
+        old = len(last[0])
+        last = [np.concatenate([a, batch.column(c).to_numpy()]) for a, c in zip(last, ("bucket", "key", "size"))]
+        bucket, key, size = last
+        for step in range(1, min(NEXT, len(key) - 1) + 1):
+            at = np.arange(max(old - step, 0), len(key) - step)
+            at = at[(bucket[at] == bucket[at + step]) & _alike(size[at], size[at + step])]
+            if len(at):
+                yield _pairs(key[at], key[at + step])
+        last = [a[-NEXT:] for a in last]
+
+
+def _across(most: int):
+    """Over rows sorted by bucket: each kind with at most `most` kinds of other components of its bucket,
+    those that agree with it best."""
+
+    def pairs(component: np.ndarray, key: np.ndarray, size: np.ndarray, sketch: np.ndarray) -> Iterator[pa.RecordBatch]:
+        kinds, of, count = np.unique(component, return_inverse=True, return_counts=True)
+        at_once = max(1, COMPARED // len(key))
+        few = np.flatnonzero(of != count.argmax())  # every pair has one of these
+        for i in range(0, len(few), at_once):
+            rows = few[i : i + at_once]
+            near = (of[rows][:, None] != of[None, :]) & _alike(size[rows][:, None], size[None, :])
+            r, c = np.nonzero(near)
+            agree = np.count_nonzero(sketch[rows[r]] == sketch[c], axis=1)
+            good = agree >= AGREE
+            r, c, agree = r[good], c[good], agree[good]
+            order = np.lexsort((key[c], -agree, r))
+            r, c = r[order], c[order]
+            sizes = np.bincount(r, minlength=len(rows))
+            rank = np.arange(len(r)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            r, c = r[rank < most], c[rank < most]
+            if len(r):
+                yield _pairs(key[rows[r]], key[c])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("bucket", "component", "key", "size")
+        held: list[list[np.ndarray]] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            sketch = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint8).reshape(-1, HASHES)
+            part = [*(batch.column(c).to_numpy() for c in names), sketch]
+            starts = np.concatenate([[0], np.flatnonzero(np.diff(part[0])) + 1, [batch.num_rows]])
+            for a, b in zip(starts[:-1].tolist(), starts[1:].tolist()):
+                if held and held[0][0][0] != part[0][a]:
+                    yield from pairs(*(np.concatenate(x) for x in list(zip(*held))[1:]))
+                    held = []
+                held.append([x[a:b] for x in part])
+        if held:
+            yield from pairs(*(np.concatenate(x) for x in list(zip(*held))[1:]))
+
+    return run
+
+
+def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        a, b = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, HASHES) for c in ("_a", "_b"))
+        good = pa.array(np.count_nonzero(a == b, axis=1) >= AGREE)
+        yield batch.select(["a", "b"]).filter(good)
+
+
+def _exact(pairs: DataFrame, kinds: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """The pairs that are similar enough by their exact sets; their sketches say which can be."""
+    a, b = (kinds.select(F.col("key").alias(c), F.col("sketch").alias(f"_{c}")) for c in ("a", "b"))
+    pairs = cut_lineage(pairs.join(a, "a").join(b, "b").select("a", "b", "_a", "_b").mapInArrow(_agreeing, LINKS))
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    bit = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(0).cast("long"))), F.lit(FILTER))
+    of = kinds.select("key", F.col("least").alias("doc_id")).join(needed, "key").select(bit.alias("bit")).distinct()
+    wanted = np.zeros(FILTER, bool)
+    wanted[of.toArrow()["bit"].to_numpy()] = True  # at most FILTER rows
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(wanted))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = np.unpackbits(shared.value).astype(bool)
+        for batch in batches:
+            texts = batch.column("text").filter(pa.array(wanted[batch.column("bit").to_numpy()]))
+            for begin, end in slices(texts, SLICE):
+                found = _sets(texts.slice(begin, end - begin), shingle)
+                keys = pa.array(np.array([_key(s) for s in found], np.uint64).view(np.int64))
+                lists = pa.array([s.view(np.int64) for s in found], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays([keys, lists], ["key", "shingles"])
+                pa.default_memory_pool().release_unused()
+
+    texts = docs.select(F.col("doc_id").cast("long"), "text").select(bit.alias("bit"), "text")
+    sets = texts.mapInArrow(run, "key long, shingles array<long>").join(needed, "key", "left_semi")
+    sets = cut_lineage(sets)
+    a = sets.select(F.col("key").alias("a"), F.col("shingles").alias("_a"))
+    b = sets.select(F.col("key").alias("b"), F.col("shingles").alias("_b"))
+    both = F.size(F.array_intersect("_a", "_b"))
+    either = F.size("_a") + F.size("_b") - both
+    near = pairs.join(a, "a").join(b, "b").where(both * LEAST[1] >= either * LEAST[0])
+    return cut_lineage(near.select("a", "b").distinct())
+
+
+def _linked(kinds: DataFrame, docs: DataFrame, shingle: int) -> DataFrame:
+    """(node, component) of the kinds that are similar to others."""
+    index = cut_lineage(kinds.select("key", "size", F.explode("buckets").alias("bucket")))
+    dealt = index.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("key", "bucket"))
+    tested = cut_lineage(dealt.mapInArrow(_next, LINKS).distinct())
+    links = _exact(tested, kinds, docs, shingle)
+    found = components(links)
+    large = cut_lineage(index.groupBy("bucket").count().where(F.col("count") > NEXT + 1))
+    most = NEXT
+    while large.head(1):
+        to = found.select(F.col("node").alias("key"), "component")
+        rows = index.join(large.select("bucket"), "bucket").join(to, "key", "left")
+        rows = cut_lineage(rows.withColumn("component", F.coalesce("component", "key")))
+        parted = rows.groupBy("bucket").agg(F.count("*").alias("count"), F.min("component").alias("l"), F.max("component").alias("m"))
+        large = cut_lineage(parted.where("l <> m").select("bucket", "count"))
+        rows = rows.join(large.select("bucket"), "bucket").join(kinds.select("key", "sketch"), "key")
+        dealt = rows.repartition("bucket").sortWithinPartitions("bucket")
+        pairs = dealt.mapInArrow(_across(most), LINKS).distinct().join(tested, ["a", "b"], "left_anti")
+        pairs = cut_lineage(pairs)
+        if pairs.head(1):
+            links = links.unionAll(_exact(pairs, kinds, docs, shingle))
+            tested = tested.unionAll(pairs)
+            found = components(links)
+        large = large.where(F.col("count") > most)  # all pairs of the others are linked or tested
+        most *= 8
+    return found
+
+
+def similar_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """(doc_id, component_id) of every document; component_id is the smallest doc_id reachable."""
+    of_doc = cut_lineage(sketches(docs, shingle))
+    kinds = of_doc.groupBy("key").agg(
+        F.min("doc_id").alias("least"), *(F.first(c).alias(c) for c in ("size", "buckets", "sketch"))
+    )
+    kinds = cut_lineage(kinds)
+    joined = _linked(kinds, docs, shingle)
+    known = kinds.join(joined, F.col("key") == F.col("node"), "left")
+    known = cut_lineage(known.select("key", "least", F.coalesce("component", "key").alias("component")))
+    least = known.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = cut_lineage(known.join(least, "component").select("key", "component_id"))
+    return of_doc.select("doc_id", "key").join(named, "key").select("doc_id", "component_id")

@@ -19,17 +19,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.components import LINKS, LinkBuffer, components
 from patronage.llm.frames import aside, restored
+from patronage.llm.shingles import hashes, similar_groups
 from patronage.llm.tokens import slices
 from patronage.session import cut_lineage
 
 SHINGLE = 3
-SEED = 42
 BITS = 2
 MOST_BUCKET = 4096
 #: Shingles whose bits are counted at once.
@@ -38,20 +37,6 @@ COUNTED = 200_000
 SLICE = 3_000_000
 
 
-def _hashes(text: str, shingle: int) -> list[int]:
-    """XXH64 of all runs of `shingle` words, or of the whole sequence if it is shorter."""
-    words = text.encode().lower().split()  # of bytes: ASCII letters and ASCII white space only
-    if not words:
-        return []
-    joined = b" ".join(words)
-    if len(words) <= shingle:
-        return [xxhash.xxh64_intdigest(joined, SEED)]
-    ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    begins = np.concatenate([[0], ends[:-1] + 1])
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends[shingle - 1 :].tolist())]
-
-
 def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Fingerprints of consecutive runs of hashes: a bit is set if over half of a run have it set.
     An empty run gives zero. Long runs are counted in parts."""
@@ -80,7 +65,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for begin, end in slices(texts, SLICE):
-                found = [_hashes(t, shingle) if t else [] for t in texts.slice(begin, end - begin).to_pylist()]
+                found = [hashes(t, shingle) if t else [] for t in texts.slice(begin, end - begin).to_pylist()]
                 sizes = np.array([len(f) for f in found], np.int64)
                 flat = np.fromiter((h for f in found for h in f), np.uint64, int(sizes.sum()))
                 fps = pa.array(_majority(flat, sizes).view(np.int64))
@@ -207,9 +192,9 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their group, with all of the input's columns; of rows
-    that repeat a doc_id one stays. A row without doc_id can't be told from others and always stays."""
-    found = cut_lineage(near_duplicates(docs))
+    """The documents with the smallest doc_id of their group of similar ones (by `shingles`, not by
+    fingerprints), with all of the input's columns; of rows that repeat a doc_id one stays. A row without doc_id can't be told from others and always stays."""
+    found = cut_lineage(similar_groups(docs))
     kept = found.where("doc_id = component_id").groupBy("doc_id").count()
     kept = cut_lineage(kept.select(F.col("doc_id").alias("_kept"), (F.col("count") > 1).alias("_again")))
     given = aside(docs, "doc_id")

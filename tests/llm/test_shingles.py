@@ -1,0 +1,78 @@
+import random
+import re
+
+import brute
+import pytest
+
+from patronage.llm import shingles, simhash
+
+
+def sets(text, shingle=5):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return frozenset(tuple(words[i : i + shingle]) for i in range(max(len(words) - shingle, 0) + 1)) if words else frozenset()
+
+
+def expected(rows):
+    """Groups of (doc_id, text) by comparing all pairs exactly."""
+    of = {d: sets(t) for d, t in rows}
+    by_size = sorted(of, key=lambda d: len(of[d]))
+    links = []
+    for i, a in enumerate(by_size):
+        for b in by_size[i + 1 :]:
+            if len(of[a]) * 5 < len(of[b]) * 4:
+                break
+            both = len(of[a] & of[b])
+            if both * 5 >= (len(of[a]) + len(of[b]) - both) * 4:
+                links.append((a, b))
+    return brute.groups(of, links)
+
+
+def edited(words, rng, edits):
+    out = list(words)
+    for at in rng.sample(range(len(out)), edits):
+        out[at] = f"new{rng.randrange(10**6)}"
+    return " ".join(out)
+
+
+@pytest.fixture(scope="module")
+def made():
+    """Edited copies at many similarities, a large group whose outer copies only meet in the middle, and
+    many texts that share two thirds with each other."""
+    rng = random.Random(1)
+    word = lambda: f"w{rng.randrange(3000)}"
+    texts = []
+    for _ in range(40):
+        base = [word() for _ in range(rng.randrange(60, 400))]
+        texts += [" ".join(base), edited(base, rng, 1), edited(base, rng, len(base) // 60), edited(base, rng, len(base) // 25)]
+    base = [word() for _ in range(300)]
+    texts += [edited(base, rng, rng.randrange(0, 8)) for _ in range(150)]
+    base = [word() for _ in range(200)]
+    texts += [" ".join(base + [word() for _ in range(100)]) for _ in range(60)]
+    texts += ["a b c", "A  b\tC", "a b d", "", " \n"]
+    rng.shuffle(texts)
+    return list(enumerate(texts))
+
+
+def test_groups_against_all_pairs(spark, made):
+    docs = spark.createDataFrame(made, "doc_id long, text string").repartition(5)
+    found = {r["doc_id"]: r["component_id"] for r in shingles.similar_groups(docs).collect()}
+    assert found == expected(made)
+
+
+def test_one_edited_word_is_a_near_copy(spark):
+    """One word of 100 changed: similarity 0.90, though fingerprints differ in more than two bits."""
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(3000)}" for _ in range(100)]
+    rows = [(1, " ".join(words))] + [(i, edited(words, rng, 1)) for i in range(2, 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    fps = [brute.simhash(t) for _, t in rows]
+    assert sum((fps[0] ^ f).bit_count() > 2 for f in fps[1:]) >= 3
+    assert [r["doc_id"] for r in simhash.one_of_each(docs).collect()] == [1]
+
+
+def test_stage_against_all_pairs(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    group = expected([tuple(r) for r in docs.select("doc_id", "text").collect()])
+    kept = [r["doc_id"] for r in simhash.one_of_each(docs).select("doc_id").collect()]
+    assert sorted(kept) == sorted(set(group.values()))
