@@ -278,16 +278,31 @@ def _word_counts(docs: DataFrame) -> DataFrame:
 
 def _sample(docs: DataFrame, most: int) -> DataFrame:
     """(lang, text, turn) of at most `most` documents of each language, the first ones in the order of a
-    hash. The share of the hash's range that holds about one and a half times as many is known from the
-    languages' counts, so other texts go nowhere; the limit then holds for what is left."""
+    hash; rows that repeat a doc_id come after all others. The share of the hash's range that holds about one and a half
+    times as many is known from the languages' counts of such documents, so other texts go nowhere; the
+    limit then holds for what is left. A language whose share holds too few is read in whole."""
     some = docs.where(learnable(docs)).withColumn("_h", F.xxhash64(F.col("doc_id").cast("long")))
-    counts = docs.where(F.col("lang").isNotNull()).groupBy(F.col("lang").alias("_lang")).agg(F.count("*").alias("_n"))
+    counts = some.groupBy(F.col("lang").alias("_lang")).agg(F.approx_count_distinct("_h").alias("_n"))
     counts = cut_lineage(counts)  # written, so that Spark knows that a row a language can be broadcast
     share = F.shiftrightunsigned("_h", 1) / float(2**63)
-    near = some.join(counts, (F.col("lang") == F.col("_lang")) & (share * F.col("_n") <= 2.25 * most))
-    order = Window.partitionBy("lang").orderBy("_h", "text")
-    near = near.select("lang", "text", "_h").withColumn("turn", F.row_number().over(order))
-    return cut_lineage(near.where(F.col("turn") <= most).select("lang", "text", "turn"))
+    own = Window.partitionBy("lang", "_h").orderBy("text")
+    order = Window.partitionBy("lang").orderBy("_again", "_h", "text")
+
+    def first(counts: DataFrame) -> DataFrame:
+        near = some.join(counts, (F.col("lang") == F.col("_lang")) & (share * F.col("_n") <= 1.5 * most))
+        near = near.select("lang", "text", "_h").withColumn("_again", F.row_number().over(own)).where(F.col("_again") <= most)
+        near = near.withColumn("turn", F.row_number().over(order))
+        return cut_lineage(near.where(F.col("turn") <= most).select("lang", "text", "turn", "_again"))
+
+    found = first(counts)
+    held = found.where(F.col("_again") == 1).groupBy(F.col("lang").alias("_held")).agg(F.count("*").alias("_m"))
+    short = counts.join(held, F.col("_lang") == F.col("_held"), "left")
+    short = short.where((F.coalesce("_m", F.lit(0)) < most) & (F.col("_n") > 1.5 * most)).select("_lang", "_n")
+    short = cut_lineage(short.withColumn("_n", F.lit(0)))
+    if not short.head(1):
+        return found.drop("_again")
+    whole = first(short)
+    return found.join(short, F.col("lang") == F.col("_lang"), "left_anti").unionByName(whole).drop("_again")
 
 
 def fit(docs: DataFrame, most_fit: int = FIT, most_calibrate: int = CALIBRATE) -> LanguageModel:

@@ -113,3 +113,13 @@ def test_samples_are_bounded_where_rows_repeat(spark):
 def test_mixed_rows_sum_by_text():
     rows = np.arange(12.0).reshape(6, 2)
     assert langid.sum_runs(rows, np.array([0, 2, 0, 4])).tolist() == [[0, 0], [2, 4], [0, 0], [28, 32]]
+
+
+def test_sample_where_most_rows_cannot_be_learned_from(spark):
+    """Rows without text, without doc_id, and that repeat one doc_id don't take the places of others."""
+    learn = [(i, f"text {i}", "en") for i in range(300)]
+    other = [(i, None, "en") for i in range(300, 9000)] + [(None, "x", "en")] * 2000 + [(5, "text 5", "en")] * 500
+    docs = spark.createDataFrame(learn + other, "doc_id long, text string, lang string")
+    can = docs.where(langid.learnable(docs)).select("doc_id").distinct().count()
+    texts = [r["text"] for r in langid._sample(docs, 100).collect()]
+    assert len(texts) == len(set(texts)) == min(100, can) == 100
