@@ -19,16 +19,17 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from patronage.llm.components import LINKS, LinkBuffer, components
 from patronage.llm.frames import aside, restored
-from patronage.llm.shingles import hashes, similar_groups
 from patronage.llm.tokens import slices
 from patronage.session import cut_lineage
 
 SHINGLE = 3
+SEED = 42
 BITS = 2
 MOST_BUCKET = 4096
 #: Shingles whose bits are counted at once.
@@ -37,6 +38,20 @@ COUNTED = 200_000
 SLICE = 3_000_000
 
 
+def _hashes(text: str, shingle: int) -> list[int]:
+    """XXH64 of all runs of `shingle` words, or of the whole sequence if it is shorter."""
+    words = text.encode().lower().split()  # of bytes: ASCII letters and ASCII white space only
+    if not words:
+        return []
+    joined = b" ".join(words)
+    if len(words) <= shingle:
+        return [xxhash.xxh64_intdigest(joined, SEED)]
+    ends = np.cumsum([len(w) + 1 for w in words]) - 1
+    begins = np.concatenate([[0], ends[:-1] + 1])
+    digest = xxhash.xxh64_intdigest
+    return [digest(joined[a:b], SEED) for a, b in zip(begins.tolist(), ends[shingle - 1 :].tolist())]
+
+
 def _majority(hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """Fingerprints of consecutive runs of hashes: a bit is set if over half of a run have it set.
     An empty run gives zero. Long runs are counted in parts."""
@@ -65,7 +80,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
         for batch in batches:
             ids, texts = batch.column("doc_id"), batch.column("text")
             for begin, end in slices(texts, SLICE):
-                found = [hashes(t, shingle) if t else [] for t in texts.slice(begin, end - begin).to_pylist()]
+                found = [_hashes(t, shingle) if t else [] for t in texts.slice(begin, end - begin).to_pylist()]
                 sizes = np.array([len(f) for f in found], np.int64)
                 flat = np.fromiter((h for f in found for h in f), np.uint64, int(sizes.sum()))
                 fps = pa.array(_majority(flat, sizes).view(np.int64))
@@ -171,9 +186,9 @@ def links(fps: DataFrame, most_bits: int = BITS, most_bucket: int = MOST_BUCKET)
     return near.unionAll(_scanned(both, _chain, "pair", "key"))
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = BITS) -> DataFrame:
-    """(doc_id, fp, component_id) of every document; component_id is the smallest doc_id reachable."""
-    of_doc = cut_lineage(fingerprints(docs, shingle))
+def _groups(of_doc: DataFrame, most_bits: int) -> DataFrame:
+    """(fp, component, component_id) of the different fingerprints of (doc_id, fp): a number of the
+    group, and the smallest doc_id in it, null where none of it has one."""
     fps = cut_lineage(of_doc.groupBy("fp").agg(F.min("doc_id").alias("least")))
     joined = components(links(fps.select("fp"), most_bits))
     known = cut_lineage(
@@ -182,8 +197,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = BI
         )
     )
     least = cut_lineage(known.groupBy("component").agg(F.min("least").alias("component_id")))
-    named = cut_lineage(known.select("fp", "component").join(least, "component").select("fp", "component_id"))
-    return of_doc.join(named, "fp").select("doc_id", "fp", "component_id")
+    return cut_lineage(known.select("fp", "component").join(least, "component").select("fp", "component", "component_id"))
+
+
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = BITS) -> DataFrame:
+    """(doc_id, fp, component_id) of every document; component_id is the smallest doc_id reachable."""
+    of_doc = cut_lineage(fingerprints(docs, shingle))
+    return of_doc.join(_groups(of_doc, most_bits), "fp").select("doc_id", "fp", "component_id")
 
 
 def digests(found: DataFrame) -> DataFrame:
@@ -191,15 +211,28 @@ def digests(found: DataFrame) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents with the smallest doc_id of their group of similar ones (by `shingles`, not by
-    fingerprints), with all of the input's columns; of rows that repeat a doc_id one stays. A row without doc_id can't be told from others and always stays."""
-    found = cut_lineage(similar_groups(docs))
-    kept = found.where("doc_id = component_id").groupBy("doc_id").count()
+def one_of_each(docs: DataFrame, shingle: int = SHINGLE, most_bits: int = BITS) -> DataFrame:
+    """The document with the smallest doc_id of each group, with all of the input's columns; of rows
+    that repeat a doc_id one stays. Of a group in which no row has a doc_id one row stays, whichever
+    Spark numbers first; any other row without doc_id goes."""
+    of_doc = cut_lineage(fingerprints(docs, shingle))
+    groups = _groups(of_doc, most_bits)
+    found = of_doc.join(groups, "fp").where("doc_id = component_id")
+    kept = found.groupBy("doc_id").count()
     kept = cut_lineage(kept.select(F.col("doc_id").alias("_kept"), (F.col("count") > 1).alias("_again")))
     given = aside(docs, "doc_id")
     # one plan at every size: the ids that stay grow with the input, so they aren't broadcast
     out = given.join(kept.hint("shuffle_hash"), F.col("doc_id") == F.col("_kept"))
     if kept.where("_again").head(1):
         out = out.where("not _again").unionByName(out.where("_again").dropDuplicates(["doc_id"]))
-    return restored(out, docs).unionByName(docs.where(F.col("doc_id").isNull()))
+    out = restored(out, docs)
+    nameless = groups.where("component_id is null")
+    if not nameless.head(1):
+        return out
+    # numbers in place of the ids that are missing
+    rows = aside(docs, "doc_id", "text").where("doc_id is null")
+    rows = cut_lineage(rows.withColumn("_number", F.monotonically_increasing_id()))
+    numbered = fingerprints(rows.select(F.col("_number").alias("doc_id"), "text"), shingle)
+    first = numbered.join(nameless, "fp").groupBy("component").agg(F.min("doc_id").alias("_first"))
+    rest = rows.join(first.select("_first"), F.col("_number") == F.col("_first"))
+    return out.unionByName(restored(rest, docs))

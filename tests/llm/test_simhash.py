@@ -61,7 +61,16 @@ def test_one_of_each(spark, odd_docs):
     out = simhash.one_of_each(odd_docs)
     assert out.columns == odd_docs.columns
     ids = [r["doc_id"] for r in out.collect()]
-    assert sorted(i for i in ids if i is not None) == sorted(keep) and ids.count(None) == 2
+    # of the two rows without an id one has no words, like documents that have one
+    assert sorted(i for i in ids if i is not None) == sorted(keep) and ids.count(None) == 1
+
+
+def test_copies_without_an_id(spark):
+    text = "one two three four five"
+    rows = [(None, text, 1), (None, text, 2), (None, "six seven eight", 3), (4, "six seven eight", 4), (None, None, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, number int").repartition(4)
+    out = [tuple(r) for r in simhash.one_of_each(docs).collect()]
+    assert sorted((i or 0, t or "") for i, t, _ in out) == [(0, ""), (0, text), (4, "six seven eight")]
 
 
 def test_components_of_long_chains_and_stars(spark):
