@@ -5,15 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from math import ceil, floor
 
-from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from ..functions.numbers import fixed_text_sql
-from ..session import scratch_path
+from . import tree
 
 PATH_TYPE = "array<struct<feature:string,threshold:double,op:string>>"
 SPLIT_BITS = 16
@@ -83,60 +81,35 @@ def stratified_split(
 
 @dataclass(frozen=True)
 class Tree:
-    model: DecisionTreeClassificationModel
+    """Leaves depth first, left first, with the training rows of each class."""
+
     features: list[str]
+    leaves: list[tree.Node]
+    classes: list[int]
+
+    def majority(self, leaf: tree.Node) -> int | None:
+        """The most frequent class of a leaf, the smallest of equals."""
+        return self.classes[int(leaf.counts.argmax())] if self.classes else None
 
     def apply(self, df: DataFrame) -> DataFrame:
-        """Rows with their leaf (numbered depth first, left first) and predicted label."""
-        vectors = VectorAssembler(inputCols=self.features, outputCol="_vector").transform(df)
-        out = self.model.transform(vectors)
-        return out.withColumns({"leaf": F.col("leaf").cast("int"), "predicted": F.col("predicted").cast("int")}).drop(
-            "_vector", "_raw", "_probability"
-        )
+        """Rows with their leaf and predicted label; one expression over the row."""
+        leaf, predicted = F.lit(None).cast("int"), F.lit(None).cast("int")
+        for i, node in enumerate(self.leaves):
+            here = tree.meets(node.tests)
+            leaf, predicted = F.when(here, i).otherwise(leaf), F.when(here, self.majority(node)).otherwise(predicted)
+        return df.withColumns({"leaf": leaf, "predicted": predicted})
 
-    def paths(self) -> list[dict]:
-        """Root-to-leaf tests per leaf, read off the stored node table. A tree of depth d has at
-        most 2**(d+1) - 1 nodes, whatever the data."""
-        spark = SparkSession.active()
-        path = scratch_path(spark, "tree")
-        self.model.write().save(path)
-        nodes = {r["id"]: r for r in spark.read.parquet(f"{path}/data").collect()}
-        leaves: list[dict] = []
-
-        def walk(node: int, tests: list[dict]) -> None:
-            row = nodes[node]
-            if row["leftChild"] < 0:
-                leaves.append({"leaf": len(leaves), "path": tests})
-                return
-            feature = self.features[row["split"]["featureIndex"]]
-            threshold = row["split"]["leftCategoriesOrThreshold"][0]
-            for child, op in ((row["leftChild"], "<="), (row["rightChild"], ">")):
-                walk(child, tests + [{"feature": feature, "threshold": threshold, "op": op}])
-
-        walk(0, [])
-        return leaves
-
-
-def fit_tree(
-    train: DataFrame, features: list[str], label: str, max_depth: int = 3, min_leaf: int = 50, seed: int = 42
-) -> Tree:
-    vectors = VectorAssembler(inputCols=features, outputCol="_vector").transform(
-        train.withColumn("_label", F.col(label).cast("double"))
-    )
-    model = DecisionTreeClassifier(
-        featuresCol="_vector",
-        labelCol="_label",
-        predictionCol="predicted",
-        rawPredictionCol="_raw",
-        probabilityCol="_probability",
-        leafCol="leaf",
-        maxDepth=max_depth,
-        minInstancesPerNode=min_leaf,
-        impurity="gini",
-        maxBins=256,
-        seed=seed,
-    ).fit(vectors)
-    return Tree(model, list(features))
+    @property
+    def train_accuracy(self) -> float | None:
+        n = sum(leaf.counts.sum() for leaf in self.leaves)
+        return float(sum(leaf.counts.max() for leaf in self.leaves) / n) if n else None
+
+
+def fit_tree(train: DataFrame, features: list[str], label: str, max_depth: int = 3, min_leaf: int = 50) -> Tree:
+    """A tree over rows without missing features. Sibling leaves stay apart also where they predict the
+    same class, so a class that leads everywhere still gets its rules."""
+    root, classes = tree.grow(train, list(features), label, max_depth, min_leaf)
+    return Tree(list(features), root.leaves(), classes)
 
 
 def accuracy(df: DataFrame, label: str, predicted: str) -> DataFrame:
@@ -178,29 +151,29 @@ def matching_rules(df: DataFrame, rules: DataFrame, features: list[str]) -> Data
     return out.drop("_values", "_rules", "_rule")
 
 
-def extract_rules(tree: Tree, train: DataFrame, label: str, first_id: int, train_accuracy: float | None) -> DataFrame:
+def extract_rules(fitted: Tree, spark: SparkSession, first_id: int = 1) -> DataFrame:
     """Rule rows of a tree, numbered in leaf order, with support and precision on the training rows.
-    A tree that is only a root gives no rules, and neither does a leaf without training rows."""
-    spark = train.sparkSession
-    leaves = [leaf for leaf in tree.paths() if leaf["path"]]
-    schema = T.StructType.fromDDL(f"leaf int, path {PATH_TYPE}")
-    paths = spark.createDataFrame([(leaf["leaf"], leaf["path"]) for leaf in leaves], schema)
-    stats = leaf_stats(tree.apply(train), "leaf", label)
-    order = W.orderBy("leaf")  # at most one row per leaf
-    return paths.join(stats, "leaf").select(
-        (F.row_number().over(order) + F.lit(first_id - 1)).cast("long").alias("rule_id"),
-        "leaf",
-        F.size("path").alias("depth"),
-        "cluster_id",
-        F.substring(rule_text("path"), 1, 1024).alias("rule_text"),
-        "support",
-        "rule_precision",
-        F.lit(train_accuracy).cast("double").alias("train_acc"),
-        "path",
+    A tree that is only a root gives no rules."""
+    values = [
+        (
+            first_id + i, i, len(leaf.tests), fitted.majority(leaf), int(leaf.counts.sum()),
+            float(leaf.counts.max() / leaf.counts.sum()), fitted.train_accuracy, leaf.tests,
+        )
+        for i, leaf in enumerate(fitted.leaves)
+        if leaf.tests
+    ]
+    schema = (
+        "rule_id long, leaf int, depth int, cluster_id int, support long, rule_precision double, train_acc double,"
+        f" path {PATH_TYPE}"
     )
+    rules = spark.createDataFrame(values, T.StructType.fromDDL(schema))
+    return rules.select(
+        "rule_id", "leaf", "depth", "cluster_id", F.substring(rule_text("path"), 1, 1024).alias("rule_text"),
+        "support", "rule_precision", "train_acc", "path",
+    )
 
 
-def assign_rules(tree: Tree, rules: DataFrame, rows: DataFrame) -> DataFrame:
+def assign_rules(fitted: Tree, rules: DataFrame, rows: DataFrame) -> DataFrame:
     """Every row with the rule of its leaf; rows of leaves without a rule drop out."""
     leaves = F.broadcast(rules.select("leaf", "rule_id", F.col("cluster_id").alias("rule_cluster")))
-    return tree.apply(rows).join(leaves, "leaf")
+    return fitted.apply(rows).join(leaves, "leaf")

@@ -24,12 +24,13 @@ class RuleTables:
     test_accuracy: float
 
 
-def labelled_rows(clusters: DataFrame, features: DataFrame) -> DataFrame:
+def labelled_rows(clusters: DataFrame, features: DataFrame, latest_only: bool = False) -> DataFrame:
     """All feature rows of the shops in the latest run, with the shop's cluster; a shop with
-    several months has several rows."""
+    several months has several rows, of which `latest_only` keeps the month that was labelled."""
     newest = clusters.filter(F.col("k") == latest_k(clusters).scalar())
-    rows = newest.select("mct_id", "cluster_id", "k").join(features.select("mct_id", "ym", *FEATURES), "mct_id")
-    return fill_missing(rows, FEATURES)
+    on = ["mct_id", "ym"] if latest_only else ["mct_id"]
+    rows = newest.select(*on, "cluster_id", "k").join(features.select("mct_id", "ym", *FEATURES), on)
+    return fill_missing(rows.select("mct_id", "cluster_id", "k", "ym", *FEATURES), FEATURES)
 
 
 def explain(
@@ -40,17 +41,18 @@ def explain(
     max_depth: int = 3,
     min_leaf: int = 50,
     test_share: float = 0.2,
+    latest_only: bool = False,
 ) -> RuleTables:
-    """Fit on the training part; support and precision count training rows, assignment covers all."""
-    rows = cut_lineage(labelled_rows(clusters, features))
-    train, test = stratified_split(rows, "cluster_id", ["mct_id", "ym"], test_share)
-    tree = fit_tree(train, FEATURES, "cluster_id", max_depth, min_leaf)
-
-    def score(part: DataFrame) -> float | None:
-        return accuracy(tree.apply(part), "cluster_id", "predicted").first()["accuracy"]
+    """Fit on the training part; support and precision count training rows, assignment covers all.
 
-    train_accuracy, test_accuracy = score(train), score(test)
-    rules = cut_lineage(extract_rules(tree, train, "cluster_id", first_rule_id, train_accuracy))
+    By default every month of a shop carries the cluster of its newest month. `latest_only` fits on
+    and assigns the months that were labelled themselves.
+    """
+    rows = cut_lineage(labelled_rows(clusters, features, latest_only))
+    train, test = stratified_split(rows, "cluster_id", ["mct_id", "ym"], test_share)
+    tree = fit_tree(cut_lineage(train.select("cluster_id", *FEATURES)), FEATURES, "cluster_id", max_depth, min_leaf)
+    test_accuracy = accuracy(tree.apply(test), "cluster_id", "predicted").first()["accuracy"]
+    rules = extract_rules(tree, rows.sparkSession, first_rule_id)
     k = rows.agg(F.max("k")).scalar()
     stamp = F.lit(run_ts).alias("created_at")
     assigned = dedupe_last(
@@ -61,7 +63,7 @@ def explain(
     return RuleTables(
         rules=rules.select("rule_id", k.alias("k"), *[c for c in rules.columns if c != "rule_id"], stamp),
         assigned=assigned.select("mct_id", "k", "rule_id", "cluster_id", stamp),
-        train_accuracy=train_accuracy,
+        train_accuracy=tree.train_accuracy,
         test_accuracy=test_accuracy,
     )
 

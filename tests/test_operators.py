@@ -4,6 +4,8 @@ import math
 import random
 import re
 
+from fractions import Fraction
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -331,7 +333,7 @@ def test_tree_rules(spark):
         "cluster_id", F.when(F.col("age_10s") > 0.55, 2).when(F.col("age_30s") > 0.55, 1).otherwise(0)
     )
     tree = rules.fit_tree(df, FEATURES, "cluster_id")
-    made = rules.extract_rules(tree, df, "cluster_id", 7, 0.5)
+    made = rules.extract_rules(tree, spark, 7)
     table = made.orderBy("rule_id").collect()
     assert [r["rule_id"] for r in table] == list(range(7, 7 + len(table)))
     assert sum(r["support"] for r in table) == df.count()
@@ -341,7 +343,51 @@ def test_tree_rules(spark):
     by_leaf = rules.assign_rules(tree, made, df).select("mct_id", "ym", "rule_id")
     assert rows(by_tests) == rows(by_leaf)
     only = df.withColumn("cluster_id", F.lit(1))
-    assert rules.extract_rules(rules.fit_tree(only, FEATURES, "cluster_id"), only, "cluster_id", 1, 1.0).count() == 0
+    assert rules.extract_rules(rules.fit_tree(only, FEATURES, "cluster_id"), spark).count() == 0
+    assert rules.extract_rules(rules.fit_tree(only.limit(0), FEATURES, "cluster_id"), spark).count() == 0
+
+
+def _plain_tree(x, y, depth, min_leaf, tests=()):
+    """Leaves (tests, counts) by trying every value of every feature."""
+    counts = np.bincount(y, minlength=3)
+    best = None
+    for f in range(x.shape[1]) if depth and (counts > 0).sum() > 1 else ():
+        values = np.unique(x[:, f])
+        for low, high in zip(values, values[1:]):
+            left = np.bincount(y[x[:, f] <= low], minlength=3).astype(object)
+            right = counts - left
+            if min(left.sum(), right.sum()) >= min_leaf:
+                gain = Fraction((left**2).sum(), left.sum()) + Fraction((right**2).sum(), right.sum())
+                if best is None or gain > best[0]:
+                    best = gain, f, low + (high - low) / 2
+    if best is None:
+        return [(list(tests), counts.tolist())]
+    _, f, t = best
+    return [
+        leaf
+        for op, side in (("<=", x[:, f] <= t), (">", x[:, f] > t))
+        for leaf in _plain_tree(x[side], y[side], depth - 1, min_leaf, [*tests, (f"f{f}", t, op)])
+    ]
+
+
+@pytest.mark.parametrize("bins", [3, 256])
+@pytest.mark.parametrize("kind", ["rounded", "heavy", "one leads", "nothing to learn"])
+def test_tree_equals_the_one_that_tries_every_value(spark, monkeypatch, bins, kind):
+    monkeypatch.setattr(rules.tree, "BINS", bins)
+    rng = np.random.default_rng(len(kind))
+    x = rng.normal(size=(400, 3))
+    x = np.exp(6 * x) if kind == "heavy" else x.round(1) if kind == "rounded" else x
+    x[:130, 1] = x[0, 1]  # a value that a third of the rows share
+    y = ((x[:, 0] > np.median(x[:, 0])).astype(int) + (x[:, 2] > 1)) * (rng.random(400) > 0.2)
+    y = (rng.random(400) < 0.1).astype(int) + 0 if kind == "one leads" else y
+    y = rng.integers(0, 3, 400) if kind == "nothing to learn" else y
+    df = spark.createDataFrame([(*map(float, r), int(c)) for r, c in zip(x, y)], "f0 double, f1 double, f2 double, c int")
+    want = _plain_tree(x, y, 3, 20)
+    for parts in (1, 7):
+        tree = rules.fit_tree(df.repartition(parts), ["f0", "f1", "f2"], "c", 3, 20)
+        counts = [[int(n.counts[tree.classes.index(c)]) if c in tree.classes else 0 for c in range(3)] for n in tree.leaves]
+        assert [(n.tests, c) for n, c in zip(tree.leaves, counts)] == want
+    assert len(want) > 3
 
 
 def test_rule_text(spark):
