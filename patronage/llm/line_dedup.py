@@ -107,23 +107,27 @@ def _halves(hashes: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarray]
 SHARD = "shard int, salts int, words array<int>, bits binary, prints binary, docs binary, keepers binary"
 
 
-def _build_shard(rows: pa.Table) -> pa.Table:
+def _build_shard(most_probes: int):
     """One row: the levels of the perfect hash and the arrays that it indexes."""
-    low, high = _halves(rows["hash"])
-    found = PerfectHash.build(low, high)
-    slot = found.slots(low, high)
-    prints, docs, keepers = (np.empty(len(low), t) for t in (np.uint64, np.uint32, np.int64))
-    prints[slot] = high
-    docs[slot] = np.minimum(rows["n_docs"].to_numpy(), 2**32 - 1)
-    keepers[slot] = rows["keeper"].to_numpy()
-    salts = 1 + int(rows["n_rows"].to_numpy().sum()) // SHARD_PROBES
-    row = {
-        "shard": pa.array([rows["shard"][0].as_py()], pa.int32()),
-        "salts": pa.array([salts], pa.int32()),
-        "words": pa.array([[len(b) for b in found.levels]], pa.list_(pa.int32())),
-        "bits": [b"".join(b.tobytes() for b in found.levels)],
-    }
-    return pa.table(row | {n: [a.tobytes()] for n, a in (("prints", prints), ("docs", docs), ("keepers", keepers))})
+
+    def run(rows: pa.Table) -> pa.Table:
+        low, high = _halves(rows["hash"])
+        found = PerfectHash.build(low, high)
+        slot = found.slots(low, high)
+        prints, docs, keepers = (np.empty(len(low), t) for t in (np.uint64, np.uint32, np.int64))
+        prints[slot] = high
+        docs[slot] = np.minimum(rows["n_docs"].to_numpy(), 2**32 - 1)
+        keepers[slot] = rows["keeper"].to_numpy()
+        salts = 1 + int(rows["n_rows"].to_numpy().sum()) // most_probes
+        row = {
+            "shard": pa.array([rows["shard"][0].as_py()], pa.int32()),
+            "salts": pa.array([salts], pa.int32()),
+            "words": pa.array([[len(b) for b in found.levels]], pa.list_(pa.int32())),
+            "bits": [b"".join(b.tobytes() for b in found.levels)],
+        }
+        return pa.table(row | {n: [a.tobytes()] for n, a in (("prints", prints), ("docs", docs), ("keepers", keepers))})
+
+    return run
 
 
 def _probe(min_docs: int):
@@ -219,7 +223,7 @@ def dedup(docs: DataFrame, min_length: int = MIN_LENGTH, min_docs: int = MIN_DOC
     repeated = cut_lineage(repeated_lines(lines, min_docs))
     shards = max(1, -(-repeated.count() // SHARD_KEYS), -(-lines.count() // SHARD_PROBES))
     shard = F.pmod(F.xxhash64("hash"), F.lit(shards)).cast("int")
-    index = cut_lineage(repeated.withColumn("shard", shard).groupBy("shard").applyInArrow(_build_shard, SHARD))
+    index = cut_lineage(repeated.withColumn("shard", shard).groupBy("shard").applyInArrow(_build_shard(SHARD_PROBES), SHARD))
     crowded = index.where("salts > 1").select(F.col("shard").alias("_shard"), "salts")
     sent = lines.withColumns({"shard": shard, "_n": F.monotonically_increasing_id()})
     sent = sent.join(crowded, F.col("shard") == F.col("_shard"), "left")
