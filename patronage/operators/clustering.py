@@ -2,21 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass, replace
+from math import frexp
 
-from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.functions import array_to_vector
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from . import silhouette
+from . import kmeans, silhouette
 
 SEED = 42
 K_LIST = (3, 4, 5, 6, 7)
-MEASURES = ("squared", "euclidean")
-WEIGHT, POINT_ID, VECTOR = "weight", "point_id", "scaled"
+MEASURES = ("euclidean", "squared")
+WEIGHT, POINT_ID, KEY = "weight", "point_id", "sample_key"
 
 
 @dataclass(frozen=True)
@@ -31,9 +29,6 @@ class Scaler:
         triples = zip(self.features, self.means, self.deviations)
         return [F.expr(f"(cast({f} AS DOUBLE) - {m!r}D) / {d!r}D AS z_{f}") for f, m, d in triples]
 
-    def vector(self) -> Column:
-        return array_to_vector(F.array(*self.columns())).alias(VECTOR)
-
 
 def fill_missing(df: DataFrame, features: list[str]) -> DataFrame:
     """Features as doubles, missing ones (NULL or NaN) as 0."""
@@ -46,20 +41,39 @@ def distinct_points(df: DataFrame, features: list[str]) -> DataFrame:
     return fill_missing(df, features).groupBy(*features).agg(F.count("*").alias(WEIGHT))
 
 
+def _exact_sums(points: DataFrame, terms: dict[str, str], largest: dict[str, float], weight: str) -> dict[str, float]:
+    """Weighted sums of doubles that don't depend on the order of rows: every term becomes a whole
+    number of units, about 2**-50 of its largest value."""
+    units = {n: 2.0 ** (frexp(largest[n])[1] - 50) for n in terms}
+    found = points.agg(
+        *[F.expr(f"sum(cast(rint(({t}) / {units[n]!r}D) AS DECIMAL(18, 0)) * cast({weight} AS DECIMAL(18, 0))) AS {n}") for n, t in terms.items()]
+    ).first()
+    return {n: int(found[n]) * units[n] for n in terms}
+
+
 def fit_scaler(points: DataFrame, features: list[str], weight: str | None = WEIGHT) -> Scaler:
-    """Two passes, the second around the means, so large counts cost no precision."""
-    w = f"cast({weight} AS DOUBLE)" if weight else "1D"
-    first = points.agg(
-        *[F.expr(f"sum({w} * cast({f} AS DOUBLE)) / sum({w}) AS mean_{f}") for f in features],
-        *[F.expr(f"min({f}) = max({f}) AS flat_{f}") for f in features],
+    """Means, then squares around the means, so large counts cost no precision; sums are exact, so the
+    scaler is the same on any number of partitions."""
+    w = weight or "1"
+    ends = points.agg(
+        F.expr(f"sum(cast({w} AS DECIMAL(18, 0)))").alias("_n"),
+        *[F.expr(f"min(cast({f} AS DOUBLE)) AS low_{f}") for f in features],
+        *[F.expr(f"max(cast({f} AS DOUBLE)) AS high_{f}") for f in features],
     ).first()
-    means = [first[f"mean_{f}"] for f in features]
-    if any(m is None for m in means):
+    if any(ends[f"low_{f}"] is None for f in features):
         raise ValueError("no rows to standardise")
-    second = points.agg(
-        *[F.expr(f"sum({w} * pow(cast({f} AS DOUBLE) - {m!r}D, 2)) / sum({w}) AS {f}") for f, m in zip(features, means)]
-    ).first()
-    deviations = [1.0 if first[f"flat_{f}"] else float(second[f]) ** 0.5 for f in features]
+    low, high, n = [ends[f"low_{f}"] for f in features], [ends[f"high_{f}"] for f in features], int(ends["_n"])
+    sums = _exact_sums(
+        points, {f: f"cast({f} AS DOUBLE)" for f in features}, {f: max(-a, b) for f, a, b in zip(features, low, high)}, w
+    )
+    means = [sums[f] / n for f in features]
+    squares = _exact_sums(
+        points,
+        {f: f"pow(cast({f} AS DOUBLE) - {m!r}D, 2)" for f, m in zip(features, means)},
+        {f: max(m - a, b - m, 0.0) ** 2 for f, m, a, b in zip(features, means, low, high)},
+        w,
+    )
+    deviations = [1.0 if a == b else (squares[f] / n) ** 0.5 for f, a, b in zip(features, low, high)]
     return Scaler(list(features), means, deviations)
 
 
@@ -77,54 +91,42 @@ def standardize(df: DataFrame, features: list[str], keep: list[str]) -> DataFram
     return scaled.select(*keep, *[F.expr(f"({f} - _s.mean_{f}) / _s.dev_{f} AS {f}") for f in features])
 
 
-def fit_kmeans(points: DataFrame, k: int, seed: int = SEED) -> KMeansModel:
-    """Spark compares the squared shift of each centre with tol squared, hence 1e-2 for a shift of
-    1e-4 in squared distance."""
-    return KMeans(k=k, seed=seed, maxIter=300, tol=1e-2, featuresCol=VECTOR, weightCol=WEIGHT).fit(points)
+def _nearest(centers: list[list[float]], dims: list[str]) -> Column:
+    """(distance, cluster_id) of the closest centre, the smaller id of equals; distances are squared."""
+    rows = []
+    for i, center in enumerate(centers):
+        squares = " + ".join(f"pow({d} - {x!r}D, 2)" for d, x in zip(dims, center))
+        rows.append(F.expr(f"named_struct('distance', {squares}, 'cluster_id', {i})"))
+    return F.array_min(F.array(*rows))
 
 
 @dataclass(frozen=True)
 class Segments:
-    """A fitted segmentation. Cluster ids are ordered by size, then by centre, so that they do not
+    """A fitted segmentation. Clusters are ordered by size, then by centre, so that their ids do not
     depend on the order in which k-means found them."""
 
     k: int
-    model: KMeansModel
+    centers: list[list[float]]
     scaler: Scaler
-    ids: list[int]
     inertia: float
     silhouette: float
     measure: str
 
+    def nearest(self) -> Column:
+        """(distance, cluster_id) of a row with the scaled features (`z_...`)."""
+        return _nearest(self.centers, [f"z_{f}" for f in self.scaler.features])
+
     def label(self, df: DataFrame) -> DataFrame:
         """Every row with its cluster id; a map over the rows."""
-        filled = fill_missing(df, self.scaler.features).withColumn(VECTOR, self.scaler.vector())
-        return _relabel(self.model, filled, self.ids, "cluster_id").drop(VECTOR)
-
-
-def _relabel(model: KMeansModel, df: DataFrame, ids: list[int], name: str) -> DataFrame:
-    predicted = model.copy().setPredictionCol("_found").transform(df)
-    new = F.element_at(F.array(*[F.lit(i) for i in ids]), F.col("_found") + 1)
-    return predicted.withColumn(name, new.cast("int")).drop("_found")
-
+        filled = fill_missing(df, self.scaler.features)
+        scaled = filled.select("*", *self.scaler.columns())
+        labelled = scaled.withColumn("cluster_id", self.nearest()["cluster_id"])
+        return labelled.drop(*[f"z_{f}" for f in self.scaler.features])
 
-def _stable_ids(model: KMeansModel, sizes: dict[int, int]) -> list[int]:
-    centers = [list(map(float, c)) for c in model.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda i: (-sizes.get(i, 0), centers[i]))
-    return [order.index(i) for i in range(len(centers))]
 
-
-def _inertias(labelled: DataFrame, dims: list[str], models: dict[str, KMeansModel]) -> dict[str, float]:
-    """Squared distances of all rows to the centres that the models ended with, in one pass."""
-
-    def gap(label: str, model: KMeansModel) -> Column:
-        centers = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in model.clusterCenters()])
-        own = F.element_at(centers, F.col(label) + 1)
-        squares = F.zip_with(F.array(*dims), own, lambda a, b: (a - b) * (a - b))
-        return F.aggregate(squares, F.lit(0.0), lambda total, s: total + s)
-
-    sums = [F.sum(F.col(WEIGHT) * gap(label, model)).alias(label) for label, model in models.items()]
-    return {label: float(value) for label, value in labelled.agg(*sums).first().asDict().items()}
+def _ordered(fit: kmeans.Fit) -> list[list[float]]:
+    centers = (fit.centers / 2.0**kmeans.GRID_BITS).tolist()
+    return [centers[i] for i in sorted(range(len(centers)), key=lambda i: (-fit.sizes[i], centers[i]))]
 
 
 def choose_segments(
@@ -132,55 +134,41 @@ def choose_segments(
     features: list[str],
     k_list: tuple[int, ...] = K_LIST,
     seed: int = SEED,
-    measure: str = "squared",
+    measure: str = "euclidean",
+    starts: int = kmeans.STARTS,
 ) -> tuple[Segments, list[Segments]]:
     """The segmentation with the best silhouette (a tie keeps the smaller k), and all candidates.
 
-    ``measure`` is the kind of distance in the silhouette, the same at every size: "squared" takes
-    linear time, "euclidean" (plain distances) time with the square of the distinct points.
+    ``measure`` is the kind of distance in the silhouette: "euclidean", plain distances of a sample of
+    rows to all others, as large as telling the candidates apart takes; or "squared", of all rows.
     """
     if measure not in MEASURES:
         raise ValueError(f"measure is one of {MEASURES}")
     raw = silhouette.numbered(distinct_points(df, features), POINT_ID)
     scaler = fit_scaler(raw, features)
-    points = raw.select(POINT_ID, WEIGHT, scaler.vector()).persist(StorageLevel.MEMORY_AND_DISK)
+    dims = [f"z_{f}" for f in features]
+    key = kmeans.sample_key(WEIGHT, features, seed).alias(KEY)
+    points = raw.select(POINT_ID, WEIGHT, key, *scaler.columns())
+    grid = F.array(*[F.rint(F.col(d) * 2.0**kmeans.GRID_BITS).cast("long") for d in dims]).alias("x")
+    cached = points.select(WEIGHT, KEY, grid).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        # the fits share one cached input, and small ones leave slots for each other
-        fit = inheritable_thread_target(df.sparkSession)(lambda k: fit_kmeans(points, k, seed))
-        with ThreadPool(len(k_list)) as pool:
-            models = dict(zip(k_list, pool.map(fit, k_list)))
+        fits = kmeans.fit_all(cached, k_list, WEIGHT, KEY, seed, starts)
     finally:
-        points.unpersist()
-
-    labelled = raw.select(POINT_ID, WEIGHT, *scaler.columns(), scaler.vector())
-    names = {k: f"label_{k}" for k in k_list}
-    for k, model in models.items():
-        labelled = model.copy().setPredictionCol(names[k]).transform(labelled)
-    labelled = labelled.drop(VECTOR)
-    dims = [f"z_{f}" for f in features]
-    labels = list(names.values())
-
+        cached.unpersist()
+    made = [Segments(k, _ordered(fits[k]), scaler, 0.0, 0.0, measure) for k in k_list]
+
+    near = {f"label_{s.k}": s.nearest().alias(f"label_{s.k}") for s in made}
+    found = points.select("*", *near.values())
+    # decimals, whose sums don't depend on the order of rows
+    inertias = found.agg(*[F.sum((F.col(WEIGHT) * F.col(n)["distance"]).cast("decimal(28,12)")).cast("double").alias(n) for n in near]).first()
+    labelled = found.withColumns({n: F.col(n)["cluster_id"] for n in near})
     if measure == "euclidean":
-        scores = silhouette.euclidean(labelled, POINT_ID, dims, labels, WEIGHT)
+        scores = silhouette.sampled(labelled, dims, list(near), WEIGHT, KEY)
     else:
-        scores = silhouette.squared(labelled, dims, labels, WEIGHT)
-
-    sizes = silhouette.cluster_sizes(labelled, labels, WEIGHT)
-    inertias = _inertias(labelled, dims, {names[k]: m for k, m in models.items()})
-    found = [
-        Segments(
-            k=k,
-            model=models[k],
-            scaler=scaler,
-            ids=_stable_ids(models[k], sizes[names[k]]),
-            inertia=inertias[names[k]],
-            silhouette=scores[names[k]],
-            measure=measure,
-        )
-        for k in k_list
-    ]
-    best = max(found, key=lambda s: (s.silhouette, -s.k))
-    return best, found
+        scores = silhouette.squared(labelled, dims, list(near), WEIGHT)
+    made = [replace(s, inertia=inertias[n], silhouette=scores[n]) for s, n in zip(made, near)]
+    best = max(made, key=lambda s: (s.silhouette, -s.k))
+    return best, made
 
 
 def nearest_center(df: DataFrame, vector: str, centers: DataFrame) -> DataFrame:

@@ -1,12 +1,20 @@
 """Substring joins as equi-joins.
 
-"Text contains name" holds if some piece of the text equals the name. Only pieces as long as some
-name can match, so a text of c characters gives at most c pieces per name length, and the pieces meet
-the names in a hash join: work grows with the texts, not with texts x names.
+`longest_names` puts every name under an anchor, that piece of up to four bytes of it which is rarest
+in the texts. A text is read once, whatever the lengths of the names: a table of fixed size says at
+which places of it an anchor may stand and how far names reach around it, and only what stands there
+meets the names, in a hash join on the anchor, and is checked for the whole name.
+
+`like_matches` joins the pieces of short values that are as long as some pattern's literal part.
+In both, work grows with the texts, not with texts x names.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +29,10 @@ NAME_COLUMNS = [
 _ESCAPE = "\u0001"
 # Letters of a text that are searched at once.
 BLOCK = 64
+#: Bytes of an anchor, and places of the table that anchors are found by, as a power of two.
+ANCHOR, TABLE_BITS = 4, 18
+#: Bytes of text that are worked on at once inside a task.
+SLICE = 2_000_000
 
 
 def _pieces(df: DataFrame, text: Column, lengths: Column, keep: list[str]) -> DataFrame:
@@ -70,18 +82,129 @@ def name_list(stg_store: DataFrame) -> DataFrame:
     return stg_store.select(F.inline(F.array(*entries))).filter(F.col("name").isNotNull()).distinct()
 
 
-def longest_names(texts: DataFrame, key: str, text: str, names: DataFrame) -> DataFrame:
+def _grams(data: np.ndarray, size: int) -> np.ndarray:
+    """The piece of `size` bytes at every place, as one number that also tells the size."""
+    grams = np.zeros(max(len(data) - size + 1, 0), np.uint64)
+    for i in range(size):
+        grams = grams << np.uint64(8) | data[i : i + len(grams)]
+    return grams | np.uint64(size << 8 * ANCHOR)
+
+
+def _places(grams: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each piece in the table."""
+    return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first text, end of each text, bytes) of runs of texts; a null text is empty."""
+    texts = texts.fill_null("").cast(pa.large_binary())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    begin = 0
+    while begin < len(texts):
+        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + most, side="right")) - 1)
+        yield begin, ends[begin + 1 : end + 1] - ends[begin], data[ends[begin] : ends[end]]
+        begin = end
+
+
+def _name_grams(names: DataFrame, bits: int) -> DataFrame:
+    """Every piece of every name: (kind, name, gram, place, reach), reach being the bytes of the name that
+    stand before or after the piece's first byte, whichever are more."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at, grams, reach = [], [], []
+            for i, name in enumerate(batch.column("name").to_pylist()):
+                data = np.frombuffer(name.encode(), np.uint8)
+                found = _grams(data, min(len(data), ANCHOR))
+                at.append(np.full(len(found), i))
+                grams.append(found)
+                before = np.arange(len(found))
+                reach.append(np.maximum(before, len(data) - before))
+            at, grams, reach = (np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (at, grams, reach))
+            columns = [batch.column(c).take(pa.array(at)) for c in ("kind", "name")]
+            columns += [pa.array(grams), pa.array(_places(grams.view(np.uint64), bits)), pa.array(reach)]
+            yield pa.RecordBatch.from_arrays(columns, ["kind", "name", "gram", "place", "reach"])
+
+    return names.select("kind", "name").mapInArrow(run, "kind string, name string, gram long, place long, reach long")
+
+
+def _counted(texts: DataFrame, text: str, sizes: list[int], wanted: np.ndarray, most: int) -> DataFrame:
+    """(place, n): how often pieces with a wanted place stand in all texts."""
+    bits = len(wanted).bit_length() - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(wanted), np.int64)
+        for batch in batches:
+            for _, _, data in _slices(batch.column(0), most):
+                for size in sizes:
+                    total += np.bincount(_places(_grams(data, size), bits), minlength=len(total))
+        at = np.flatnonzero(total * wanted)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["place", "n"])
+
+    found = texts.select(text).mapInArrow(run, "place long, n long")
+    return found.groupBy("place").agg(F.sum("n").alias("n"))
+
+
+def _contexts(texts: DataFrame, key: str, text: str, sizes: list[int], reach: np.ndarray, most: int) -> DataFrame:
+    """(key, gram, context): where an anchor may stand, with as many bytes around as its names need; equal
+    ones of a run of texts once."""
+    bits = len(reach).bit_length() - 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(0)
+            for first, ends, data in _slices(batch.column(1), most):
+                raw, found = data.tobytes(), set()
+                for size in sizes:
+                    grams = _grams(data, size)
+                    near = reach[_places(grams, bits)]
+                    at = np.flatnonzero(near)
+                    of = np.searchsorted(ends, at, side="right")
+                    begins = np.concatenate([[0], ends])[of]
+                    inside = at + size <= ends[of]  # not across two texts
+                    low, high = np.maximum(at - near[at], begins), np.minimum(at + near[at], ends[of])
+                    hits = zip(of[inside].tolist(), grams[at][inside].tolist(), low[inside].tolist(), high[inside].tolist())
+                    found.update((i, gram, raw[a:b]) for i, gram, a, b in hits)
+                rows = list(found)
+                for i in range(0, len(rows), 50_000):
+                    part = rows[i : i + 50_000]
+                    yield pa.RecordBatch.from_arrays(
+                        [keys.take(pa.array([first + r[0] for r in part], pa.int64())), pa.array([r[1] for r in part], pa.int64())]
+                        + [pa.array([r[2] for r in part], pa.binary())],
+                        ["_key", "_gram", "_context"],
+                    )
+
+    kind = dict(texts.dtypes)[key]
+    return texts.select(key, text).mapInArrow(run, f"_key {kind}, _gram long, _context binary")
+
+
+def longest_names(
+    texts: DataFrame, key: str, text: str, names: DataFrame, table_bits: int = TABLE_BITS, slice_bytes: int = SLICE
+) -> DataFrame:
     """Per text and kind of name the longest name the text contains; equal lengths in name order.
 
-    ``names`` has distinct rows (kind, name). They are written once, because they are read twice and
-    so that Spark broadcasts them by their real size and otherwise shuffles. Texts without any match
-    are left out.
+    ``names`` has distinct rows (kind, name). The driver sees one number for each place of the anchors'
+    table, which has a fixed size; the names are joined, broadcast or not, as Spark's size check finds.
+    Texts without any match are left out.
     """
-    known = cut_lineage(names.filter(F.col("name") != ""))
-    pieces = _pieces(texts, F.col(text), _lengths(known, F.col("name")), [key])
-    hits = pieces.join(known, F.col("_piece") == F.col("name"))
+    grams = cut_lineage(_name_grams(names.filter(F.col("name") != ""), table_bits))
+    of_place = grams.groupBy("place").agg(F.max("reach").alias("reach"))
+    wanted = np.zeros(1 << table_bits, np.int64)
+    wanted[[r["place"] for r in of_place.collect()]] = 1  # at most the table
+    sizes = [r[0] for r in grams.select(F.shiftright("gram", 8 * ANCHOR)).distinct().collect()]  # 1 to ANCHOR
+    counts = _counted(texts, text, sizes, wanted, slice_bytes)
+    rarest = F.min_by(F.struct("gram", "place", "reach"), F.struct(F.coalesce("n", F.lit(0)), "gram", "reach"))
+    anchors = grams.join(counts, "place", "left").groupBy("kind", "name").agg(rarest.alias("_a"))
+    anchors = cut_lineage(anchors.select("kind", "name", "_a.*"))
+    reach = np.zeros(1 << table_bits, np.int64)
+    for r in anchors.groupBy("place").agg(F.max("reach").alias("reach")).collect():
+        reach[r["place"]] = r["reach"]
+    near = _contexts(texts, key, text, sizes, reach, slice_bytes)
+    hits = near.join(anchors.select("kind", "name", "gram"), F.col("_gram") == F.col("gram"))
+    hits = hits.filter(F.contains("_context", F.encode("name", "UTF-8")))
     first = F.min_by("name", F.struct(-F.length("name"), F.col("name")))
-    return hits.groupBy(key, "kind").agg(first.alias("name"))
+    return hits.groupBy(F.col("_key").alias(key), "kind").agg(first.alias("name"))
 
 
 def _like_pattern(param: Column) -> Column:

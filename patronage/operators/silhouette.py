@@ -1,6 +1,11 @@
 """Mean silhouette of several labellings of the same weighted points.
 
-A point stands for ``weight`` equal rows, so both measures give what the single rows would give.
+A point stands for ``weight`` equal rows, so all measures give what the single rows would give.
+
+* ``sampled``: plain distances of a sample of points to all points. Scores of the sampled points are
+  exact, so the mean has a known error; the sample doubles until the best labelling is told from the
+  others, and ends as all points if that takes them. A task reduces its points to sums for each
+  sampled point and cluster, so work and shuffle are linear in the points.
 
 * ``euclidean``: plain distances, which need every pair of distinct points. Points are dealt into
   tiles by hash; each pair of tiles is one task that keeps a running sum per point and cluster, so
@@ -15,10 +20,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .kmeans import weighted_sample
 
 TILE_POINTS = 8192
 CHUNK_POINTS = 1024
@@ -135,6 +142,81 @@ def euclidean(
     return _mean_of(scored, sizes)
 
 
+#: Points of the first sample, and of a block that is compared with all points at once.
+SAMPLED = 2048
+#: Standard errors that tell two labellings apart, and a difference that need not be told.
+ERRORS, MARGIN = 4.0, 0.002
+
+
+def _distance_sums(points: DataFrame, some: np.ndarray, dims: list[str], layout: dict, weight: str) -> np.ndarray:
+    """Weighted sums of distances, sampled points by clusters of all labellings, exact to a fixed unit so
+    that the order of rows doesn't matter."""
+    labels = list(layout)
+    wide = sum(len(layout[n][0]) for n in labels)
+    norms, unit = (some**2).sum(axis=1), 2.0**-20
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((len(some), wide), np.int64)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, CHUNK_POINTS):
+                part = batch.slice(begin, CHUNK_POINTS)
+                x = np.stack([part.column(d).to_numpy() for d in dims], axis=1)
+                w = part.column(weight).to_numpy()
+                far = norms[:, None] + (x**2).sum(axis=1)[None, :] - 2.0 * some @ x.T
+                whole = np.rint(np.sqrt(np.maximum(far, 0.0)) / unit)
+                member = np.concatenate(
+                    [(part.column(n).to_numpy()[:, None] == np.array(layout[n][0])[None, :]) * w[:, None] for n in labels], axis=1
+                )
+                total += (whole @ member.astype(float)).astype(np.int64)
+        at = np.flatnonzero(total.any(axis=1))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(at, pa.int32()), pa.array(total[at].tolist(), pa.list_(pa.int64()))], ["at", "sums"]
+        )
+
+    parts = points.select(weight, *dims, *labels).mapInArrow(run, "at int, sums array<long>")
+    added = [F.sum(F.col("sums")[i].cast("decimal(20,0)")).alias(f"s{i}") for i in range(wide)]
+    out = np.zeros((len(some), wide))
+    for row in parts.groupBy("at").agg(*added).collect():  # one row a sampled point
+        out[row["at"]] = [float(v) for v in list(row)[1:]]
+    return out * unit
+
+
+def sampled(
+    points: DataFrame, dims: list[str], labels: list[str], weight: str, key: str, first: int = SAMPLED
+) -> dict[str, float]:
+    """Mean silhouette per labelling with plain distances. ``key`` is the sample key of each point."""
+    sizes = cluster_sizes(points, labels, weight)
+    layout, score = _layout(sizes), _scorer()
+    slim = points.select(weight, key, *dims, *[F.col(n).cast("int").alias(n) for n in labels])
+    known = {n: np.empty(0) for n in labels}
+    most = first
+    while True:
+        rows, chance = weighted_sample(slim, weight, key, most)
+        fresh = rows[len(known[labels[0]]) :]  # smaller samples are the beginnings of larger ones
+        for begin in range(0, len(fresh), SAMPLED):
+            block = fresh[begin : begin + SAMPLED]
+            x = np.array([[r[d] for d in dims] for r in block], dtype=float)
+            sums, at = _distance_sums(slim, x, dims, layout, weight), 0
+            for n in labels:
+                clusters, counts = layout[n]
+                own, at = sums[:, at : at + len(clusters)], at + len(clusters)
+                label = np.searchsorted(clusters, [r[n] for r in block])
+                values = score(own, label, counts) if len(clusters) > 1 else np.full(len(block), -1.0)
+                known[n] = np.concatenate([known[n], values])
+        share = np.array([r[weight] for r in rows], dtype=float) / chance
+        means = {n: float((share * known[n]).sum() / share.sum()) if len(rows) else -1.0 for n in labels}
+        best = max(labels, key=lambda n: means[n])
+
+        def open_(n: str) -> bool:
+            gap = known[best] - known[n]
+            error = np.sqrt(((1 - chance) * (share * (gap - means[best] + means[n])) ** 2).sum()) / share.sum()
+            return MARGIN < ERRORS * error and means[best] - means[n] < ERRORS * error
+
+        if (chance == 1).all() or not any(open_(n) for n in labels if n != best):
+            return means
+        most *= 2
+
+
 def squared(points: DataFrame, dims: list[str], labels: list[str], weight: str) -> dict[str, float]:
     """Exact mean silhouette per labelling with squared distances, in linear time."""
     sizes = cluster_sizes(points, labels, weight)

@@ -45,7 +45,7 @@ def segment_tables(features: DataFrame, segments: Segments, run_ts: dt.datetime)
     )
 
 
-def segment(features: DataFrame, run_ts: dt.datetime, k: int | None = None, measure: str = "squared") -> SegmentTables:
+def segment(features: DataFrame, run_ts: dt.datetime, k: int | None = None, measure: str = "euclidean") -> SegmentTables:
     """Fit with a given k, or with the k of 3 to 7 that has the best silhouette."""
     best, _ = choose_segments(features, FEATURES, K_LIST if k is None else (k,), measure=measure)
     return segment_tables(features, best, run_ts)

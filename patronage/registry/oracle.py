@@ -123,6 +123,43 @@ _numbers2 = lambda labels, columns: " || ', ' || ".join(
     f"'{label}=' || format('{{:.2f}}', coalesce({c}, 0)::DOUBLE)" for label, c in zip(labels, columns)
 )
 
+_GIVEN = range(5)  # the clusters of the given labelling
+
+
+def _tree_level(level: int) -> dict[str, str]:
+    """The best split of every node of a level by trying every value, and the rows one level down. A node
+    is named by its turns from the root."""
+    cells = ", ".join(f"struct_pack(f := {i}, v := {f}::DOUBLE)" for i, f in enumerate(FEATURES))
+    left, right = [f"l{c}" for c in _GIVEN], [f"(t{c} - l{c})" for c in _GIVEN]
+    gain = " + ".join(f"({' + '.join(f'{x} * {x}' for x in side)})::DOUBLE / ({' + '.join(side)})" for side in (left, right))
+    names = " ".join(f"WHEN {i} THEN '{f}'" for i, f in enumerate(FEATURES))
+    value = " ".join(f"WHEN {i} THEN {f}::DOUBLE" for i, f in enumerate(FEATURES))
+    return {
+        f"tree_cells{level}": f"""
+        SELECT node, c.f, c.v, {", ".join(f"count(*) FILTER (cluster_id = {c}) AS n{c}" for c in _GIVEN)}
+        FROM (SELECT node, cluster_id, unnest([{cells}]) AS c FROM tree_rows{level}) GROUP BY ALL""",
+        f"tree_sums{level}": f"""
+        SELECT node, f, v, lead(v) OVER (PARTITION BY node, f ORDER BY v) AS above,
+          {", ".join(f"(sum(n{c}) OVER (PARTITION BY node, f ORDER BY v))::BIGINT AS l{c}, (sum(n{c}) OVER (PARTITION BY node, f))::BIGINT AS t{c}" for c in _GIVEN)}
+        FROM tree_cells{level}""",
+        f"tree_splits{level}": f"""
+        SELECT node, f, CASE f {names} END AS name, CASE WHEN v + (above - v) / 2 >= above THEN v ELSE v + (above - v) / 2 END AS threshold
+        FROM tree_sums{level}
+        WHERE above IS NOT NULL AND {" + ".join(left)} >= 50 AND {" + ".join(right)} >= 50
+          AND {" + ".join(f"(t{c} > 0)::INT" for c in _GIVEN)} > 1
+        QUALIFY row_number() OVER (PARTITION BY node ORDER BY round({gain}, 8) DESC, f, v) = 1""",
+        f"tree_rows{level + 1}": f"""
+        SELECT * EXCLUDE (node, rule_text, depth, name, threshold, f, goes),
+          CASE WHEN goes IS NULL THEN node ELSE node || goes END AS node,
+          CASE WHEN goes IS NULL THEN rule_text ELSE rule_text || CASE WHEN depth > 0 THEN ' AND ' ELSE '' END || name
+            || CASE goes WHEN 'l' THEN ' <= ' ELSE ' > ' END || format('{{:.3f}}', threshold) END AS rule_text,
+          depth + (goes IS NOT NULL)::INT AS depth
+        FROM (SELECT r.*, s.f, s.name, s.threshold,
+            CASE WHEN s.f IS NOT NULL THEN CASE WHEN CASE s.f {value} END <= s.threshold THEN 'l' ELSE 'r' END END AS goes
+          FROM tree_rows{level} r LEFT JOIN tree_splits{level} s USING (node))""",
+    }
+
+
 _CTES: dict[str, str] = {
     "stg_store": """
         SELECT c_custkey::VARCHAR AS ENCODED_MCT,
@@ -276,6 +313,14 @@ _CTES: dict[str, str] = {
         SELECT rule_id, cluster_id, support, n::DOUBLE / support AS rule_precision
         FROM (SELECT *, sum(n) OVER (PARTITION BY rule_id) AS support FROM rule_counts)
         QUALIFY row_number() OVER (PARTITION BY rule_id ORDER BY n DESC, cluster_id) = 1""",
+    "tree_rows0": "SELECT *, '' AS node, '' AS rule_text, 0 AS depth FROM labelled",
+    **_tree_level(0),
+    **_tree_level(1),
+    **_tree_level(2),
+    "tree_counts": "SELECT node, rule_text, depth, cluster_id, count(*) AS n FROM tree_rows3 WHERE depth > 0 GROUP BY ALL",
+    "tree_rules": """
+        SELECT dense_rank() OVER (ORDER BY node) AS rule_id, * FROM (SELECT *, sum(n) OVER (PARTITION BY node) AS support FROM tree_counts
+          QUALIFY row_number() OVER (PARTITION BY node ORDER BY n DESC, cluster_id) = 1)""",
     "points": "SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings",
     "centers": """
         SELECT label AS cluster_id, list(m ORDER BY i) AS center FROM (
@@ -586,12 +631,20 @@ ORACLE: dict[str, str] = {
     "accuracy": """
         SELECT count(*) FILTER (WHERE r.cluster_id = s.cluster_id)::DOUBLE / count(*) AS accuracy
         FROM rule_rows r JOIN rule_stats s USING (rule_id)""",
+    "tree_rules_given": """
+        SELECT rule_id::BIGINT AS rule_id, depth::BIGINT AS depth, cluster_id::BIGINT AS cluster_id, rule_text,
+          support::BIGINT AS support, n::DOUBLE / support AS rule_precision,
+          (SELECT sum(n) / sum(support) FROM tree_rules) AS train_acc
+        FROM tree_rules""",
+    "tree_assign_given": """
+        SELECT mct_id, ym, rule_id::BIGINT AS rule_id, t.cluster_id::BIGINT AS rule_cluster
+        FROM tree_rows3 r JOIN tree_rules t USING (node)""",
     "vocab": "SELECT * FROM vocab",
     "longest_match": "SELECT request_id, kind, name FROM found",
     "names_in_documents": """
         SELECT doc_id, kind, name FROM documents JOIN (
           SELECT DISTINCT 'word' AS kind, lower(string_split(text, ' ')[1]) AS name FROM benchmark) ON contains(text, name)
-        WHERE length(name) BETWEEN 5 AND 8 QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY length(name) DESC, name) = 1""",
+        WHERE name <> '' QUALIFY row_number() OVER (PARTITION BY doc_id, kind ORDER BY length(name) DESC, name) = 1""",
     "like_filter": """
         SELECT param, value FROM (SELECT DISTINCT 'nat%' || substr(n_name, 8) AS param FROM nation)
         JOIN (SELECT DISTINCT 'Nation ' || p_name || ' ' || p_size::VARCHAR AS value FROM part)

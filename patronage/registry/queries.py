@@ -602,6 +602,26 @@ def accuracy(spark, sf_dir):
     return tree_rules.accuracy(rows.join(majority, "rule_id"), "cluster_id", "predicted")
 
 
+def _given_tree(spark: SparkSession, sf_dir: str):
+    """The rows of the given clusters, a tree over all of them, and its rules."""
+    rows = _labelled(spark, sf_dir)
+    fitted = tree_rules.fit_tree(rows, FEATURES, "cluster_id")
+    return rows, fitted, tree_rules.extract_rules(fitted, spark)
+
+
+@query
+def tree_rules_given(spark, sf_dir):
+    """Every rule of the tree that explains the given clusters, with its text, support and precision."""
+    return _given_tree(spark, sf_dir)[2].drop("path", "leaf")
+
+
+@query
+def tree_assign_given(spark, sf_dir):
+    """Every shop month with its rule and the cluster that the rule predicts."""
+    rows, fitted, rules = _given_tree(spark, sf_dir)
+    return tree_rules.assign_rules(fitted, rules, rows).select("mct_id", "ym", "rule_id", "rule_cluster")
+
+
 # --- requests and briefs ------------------------------------------------------------------------------
 
 
@@ -618,10 +638,10 @@ def longest_match(spark, sf_dir):
 
 @query
 def names_in_documents(spark, sf_dir):
-    """The longest name in each whole document: opening words of the benchmark's texts of five to eight letters."""
+    """The longest name in each whole document; names are the opening words of all texts of the benchmark."""
     first = F.lower(F.substring_index("text", " ", 1))
     names = _table(spark, sf_dir, "benchmark").select(F.lit("word").alias("kind"), first.alias("name"))
-    names = names.filter(F.length("name").between(5, 8)).distinct()
+    names = names.filter("name <> ''").distinct()
     return longest_names(_table(spark, sf_dir, "documents"), "doc_id", "text", names)
 
 
@@ -789,15 +809,6 @@ def rounded_shares(spark, sf_dir):
 # --- fitted models: what holds for every fit -------------------------------------------------------------
 
 
-def _center_distances(segs: clustering.Segments) -> F.Column:
-    """Squared distances of a row with the scaled features to each centre of a fit, with its cluster id."""
-    rows = []
-    for i, center in zip(segs.ids, segs.model.clusterCenters()):
-        squares = " + ".join(f"pow(z_{f} - {float(x)!r}D, 2)" for f, x in zip(FEATURES, center))
-        rows.append(F.expr(f"struct({squares} AS distance, {i} AS cluster_id)"))
-    return F.array_min(F.array(*rows))
-
-
 @query
 def kmeans_choose_k(spark, sf_dir):
     """Each k that was tried: rows, whether the inertia is that of the centres, and whether one k is
@@ -805,7 +816,7 @@ def kmeans_choose_k(spark, sf_dir):
     rows = cut_lineage(_features(spark, sf_dir))
     best, found = clustering.choose_segments(rows, FEATURES)
     scaled = clustering.fill_missing(rows, FEATURES).select(*best.scaler.columns())
-    nearest = [F.sum(_center_distances(s)["distance"]).alias(f"k{s.k}") for s in found]
+    nearest = [F.sum(s.nearest()["distance"]).alias(f"k{s.k}") for s in found]
     sums = scaled.agg(F.count("*").alias("n"), *nearest).first()
     top = max(s.silhouette for s in found)
     values = [
@@ -825,7 +836,7 @@ def store_clusters(spark, sf_dir):
     """Every shop's newest month, and whether the centre of the shop's cluster is the nearest to it."""
     rows, made = _segmented(spark, sf_dir)
     scaled = clustering.fill_missing(rows, FEATURES).select("mct_id", "ym", *made.segments.scaler.columns())
-    near = scaled.select("mct_id", "ym", _center_distances(made.segments)["cluster_id"].alias("_near"))
+    near = scaled.select("mct_id", "ym", made.segments.nearest()["cluster_id"].alias("_near"))
     joined = made.clusters.join(near, ["mct_id", "ym"])
     return joined.select("mct_id", "ym", (F.col("_near") == F.col("cluster_id")).alias("nearest"))
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from patronage.operators import affinity, clustering, keyed, ranking, rules, silhouette
+from patronage.operators import affinity, clustering, keyed, kmeans, ranking, rules, silhouette
 from patronage.operators.crosstab import association, crosstab, pair_counts
 from patronage.operators.groups import attach, group_profiles, place_sums
 from patronage.operators.matching import like_matches, longest_names
@@ -80,21 +80,25 @@ def test_ranking(spark):
 # --- matching -------------------------------------------------------------------------------------
 
 
-def test_longest_names_like_a_scan(spark):
+@pytest.mark.parametrize("bits, size", [(18, 2_000_000), (3, 50)])
+def test_longest_names_like_a_scan(spark, bits, size):
+    """Also where all anchors share a few places of the table, and with a few texts a slice."""
     rng = random.Random(2)
-    names = sorted({"".join(rng.choice("ab왕") for _ in range(rng.randint(1, 4))) for _ in range(25)}) + [""]
-    texts = ["".join(rng.choice("ab왕 ") for _ in range(rng.randint(0, 30))) for _ in range(60)] + ["aab" * 400]
+    names = sorted({"".join(rng.choice("ab왕") for _ in range(rng.randint(1, 4))) for _ in range(25)}) + ["", "b왕ab a왕 왕", "aab" * 130]
+    texts = ["".join(rng.choice("ab왕 ") for _ in range(rng.randint(0, 30))) for _ in range(60)] + ["aab" * 400, None, "", "x b왕ab a왕 왕", "b왕ab a왕 ", "왕"]
     kinds = [("area" if i % 2 else "sector", n) for i, n in enumerate(names)]
     got = longest_names(
         spark.createDataFrame(list(enumerate(texts)), "id int, text string"),
         "id",
         "text",
         spark.createDataFrame(kinds, "kind string, name string"),
+        bits,
+        size,
     )
     want = []
     for i, text in enumerate(texts):
         for kind in ("area", "sector"):
-            fits = sorted((-len(n), n) for k, n in kinds if k == kind and n and n in text)
+            fits = sorted((-len(n), n) for k, n in kinds if k == kind and n and n in (text or ""))
             if fits:
                 want.append((i, kind, fits[0][1]))
     assert rows(got) == sorted(want, key=repr)
@@ -241,11 +245,13 @@ def test_silhouette_like_brute_force(spark):
     ]
     df = spark.createDataFrame(data, "x double, y double, z double, w int, one int, two int, flat int")
     numbered = silhouette.numbered(df, "id")
+    keyed = numbered.withColumn("key", kmeans.sample_key("w", ["x", "y", "z"], 1))
     rows_of = np.repeat(np.arange(60), weights)
     x = points[rows_of]
     for power, got in (
         (1, silhouette.euclidean(numbered, "id", ["x", "y", "z"], ["one", "two", "flat"], "w")),
         (1, silhouette.euclidean(numbered, "id", ["x", "y", "z"], ["one", "two", "flat"], "w", tile_points=7)),
+        (1, silhouette.sampled(keyed, ["x", "y", "z"], ["one", "two", "flat"], "w", "key", 60)),
         (2, silhouette.squared(numbered, ["x", "y", "z"], ["one", "two", "flat"], "w")),
     ):
         assert math.isclose(got["one"], _silhouette_by_hand(x, one[rows_of], power), rel_tol=1e-6)
@@ -271,7 +277,7 @@ def _blobs(spark):
 def test_segments(spark):
     df = _blobs(spark)
     best, found = clustering.choose_segments(df, FEATURES, (2, 3, 4))
-    assert best.silhouette == max(s.silhouette for s in found) and best.measure == "squared"
+    assert best.silhouette == max(s.silhouette for s in found) and best.measure == "euclidean"
     labelled = best.label(df)
     sizes = {r["cluster_id"]: r["n"] for r in labelled.groupBy("cluster_id").agg(F.count("*").alias("n")).collect()}
     assert sorted(sizes) == list(range(best.k))
@@ -281,14 +287,44 @@ def test_segments(spark):
     deviation = x.std(0)
     assert np.allclose(best.scaler.deviations, np.where(deviation == 0, 1, deviation))
     z = (x - x.mean(0)) / np.where(deviation == 0, 1, deviation)
-    centers = np.array([c for c in best.model.clusterCenters()])
-    assert math.isclose(best.inertia, (((z[:, None, :] - centers[None]) ** 2).sum(-1)).min(1).sum(), rel_tol=1e-12)
-    plain, _ = clustering.choose_segments(df, FEATURES, (2, 3, 4), measure="euclidean")
-    assert plain.measure == "euclidean" and -1 <= plain.silhouette <= 1
+    centers = np.array(best.centers)
+    assert math.isclose(best.inertia, (((z[:, None, :] - centers[None]) ** 2).sum(-1)).min(1).sum(), rel_tol=1e-9)
+    assert math.isclose(best.silhouette, _silhouette_by_hand(z, ((z[:, None, :] - centers[None]) ** 2).sum(-1).argmin(1), 1), rel_tol=1e-5)
+    squared, _ = clustering.choose_segments(df, FEATURES, (2, 3, 4), measure="squared")
+    assert squared.measure == "squared" and -1 <= squared.silhouette <= 1
     with pytest.raises(ValueError, match="measure"):
         clustering.choose_segments(df, FEATURES, (2,), measure="auto")
 
 
+def test_partitions_change_nothing(spark):
+    """Centres, labels, k and scores to the last bit on 1, 8 and 200 partitions, shuffled rows."""
+    df = _blobs(spark)
+    made = []
+    for parts in (1, 8, 200):
+        best, found = clustering.choose_segments(df.orderBy(F.rand(parts)).repartition(parts), FEATURES, (2, 3))
+        made.append((best, found, rows(best.label(df).select("mct_id", "ym", "cluster_id"))))
+    assert made[0] == made[1] == made[2]
+
+
+def test_more_centres_than_points(spark):
+    df = _blobs(spark).limit(2)
+    best, found = clustering.choose_segments(df, FEATURES, (2, 3))
+    assert [len(s.centers) for s in found] == [2, 2] and best.k == 2
+
+
+def test_sampled_silhouette_tells_labellings_apart(spark):
+    """A sample that grows until its errors tell the best labelling; estimates near the exact means."""
+    rng = np.random.default_rng(7)
+    points = np.concatenate([rng.normal(c, 0.4, (2000, 2)) for c in ((0, 0), (4, 0), (0, 4))])
+    good = np.repeat([0, 1, 2], 2000)
+    near = np.where(rng.random(6000) < 0.06, (good + 1) % 3, good)
+    df = spark.createDataFrame([(*map(float, p), 1, int(a), int(b)) for p, a, b in zip(points, good, near)], "x double, y double, w int, good int, near int")
+    keyed = df.withColumn("key", kmeans.sample_key("w", ["x", "y"], 1))
+    got = silhouette.sampled(keyed, ["x", "y"], ["good", "near"], "w", "key", 64)
+    assert got["good"] > got["near"]
+    assert abs(got["good"] - _silhouette_by_hand(points[::6], good[::6], 1)) < 0.05
+
+
 def test_the_same_rows_ten_times_choose_the_same(spark):
     df = _blobs(spark)
     one, _ = clustering.choose_segments(df, FEATURES, (2, 3, 4))
