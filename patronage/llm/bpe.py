@@ -30,10 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from patronage.llm.tokens import PieceCache, byte_letters, gather, list_sizes, slices, sums
+from patronage.llm.worker import keep
 
 MOST_NODES = 250_000
 MOST_PAIRS = 300_000
-MOST_PIECES = 600_000
+MOST_BYTES = 24_000_000
 #: Bytes of text that are encoded, and ids that are decoded at once.
 SLICE, DECODED = 4_000_000, 500_000
 
@@ -193,9 +194,12 @@ class Cutter:
         return pc.split_pattern(marked, mark)
 
 
-@lru_cache(maxsize=1)
 def byte_cache(path: str) -> PieceCache:
-    """Cache over a byte-level vocabulary file; one per worker."""
+    """Cache over a byte-level vocabulary file, kept by the worker."""
+    return keep(("bytes", path), lambda: _byte_cache(path))
+
+
+def _byte_cache(path: str) -> PieceCache:
     vocabulary = Vocabulary(path)
     trie, words = Trie(vocabulary), regex.compile(WORDS)
 
@@ -207,7 +211,7 @@ def byte_cache(path: str) -> PieceCache:
             for p, ws in zip(fresh, cut)
         ]
 
-    return PieceCache(Cutter(list(vocabulary.special)), encode, MOST_PIECES)
+    return PieceCache(Cutter(list(vocabulary.special)), encode, MOST_BYTES)
 
 
 @lru_cache(maxsize=1)

@@ -5,16 +5,19 @@ half file behind:
 
 * `codes` (id, bits): the length of each id's code, from the counts over all documents. Codes are
   canonical: in the order of (bits, id), each one the next number of its length.
-* `blocks` (shard, block, docs, counts, marks, payload): whole documents in ascending order. `payload`
+* `blocks` (shard, block, docs, counts, sizes, marks, payload): whole documents in ascending order. `payload`
   is the bits of all their ids, most significant first, each document beginning on a whole byte.
   `marks` is the bit offset of every `MARK`-th id of each document, so that a reader can start there.
 * `shards` (shard, ids_before): ids in all shards before.
 
+Texts are tokenised once: their ids are written as whole numbers of 2 or 4 bytes, counted there, dealt
+to the shards by ranges of doc_id, and coded by the task that holds their shard in order.
+
 Any block is read on its own. Decoding starts at all marks of a block at once and looks the next code
 up in a table by the next `max_bits` bits.
 
 Documents stand in ascending doc_id order, null first; rows that repeat a doc_id stand together in the
-order of their lengths and bits, and each one is returned. A null or empty text has the end id only.
+order of their lengths and ids, over more than one shard if they are many, and each one is returned. A null or empty text has the end id only.
 An empty table gives an empty store. Other columns are ignored.
 """
 
@@ -22,14 +25,16 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from patronage.llm.tokens import slices, token_slices, word_cache
+from patronage.llm.tokens import token_slices
+from patronage.llm.worker import keep
+from patronage.session import cut_lineage
 
 MAX_BITS = 18
 MARK = 128
@@ -39,31 +44,60 @@ BLOCK_BYTES = 262_144
 ENCODED = 1_000_000
 #: Ids of a shard, which one task writes; their number grows with the input.
 SHARD_IDS = 4_000_000
-CODED = "shard int, doc_id long, n_tokens long, marks array<long>, payload binary"
+#: Shards whose ids are added up together.
+GROUPED = 4096
+IDS = "doc_id long, n_tokens long, width int, ids binary"
 BLOCKS = (
     "shard int, block int, docs array<long>, counts array<long>, sizes array<long>, marks array<long>, payload binary"
 )
 
 
-def count_ids(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
-    """(id, count) over all documents."""
+def tokenised(docs: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
+    """IDS rows: the ids of every document, `end_id` last, as numbers of `width` bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, cache = np.zeros(end_id + 1, np.int64), word_cache(vocabulary)
-        for batch in batches:
-            texts = batch.column("text")
-            for begin, end in slices(texts):
-                part = cache.counts(texts.slice(begin, end - begin))
-                pa.default_memory_pool().release_unused()
-                if len(part) < len(total):
-                    part = np.pad(part, (0, len(total) - len(part)))
-                part[: len(total)] += total
-                part[end_id] += end - begin
-                total = part
+        for doc_ids, flat, sizes in token_slices(batches, vocabulary, end_id):
+            width = 2 if flat.max(initial=0) < 1 << 16 else 4
+            ends = pa.py_buffer((width * np.concatenate([[0], np.cumsum(sizes)])).astype(np.int32))
+            data = pa.py_buffer(flat.astype(f"<u{width}"))
+            ids = pa.Array.from_buffers(pa.binary(), len(sizes), [None, ends, data])
+            columns = [doc_ids, pa.array(sizes), pa.array(np.full(len(sizes), width, np.int32)), ids]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "n_tokens", "width", "ids"])
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, IDS)
+
+
+def _stored(batches: Iterator[pa.RecordBatch], most: int = ENCODED):
+    """(doc_ids, flat ids, counts) of IDS rows, in parts of about `most` ids."""
+    for batch in batches:
+        sizes, widths = batch.column("n_tokens").to_numpy(), batch.column("width").to_numpy()
+        ends, begin = np.cumsum(sizes), 0
+        while begin < len(sizes):
+            held = int(ends[begin - 1]) if begin else 0
+            end = max(begin + 1, int(np.searchsorted(ends, held + most)))
+            raw = batch.column("ids").slice(begin, end - begin).to_pylist()
+            if (widths[begin:end] == 2).all():
+                flat = np.frombuffer(b"".join(raw), "<u2").astype(np.int32)
+            else:
+                parts = [np.frombuffer(x, f"<u{w}") for x, w in zip(raw, widths[begin:end].tolist())]
+                flat = np.concatenate(parts).astype(np.int32)
+            yield batch.column("doc_id").slice(begin, end - begin), flat, sizes[begin:end]
+            begin = end
+
+
+def count_ids(coded: DataFrame) -> DataFrame:
+    """(id, count) over all IDS rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(1, np.int64)
+        for _, flat, _ in _stored(batches):
+            part = np.bincount(flat, minlength=len(total))
+            part[: len(total)] += total
+            total = part
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], ["id", "count"])
 
-    counted = docs.select("text").mapInArrow(run, "id long, count long")
+    counted = coded.select("doc_id", "n_tokens", "width", "ids").mapInArrow(run, "id long, count long")
     return counted.groupBy("id").agg(F.sum("count").alias("count"))
 
 
@@ -164,113 +198,81 @@ def _marks(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return inside + np.repeat(np.cumsum(sizes) - sizes, number), number
 
 
-def _smaller(found):
-    """The same documents in parts of about ENCODED ids."""
-    for doc_ids, flat, sizes in found:
-        ends, begin = np.cumsum(sizes), 0
-        while begin < len(sizes):
-            held = int(ends[begin - 1]) if begin else 0
-            end = max(begin + 1, int(np.searchsorted(ends, held + ENCODED)))
-            yield doc_ids.slice(begin, end - begin), flat[held : int(ends[end - 1])], sizes[begin:end]
-            begin = end
-
-
-def _coded(docs: DataFrame, vocabulary: str, end_id: int, code, bits, edges: np.ndarray) -> DataFrame:
-    """CODED rows: each document's bits, and the shard that its doc_id belongs to."""
-    shared = docs.sparkSession.sparkContext.broadcast((code, bits, edges))  # bounded by the vocabulary
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code, bits, edges = shared.value
-        for doc_ids, flat, sizes in _smaller(token_slices(batches, vocabulary, end_id)):
-            payload, begin, size, inside = encode_ids(flat, sizes, code, bits)
-            at, number = _marks(sizes)
-            shard = np.zeros(len(sizes), np.int32)
-            named = np.flatnonzero(np.asarray(doc_ids.is_valid()))
-            shard[named] = np.searchsorted(edges, doc_ids.take(pa.array(named)).to_numpy(), side="right")
-            marks = pa.ListArray.from_arrays(
-                np.concatenate([[0], np.cumsum(number)]).astype(np.int32), pa.array(inside[at])
-            )
-            parts = [payload[a : a + n] for a, n in zip(begin.tolist(), size.tolist())]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(shard), doc_ids, pa.array(sizes), marks, pa.array(parts, pa.binary())],
-                ["shard", "doc_id", "n_tokens", "marks", "payload"],
-            )
-
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, CODED)
-
-
-def _to_blocks(block_bytes: int):
-    """Documents, sorted by shard and doc_id, joined to blocks."""
-
-    def block(shard: int, number: int, rows: list) -> dict:
-        sizes = np.array([len(r["payload"]) for r in rows], np.int64)
-        begins = (np.cumsum(sizes) - sizes) * 8
-        marks = np.concatenate([np.asarray(r["marks"], np.int64) + b for r, b in zip(rows, begins)])
-        return {
-            "shard": shard, "block": number, "docs": [r["doc_id"] for r in rows],
-            "counts": [r["n_tokens"] for r in rows], "sizes": sizes.tolist(),
-            "marks": marks.tolist(), "payload": b"".join(r["payload"] for r in rows),
-        }
-
+def _to_blocks(shared, block_bytes: int):
+    """Documents of a shard, in order, coded and joined to blocks. `shared` holds codes and their bits by id."""
     kind = pa.schema(
         [("shard", pa.int32()), ("block", pa.int32())]
         + [(n, pa.list_(pa.int64())) for n in ("docs", "counts", "sizes", "marks")]
         + [("payload", pa.binary())]
     )
 
+    def block(shard: int, number: int, parts: list) -> pa.RecordBatch:
+        docs = pa.concat_arrays([p[0] for p in parts])
+        counts, sizes, number_of_marks, inside = (np.concatenate([p[i] for p in parts]) for i in range(1, 5))
+        marks = inside + np.repeat((np.cumsum(sizes) - sizes) * 8, number_of_marks)
+        lists = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in (docs, *map(pa.array, (counts, sizes, marks)))]
+        payload = b"".join(p[5] for p in parts)
+        ids = [pa.array([shard], pa.int32()), pa.array([number], pa.int32())]
+        return pa.RecordBatch.from_arrays([*ids, *lists, pa.array([payload], pa.binary())], schema=kind)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows, held, shard, number = [], 0, None, 0
-        for batch in batches:
-            for row in batch.to_pylist():
-                if rows and (row["shard"] != shard or held >= block_bytes):
-                    yield pa.RecordBatch.from_pylist([block(shard, number, rows)], schema=kind)
-                    rows, held, number = [], 0, number + 1
-                if row["shard"] != shard:
-                    shard, number = row["shard"], 0
-                rows.append(row)
-                held += len(row["payload"])
-        if rows:
-            yield pa.RecordBatch.from_pylist([block(shard, number, rows)], schema=kind)
+        code, bits = shared.value
+        shard, number, held, parts = TaskContext.get().partitionId(), 0, 0, []
+        for doc_ids, flat, counts in _stored(batches):
+            payload, begin, size, inside = encode_ids(flat, counts, code, bits)
+            at, marks = _marks(counts)
+            ends, mark_ends, first = np.cumsum(size), np.concatenate([[0], np.cumsum(marks)]), 0
+            while first < len(size):
+                # up to the document with which the block is full
+                full = int(begin[first]) + block_bytes - held
+                last = min(first + int(np.searchsorted(ends[first:], full)), len(size) - 1) + 1
+                some = slice(first, last)
+                own = inside[at[mark_ends[first] : mark_ends[last]]]
+                data = payload[int(begin[first]) : int(ends[last - 1])]
+                parts.append((doc_ids.slice(first, last - first), counts[some], size[some], marks[some], own, data))
+                held += len(data)
+                if held >= block_bytes:
+                    yield block(shard, number, parts)
+                    number, held, parts = number + 1, 0, []
+                first = last
+        if parts:
+            yield block(shard, number, parts)
 
     return run
 
 
-def _edges(docs: DataFrame, shards: int) -> np.ndarray:
-    """Smallest doc_ids of the shards but the first: quantiles, which only bound the shards' sizes."""
-    if shards < 2:
-        return np.empty(0, np.int64)
-    cuts = [i / shards for i in range(1, shards)]
-    found = docs.agg(F.percentile_approx(F.col("doc_id").cast("long"), cuts, 10 * shards)).first()[0]
-    return np.unique(np.array(found or [], np.int64))
-
-
 def write(
     docs: DataFrame, path: str, vocabulary: str, end_id: int, shard_ids: int = SHARD_IDS, max_bits: int = MAX_BITS
 ) -> None:
     """Write the ids of all documents, `end_id` after each, as a store below `path`."""
     spark = docs.sparkSession
-    counted = count_ids(docs, vocabulary, end_id).orderBy("id").toArrow()  # a row for each id at most
+    coded = cut_lineage(tokenised(docs, vocabulary, end_id))
+    counted = count_ids(coded).orderBy("id").toArrow()  # a row for each id at most
     ids, counts = counted["id"].to_numpy(), counted["count"].to_numpy()
     lengths = code_lengths(counts, max_bits)
     code, bits = canonical(ids, lengths)
     codes = pa.table({"id": ids, "bits": lengths})
     spark.createDataFrame(codes).coalesce(1).write.parquet(f"{path}/codes")
-    edges = _edges(docs, -(-int(counts.sum()) // shard_ids))
-    coded = _coded(docs, vocabulary, end_id, code, bits, edges)
-    dealt = coded.repartition("shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "payload")
-    blocks = dealt.mapInArrow(_to_blocks(BLOCK_BYTES), BLOCKS)
+    shared = spark.sparkContext.broadcast((code, bits))  # bounded by the vocabulary
+    shards = max(1, -(-int(counts.sum()) // shard_ids))
+    # the hash spreads a doc_id that very many rows have over shards
+    keys = ["doc_id", "n_tokens", "_hash"]
+    dealt = coded.withColumn("_hash", F.xxhash64("ids")).repartitionByRange(shards, *keys).sortWithinPartitions(*keys, "ids")
+    blocks = dealt.drop("_hash").mapInArrow(_to_blocks(shared, BLOCK_BYTES), BLOCKS)
     # the bits are as dense as they get
     blocks.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     held = spark.read.parquet(f"{path}/blocks").select("shard", F.explode("counts").alias("n"))
-    totals = sorted((r["shard"], r["n"]) for r in held.groupBy("shard").agg(F.sum("n").alias("n")).collect())
-    before = np.cumsum([0] + [n for _, n in totals]).tolist()
-    rows = [(shard, start) for (shard, _), start in zip(totals, before)]
-    spark.createDataFrame(rows, "shard int, ids_before long").coalesce(1).write.parquet(f"{path}/shards")
+    totals = held.groupBy("shard").agg(F.sum("n").alias("n")).withColumn("group", F.floor(F.col("shard") / GROUPED))
+    groups = totals.groupBy("group").agg(F.sum("n").alias("n"))  # few rows, which a window over all may hold
+    before = F.coalesce(F.sum("n").over(_earlier("group")), F.lit(0))
+    groups = groups.select(F.col("group").alias("_group"), before.alias("_before"))
+    inside = F.coalesce(F.sum("n").over(_earlier("shard", "group")), F.lit(0))
+    begun = totals.withColumn("_inside", inside).join(groups, F.col("group") == F.col("_group"))
+    begun.select("shard", (F.col("_before") + F.col("_inside")).alias("ids_before")).write.parquet(f"{path}/shards")
 
 
-@lru_cache(maxsize=1)
 def _cached_lookup(ids: bytes, bits: bytes):
-    return lookup(np.frombuffer(ids, np.int64), np.frombuffer(bits, np.int64))
+    return keep(("codes", ids, bits), lambda: lookup(np.frombuffer(ids, np.int64), np.frombuffer(bits, np.int64)))
 
 
 def _decoded(spark: SparkSession, path: str, make, schema: str) -> DataFrame:
@@ -328,13 +330,11 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
     blocks = spark.read.parquet(f"{path}/blocks").select("shard", "block", "counts")
     sizes = blocks.select("shard", "block", F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b).alias("n"))
     sizes = sizes.join(spark.read.parquet(f"{path}/shards"), "shard")
-    earlier = F.sum("n").over(_earlier())
+    earlier = F.sum("n").over(_earlier("block", "shard"))
     begins = sizes.select("shard", "block", (F.col("ids_before") + F.coalesce(earlier, F.lit(0))).alias("begin"))
     joined = found.join(begins, ["shard", "block"])
     return joined.select("doc_id", (F.col("begin") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")
 
 
-def _earlier():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("shard").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+def _earlier(order: str, *within: str):
+    return Window.partitionBy(*within).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)

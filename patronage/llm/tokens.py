@@ -3,14 +3,13 @@
 `PieceCache` is shared by the operators on tokens. A cutter splits texts at places where the
 vocabulary joins nothing, Arrow numbers the distinct pieces of a slice, and the ids of a text are put
 together with one gather out of flat arrays. The pieces are kept as one Arrow array and forgotten when
-there are more than `MOST_PIECES`, which bounds a task's memory and changes no result.
+they and their ids take more than `MOST_BYTES`, which bounds a worker's memory and changes no result.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -18,7 +17,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-MOST_PIECES = 2_000_000
+from patronage.llm.worker import keep
+
+#: Bytes of pieces and their ids that a worker keeps.
+MOST_BYTES = 48_000_000
 #: New pieces that are encoded at once.
 LEARNED = 100_000
 #: Bytes of text that are worked on at once inside a task.
@@ -63,16 +65,18 @@ def list_sizes(lists: pa.Array) -> np.ndarray:
 
 class PieceIndex:
     """Numbers of distinct pieces, kept as one Arrow array. `learn` is told of new pieces in the order of
-    their numbers, `forget` when all numbers are void."""
+    their numbers, `forget` when all numbers are void, which is when pieces and what was learned of them
+    take `most` bytes; `taken` says how many the latter are."""
 
     def __init__(
         self,
         cut: Callable[[pa.Array], pa.Array],
         learn: Callable[[list[str]], None],
         forget: Callable[[], None],
-        most: int = MOST_PIECES,
+        taken: Callable[[], int],
+        most: int = MOST_BYTES,
     ):
-        self._cut, self._learn, self._forget, self._most = cut, learn, forget, most
+        self._cut, self._learn, self._forget, self._taken, self._most = cut, learn, forget, taken, most
         self._known: pa.Array | None = None
 
     def numbers(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -80,7 +84,7 @@ class PieceIndex:
         cut = self._cut(texts)
         coded = cut.flatten().dictionary_encode()
         distinct = coded.dictionary
-        if self._known is None or len(self._known) > self._most:
+        if self._known is None or self._known.nbytes + self._taken() > self._most:
             self._known = distinct.slice(0, 0)
             self._forget()
         place = pc.index_in(distinct, value_set=self._known)
@@ -102,10 +106,13 @@ class PieceCache:
     """
 
     def __init__(
-        self, cut: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list], most: int = MOST_PIECES
+        self, cut: Callable[[pa.Array], pa.Array], encode: Callable[[list[str]], list], most: int = MOST_BYTES
     ):
         self._encode = encode
-        self._index = PieceIndex(cut, self._learn, self._forget, most)
+        self._index = PieceIndex(cut, self._learn, self._forget, self._bytes, most)
+
+    def _bytes(self) -> int:
+        return self._flat.nbytes + self._start.nbytes + self._size.nbytes
 
     def _forget(self) -> None:
         self._flat = np.empty(0, np.int32)
@@ -126,14 +133,6 @@ class PieceCache:
         size = self._size[at]
         return gather(self._flat, self._start[at], size), sums(size, pieces)
 
-    def counts(self, texts: pa.Array) -> np.ndarray:
-        """How often each id is in the texts: by the pieces, without the ids in order."""
-        often = np.bincount(self._index.numbers(texts)[0])
-        used = np.flatnonzero(often)
-        size = self._size[used]
-        flat = gather(self._flat, self._start[used], size)
-        return np.bincount(flat, weights=np.repeat(often[used], size)).astype(np.int64)
-
 
 #: How the word vocabulary's file cuts text in small letters.
 _WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
@@ -193,9 +192,12 @@ def _encode_words(tokenizer) -> Callable[[list[str]], list]:
     return encode
 
 
-@lru_cache(maxsize=1)
 def word_cache(vocabulary: str) -> PieceCache:
-    """Cache over a `tokenizers` file that drops white space; one per worker."""
+    """Cache over a `tokenizers` file that drops white space, kept by the worker."""
+    return keep(("words", vocabulary), lambda: _word_cache(vocabulary))
+
+
+def _word_cache(vocabulary: str) -> PieceCache:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
