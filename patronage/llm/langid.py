@@ -26,7 +26,6 @@ import pickle
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,19 +37,23 @@ from pyspark.sql import types as T
 
 from patronage.llm.frames import aside, restored
 from patronage.llm.tokens import PieceIndex, slices
+from patronage.llm.worker import keep
 from patronage.session import cut_lineage
 
 ORDER = 5
 FIT = 1000
 CALIBRATE = 500
-#: A text is rejected beyond so many times the largest deviation of the calibration's documents.
+#: Share of a language's calibration that is set aside, the documents that fit worst: a few wrong labels.
+ASIDE = 0.02
+#: A text is rejected beyond so many times the largest deviation of the calibration's other documents.
 REACH = 1.5
 #: ... and never within so many deviations, since few documents show few of the odd ones.
 LEAST_REACH = 8.0
 FOREIGN = 0.05
 UNKNOWN = "und"
 BEGIN, END = 2, 3
-MOST_PIECES = 800_000
+#: Bytes of pieces and their scores that a worker keeps.
+MOST_BYTES = 40_000_000
 #: Bytes of text that are scored at once.
 SLICE = 4_000_000
 
@@ -179,7 +182,7 @@ class Scorer:
 
     def __init__(self, models: list[CharModel]):
         self._models = models
-        self._index = PieceIndex(pc.ascii_split_whitespace, self._learn, self._forget, MOST_PIECES)
+        self._index = PieceIndex(pc.ascii_split_whitespace, self._learn, self._forget, lambda: self._sums.nbytes, MOST_BYTES)
 
     def _forget(self) -> None:
         self._sums = np.zeros((0, len(self._models) + 1))
@@ -361,6 +364,7 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
         mine = sums[own == i]
         if not len(mine):
             continue
+        mine = mine[np.argsort(mine[:, i] / mine[:, n], kind="stable")[: len(mine) - int(ASIDE * len(mine))]]
         size, (a, b, c) = mine[:, n].sum(), mine[:, n + 1 :].sum(axis=0)
         mean = float(mine[:, i].sum() / size)
         noise = max(a - 2 * mean * b + mean * mean * c, 0.0) / size
@@ -371,10 +375,12 @@ def _calibrate(model: LanguageModel, named: DataFrame, most_fit: int) -> None:
         model.reach = max(model.reach, REACH * float(model.deviations(each, np.full(len(mine), i), mine[:, n]).max()))
 
 
-@lru_cache(maxsize=1)
 def _scorer(pickled: bytes) -> tuple[LanguageModel, Scorer]:
-    model = pickle.loads(pickled)
-    return model, Scorer(model.models)
+    def make() -> tuple[LanguageModel, Scorer]:
+        model = pickle.loads(pickled)
+        return model, Scorer(model.models)
+
+    return keep(("languages", pickled), make)
 
 
 def predict(

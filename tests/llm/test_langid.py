@@ -94,6 +94,16 @@ def test_foreign_texts_are_rejected(spark, sf_dir):
     assert langid.predict(spark.createDataFrame(rows, "text string"), model).where("accepted").count() == 0
 
 
+def test_wrong_labels_move_no_threshold(spark, sf_dir):
+    """Some documents labelled as another language: foreign texts still go, others stay."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    wrong = (F.col("doc_id") % 97 == 0) & (F.col("lang") != "en")
+    model = langid.fit(docs.withColumn("lang", F.when(wrong, "en").otherwise(F.col("lang"))))
+    rows = [("xkq zvw qqjx bnm wrt plkj hgf dsq zxcv " * 5,), ("Съешь же ещё этих мягких французских булок " * 3,)]
+    assert langid.predict(spark.createDataFrame(rows, "text string"), model).where("accepted").count() == 0
+    assert langid.predict(docs, model).where("accepted").count() >= 0.99 * docs.count()
+
+
 def test_without_labels(spark, odd_docs):
     for docs in (odd_docs.limit(0), odd_docs.withColumn("lang", F.lit(None).cast("string"))):
         out = langid.predict(docs, langid.fit(docs)).collect()
