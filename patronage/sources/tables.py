@@ -2,20 +2,39 @@
 
 Every write goes to a new ``run=<id>`` folder and counts once its ``_SUCCESS`` marker is there, so a
 job can read a table and replace it, and a job that dies half way leaves the old rows readable.
+
+Keyed tables lie in parts: months, or buckets of the key where it has no month. A keyed write reads and
+writes the parts that its rows fall into and no others; a part's newest run holds its rows. Runs that
+write a whole table end in ``.all``.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keyed import replace as replace_rows
 from ..operators.keyed import upsert as upsert_rows
 from ..schemas import KEYS, SCHEMAS, conform, empty
+from ..session import cut_lineage
 from .delimited import read_text_csv, typed
 
+MONTHS = ("ym", "TA_YM")
+#: Parts of a table whose key has no month. Stored tables depend on the number.
+BUCKETS = 16
+WHOLE = ".all"
+
+
+def part_of(table: str) -> Column:
+    """The part that a row belongs to, a function of its key that serves as a folder's name."""
+    month = next((k for k in KEYS[table] if k in MONTHS), None)
+    if month:
+        return F.coalesce(F.regexp_replace(F.col(month).cast("string"), "[^0-9A-Za-z-]", "_"), F.lit("none"))
+    return F.concat(F.lit("b"), F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in KEYS[table]]), F.lit(BUCKETS)))
+
 
 class Tables:
     """``keep_runs`` is how many runs of a keyed table stay, the newest among them; all by default."""
@@ -27,26 +46,54 @@ class Tables:
         self.root = root.rstrip("/")
         self.keep_runs = keep_runs
 
+    def _files(self, path: str):
+        """A Hadoop path and its file system."""
+        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return hadoop, hadoop.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _folders(self, path: str, prefix: str) -> list[str]:
+        folder, fs = self._files(path)
+        found = [s.getPath() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(str(p) for p in found if p.getName().startswith(prefix))
+
     def _complete_runs(self, table: str) -> list[str]:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs
-        folder = hadoop.Path(f"{self.root}/{table}")
-        fs = folder.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not fs.exists(folder):
-            return []
-        runs = [s.getPath() for s in fs.listStatus(folder) if s.getPath().getName().startswith("run=")]
-        return sorted(str(p) for p in runs if fs.exists(hadoop.Path(p, "_SUCCESS")))
+        runs = self._folders(f"{self.root}/{table}", "run=")
+        return [r for r in runs if (lambda path, fs: fs.exists(path))(*self._files(f"{r}/_SUCCESS"))]
+
+    def _states(self, table: str) -> list[dict[str, str]]:
+        """After each complete run, the folder that holds each part; a run without parts is one by itself."""
+        states, now = [], {}
+        for run in self._complete_runs(table):
+            parts = {p.rpartition("=")[2]: p for p in self._folders(run, "_part=")}
+            now = {**({} if run.endswith(WHOLE) or not parts else now), **(parts or {"": run})}
+            states.append(now)
+        return states
+
+    def _read(self, table: str, folders: list[str]) -> DataFrame:
+        if not folders:
+            return empty(self.spark, table)
+        found = self.spark.read.schema(SCHEMAS[table]).parquet(*folders)
+        return found.select(SCHEMAS[table].names)
 
     def read(self, table: str, history: bool = False) -> DataFrame:
-        """The newest complete run, or with ``history`` the rows of all runs."""
-        runs = self._complete_runs(table)
-        if not runs:
-            return empty(self.spark, table)
-        return self.spark.read.schema(SCHEMAS[table]).parquet(*(runs if history else runs[-1:]))
+        """The newest state of a table, or with ``history`` the rows of all runs."""
+        if history:
+            return self._read(table, self._complete_runs(table))
+        return self._read(table, sorted(self._states(table)[-1].values()) if self._complete_runs(table) else [])
 
-    def write(self, table: str, df: DataFrame) -> None:
-        """One new run: the new state of a keyed table, or the appended rows of a history table."""
+    def _write(self, table: str, df: DataFrame, parts: bool, whole: bool) -> None:
         run = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-        conform(df, table).write.parquet(f"{self.root}/{table}/run={run}")
+        rows = conform(df, table)
+        path = f"{self.root}/{table}/run={run}{WHOLE if whole else ''}"
+        if parts:
+            # few files a part, and a hot part is split by its size
+            rows.withColumn("_part", part_of(table)).hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
+        else:
+            rows.write.parquet(path)
+
+    def write(self, table: str, df: DataFrame) -> None:
+        """The new state of a keyed table."""
+        self._write(table, df, parts=True, whole=True)
 
     def recreate(self, *tables: str) -> None:
         """Empty tables with their declared columns; all of them if none is named."""
@@ -54,24 +101,38 @@ class Tables:
             self.write(table, empty(self.spark, table))
 
     def upsert(self, table: str, df: DataFrame, order: list[str], update: list[str] | None = None) -> None:
-        self.write(table, upsert_rows(self.read(table), df, KEYS[table], order, update))
-        self._drop_old(table)
+        self._merge(table, df, lambda old, new: upsert_rows(old, new, KEYS[table], order, update))
 
     def replace(self, table: str, df: DataFrame, order: list[str]) -> None:
-        self.write(table, replace_rows(self.read(table), df, KEYS[table], order))
+        self._merge(table, df, lambda old, new: replace_rows(old, new, KEYS[table], order))
+
+    def _merge(self, table: str, df: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
+        """Write the parts that the rows fall into, with these rows merged in."""
+        source = cut_lineage(df.withColumn("_part", part_of(table)))
+        touched = {r[0] for r in source.select("_part").distinct().collect()}  # months or buckets
+        states = self._states(table)
+        now = states[-1] if states else {}
+        whole = "" in now  # rows that don't lie in parts yet
+        old = self._read(table, sorted(p for part, p in now.items() if whole or part in touched))
+        if touched:
+            self._write(table, merged(old, source.drop("_part")), parts=True, whole=whole)
         self._drop_old(table)
 
     def _drop_old(self, table: str) -> None:
-        """Delete the runs of a keyed table that are older than those to keep."""
+        """Delete what none of the states to keep needs."""
         if self.keep_runs is None:
             return
-        for run in self._complete_runs(table)[: -self.keep_runs]:
-            path = self.spark._jvm.org.apache.hadoop.fs.Path(run)
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        needed = {p for state in self._states(table)[-self.keep_runs :] for p in state.values()}
+        for run in self._complete_runs(table):
+            parts = self._folders(run, "_part=")
+            unused = [p for p in parts if p not in needed]
+            for folder in [run] if run not in needed and len(unused) == len(parts) else unused:
+                path, fs = self._files(folder)
+                fs.delete(path, True)
 
     def append(self, table: str, df: DataFrame, created_at: dt.datetime) -> None:
         """History rows with the run's timestamp."""
-        self.write(table, df.withColumn("created_at", F.lit(created_at)))
+        self._write(table, df.withColumn("created_at", F.lit(created_at)), parts=False, whole=False)
 
     def load_staging(self, store_csv: str, perf_csv: str, demo_csv: str, multiline: bool = False) -> None:
         """Full reload of the three staging tables from CSV files. ``multiline`` reads line breaks inside

@@ -104,6 +104,48 @@ def test_tables_keep_the_last_complete_run(spark, tmp_path):
     assert tables.read("fx_age_bucket").collect() == [("m", "202401", "30s")]
 
 
+def _files_of(folder):
+    return {str(p): p.stat().st_mtime_ns for p in folder.rglob("*.parquet")}
+
+
+@pytest.mark.parametrize("write", ["upsert", "replace"])
+def test_keyed_writes_touch_their_months_only(spark, tmp_path, write):
+    tables, folder = Tables(spark, str(tmp_path), keep_runs=1), tmp_path / "fx_age_bucket"
+    months = [f"2024{m:02d}" for m in range(1, 7)] + [None, "2024/07"]
+    data = [(f"m{i % 10}", months[i // 10], "10s") for i in range(80)]
+    tables.write("fx_age_bucket", spark.createDataFrame(data, SCHEMAS["fx_age_bucket"]))
+    before = _files_of(folder)
+    fresh = spark.createDataFrame([("m1", "202403", "30s"), ("new", "202403", "40s")], SCHEMAS["fx_age_bucket"])
+    getattr(tables, write)("fx_age_bucket", fresh, ["ym"])
+    after = _files_of(folder)
+    same = {p: t for p, t in before.items() if "_part=202403" not in p}
+    assert {p: after[p] for p in same} == same and len(same) == 7
+    assert all("_part=202403" in p for p in set(after) - set(same)) and not set(before) - set(same) & set(after)
+    changed = {("m1", "202403"): "30s", ("new", "202403"): "40s"}
+    want = {(s, m): b for s, m, b in data} | changed
+    got = {(r["mct_id"], r["ym"]): r["age_bucket"] for r in tables.read("fx_age_bucket").collect()}
+    assert got == want and tables.read("fx_age_bucket").count() == 81
+    plan = tables.read("fx_age_bucket").select("mct_id")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<mct_id:string>" in plan
+
+
+def test_keyed_writes_touch_their_buckets_only(spark, tmp_path):
+    tables, folder = Tables(spark, str(tmp_path)), tmp_path / "mat_store_rule_assign"
+    rows = [(f"m{i}", 5, i, 0, EARLY) for i in range(200)]
+    tables.upsert("mat_store_rule_assign", spark.createDataFrame(rows, SCHEMAS["mat_store_rule_assign"]), ["rule_id"])
+    before = _files_of(folder)
+    tables.upsert("mat_store_rule_assign", spark.createDataFrame([("m7", 5, 999, 1, LATE)], SCHEMAS["mat_store_rule_assign"]), ["rule_id"])
+    fresh = set(_files_of(folder)) - set(before)
+    assert len({p.split("_part=")[1].split("/")[0] for p in fresh}) == 1
+    got = {r["mct_id"]: r["rule_id"] for r in tables.read("mat_store_rule_assign").collect()}
+    assert got == {f"m{i}": 999 if i == 7 else i for i in range(200)}
+    empty_rows = spark.createDataFrame([], SCHEMAS["mat_store_rule_assign"])
+    tables.upsert("mat_store_rule_assign", empty_rows, ["rule_id"])
+    assert tables.read("mat_store_rule_assign").count() == 200
+    tables.write("mat_store_rule_assign", empty_rows)
+    assert tables.read("mat_store_rule_assign").count() == 0
+
+
 @pytest.fixture(scope="module")
 def stored(spark, sf_dir, tmp_path_factory):
     """The whole pipeline over stored tables, segments run twice."""
