@@ -56,6 +56,8 @@ TAIL = """
 CHART_LABELS = {"NEW": "신규", "REU": "단골", "RES": "예약", "WORK": "직장인", "FLOW": "유동"}
 CHART_FLOOR = 0.60
 EXTRACTS = ("age", "audience")
+#: Profiles of a file of extracts.
+EXTRACTED = 10_000
 
 
 @dataclass(frozen=True)
@@ -395,9 +397,10 @@ def run(
         made = cut_lineage(made)
         folder = f"{extracts_folder}/{run_ts:%Y%m%dT%H%M%S}"
         made = made.withColumn("target", F.md5(F.concat_ws("/", "mct_id", "ym")))
-        write_extracts(made.dropDuplicates(["target"]), ["target"], folder)
-        places = [F.concat(F.lit(f"{folder}/{part}/target="), F.col("target")) for part in EXTRACTS]
-        made = made.withColumn("assets", F.array(*places)).drop("target")
+        index = write_extracts(made.dropDuplicates(["target"]), ["target"], folder)
+        # the file and the target inside it
+        places = [F.concat(F.col(part), F.lit("#target="), F.col("target")) for part in EXTRACTS]
+        made = made.join(index, "target").withColumn("assets", F.array(*places)).drop("target", *EXTRACTS)
     tables.replace("mat_prompt_bundle", bundles(made, sources.version), ["version"])
     return made
 
@@ -446,8 +449,24 @@ def profile_extract(profiles: DataFrame, keys: list[str], part: str) -> DataFram
     return profiles.select(*keys, F.inline(bars)).select(*keys, "bucket" if age else "metric", "value")
 
 
-def write_extracts(profiles: DataFrame, keys: list[str], folder: str) -> None:
-    """Both extracts as CSV, one folder per profile, in a folder that isn't there yet."""
+def write_extracts(profiles: DataFrame, keys: list[str], folder: str, most: int = EXTRACTED) -> DataFrame:
+    """Both extracts as CSV with the profile's keys in front, in a folder that isn't there yet.
+
+    Files hold ranges of keys, about ``most`` profiles each, so their number doesn't grow with the
+    targets'. Returns the index, which is stored beside them: keys, and the file of each extract.
+    """
+    slim = cut_lineage(profiles.select(*keys, *AGE_COLS, *AUD_COLS))
+    files = max(1, -(-slim.count() // most))
+    ranged = slim.repartitionByRange(files, *keys).sortWithinPartitions(*keys)
     for part in EXTRACTS:
-        rows = profile_extract(profiles, keys, part)
-        rows.write.option("header", True).partitionBy(*keys).csv(f"{folder}/{part}")
+        profile_extract(ranged, keys, part).write.option("header", True).csv(f"{folder}/{part}")
+    places = [
+        slim.sparkSession.read.option("header", True).csv(f"{folder}/{part}")
+        .select(*[F.col(k).cast(dict(slim.dtypes)[k]).alias(k) for k in keys],
+                F.concat(F.lit(f"{folder}/{part}/"), F.col("_metadata.file_name")).alias(part))
+        .distinct()
+        for part in EXTRACTS
+    ]
+    index = places[0].join(places[1], keys)
+    index.write.parquet(f"{folder}/index")
+    return slim.sparkSession.read.schema(index.schema).parquet(f"{folder}/index")

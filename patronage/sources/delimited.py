@@ -108,16 +108,22 @@ def as_date(text: Column) -> Column:
     return F.when(compact | text.rlike(_PARTED), whole.try_cast("date"))
 
 
+def _fitted(df: DataFrame, field: T.StructField) -> Column:
+    """A text column cast to a declared type; NULL where it does not fit or is absent."""
+    if field.name not in df.columns:
+        return F.lit(None).cast(field.dataType)
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.DateType) and isinstance(df.schema[field.name].dataType, T.StringType):
+        return as_date(column)
+    return column.try_cast(field.dataType)
+
+
 def typed(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Cast text columns to a target schema; what does not fit becomes NULL, what is absent too."""
-    have = set(df.columns)
+    return df.select([_fitted(df, f).alias(f.name) for f in schema.fields])
 
-    def one(field: T.StructField):
-        if field.name not in have:
-            return F.lit(None).cast(field.dataType).alias(field.name)
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DateType) and isinstance(df.schema[field.name].dataType, T.StringType):
-            return as_date(column).alias(field.name)
-        return column.try_cast(field.dataType).alias(field.name)
 
-    return df.select([one(f) for f in schema.fields])
+def lost(df: DataFrame, schema: T.StructType) -> dict[str, Column]:
+    """By column of the target schema the number of cells that `typed` turns to NULL, as an aggregate."""
+    have = [f for f in schema.fields if f.name in df.columns]
+    return {f.name: F.count_if(F.col(f"`{f.name}`").isNotNull() & _fitted(df, f).isNull()) for f in have}

@@ -5,7 +5,8 @@ job can read a table and replace it, and a job that dies half way leaves the old
 
 Keyed tables lie in parts: months, or buckets of the key where it has no month. A keyed write reads and
 writes the parts that its rows fall into and no others; a part's newest run holds its rows. Runs that
-write a whole table end in ``.all``.
+write a whole table end in ``.all``. Runs of history tables lie in folders by run time and, where several
+histories share a table, by what tells them apart, so the newest ones are found by their folders' names.
 """
 
 from __future__ import annotations
@@ -13,19 +14,23 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.keyed import replace as replace_rows
 from ..operators.keyed import upsert as upsert_rows
 from ..schemas import KEYS, SCHEMAS, conform, empty
 from ..session import cut_lineage
-from .delimited import read_text_csv, typed
+from .delimited import lost, read_text_csv, typed
 
 MONTHS = ("ym", "TA_YM")
 #: Parts of a table whose key has no month. Stored tables depend on the number.
 BUCKETS = 16
 WHOLE = ".all"
+#: History tables whose runs are told apart by one column besides their time.
+RUN_GROUPS = {"mat_cluster_profile": "k", "mat_tree_rules": "k"}
+RUN_TIME = "%Y%m%dT%H%M%S%f"
 
 
 def part_of(table: str) -> Column:
@@ -72,7 +77,7 @@ class Tables:
     def _read(self, table: str, folders: list[str]) -> DataFrame:
         if not folders:
             return empty(self.spark, table)
-        found = self.spark.read.schema(SCHEMAS[table]).parquet(*folders)
+        found = self.spark.read.schema(SCHEMAS[table]).option("basePath", f"{self.root}/{table}").parquet(*folders)
         return found.select(SCHEMAS[table].names)
 
     def read(self, table: str, history: bool = False) -> DataFrame:
@@ -81,19 +86,34 @@ class Tables:
             return self._read(table, self._complete_runs(table))
         return self._read(table, sorted(self._states(table)[-1].values()) if self._complete_runs(table) else [])
 
-    def _write(self, table: str, df: DataFrame, parts: bool, whole: bool) -> None:
-        run = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-        rows = conform(df, table)
-        path = f"{self.root}/{table}/run={run}{WHOLE if whole else ''}"
-        if parts:
-            # few files a part, and a hot part is split by its size
-            rows.withColumn("_part", part_of(table)).hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
-        else:
-            rows.write.parquet(path)
+    def newest(self, table: str) -> DataFrame:
+        """The rows of the newest run of each group of a history table: a filter on folders, whatever the
+        length of the history."""
+        runs, latest = self._complete_runs(table), {}
+        if not runs:
+            return empty(self.spark, table)
+        for run in runs:
+            for moment in self._folders(run, "_run_at="):
+                for of in self._folders(moment, "_group="):
+                    key, at = of.rpartition("=")[2], moment.rpartition("=")[2]
+                    latest[key] = max(latest.get(key, at), at)
+        schema = T.StructType([*SCHEMAS[table], T.StructField("_run_at", T.StringType()), T.StructField("_group", T.StringType())])
+        wanted = F.lit(False)
+        for key, at in latest.items():  # one a group
+            wanted = wanted | ((F.col("_group") == key) & (F.col("_run_at") == at))
+        found = self.spark.read.schema(schema).option("basePath", f"{self.root}/{table}").parquet(*runs).filter(wanted)
+        return found.select(SCHEMAS[table].names)
+
+    def _write(self, table: str, df: DataFrame, whole: bool) -> None:
+        run = dt.datetime.now(dt.timezone.utc).strftime(RUN_TIME)
+        rows = conform(df, table).withColumn("_part", part_of(table))
+        # few files a part, and a hot part is split by its size
+        dealt = rows.hint("rebalance", "_part")
+        dealt.write.partitionBy("_part").parquet(f"{self.root}/{table}/run={run}{WHOLE if whole else ''}")
 
     def write(self, table: str, df: DataFrame) -> None:
         """The new state of a keyed table."""
-        self._write(table, df, parts=True, whole=True)
+        self._write(table, df, whole=True)
 
     def recreate(self, *tables: str) -> None:
         """Empty tables with their declared columns; all of them if none is named."""
@@ -115,7 +135,7 @@ class Tables:
         whole = "" in now  # rows that don't lie in parts yet
         old = self._read(table, sorted(p for part, p in now.items() if whole or part in touched))
         if touched:
-            self._write(table, merged(old, source.drop("_part")), parts=True, whole=whole)
+            self._write(table, merged(old, source.drop("_part")), whole=whole)
         self._drop_old(table)
 
     def _drop_old(self, table: str) -> None:
@@ -132,10 +152,22 @@ class Tables:
 
     def append(self, table: str, df: DataFrame, created_at: dt.datetime) -> None:
         """History rows with the run's timestamp."""
-        self._write(table, df.withColumn("created_at", F.lit(created_at)), parts=False, whole=False)
+        rows = conform(df.withColumn("created_at", F.lit(created_at)), table)
+        group = F.col(RUN_GROUPS[table]).cast("string") if table in RUN_GROUPS else F.lit("all")
+        folders = {"_run_at": F.lit(created_at.strftime(RUN_TIME)), "_group": F.coalesce(group, F.lit("none"))}
+        run = dt.datetime.now(dt.timezone.utc).strftime(RUN_TIME)
+        rows.withColumns(folders).write.partitionBy(*folders).parquet(f"{self.root}/{table}/run={run}")
 
-    def load_staging(self, store_csv: str, perf_csv: str, demo_csv: str, multiline: bool = False) -> None:
+    def load_staging(self, store_csv: str, perf_csv: str, demo_csv: str, multiline: bool = False) -> dict[str, dict[str, int]]:
         """Full reload of the three staging tables from CSV files. ``multiline`` reads line breaks inside
-        quotes, at the price of one task per file."""
+        quotes, at the price of one task per file. Returns by table and column how many cells did not fit
+        the declared type and became NULL, counted by the pass that writes."""
+        found = {}
         for table, path in (("stg_store", store_csv), ("stg_perf", perf_csv), ("stg_demo", demo_csv)):
-            self.write(table, typed(read_text_csv(self.spark, path, multiline), SCHEMAS[table]))
+            counts = Observation()
+            texts = read_text_csv(self.spark, path, multiline)
+            cells = lost(texts, SCHEMAS[table])
+            watched = texts.observe(counts, F.count("*").alias("rows"), *[c.alias(n) for n, c in cells.items()])
+            self.write(table, typed(watched, SCHEMAS[table]))
+            found[table] = {n: counts.get[n] for n in cells}
+        return found

@@ -214,8 +214,8 @@ def test_briefs(spark, sf_dir, stored, tmp_path):
         wide,
         tables.read("stg_store"),
         tables.read("mat_store_cluster"),
-        tables.read("mat_cluster_profile", history=True),
-        tables.read("mat_tree_rules", history=True),
+        tables.newest("mat_cluster_profile"),
+        tables.newest("mat_tree_rules"),
         tables.read("dim_age_affinity_media"),
         tables.read("dim_age_affinity_keyword"),
         "v1",
@@ -251,9 +251,10 @@ def test_briefs(spark, sf_dir, stored, tmp_path):
     assert len(by_id[2]["rec_channels"]) == 5 and len(by_id[2]["rec_keywords"]) == 10
     bundle = {r["mct_id"]: json.loads(r["bundle"]) for r in tables.read("mat_prompt_bundle").collect()}
     assert set(bundle) == {r["mct_id"] for r in made}
-    for name, part in zip(("bucket", "metric"), bundle["GROUP::NATION_1/BUILDING"]["assets"]):
-        extract = spark.read.option("header", True).csv(part)
-        assert extract.columns == [name, "value"] and extract.count() == 5
+    for name, place in zip(("bucket", "metric"), bundle["GROUP::NATION_1/BUILDING"]["assets"]):
+        file, target = place.split("#target=")
+        extract = spark.read.option("header", True).csv(file)
+        assert extract.columns == ["target", name, "value"] and extract.filter(F.col("target") == target).count() == 5
     one = bundle[shop]
     assert one["system_prompt"] is None and one["k"] == 4 and list(one["profile"]) == FEATURES
     assert one["user_prompt"].count("\n- \"무엇\"\n") == 1
@@ -261,9 +262,50 @@ def test_briefs(spark, sf_dir, stored, tmp_path):
 
 def test_extracts(spark, tmp_path):
     profile = spark.createDataFrame([(5, 1, *[0.1] * 12)], ["k", "cluster_id", *FEATURES])
-    briefs.write_extracts(profile, ["k", "cluster_id"], str(tmp_path))
+    index = briefs.write_extracts(profile, ["k", "cluster_id"], str(tmp_path))
     back = spark.read.option("header", True).csv(f"{tmp_path}/age")
     assert back.count() == 5 and set(back.columns) == {"bucket", "value", "k", "cluster_id"}
+    assert index.count() == 1 and index.columns == ["k", "cluster_id", *briefs.EXTRACTS]
+
+
+def test_extracts_of_many_targets_are_few_files(spark, tmp_path):
+    features = [F.lit(i / 20).alias(f) for i, f in enumerate(FEATURES)]
+    profiles = spark.range(100_000).select(F.format_string("t%06d", "id").alias("target"), *features)
+    index = briefs.write_extracts(profiles, ["target"], str(tmp_path))
+    assert index.count() == 100_000 == index.select("target").distinct().count()
+    for part in briefs.EXTRACTS:
+        files = {r[0] for r in index.select(part).distinct().collect()}
+        assert 5 <= len(files) <= 20 and len(list((tmp_path / part).glob("*.csv"))) == len(files)
+    one = index.filter("target = 't077777'").first()
+    rows = spark.read.option("header", True).csv(one["audience"]).filter("target = 't077777'")
+    assert rows.count() == 5
+
+
+def test_newest_runs_are_found_by_folders(spark, tmp_path):
+    tables = Tables(spark, str(tmp_path))
+    assert tables.newest("mat_tree_rules").count() == 0
+    for k, at, ids in ((5, EARLY, [1, 2]), (4, LATE, [3]), (5, LATE, [4, 5]), (6, EARLY, [6])):
+        rows = spark.createDataFrame([(i, k) for i in ids], "rule_id long, k int")
+        tables.append("mat_tree_rules", rows, at)
+    found = tables.newest("mat_tree_rules")
+    assert sorted(r["rule_id"] for r in found.collect()) == [3, 4, 5, 6] and found.schema == SCHEMAS["mat_tree_rules"]
+    assert tables.read("mat_tree_rules", history=True).count() == 6
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "_run_at" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def test_cells_that_do_not_fit_are_counted(spark, tmp_path):
+    for name, table in (("store", "stg_store"), ("perf", "stg_perf"), ("demo", "stg_demo")):
+        columns = SCHEMAS[table].names
+        rows = [["x"] * len(columns), ["NA"] * len(columns), ["1"] * len(columns)]
+        (tmp_path / f"{name}.csv").write_text("\n".join(",".join(r) for r in [columns, *rows]) + "\n")
+    tables = Tables(spark, str(tmp_path / "tables"))
+    found = tables.load_staging(*[str(tmp_path / f"{n}.csv") for n in ("store", "perf", "demo")])
+    for table, counts in found.items():
+        for f in SCHEMAS[table].fields:
+            want = 0 if isinstance(f.dataType, T.StringType) else 2 if isinstance(f.dataType, T.DateType) else 1
+            assert counts[f.name] == want, (table, f.name)
+        assert tables.read(table).count() == 3
 
 
 def test_conform_fills_absent_columns(spark):
