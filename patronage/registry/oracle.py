@@ -555,6 +555,12 @@ ORACLE: dict[str, str] = {
           CASE WHEN o_orderstatus <> 'F' THEN round(o_totalprice, 2) END AS amount,
           CASE WHEN o_totalprice < 99.99995 THEN round(o_totalprice, 4) END AS ratio, NULL::VARCHAR AS absent
         FROM orders""",
+    "typed_cast_lost": """
+        SELECT unnest(['id', 'day', 'amount', 'ratio']) AS column, unnest([0,
+          count(*) FILTER (o_orderdate IS NOT NULL AND (o_orderstatus = 'P' OR o_orderpriority = '5-LOW')),
+          count(*) FILTER (o_orderstatus = 'F'), count(*) FILTER (o_totalprice >= 99.99995)]) AS n FROM orders""",
+    "charset_mixed": """
+        SELECT p_partkey AS key, '상품 "' || p_name || '", ' || p_type AS name FROM part""",
     "map_age": """
         SELECT p_partkey, CASE WHEN regexp_matches(s, '10대|10 대|10s|teens|youth|20대|20 대|20s|1020|10-20|10~20')
             OR m IN ('10', '20') THEN '10s' WHEN m IN ('30', '40', '50') THEN m || 's'
@@ -621,6 +627,12 @@ ORACLE: dict[str, str] = {
             SELECT cluster_id, n, ceil(sum(n) OVER () * 0.2)::BIGINT AS total,
               n * ceil(sum(n) OVER () * 0.2) / (sum(n) OVER ())::DOUBLE AS exact
             FROM (SELECT cluster_id, count(*) AS n FROM labelled GROUP BY cluster_id))))""",
+    "stored_rules_newest": """
+        SELECT rule_id::BIGINT AS rule_id, k::BIGINT AS k, depth::BIGINT AS depth, cluster_id::BIGINT AS cluster_id, rule_text,
+          support::BIGINT AS support, rule_precision FROM given_rules""",
+    "stored_profile": " UNION ALL ".join(
+        f"SELECT 4::BIGINT AS k, '{f}' AS feature, count(*)::BIGINT AS n, round(avg({f}), 6) AS mean FROM filled" for f in FEATURES
+    ),
     "rule_membership": "SELECT mct_id, ym, rule_id::BIGINT AS rule_id FROM rule_rows",
     "rule_stats": """
         SELECT rule_id::BIGINT AS rule_id, cluster_id::BIGINT AS cluster_id, support::BIGINT AS support, rule_precision
@@ -704,4 +716,6 @@ def oracle_sql() -> dict[str, str]:
     score = "SELECT round(avg(s), 8) AS silhouette, count(*) AS n FROM silhouettes"
     for name, distance in (("silhouette_fixed", _list_distance), ("silhouette_squared", _list_squared)):
         made[name] = _with(score, pair_means=_CTES["pair_means"].replace("{distance}", distance))
+    score = "SELECT -1.0::DOUBLE AS one, round(avg(s), 8) AS own, count(*) AS n FROM silhouettes"
+    made["silhouette_one_label"] = _with(score, pair_means=_CTES["pair_means"].replace("{distance}", _list_squared))
     return made

@@ -22,7 +22,7 @@ from ..plans import association, briefs, explain, features, segments
 from ..schemas import AUD_COLS, AUDIENCES, FEATURES
 from ..session import cut_lineage, scratch_path
 from ..sources import star
-from ..sources.delimited import read_text_csv, typed
+from ..sources.delimited import lost, read_text_csv, typed, write_charsets
 from ..sources.star import read_table as _table
 from ..sources.tables import Tables
 
@@ -245,9 +245,8 @@ def csv_null_tokens(spark, sf_dir):
     return read_text_csv(spark, path)
 
 
-@query
-def typed_cast(spark, sf_dir):
-    """Texts cast to declared types; what does not fit is NULL."""
+def _order_texts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, T.StructType]:
+    """Orders as texts, some of which don't fit the declared types, and these types."""
     priced = F.col("o_totalprice").cast("decimal(12,2)").cast("string")
     texts = _table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").cast("string").alias("id"),
@@ -262,7 +261,34 @@ def typed_cast(spark, sf_dir):
         priced.alias("ratio"),
     )
     schema = T.StructType.fromDDL("id bigint, day date, amount decimal(12,2), ratio decimal(6,4), absent string")
-    return typed(texts, schema).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+    return texts, schema
+
+
+@query
+def typed_cast(spark, sf_dir):
+    """Texts cast to declared types; what does not fit is NULL."""
+    return typed(*_order_texts(spark, sf_dir)).withColumn("day", F.date_format("day", "yyyy-MM-dd"))
+
+
+@query
+def typed_cast_lost(spark, sf_dir):
+    """By column how many of these texts did not fit."""
+    texts, schema = _order_texts(spark, sf_dir)
+    counts = lost(texts, schema)
+    wide = texts.agg(*[c.alias(n) for n, c in counts.items()])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(n).alias("column"), F.col(n).alias("n")) for n in counts])))
+
+
+@query
+def charset_mixed(spark, sf_dir):
+    """Part names with Korean text as CSV, one file in UTF-8 and one in cp949, read from their folder."""
+    folder = scratch_path(spark, "charsets")
+    parts = _table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("key"), F.concat(F.lit("상품 \""), "p_name", F.lit("\", "), "p_type").alias("이름")
+    )
+    odd = F.col("key").cast("long") % 2 == 1
+    write_charsets(parts, {"utf8": ~odd, "cp949": odd}, folder)
+    return read_text_csv(spark, f"{folder}/*").select(F.col("key").cast("long").alias("key"), F.col("이름").alias("name"))
 
 
 @query
@@ -479,6 +505,15 @@ def silhouette_squared(spark, sf_dir):
     return points.agg(F.round(F.lit(score), 8).alias("silhouette"), F.count("*").alias("n"))
 
 
+@query
+def silhouette_one_label(spark, sf_dir):
+    """All embeddings under one label, beside their own ones: -1 by definition."""
+    points, dims = _labelled_points(spark, sf_dir)
+    both = points.withColumn("one", F.lit(0))
+    score = silhouette.squared(both, dims, ["one", "label"], "weight")
+    return both.agg(F.lit(score["one"]).alias("one"), F.round(F.lit(score["label"]), 8).alias("own"), F.count("*").alias("n"))
+
+
 def _given_clusters(rows: DataFrame) -> DataFrame:
     """A labelling that SQL can repeat: place of the dominant age band in the newest month."""
     bucket = F.array_position(F.array(*[F.lit(b) for b in ("10s", "30s", "40s", "50s", "60p")]), features.dominant_age())
@@ -594,6 +629,28 @@ def best_rule(spark, sf_dir):
     return ranking.best_rules(rules).drop("created_at")
 
 
+@query
+def stored_rules_newest(spark, sf_dir):
+    """Rules of two runs appended to the stored history, the older one last, and the newest read back."""
+    tables = Tables(spark, scratch_path(spark, "history"))
+    rules = cut_lineage(_given_rules(_labelled(spark, sf_dir)))
+    for run_ts in (RUN_TS, EARLIER_TS):
+        tables.append("mat_tree_rules", rules.filter(F.col("created_at") == F.lit(run_ts)), run_ts)
+    return tables.newest("mat_tree_rules").select("rule_id", "k", "depth", "cluster_id", "rule_text", "support", "rule_precision")
+
+
+@query
+def stored_profile(spark, sf_dir):
+    """Segments of two runs stored; of the newest profile, per feature, its rows and the mean over all
+    clusters, which are those of all shop months."""
+    tables = Tables(spark, scratch_path(spark, "segments"))
+    rows = cut_lineage(_features(spark, sf_dir))
+    for run_ts, k in ((EARLIER_TS, 4), (RUN_TS, 4)):
+        segments.run(tables, rows, run_ts, k=k)
+    profile = tables.newest("mat_cluster_profile")
+    return profile.groupBy("k", "feature").agg(F.sum("n").alias("n"), F.round(F.sum(F.col("mean") * F.col("n")) / F.sum("n"), 6).alias("mean"))
+
+
 @query
 def accuracy(spark, sf_dir):
     """Share of rows whose rule's majority cluster is their own."""

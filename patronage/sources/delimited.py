@@ -83,6 +83,14 @@ def read_text_csv(spark: SparkSession, path: str, multiline: bool = False) -> Da
     return blank_missing(reduce(DataFrame.unionByName, parts))
 
 
+def write_charsets(df: DataFrame, parts: dict[str, Column], folder: str) -> None:
+    """Rows as CSV below a folder, those of each part in its charset: "utf8" or "cp949"."""
+    with _settings(df.sparkSession, spark__sql__legacy__javaCharsets="true"):
+        for charset, rows in parts.items():
+            written = df.filter(rows).write.option("header", True).option("escape", '"')
+            written.option("encoding", KOREAN if charset == "cp949" else "UTF-8").csv(f"{folder}/{charset}")
+
+
 def read_ordered_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """The same with a ``row_ord`` column, which grows with the place of the row: these are sheets of some
     hundred rows, whose files are read one task each."""
