@@ -1,10 +1,15 @@
 """Exact top-k by inner product with a cover tree over queries and data together.
 
 The tree's nodes are centres out of a sample of at most `SAMPLE` vectors of both kinds; every level
-halves the covering radius. Every row, query or datum, goes to its nearest leaf, and the radii of both
-kinds are measured over all rows, so the bounds are rigorous whatever the sample was:
+has a smaller covering radius by the factor `SHRINK`, and the levels end with as many leaves as the rows
+fill to about `LEAF_ROWS`, `LEAVES` at least. Every row, query or datum, goes to its nearest leaf, and
+radii and largest norms of both kinds are measured over all rows, so both bounds are rigorous whatever
+the sample was:
 
     <q, p> <= <cq, cp> + rq |cp| + rp |cq| + rq rp
+    <q, p> <= (nq^2 + np^2 - max(0, |cq - cp| - rq - rp)^2) / 2
+
+The second is the cone's: of vectors no longer than n, only near ones have a large product.
 
 First each query group (leaf) meets the data leaves nearest to it, until they hold enough rows; that
 gives every group its worst kth score. Then node pairs are walked from the root: a pair whose bound
@@ -33,7 +38,9 @@ from patronage.session import cut_lineage
 SCALE = 1024
 SAMPLE = 2048
 LEAVES = 64
-BLOCK = 8192
+LEAF_ROWS = 512
+SHRINK = 0.85
+BLOCK = 2048
 QUERY_BLOCK = 4096
 #: Data rows that a query group meets at first, as a multiple of k.
 FIRST = 20
@@ -45,27 +52,27 @@ class CoverTree:
 
     def __init__(self, rows: np.ndarray, most_leaves: int):
         level = [0]
-        self.rows, self.children = [rows[0]], [[]]
+        self.rows, self.children, self.depth = [rows[0]], [[]], 0
         of = np.zeros(len(rows), np.int64)  # node that covers each row
         far = distances(rows, rows[:1])[:, 0]
-        radius = far.max() / 2
-        while radius > 0 and len(level) < most_leaves:
-            new, count = [], 0
+        radius = far.max() * SHRINK
+        while radius > 0 and len(level) < most_leaves and far.max() > 0:
+            new = []
             for node in level:
                 inside = np.flatnonzero(of == node)
                 # greedy net: the node's own centre goes on, then rows that no centre covers yet
                 centre = self._add(node, self.rows[node])
                 of[inside], far[inside] = centre, distances(rows[inside], self.rows[node][None])[:, 0]
                 new.append(centre)
-                while len(inside) and far[inside].max() > radius and len(new) + len(level) - count <= 4 * most_leaves:
+                # a level that would have very many leaves covers the rest from where they are
+                while len(inside) and far[inside].max() > radius and len(new) < 4 * most_leaves:
                     row = inside[far[inside].argmax()]
                     centre = self._add(node, rows[row])
                     reach = distances(rows[inside], rows[row][None])[:, 0]
                     closer = reach < far[inside]
                     of[inside[closer]], far[inside[closer]] = centre, reach[closer]
                     new.append(centre)
-                count += 1
-            level, radius = new, radius / 2
+            level, radius, self.depth = new, radius * SHRINK, self.depth + 1
         self.leaf = np.array(level)
         self.centres = np.array(self.rows)
 
@@ -85,6 +92,10 @@ class CoverTree:
                     out[node] = max(out[node], out[child] + np.linalg.norm(self.centres[node] - self.centres[child]))
         return out
 
+    def highest(self, of_leaf: np.ndarray) -> np.ndarray:
+        """Largest value of the leaves below every node."""
+        return -self.lowest(-of_leaf)
+
     def lowest(self, of_leaf: np.ndarray) -> np.ndarray:
         """Smallest value of the leaves below every node."""
         out = np.full(len(self.rows), np.inf)
@@ -94,9 +105,10 @@ class CoverTree:
                 out[node] = min(out[node], out[child])
         return out
 
-    def pairs(self, queries: np.ndarray, data: np.ndarray, worst: np.ndarray) -> list[tuple[int, int]]:
+    def pairs(self, queries: Reach, data: Reach, worst: np.ndarray) -> list[tuple[int, int]]:
         """Leaf pairs (positions in `leaf`) that may hold a score as good as the group's worst kth."""
-        rq, rp, worst = self.radii(queries), self.radii(data), self.lowest(worst)
+        rq, rp, worst = self.radii(queries.radius), self.radii(data.radius), self.lowest(worst)
+        nq, np_ = self.highest(queries.norm), self.highest(data.norm)
         norm, place = np.linalg.norm(self.centres, axis=1), {n: i for i, n in enumerate(self.leaf.tolist())}
         found, open_pairs = [], [(0, 0)]
         while open_pairs:
@@ -104,7 +116,9 @@ class CoverTree:
             if rq[q] < 0 or rp[p] < 0:
                 continue
             bound = self.centres[q] @ self.centres[p] + rq[q] * norm[p] + rp[p] * norm[q] + rq[q] * rp[p]
-            if bound * (1 + 1e-9) + 1e-6 < worst[q]:
+            apart = max(np.linalg.norm(self.centres[q] - self.centres[p]) - rq[q] - rp[p], 0.0)
+            bound = min(bound, (nq[q] ** 2 + np_[p] ** 2 - apart**2) / 2)
+            if bound + 1e-9 * abs(bound) + 1e-6 < worst[q]:
                 continue
             if q in place and p in place:
                 found.append((place[q], place[p]))
@@ -115,6 +129,21 @@ class CoverTree:
         return found
 
 
+class Reach:
+    """Covering radius and largest norm of the rows of every leaf; -1 and 0 where there are none."""
+
+    def __init__(self, leaves: int):
+        self.radius, self.norm, self.n = np.full(leaves, -1.0), np.zeros(leaves), np.zeros(leaves, np.int64)
+
+    @classmethod
+    def of(cls, placed: DataFrame, leaves: int) -> Reach:
+        out = cls(leaves)
+        stats = placed.groupBy("leaf").agg(F.count("*").alias("n"), F.max("far").alias("far"), F.max("norm").alias("norm"))
+        for r in stats.collect():  # a row a leaf
+            out.n[r["leaf"]], out.radius[r["leaf"]], out.norm[r["leaf"]] = r["n"], r["far"], r["norm"]
+        return out
+
+
 def _whole(vectors: DataFrame, vector: str, scale: int) -> DataFrame:
     """(vec_id, v) with v in whole numbers, each (id, vector) once."""
     rows = vectors.where(F.col("vec_id").isNotNull() & usable(F.col(vector)))
@@ -125,14 +154,15 @@ def _whole(vectors: DataFrame, vector: str, scale: int) -> DataFrame:
 def _assigned(rows: DataFrame, dims: int, centres: np.ndarray) -> DataFrame:
     def run(batches):
         for batch in batches:
-            far = distances(matrix(batch.column("v"), dims), centres)
+            v = matrix(batch.column("v"), dims)
+            far = distances(v, centres)
             leaf = far.argmin(axis=1)
-            names = batch.schema.names
-            columns = [pa.array(leaf, pa.int32()), pa.array(far[np.arange(len(leaf)), leaf])]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, "leaf", "far"])
+            names, norm = batch.schema.names, np.linalg.norm(v, axis=1)
+            columns = [pa.array(leaf, pa.int32()), pa.array(far[np.arange(len(leaf)), leaf]), pa.array(norm)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*names, "leaf", "far", "norm"])
 
     schema = ", ".join(f"{n} {t}" for n, t in rows.dtypes)
-    return rows.mapInArrow(run, f"{schema}, leaf int, far double")
+    return rows.mapInArrow(run, f"{schema}, leaf int, far double, norm double")
 
 
 def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -201,7 +231,8 @@ def search(
     sample = rows.orderBy(F.xxhash64("v"), "vec_id").limit(SAMPLE).select("v").toArrow()
     if not sample.num_rows or not dims:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
-    tree = CoverTree(matrix(sample["v"], dims), leaves)
+    # leaves that shrink as the data grow, as far as the sample goes
+    tree = CoverTree(matrix(sample["v"], dims), min(max(leaves, -(-rows.count() // LEAF_ROWS)), SAMPLE // 4))
     centres = tree.centres[tree.leaf]
 
     few = Window.partitionBy("v").orderBy("vec_id")
@@ -211,12 +242,8 @@ def search(
     asked = rows.where(is_query).withColumnRenamed("vec_id", "query_id")
     asked = cut_lineage(_assigned(asked, dims, centres))
 
-    held, reach = np.zeros(len(centres), np.int64), np.full(len(centres), -1.0)
-    for r in data.groupBy("leaf").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
-        held[r["leaf"]], reach[r["leaf"]] = r["n"], r["far"]
-    groups, total = np.full(len(centres), -1.0), 0
-    for r in asked.groupBy("leaf").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
-        groups[r["leaf"]], total = r["far"], total + r["n"]
+    reach, groups = Reach.of(data, len(centres)), Reach.of(asked, len(centres))
+    held, total = reach.n, int(groups.n.sum())
     if not total:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
 
@@ -233,7 +260,7 @@ def search(
         return [(int(q), int(p), int(blocks[p])) for q, p in pairs]
 
     near, seeds = distances(centres, centres), []
-    for q in np.flatnonzero(groups >= 0):
+    for q in np.flatnonzero(groups.n):
         order = [p for p in np.argsort(near[q], kind="stable") if held[p]]
         enough = int(np.searchsorted(np.cumsum(held[order]), FIRST * k)) + 1
         seeds += [(q, p) for p in order[:enough]]

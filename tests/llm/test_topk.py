@@ -48,7 +48,7 @@ def test_pruning_drops_pairs(spark, rows, monkeypatch):
 
     def pairs(self, queries, data, worst):
         found = walk(self, queries, data, worst)
-        seen.append((len(found), int((queries >= 0).sum() * (data >= 0).sum())))
+        seen.append((len(found), int((queries.n > 0).sum() * (data.n > 0).sum())))
         return found
 
     monkeypatch.setattr(topk.CoverTree, "pairs", pairs)
@@ -56,6 +56,43 @@ def test_pruning_drops_pairs(spark, rows, monkeypatch):
     assert seen[0][0] < seen[0][1] / 2
 
 
+def _share(x, tree, k=10):
+    """Share of all products that are left by bounds at the true kth score of every hundredth row's group."""
+    far = topk.distances(x, tree.centres[tree.leaf])
+    leaf = far.argmin(axis=1)
+
+    def reach(ids):
+        out = topk.Reach(len(tree.leaf))
+        np.maximum.at(out.radius, leaf[ids], far[ids, leaf[ids]])
+        np.maximum.at(out.norm, leaf[ids], np.linalg.norm(x[ids], axis=1))
+        np.add.at(out.n, leaf[ids], 1)
+        return out
+
+    asked = np.arange(0, len(x), 100)
+    scores = x[asked] @ x.T
+    scores[np.arange(len(asked)), asked] = -np.inf
+    worst = np.full(len(tree.leaf), np.inf)
+    np.minimum.at(worst, leaf[asked], np.sort(scores, axis=1)[:, -k])
+    queries, data = reach(asked), reach(np.arange(len(x)))
+    pairs = tree.pairs(queries, data, worst)
+    best = {(leaf[q], leaf[p]) for i, q in enumerate(asked) for p in np.argsort(-scores[i], kind="stable")[: k - 1]}
+    assert best <= set(pairs)
+    return sum(int(queries.n[a] * data.n[b]) for a, b in pairs) / (len(asked) * len(x))
+
+
+def test_depth_and_share_of_products(spark, sf_dir):
+    """Several levels, and few products where rows cluster. The sample tables' 64 components don't: there
+    nearly all products are left, whatever the tree (README)."""
+    rng = np.random.default_rng(0)
+    rows = np.concatenate([c + rng.normal(0, 30, (100, 64)) for c in rng.normal(0, 200, (20, 64))]).round()
+    tree = topk.CoverTree(rows, 64)
+    assert tree.depth >= 4 and _share(rows, tree) < 0.1
+    sample = spark.read.parquet(f"{sf_dir}/embeddings.parquet").orderBy("vec_id").toArrow()["embedding"]
+    rows = np.floor(1024 * np.array(sample.to_pylist(), dtype=float))
+    tree = topk.CoverTree(rows, 64)
+    assert tree.depth >= 2 and _share(rows, tree) <= 1.0
+
+
 def test_few_rows(spark):
     for rows in ([], [(0, [1.0], 0)], [(0, [1.0], 0), (1, [2.0], 0)], [(1, [1.0], 0)], [(0, [], 0), (3, [], 0)]):
         found = topk.search(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0, 10)
