@@ -3,7 +3,9 @@
 Equal vectors become one with a number of copies. Each distinct vector belongs to the cell of its
 nearest centre (centres: farthest-first over a sample of at most `SAMPLE` vectors), and a cell to
 tiles of about `TILE` vectors. Two cells whose centres are farther apart than their radii and the
-threshold's angle together can't hold a link and never meet; all other pairs of tiles do.
+threshold's angle together can't hold a link and never meet; all other pairs of tiles do. Where the
+cells exclude so little that dealing vectors to them makes more copies than tiles of all vectors, as
+with vectors that don't cluster, there is one cell.
 
 In a pair of tiles every unit vector x is scale * q + rest with q in whole numbers from -127 to 127.
 The products of the q are exact. A pair's cosine is at most
@@ -92,6 +94,12 @@ def _meetings(stats: list, centres: np.ndarray, cosine: float, tile: int) -> lis
     ]
 
 
+def _copies(stats: list, meetings: list[tuple[int, int, int, int]]) -> int:
+    """How many rows the vectors become that are dealt to these meetings."""
+    of = {r["cell"]: r["n"] for r in stats}
+    return sum(of[a] * tiles for a, _, _, tiles in meetings)
+
+
 def _dealt(placed: DataFrame, meetings: list) -> DataFrame:
     """Every vector once for each pair of tiles that its tile is in; side 0 is the smaller tile."""
     spark = placed.sparkSession
@@ -192,7 +200,11 @@ def near_duplicates(
     if len(centres):
         placed = cut_lineage(_in_cells(distinct, dims, centres))
         stats = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect()
-        dealt = _dealt(placed, _meetings(stats, centres, cosine, tile))
+        meetings, total = _meetings(stats, centres, cosine, tile), sum(r["n"] for r in stats)
+        plain = -(-total // tile)
+        if total * plain <= _copies(stats, meetings):
+            placed, meetings = placed.withColumn("cell", F.lit(0)), [(0, plain, 0, plain)]
+        dealt = _dealt(placed, meetings)
         found = dealt.groupBy("first", "second").applyInArrow(
             _pair_of_tiles(dims, cosine), "node long, links long, to long"
         )

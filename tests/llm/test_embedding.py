@@ -79,3 +79,19 @@ def test_few_rows(spark):
     for rows in ([], [(0, None, 0)], [(5, [1.0], 0)], [(5, [1.0], 0), (5, [1.0], 0)]):
         found = embedding_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA.format("float")))
         assert sorted(map(tuple, found.collect()), key=repr) == expected(rows)
+
+
+def test_vectors_that_do_not_cluster_are_dealt_by_number(spark, monkeypatch):
+    """One copy for each tile of all vectors, not for each cell; clustered ones meet their own cells only."""
+    dealt, deal = [], embedding_dedup._dealt
+    monkeypatch.setattr(embedding_dedup, "_dealt", lambda placed, met: dealt.append(deal(placed, met).count()) or deal(placed, met))
+    rng = np.random.default_rng(5)
+    apart = rng.normal(size=(600, 32))
+    centres = np.repeat(rng.normal(size=(20, 32)), 30, axis=0)
+    for rows, copies in ((apart, 3), (centres + rng.normal(0, 0.01, centres.shape), 1)):
+        df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+        unit = rows / np.linalg.norm(rows, axis=1, keepdims=True)
+        links = (unit @ unit.T >= 0.95).sum(axis=1) - 1
+        found = embedding_dedup.near_duplicates(df, tile=200, cells=20)
+        assert {r["vec_id"]: r["n_links"] for r in found.collect()} == dict(enumerate(links.tolist()))
+        assert dealt.pop() == copies * 600
