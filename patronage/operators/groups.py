@@ -18,13 +18,28 @@ PLACE = ["biz_zone", "sigungu", "sector"]
 PARAMS = ["area", "sector"]
 
 
-def place_sums(features: DataFrame, clusters: DataFrame) -> DataFrame:
-    """Feature sums, counts of known values and row counts per place and cluster. Shops without a
-    cluster count under NULL."""
+def _place_sums(features: DataFrame, clusters: DataFrame, *by: str) -> DataFrame:
     rows = features.join(clusters.select("mct_id", "cluster_id"), "mct_id", "left")
     sums = [F.expr(f"sum({c}) AS sum_{c}") for c in FEATURES]
     known = [F.expr(f"count({c}) AS known_{c}") for c in FEATURES]
-    return rows.groupBy(*PLACE, "cluster_id").agg(*sums, *known, F.count("*").alias("n"))
+    return rows.groupBy(*PLACE, "cluster_id", *by).agg(*sums, *known, F.count("*").alias("n"))
+
+
+def place_sums(features: DataFrame, clusters: DataFrame) -> DataFrame:
+    """Feature sums, counts of known values and row counts per place and cluster. Shops without a
+    cluster count under NULL."""
+    return _place_sums(features, clusters)
+
+
+def place_month_sums(features: DataFrame, clusters: DataFrame) -> DataFrame:
+    """The same by month: what a load of some months adds to the stored sums."""
+    return _place_sums(features, clusters, "ym")
+
+
+def merged_place_sums(by_month: DataFrame) -> DataFrame:
+    """The sums per place and cluster out of those by month."""
+    totals = [f"{kind}_{c}" for kind in ("sum", "known") for c in FEATURES] + ["n"]
+    return by_month.groupBy(*PLACE, "cluster_id").agg(*[F.expr(f"sum({c}) AS {c}") for c in totals])
 
 
 def _same(left: str, right: str, columns: list[str]):

@@ -3,9 +3,9 @@
 Points lie on a grid of whole numbers, so the sums of a round are exact in any order. Starts come from a
 sample with exponential keys: a point's key is -ln(u) / weight with u a hash of its values, and the
 points with the smallest keys are a sample by weight that no partitioning changes. The driver spreads
-the first centres over that sample, farther points more likely, and holds only the sample and the
-centres. A round of all fits that still move is one job: tasks reduce their points to sums per fit and
-centre.
+the first centres over that sample, farther points more likely, and lets each start settle on it; it
+holds only the sample and the centres. The best start of every k goes on over all points. A round of all
+fits that still move is one job: tasks reduce their points to sums per fit and centre.
 """
 
 from __future__ import annotations
@@ -66,6 +66,21 @@ def _spread(x: np.ndarray, weight: np.ndarray, k: int, seed: list[int]) -> np.nd
     return x[chosen]
 
 
+def _settle(x: np.ndarray, weight: np.ndarray, centers: np.ndarray) -> tuple[float, np.ndarray]:
+    """(inertia, centres) of a start after rounds over the sample alone."""
+    for _ in range(ROUNDS):
+        far = ((x[:, None, :] - centers[None, :, :]) ** 2).sum(axis=2)
+        label = far.argmin(axis=1)
+        n = np.bincount(label, weights=weight, minlength=len(centers))
+        sums = np.stack([np.bincount(label, weights=weight * c, minlength=len(centers)) for c in x.T], axis=1)
+        moved = np.where(n[:, None] > 0, sums / np.maximum(n, 1e-300)[:, None], centers)
+        step = ((moved - centers) ** 2).sum()
+        centers = moved
+        if step <= TOLERANCE * 4.0**GRID_BITS:
+            break
+    return float((weight * far.min(axis=1)).sum()), centers
+
+
 def _sums(points: DataFrame, centers: list[np.ndarray], weight: str) -> dict[tuple[int, int], tuple[int, list[int], int]]:
     """Per fit and centre: rows, sums of the points, and squared distances in parts of a grid's square."""
     dims = centers[0].shape[1]
@@ -101,7 +116,7 @@ def _sums(points: DataFrame, centers: list[np.ndarray], weight: str) -> dict[tup
 
 
 def fit_all(points: DataFrame, k_list: tuple[int, ...], weight: str, key: str, seed: int, starts: int = STARTS) -> dict[int, Fit]:
-    """The best fit of every k by inertia, the earlier start of equals.
+    """The fit of every k from its best start on the sample, the earlier one of equals.
 
     ``points`` has the weight, the sample key and `x`, the point in grid units. It is read once a round,
     so it should be cached or written. With fewer points than k there are fewer centres.
@@ -111,8 +126,9 @@ def fit_all(points: DataFrame, k_list: tuple[int, ...], weight: str, key: str, s
         raise ValueError("no rows to fit")
     x = np.array([r["x"] for r in rows], dtype=float)
     heavy = np.array([r[weight] for r in rows], dtype=float) / chance
-    names = [(k, s) for k in k_list for s in range(starts)]
-    centers = {n: _spread(x, heavy, n[0], [seed, *n]) for n in names}
+    names = list(k_list)
+    settled = {k: [_settle(x, heavy, _spread(x, heavy, k, [seed, k, s])) for s in range(starts)] for k in names}
+    centers = {k: min(found, key=lambda f: f[0])[1] for k, found in settled.items()}
     moving, done = {n: 0 for n in names}, {}
     tolerance = TOLERANCE * 4.0**GRID_BITS
     while moving:
@@ -131,4 +147,4 @@ def fit_all(points: DataFrame, k_list: tuple[int, ...], weight: str, key: str, s
             if ((moved - centers[n]) ** 2).sum() <= tolerance:
                 moving[n] = -2
             centers[n] = moved
-    return {k: min((done[k, s] for s in range(starts)), key=lambda fit: fit.inertia) for k in k_list}
+    return done

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numbers import above_half, first_largest, mentions_high, part_of, share
 from ..functions.text import road_name
+from ..operators.groups import merged_place_sums, place_month_sums
 from ..schemas import AGE_BANDS, AGE_COLS, AUD_COLS, AUDIENCES, FEATURES, RATIO
 
 # Source columns behind each feature.
@@ -170,16 +171,27 @@ def build_all(stg_store: DataFrame, stg_perf: DataFrame, stg_demo: DataFrame) ->
     }
 
 
-def rebuild(tables) -> None:
-    """Refresh the stored feature tables from the stored staging tables."""
-    stg_store, stg_perf, stg_demo = (tables.read(t) for t in ("stg_store", "stg_perf", "stg_demo"))
+def rebuild(tables, months: list[str] | None = None) -> None:
+    """Refresh the stored feature tables from the stored staging tables; with ``months`` only these are
+    read and written. Means per region are per month as well, so no other month changes."""
+    stg_store, stg_perf, stg_demo = tables.read("stg_store"), *(tables.read(t, months=months) for t in ("stg_perf", "stg_demo"))
     tables.upsert("dim_store", dim_store(stg_store), ["mct_id"])
     tables.upsert("fx_age_mix", age_mix(stg_demo), ["mct_id", "ym"])
     tables.upsert("fx_audience_type", audience_type(stg_demo), ["mct_id", "ym"])
     tables.upsert("fx_perf_flags", perf_flags(stg_perf), ["mct_id", "ym"])
     # later tables read what is stored now, which may hold shops of earlier loads
-    ages, audiences = tables.read("fx_age_mix"), tables.read("fx_audience_type")
+    ages, audiences = (tables.read(t, months=months) for t in ("fx_age_mix", "fx_audience_type"))
     tables.upsert("fx_region_age_avg", region_age_avg(ages, stg_store), ["sector", "biz_zone", "ym"])
     tables.upsert("fx_age_bucket", age_bucket(ages), ["mct_id", "ym"])
     tables.upsert("fx_aud_bucket", aud_bucket(audiences), ["mct_id", "ym"])
 
+
+def refresh_places(tables, months: list[str] | None = None) -> DataFrame:
+    """Stored sums per place, cluster and month, of all months or of those that a load has brought, and
+    the sums over all stored months. A new run of the segments needs all months again."""
+    wide = store_features(
+        *[tables.read(t, months=months) for t in ("fx_age_mix", "fx_audience_type", "fx_perf_flags")], tables.read("dim_store")
+    )
+    fresh = place_month_sums(wide, tables.read("mat_store_cluster"))
+    (tables.write if months is None else tables.overwrite_months)("agg_place_month", fresh)
+    return merged_place_sums(tables.read("agg_place_month"))

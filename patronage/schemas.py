@@ -100,6 +100,12 @@ COLUMNS: dict[str, str] = {
     "mat_store_rule_assign": (
         "mct_id string, k int, rule_id bigint, cluster_id int, created_at timestamp"
     ),
+    "agg_place_month": (
+        "biz_zone string, sigungu string, sector string, cluster_id int, ym string, "
+        + ", ".join(f"sum_{c} {'bigint' if c in FLAG_COLS else 'decimal(38,4)'}" for c in FEATURES)
+        + "".join(f", known_{c} bigint" for c in FEATURES)
+        + ", n bigint"
+    ),
 }
 
 class _Schemas(Mapping):
@@ -143,6 +149,7 @@ KEYS: dict[str, list[str]] = {
     "mat_cluster_profile": ["cluster_id", "k", "feature", "created_at"],
     "mat_tree_rules": ["rule_id"],
     "mat_store_rule_assign": ["mct_id", "k"],
+    "agg_place_month": ["biz_zone", "sigungu", "sector", "cluster_id", "ym"],
 }
 
 

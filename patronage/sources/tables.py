@@ -12,6 +12,7 @@ histories share a table, by what tells them apart, so the newest ones are found
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -33,9 +34,14 @@ RUN_GROUPS = {"mat_cluster_profile": "k", "mat_tree_rules": "k"}
 RUN_TIME = "%Y%m%dT%H%M%S%f"
 
 
+def month_of(table: str) -> str | None:
+    """The column of a table's key that is a month."""
+    return next((k for k in KEYS[table] if k in MONTHS), None)
+
+
 def part_of(table: str) -> Column:
     """The part that a row belongs to, a function of its key that serves as a folder's name."""
-    month = next((k for k in KEYS[table] if k in MONTHS), None)
+    month = month_of(table)
     if month:
         return F.coalesce(F.regexp_replace(F.col(month).cast("string"), "[^0-9A-Za-z-]", "_"), F.lit("none"))
     return F.concat(F.lit("b"), F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in KEYS[table]]), F.lit(BUCKETS)))
@@ -80,11 +86,22 @@ class Tables:
         found = self.spark.read.schema(SCHEMAS[table]).option("basePath", f"{self.root}/{table}").parquet(*folders)
         return found.select(SCHEMAS[table].names)
 
-    def read(self, table: str, history: bool = False) -> DataFrame:
-        """The newest state of a table, or with ``history`` the rows of all runs."""
+    def _state(self, table: str) -> dict[str, str]:
+        states = self._states(table)
+        return states[-1] if states else {}
+
+    def read(self, table: str, history: bool = False, months: list[str] | None = None) -> DataFrame:
+        """The newest state of a table, or with ``history`` the rows of all runs. Of a table whose key has
+        a month, ``months`` reads the folders of these only."""
         if history:
             return self._read(table, self._complete_runs(table))
-        return self._read(table, sorted(self._states(table)[-1].values()) if self._complete_runs(table) else [])
+        now = self._state(table)
+        if months is None:
+            return self._read(table, sorted(now.values()))
+        column = month_of(table)
+        parts = {re.sub("[^0-9A-Za-z-]", "_", m) for m in months}
+        found = self._read(table, sorted(f for part, f in now.items() if part in parts or not part))
+        return found.filter(F.col(column).isin(months))
 
     def newest(self, table: str) -> DataFrame:
         """The rows of the newest run of each group of a history table: a filter on folders, whatever the
@@ -126,12 +143,16 @@ class Tables:
     def replace(self, table: str, df: DataFrame, order: list[str]) -> None:
         self._merge(table, df, lambda old, new: replace_rows(old, new, KEYS[table], order))
 
+    def overwrite_months(self, table: str, df: DataFrame) -> None:
+        """The months that the rows fall into hold these rows and no others from now on."""
+        self._write(table, df, whole=False)
+        self._drop_old(table)
+
     def _merge(self, table: str, df: DataFrame, merged: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
         """Write the parts that the rows fall into, with these rows merged in."""
         source = cut_lineage(df.withColumn("_part", part_of(table)))
         touched = {r[0] for r in source.select("_part").distinct().collect()}  # months or buckets
-        states = self._states(table)
-        now = states[-1] if states else {}
+        now = self._state(table)
         whole = "" in now  # rows that don't lie in parts yet
         old = self._read(table, sorted(p for part, p in now.items() if whole or part in touched))
         if touched:
