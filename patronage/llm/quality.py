@@ -8,8 +8,8 @@ upper one the fewer documents it has. The path's posterior, without the document
 place of the global prior in the document's odds.
 
 The classifier is fitted on at most `FIT` labelled documents, chosen by a hash; everything else covers all
-documents. A document is accepted from the threshold on: one half, or less if more than `LOST` of the
-labelled good documents would lie below.
+documents, whose texts are judged once. A document is accepted from the threshold on: one half, or less
+where fewer labelled documents lie on the wrong side of a lower one.
 
 Defined results: a null or empty text has the features of an empty one; documents without source stand
 under the empty host, those without language under the empty path; with no labels, or of one kind only,
@@ -34,7 +34,8 @@ from patronage.llm.tokens import list_sizes, slices
 from patronage.session import cut_lineage
 
 FIT = 20_000
-LOST = 0.001
+#: Steps of the probability at which a threshold may lie.
+STEPS = 1000
 #: Bytes of text whose features are computed at once.
 SLICE = 2_000_000
 RIDGE = 1.0
@@ -146,7 +147,9 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT) -> Classifier | Non
     known = known.agg(F.round(F.avg("quality")).cast("int").alias("_good"))
     some = cut_lineage(known.orderBy(F.xxhash64("_label_of"), "_label_of").limit(most))
     texts = docs.select(F.col("doc_id").cast("long").alias("_doc"), "text")
-    texts = texts.join(some, F.col("_doc") == F.col("_label_of")).select("_good", "text")
+    texts = texts.join(some, F.col("_doc") == F.col("_label_of"))
+    # of rows that repeat a labelled doc_id one is learned from
+    texts = texts.groupBy("_doc", "_good").agg(F.min("text").alias("text")).select("_good", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,8 +158,7 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = FIT) -> Classifier | Non
                 rows = pa.array(list(features(part.column("text"))), pa.list_(pa.float64()))
                 yield pa.RecordBatch.from_arrays([part.column("_good"), rows], ["good", "row"])
 
-    # repeated rows of a document would pass the bound, so it holds for the rows as well
-    rows = texts.mapInArrow(run, "good int, row array<double>").limit(2 * most).toArrow()
+    rows = texts.mapInArrow(run, "good int, row array<double>").toArrow()  # `most` at most
     good = rows["good"].to_numpy().astype(float)
     if len(set(good.tolist())) < 2:
         return None
@@ -221,8 +223,8 @@ def score(docs: DataFrame, labels: DataFrame, names: tuple[str, ...] = ("quality
     given = docs.drop(*names)
     docs = aside(given, "doc_id", "text", "source", "lang")
     model = fit(docs, labels)
-    narrow = docs.select("doc_id", "text", host_of(F.col("source")).alias("_host"), path_of().alias("_path"))
-    judged = cut_lineage(_with_logit(narrow, model, "_logit").drop("text"))
+    rows = docs.withColumns({"_host": host_of(F.col("source")), "_path": path_of()})
+    judged = cut_lineage(_with_logit(rows, model, "_logit"))  # with the texts, which are judged once
     p = _probability(F.col("_logit"))
     sites = cut_lineage(
         judged.groupBy("_host", "_path").agg(F.count("*").alias("_n"), F.sum(p).alias("_sum"), F.sum(p * p).alias("_squares"))
@@ -244,19 +246,25 @@ def score(docs: DataFrame, labels: DataFrame, names: tuple[str, ...] = ("quality
         joined = joined.withColumn(site, path)
         return joined.withColumn(quality, _probability(F.col("_logit") + _logit(F.col(site)) - _logit(F.lit(mean))))
 
-    threshold = _threshold(posterior(judged), labels, quality) if model else 0.0
-    rows = docs.withColumn("_host", host_of(F.col("source"))).withColumn("_path", path_of())
-    out = posterior(_with_logit(rows, model, "_logit")).withColumn(accepted, F.col(quality) >= threshold)
-    return restored(out, given, *names)
+    found = posterior(judged)
+    threshold = _threshold(found, labels, quality) if model else 0.0
+    return restored(found.withColumn(accepted, F.col(quality) >= threshold), given, *names)
 
 
 def _threshold(found: DataFrame, labels: DataFrame, quality: str) -> float:
-    """One half, or the quantile below which at most LOST of the labelled good documents lie."""
-    good = labels.where((F.col("quality") == 1) & ~held_out(F.col("doc_id").cast("long")))
-    good = good.select(F.col("doc_id").cast("long").alias("_good")).distinct()
-    known = found.join(good, F.col("doc_id").cast("long") == F.col("_good"))
-    low = known.agg(F.percentile_approx(quality, LOST, 100_000)).first()[0]
-    return min(0.5, low if low is not None else 0.5)
+    """The threshold of at most one half with the fewest labelled documents on its wrong side, the highest
+    of equals. A wrong label far from it adds one to all that come into question."""
+    known = labels.where(F.col("quality").isNotNull() & ~held_out(F.col("doc_id").cast("long")))
+    known = known.groupBy(F.col("doc_id").cast("long").alias("_of")).agg(F.round(F.avg("quality")).alias("_good"))
+    judged = found.select(F.col("doc_id").cast("long").alias("_doc"), F.floor(F.col(quality) * STEPS).alias("step"))
+    counted = judged.join(known, F.col("_doc") == F.col("_of")).groupBy("step")
+    good, bad = np.zeros(STEPS + 1), np.zeros(STEPS + 1)
+    for r in counted.agg(F.sum("_good").alias("good"), F.count("*").alias("n")).collect():  # a row a step
+        good[r["step"]], bad[r["step"]] = r["good"], r["n"] - r["good"]
+    wrong = np.cumsum(good) - good + bad.sum() - (np.cumsum(bad) - bad)  # at a threshold of step / STEPS
+    half = wrong[: STEPS // 2 + 1]
+    least = np.flatnonzero(half == half.min())
+    return float(least[-1] / STEPS) if good.sum() and bad.sum() else 0.5
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -85,3 +85,37 @@ def test_features():
     assert not rows[1].any() and not rows[2].any()
     assert named[3]["words that are marks"] == 0.5 and named[3]["repeated lines"] == 0.5
     assert named[3]["mark runs"] == 4 / 15
+
+
+def _judged(spark, scores):
+    """Documents with a quality and a label each, (quality, label), and the labels."""
+    rows = [(i, float(q)) for i, (q, _) in enumerate(scores)]
+    labels = [(i, label, 0) for i, (_, label) in enumerate(scores)]
+    return spark.createDataFrame(rows, "doc_id long, quality double"), spark.createDataFrame(labels, LABELS)
+
+
+def test_wrong_labels_hardly_move_the_threshold(spark):
+    rng = np.random.default_rng(1)
+    scores = [(q, 1) for q in rng.uniform(0.6, 1, 3000)] + [(q, 0) for q in rng.uniform(0, 0.2, 3000)]
+    assert quality._threshold(*_judged(spark, scores), "quality") == 0.5
+    flipped = scores + [(0.01, 1)] * 40 + [(0.99, 0)] * 40
+    assert quality._threshold(*_judged(spark, flipped), "quality") == 0.5
+    # good documents below one half, more than there are bad ones, lower it
+    low = [(q, 1) for q in rng.uniform(0.35, 1, 3000)] + [(q, 0) for q in rng.uniform(0, 0.3, 3000)]
+    assert 0.3 <= quality._threshold(*_judged(spark, low), "quality") <= 0.37
+    assert quality._threshold(*_judged(spark, [(0.2, 1)] * 9), "quality") == 0.5
+
+
+def test_repeated_rows_of_a_labelled_document_are_learned_once(spark, monkeypatch):
+    seen, plain = [], quality.Classifier.__init__
+
+    def counted(self, rows, good):
+        seen.append(len(rows))
+        plain(self, rows, good)
+
+    monkeypatch.setattr(quality.Classifier, "__init__", counted)
+    docs = [(i, f"some words of text {i}", "en", "h") for i in range(30)] + [(3, "again", "en", "h")] * 200
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2, 0) for i in range(30)], LABELS)
+    quality.score(df, labels).count()
+    assert len(seen) == 1 and seen[0] <= 30
