@@ -48,7 +48,7 @@ ASIDE = 0.02
 #: A text is rejected beyond so many times the largest deviation of the calibration's other documents.
 REACH = 1.5
 #: ... and never within so many deviations, since few documents show few of the odd ones.
-LEAST_REACH = 8.0
+LEAST_REACH = 16.0
 FOREIGN = 0.05
 UNKNOWN = "und"
 BEGIN, END = 2, 3
