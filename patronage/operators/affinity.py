@@ -118,6 +118,8 @@ def _melt(sheet: Sheet, cells: list[Cell], kind: Kind) -> DataFrame:
         for c in cells
     ]
     rows = sheet.rows.select(ROW_ORDER, F.posexplode(F.array(*parts)).alias("col_ord", "cell"))
+    # what can't count isn't read as a ratio
+    rows = rows.filter(f"cell.text IS NOT NULL AND cell.age_group IS NOT NULL AND cell.`{kind.item}` IS NOT NULL")
     out = rows.select(ROW_ORDER, "col_ord", "cell.*").withColumn("affinity", parse_ratio("text")).drop("text")
     return out.dropna(subset=["age_group", kind.item, "affinity"])
 

@@ -184,7 +184,11 @@ def _distance_sums(points: DataFrame, some: np.ndarray, dims: list[str], layout:
 def sampled(
     points: DataFrame, dims: list[str], labels: list[str], weight: str, key: str, first: int = SAMPLED
 ) -> dict[str, float]:
-    """Mean silhouette per labelling with plain distances. ``key`` is the sample key of each point."""
+    """Mean silhouette per labelling with plain distances. ``key`` is the sample key of each point.
+
+    The sample stops growing once `ERRORS` standard errors are within `MARGIN`: at some hundred
+    thousand points, whatever their number.
+    """
     sizes = cluster_sizes(points, labels, weight)
     layout, score = _layout(sizes), _scorer()
     slim = points.select(weight, key, *dims, *[F.col(n).cast("int").alias(n) for n in labels])
