@@ -72,6 +72,8 @@ class Sources:
     media: DataFrame | None
     keywords: DataFrame | None
     version: str
+    #: stored sums per place and cluster (`features.refresh_places`); made of the feature rows if absent
+    places: DataFrame | None = None
 
 
 # --- requests ------------------------------------------------------------------------------------
@@ -266,7 +268,8 @@ def group_briefs(
     asked: DataFrame, sources: Sources, run_ts: dt.datetime, top_media: int = TOP_MEDIA, top_kw: int = TOP_KEYWORDS
 ) -> DataFrame:
     """Briefs of requests for an area and / or sector, also where no shop meets them."""
-    answers = group_profiles(asked, place_sums(sources.features, sources.clusters))
+    places = place_sums(sources.features, sources.clusters) if sources.places is None else sources.places
+    answers = group_profiles(asked, places)
     rows = attach(asked.select("request_id", "user_input", "masked_name", "area", "sector"), answers)
     rows = rows.withColumn("k", latest_k(sources.clusters).scalar()).filter(F.col("k").isNotNull())
     has_area = F.coalesce("area", F.lit("")) != ""

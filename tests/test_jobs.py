@@ -1,5 +1,6 @@
 """Sources, stored tables and the jobs from staging to briefs."""
 
+import dataclasses
 import datetime as dt
 import json
 import math
@@ -264,6 +265,12 @@ def test_briefs(spark, sf_dir, stored, tmp_path):
     parsed = briefs.parse_requests(asked, sources.stg_store)
     branches = {r["request_id"]: r["branch"] for r in briefs.route(parsed, sources).collect()}
     assert branches == {1: "group", 2: "store", 3: "cluster", 4: "group", 5: "group", 6: "cluster"}
+    grouped = parsed.filter("request_id in (1, 4, 5)")
+    direct, stored_sums = (
+        briefs.group_briefs(grouped, s, LATE).collect()
+        for s in (sources, dataclasses.replace(sources, places=features.refresh_places(tables)))
+    )
+    assert sorted(map(repr, direct)) == sorted(map(repr, stored_sums)) and len(direct) == 3
     few = briefs.run(tables, asked.filter("request_id = 3"), sources, LATE, k=3, top_media=1, top_kw=2).collect()
     assert sorted(r["mct_id"] for r in few) == [f"CLUSTER::{i}" for i in range(3)]
     assert {(len(r["rec_channels"]), len(r["rec_keywords"])) for r in few} == {(1, 2)}
