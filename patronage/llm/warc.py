@@ -11,8 +11,9 @@ that name a response as concurrent are reduced to one per kind and response, joi
 nested row per capture comes out. A revisit gets its payload's length from the response it refers to.
 
 Defined results: null html is an empty payload, null urls stay null; of equal payloads the smallest
-(page_id, url), null last, is the response; rows equal in all three are all responses, share their
-record ids and give a capture each; an empty table gives an empty archive; other columns are ignored.
+(page_id, url), null last, is the response; of rows equal in all three one is, and the others revisit it;
+every row gives a capture, and repeated revisits share their record ids; an empty table gives an empty
+archive; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-dig
 DATE = "2000-01-01T00:00:00Z"
 #: Rows of one archive file.
 FILE_RECORDS = 3000
+#: Copies of a repeated row that one task writes out.
+COPIES = 10_000
 
 RECORD = (
     "kind string, record_id string, concurrent_to array<string>, refers_to string, target_uri string, "
@@ -68,11 +71,11 @@ def _clean(url: str | None) -> str | None:
     return out if out == out.strip() else out.replace(" ", "%20").replace("\t", "%09")
 
 
-def page_records(page_id, url, html, digest, first_id, first_url) -> list[str]:
-    """Request, response or revisit, and metadata of a page."""
+def page_records(page_id, url, html, digest, first_id, first_url, copy=0) -> list[str]:
+    """Request, response or revisit, and metadata of a page; `copy` numbers rows equal to the response."""
     payload, target = html or "", _clean(url)
-    own = _urn("response", page_id, url, digest)
-    revisit = (page_id, url) != (first_id, first_url)
+    own = _urn("response", page_id, url, digest, *([copy] if copy else []))
+    revisit = copy > 0 or (page_id, url) != (first_id, first_url)
     status = f"HTTP/1.1 200 OK{BREAK}Content-Type: text/html; charset=utf-8{BREAK}"
     common = [("WARC-Date", DATE), ("WARC-Target-URI", target)]
     labelled = ("WARC-Payload-Digest", f"sha1:{digest}")
@@ -99,23 +102,48 @@ def page_records(page_id, url, html, digest, first_id, first_url) -> list[str]:
     return [_record(request, asked), _record(main, block), _record(about, fields)]
 
 
+def _numbered(pages: DataFrame, repeated: DataFrame) -> DataFrame:
+    """The rows that are equal to their payload's response, numbered; only number 0 carries the payload."""
+    keys = ["sha1", "sha2"]
+    html = pages.join(repeated.select(*keys), keys, "left_semi").groupBy(*keys).agg(F.max("html").alias("html"))
+    part = F.explode(F.sequence(F.lit(0).cast("long"), F.ceil(F.col("same") / COPIES) - 1)).alias("part")
+    parts = repeated.join(html, keys).select("*", part)
+    parts = parts.withColumn("html", F.when(F.col("part") == 0, F.col("html")).otherwise("")).repartition("sha1", "part")
+    last = F.least(F.col("same"), (F.col("part") + 1) * COPIES) - 1
+    copies = parts.withColumn("copy", F.explode(F.sequence(F.col("part") * COPIES, last)))
+    return copies.select(
+        F.col("first_id").alias("page_id"), F.col("first_url").alias("url"),
+        F.when(F.col("copy") == 0, F.col("html")).otherwise("").alias("html"), "sha1", "first_id", "first_url", "copy",
+    )
+
+
 def write(pages: DataFrame, path: str, compression: str = "gzip", file_records: int = FILE_RECORDS) -> None:
     """Write the pages' records as archives below `path`."""
     pages = pages.select(
         F.col("page_id").cast("long"), "url", F.coalesce("html", F.lit("")).alias("html"),
         F.sha1(F.coalesce("html", F.lit(""))).alias("sha1"), F.sha2(F.coalesce("html", F.lit("")), 256).alias("sha2"),
     )
-    first = F.min(F.struct(F.col("page_id").isNull(), "page_id", F.col("url").isNull(), "url")).alias("first")
-    firsts = pages.groupBy("sha1", "sha2").agg(first, F.count("*").alias("n")).where("n > 1")
-    firsts = firsts.select("sha1", "sha2", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), "n")
+    place = [F.col("page_id").isNull(), "page_id", F.col("url").isNull(), "url"]
+    rows = pages.groupBy("sha1", "sha2", "page_id", "url").agg(F.count("*").alias("same"))
+    firsts = rows.groupBy("sha1", "sha2").agg(F.min(F.struct(*place, "same")).alias("first"), F.sum("same").alias("n"))
+    firsts = firsts.where("n > 1").select(
+        "sha1", "sha2", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"),
+        F.col("first.same").alias("same"), F.lit(True).alias("known"),
+    )
+    firsts = cut_lineage(firsts)
     # only pages whose payload stands more than once need a partner; the join's sides are plain, so that
     # Spark can split a payload that a third of all pages have
-    joined = pages.join(cut_lineage(firsts), ["sha1", "sha2"], "left")
-    joined = joined.select(
+    joined = pages.join(firsts, ["sha1", "sha2"], "left")
+    own = F.col("page_id").eqNullSafe(F.col("first_id")) & F.col("url").eqNullSafe(F.col("first_url"))
+    joined = joined.where(F.col("known").isNull() | (F.col("same") == 1) | ~own).select(
         "page_id", "url", "html", "sha1",
-        F.when(F.col("n").isNull(), F.col("page_id")).otherwise(F.col("first_id")).alias("first_id"),
-        F.when(F.col("n").isNull(), F.col("url")).otherwise(F.col("first_url")).alias("first_url"),
+        F.when(F.col("known").isNull(), F.col("page_id")).otherwise(F.col("first_id")).alias("first_id"),
+        F.when(F.col("known").isNull(), F.col("url")).otherwise(F.col("first_url")).alias("first_url"),
+        F.lit(0).cast("long").alias("copy"),
     )
+    repeated = firsts.where("same > 1")
+    if not repeated.isEmpty():  # responses that stand more than once
+        joined = joined.unionByName(_numbered(pages, repeated))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +152,7 @@ def write(pages: DataFrame, path: str, compression: str = "gzip", file_records:
                 for row in batch.slice(i, 500).to_pylist():
                     digest = base64.b32encode(bytes.fromhex(row["sha1"])).decode()
                     out += page_records(
-                        row["page_id"], row["url"], row["html"], digest, row["first_id"], row["first_url"]
+                        row["page_id"], row["url"], row["html"], digest, row["first_id"], row["first_url"], row["copy"]
                     )
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], ["value"])
 
@@ -255,7 +283,7 @@ def pages(found: DataFrame) -> DataFrame:
         F.col("main.found_digest").alias("own_digest"),
     )
     flat = cut_lineage(flat)
-    # responses that are equal in everything share an id and a payload
+    # a record may stand in several archives
     targets = flat.where("record_type = 'response'").groupBy(F.col("record_id").alias("target")).agg(
         F.min("own_bytes").alias("bytes"), F.min("own_digest").alias("digest"), F.min("page_id").alias("refers_to")
     )
