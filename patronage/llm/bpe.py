@@ -6,9 +6,11 @@ node's state follows from its ancestors' alone: it is the one token that ends th
 could stand behind the last token of the node where it begins. Two tokens can stand together if no
 merge across their border would have come before the merges that made them. So the encoding of a
 prefix that many words share is computed once, and a word's ids are read off on the way to the root.
+The tokens that end a prefix come, longest first, from an automaton over all tokens' bytes, whose state
+is part of the node's.
 
-The trie and the ids of known pieces live as long as a worker, up to a bound on their size; emptying
-them changes no result.
+The ids of known pieces live as long as a worker, up to a bound on their size; emptying them changes no
+result.
 
 Defined results: a null text is empty and has no ids; special tokens that stand in a text get their
 own ids; other columns, null doc_ids and repeated rows pass through unchanged.
@@ -32,7 +34,6 @@ from pyspark.sql import types as T
 from patronage.llm.tokens import PieceCache, byte_letters, gather, list_sizes, slices, sums
 from patronage.llm.worker import keep
 
-MOST_NODES = 250_000
 MOST_PAIRS = 300_000
 MOST_BYTES = 24_000_000
 #: Bytes of text that are encoded, and ids that are decoded at once.
@@ -76,8 +77,9 @@ class Vocabulary:
         own = {b: i for i, b in self.bytes_of.items() if i not in special}
         # a token that its own bytes don't encode to never ends an encoding
         self.id_of = {b: i for b, i in own.items() if self._reached(i)}
-        self.longest = max(map(len, self.id_of))
-        self._together: dict[tuple[int, int], bool] = {}
+        if missing := [n for n in range(256) if bytes([n]) not in self.id_of]:
+            raise ValueError(f"no tokens for bytes {missing}")
+        self.pairs: dict[int, bool] = {}  # answers of `together`
 
     def _reached(self, token: int) -> bool:
         made = self.made.get(token)
@@ -102,63 +104,88 @@ class Vocabulary:
             else:
                 before, right = min(before, b[0] + 1), b[1]
 
-    def together(self, left: int, right: int) -> bool:
-        known = self._together.get((left, right))
-        if known is None:
-            if len(self._together) > MOST_PAIRS:
-                self._together.clear()
-            known = self._together[left, right] = self._apart(left, right, len(self.rank))
+    def together(self, pair: int) -> bool:
+        """Whether two tokens can stand together, given as left << 32 | right."""
+        if len(self.pairs) > MOST_PAIRS:
+            self.pairs.clear()
+        known = self.pairs[pair] = self._apart(pair >> 32, pair & 0xFFFFFFFF, len(self.rank))
         return known
 
 
+class Suffixes:
+    """Which tokens end a text, byte by byte: an automaton over the tokens' bytes. A state stands for the
+    longest end of the text that begins some token."""
+
+    def __init__(self, id_of: dict[bytes, int]):
+        self.next: dict[int, int] = {}  # state * 256 + byte
+        self.token, self.size = [-1], [0]
+        for text, token in id_of.items():
+            state = 0
+            for depth, byte in enumerate(text, 1):
+                after = self.next.get(state * 256 + byte)
+                if after is None:
+                    after = self.next[state * 256 + byte] = len(self.token)
+                    self.token.append(-1)
+                    self.size.append(depth)
+                state = after
+            self.token[state] = token
+        # the state of the longest proper end, and the longest token that is one
+        self.shorter, self.rest = [0] * len(self.token), [0] * len(self.token)
+        for depth, key, state in sorted((self.size[s], k, s) for k, s in self.next.items()):
+            if depth > 1:
+                end = self.shorter[state] = self.after(self.shorter[key >> 8], key & 255)
+                self.rest[state] = end if self.token[end] >= 0 else self.rest[end]
+
+    def after(self, state: int, byte: int) -> int:
+        """The state behind one more byte."""
+        found = self.next.get(state * 256 + byte)
+        while found is None and state:
+            state = self.shorter[state]
+            found = self.next.get(state * 256 + byte)
+        return found or 0
+
+
 class Trie:
-    """Words' bytes as a trie; each node knows the last token of its prefix and where it begins."""
+    """Words' bytes as a trie; each node knows the last token of its prefix, where that begins, and which
+    tokens end there. Sorted words are the depth-first walk, on which only the nodes on the way to the
+    current word are held."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self._vocabulary = vocabulary
-        self._clear()
-
-    def _clear(self) -> None:
-        self._child: dict[int, int] = {}  # node * 256 + byte
-        self._last = [-1]
-        self._before = [0]
+        self._vocabulary, self._suffixes = vocabulary, Suffixes(vocabulary.id_of)
 
     def encode(self, words: list[bytes]) -> dict[bytes, list[int]]:
-        """Ids of distinct words. In sorted order the walk over them is the depth-first walk over
-        the trie, and the path is kept from one word to the next."""
-        child, last, before = self._child, self._last, self._before
-        id_of, together, longest = self._vocabulary.id_of, self._vocabulary.together, self._vocabulary.longest
-        out, path, previous = {}, [0], b""
+        """Ids of distinct words."""
+        ends, pairs, together = self._suffixes, self._vocabulary.pairs, self._vocabulary.together
+        step, shorter, token, size, rest = ends.next.get, ends.shorter, ends.token, ends.size, ends.rest
+        deepest = max(map(len, words), default=0) + 1
+        last, begin, state = [-1] * deepest, [0] * deepest, [0] * deepest  # by depth
+        out, previous = {}, b""
         for word in sorted(words):
-            if len(last) > MOST_NODES:
-                self._clear()
-                child, last, before = self._child, self._last, self._before
-                path, previous = [0], b""
             shared = 0
             for a, b in zip(previous, word):
                 if a != b:
                     break
                 shared += 1
-            del path[shared + 1 :]
-            node, previous = path[shared], word
-            for depth in range(shared + 1, len(word) + 1):
-                key = node * 256 + word[depth - 1]
-                node = child.get(key, -1)
-                if node < 0:
-                    node = child[key] = len(last)
-                    for size in range(min(depth, longest), 0, -1):
-                        token = id_of.get(word[depth - size : depth])
-                        if token is not None:
-                            start = path[depth - size]
-                            if not start or together(last[start], token):
-                                break
-                    last.append(token)
-                    before.append(start)
-                path.append(node)
-            ids = []
-            while node:
-                ids.append(last[node])
-                node = before[node]
+            previous = word
+            at = state[shared]
+            for depth, byte in enumerate(word[shared:], shared + 1):
+                found = step(at * 256 + byte)
+                while found is None:
+                    at = shorter[at]
+                    found = step(at * 256 + byte)
+                state[depth] = at = found
+                end = found if token[found] >= 0 else rest[found]
+                while start := depth - size[end]:
+                    pair = last[start] << 32 | token[end]
+                    fits = pairs.get(pair)
+                    if together(pair) if fits is None else fits:
+                        break
+                    end = rest[end]
+                last[depth], begin[depth] = token[end], start
+            ids, depth = [], len(word)
+            while depth:
+                ids.append(last[depth])
+                depth = begin[depth]
             out[word] = ids[::-1]
         return out
 
