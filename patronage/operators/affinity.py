@@ -91,11 +91,12 @@ class Sheet:
         found = self.first(kind.role)
         return 0 if found is None else found
 
-    def span(self) -> Column:
+    def span(self) -> tuple[Column, Column]:
+        """The youngest and the oldest age as written."""
         low, high = self.first(MIN_AGE), self.first(MAX_AGE)
         if low is None or high is None:
             raise ValueError(f"no youngest / oldest age column among {self.headers}")
-        return span_age_group(cell(low), cell(high))
+        return cell(low).cast("string"), cell(high).cast("string")
 
 
 def cell(place: int) -> Column:
@@ -111,6 +112,16 @@ class Cell:
     value: int
 
 
+@dataclass(frozen=True)
+class SpanCell:
+    """A value column of a table with an age span per row, with the column of its item's name or, where
+    the item has a fixed name, that."""
+
+    name: Column
+    value: int
+    label: str | None = None
+
+
 def _melt(sheet: Sheet, cells: list[Cell], kind: Kind) -> DataFrame:
     """One row per cell with the text read as a ratio; those without age, item or value drop out."""
     parts = [
@@ -129,11 +140,28 @@ def _last_cell(cells: DataFrame, kind: Kind, order: list[str]) -> DataFrame:
     return last.select("age_group", kind.item, F.col("affinity").cast(RATIO).alias("affinity"))
 
 
-def _mean_cell(cells: DataFrame, kind: Kind) -> DataFrame:
-    """Mean per key, rounded once to four decimals, ties to even. In whole ten-thousandths, so the
-    result does not depend on the order of rows."""
+def _mean_cells(sheet: Sheet, cells: list[SpanCell], kind: Kind) -> DataFrame:
+    """Mean per age band and item, rounded once to four decimals, ties to even. In whole
+    ten-thousandths, so the result does not depend on the order of rows.
+
+    Cells that are written alike are counted first and read once, so that reading ages and ratios grows
+    with the different cells and not with the rows.
+    """
+    low, high = sheet.span()
+    parts = [
+        F.struct(F.lit(c.label).alias("label"), c.name.alias("name"), cell(c.value).cast("string").alias("text")) for c in cells
+    ]
+    written = sheet.rows.select(low.alias("low"), high.alias("high"), F.inline(F.array(*parts))).filter("text IS NOT NULL")
+    alike = written.groupBy("low", "high", "label", "name", "text").agg(F.count("*").alias("_rows"))
+    item = F.when(F.col("label").isNull(), kind.name(F.col("name"))).otherwise(F.col("label"))
+    # bound to the count, or Spark would move the filters, and the reading with them, to before the count
+    counted = F.col("_rows") > 0
+    age = F.when(counted, span_age_group("low", "high"))
+    known = alike.select(age.alias("age_group"), F.when(counted, item).alias(kind.item), "text", "_rows")
+    known = known.dropna(subset=["age_group", kind.item])
     unit = F.round(F.col("affinity") * 10000).cast("long")
-    sums = cells.groupBy("age_group", kind.item).agg(F.sum(unit).alias("s"), F.count("*").alias("n"))
+    read = known.withColumn("affinity", F.when(counted, parse_ratio("text"))).dropna(subset=["affinity"])
+    sums = read.groupBy("age_group", kind.item).agg(F.sum(unit * F.col("_rows")).alias("s"), F.sum("_rows").alias("n"))
     mean = F.expr("s div n + if(2 * (s % n) > n or (2 * (s % n) = n and (s div n) % 2 = 1), 1, 0)")
     return sums.select("age_group", kind.item, (mean.cast("decimal(10,0)") / 10000).cast(RATIO).alias("affinity"))
 
@@ -167,8 +195,7 @@ def media_by_span(df: DataFrame) -> DataFrame:
     pairs = list(zip(sheet.all(MEDIUM), sheet.all(CONTACT_RATE, WEEKLY)))
     if not pairs:
         raise ValueError(f"no media / rate column pair among {sheet.headers}")
-    span = sheet.span()
-    return _mean_cell(_melt(sheet, [Cell(span, channel_name(cell(m)), r) for m, r in pairs], MEDIA), MEDIA)
+    return _mean_cells(sheet, [SpanCell(cell(m).cast("string"), r) for m, r in pairs], MEDIA)
 
 
 def interest_by_span(df: DataFrame) -> DataFrame:
@@ -181,10 +208,9 @@ def interest_by_span(df: DataFrame) -> DataFrame:
     totals = [i for i in sheet.all(TOTAL) if i not in pairs]
     if not pairs and not totals:
         raise ValueError(f"no interest / rate column pair among {sheet.headers}")
-    span = sheet.span()
-    cells = [Cell(span, keyword_name(cell(base)), rate) for rate, base in pairs.items()]
-    cells += [Cell(span, F.lit(sheet.headers[i].strip()), i) for i in totals]
-    return _mean_cell(_melt(sheet, cells, INTEREST), INTEREST)
+    cells = [SpanCell(cell(base).cast("string"), rate) for rate, base in pairs.items()]
+    cells += [SpanCell(F.lit(None).cast("string"), i, sheet.headers[i].strip()) for i in totals]
+    return _mean_cells(sheet, cells, INTEREST)
 
 
 def media_affinity(df: DataFrame) -> DataFrame:

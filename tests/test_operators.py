@@ -492,3 +492,13 @@ def test_video_layouts(spark):
     channels, keywords = affinity.load_affinity(media, interest, video, "v1")
     assert _cells(channels, "channel") == {("10s", "tv"): 0.5, ("30s", "tv"): 0.2}
     assert _cells(keywords, "keyword") == {("10s", "k"): 0.1}
+
+
+def test_cells_written_alike_are_read_once(spark):
+    given = [(i, "20", "29", f"m{i % 2}", "35%", "x", "1.5%") for i in range(40)] + [(40, "20", "29", "m0", "0.1", "", "7%")]
+    table = spark.createDataFrame(given, ["row_ord", "최소나이", "최대나이", "매체1", "접촉률1", "매체2", "접촉률2"])
+    made = affinity.media_affinity(table)
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    count = max(i for i, line in enumerate(plan) if "Aggregate" in line)
+    assert not any("RLIKE" in line for line in plan[count:])  # nothing is read as a number before the count
+    assert {(a, c, float(v)) for a, c, v in made.collect()} == {("10s", "m0", 0.3381), ("10s", "m1", 0.35), ("10s", "x", 0.015)}
