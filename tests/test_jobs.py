@@ -4,6 +4,7 @@ import dataclasses
 import datetime as dt
 import json
 import math
+import re
 
 import pandas as pd
 import pytest
@@ -347,3 +348,15 @@ def test_cells_that_do_not_fit_are_counted(spark, tmp_path):
 def test_conform_fills_absent_columns(spark):
     made = conform(spark.createDataFrame([("m",)], "mct_id string"), "mat_store_cluster")
     assert made.schema == SCHEMAS["mat_store_cluster"] and made.first()["k"] is None
+
+
+def test_feature_steps_are_short_enough_to_be_compiled(spark, sf_dir, capsys):
+    """The JVM leaves methods of more than 8,000 bytes of code uncompiled."""
+    rows = features.store_features_from_months(star.staged_months(spark, sf_dir), star.stg_store(spark, sf_dir))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows.explain("codegen")
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
+    assert sizes and max(sizes) < 8000
