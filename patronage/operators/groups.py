@@ -123,8 +123,8 @@ def group_profiles(params: DataFrame, sums: DataFrame) -> DataFrame:
     )
 
 
-def attach(requests: DataFrame, answers: DataFrame) -> DataFrame:
-    """Each request with the answer for its (area, sector)."""
-    rest = [f"p.{c}" for c in answers.columns if c not in PARAMS]
-    joined = requests.alias("r").join(answers.alias("p"), _same("r", "p", PARAMS), "left")
+def attach(requests: DataFrame, answers: DataFrame, on: list[str] = PARAMS, how: str = "left") -> DataFrame:
+    """Each request with the answer for its (area, sector), or for all of the columns given."""
+    rest = [f"p.{c}" for c in answers.columns if c not in on]
+    joined = requests.alias("r").join(answers.alias("p"), _same("r", "p", on), how)
     return joined.select("r.*", *rest)

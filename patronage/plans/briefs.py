@@ -269,8 +269,10 @@ def group_briefs(
 ) -> DataFrame:
     """Briefs of requests for an area and / or sector, also where no shop meets them."""
     places = place_sums(sources.features, sources.clusters) if sources.places is None else sources.places
-    answers = group_profiles(asked, places)
-    rows = attach(asked.select("request_id", "user_input", "masked_name", "area", "sector"), answers)
+    # requests that say the same get the same brief, which is written once and then goes to each of them
+    alike = ["user_input", "masked_name", "area", "sector"]
+    different = cut_lineage(asked.select(alike).distinct())
+    rows = attach(different, group_profiles(different, places))
     rows = rows.withColumn("k", latest_k(sources.clusters).scalar()).filter(F.col("k").isNotNull())
     has_area = F.coalesce("area", F.lit("")) != ""
     has_sector = F.coalesce("sector", F.lit("")) != ""
@@ -289,7 +291,8 @@ def group_briefs(
         }
     )
     both = F.concat_ws("/", *[strip(F.coalesce(c, F.lit(""))) for c in ("area", "sector")])
-    return _with_texts(rows, F.regexp_replace(both, "^/+|/+$", "")).select(BRIEF_COLUMNS)
+    written = _with_texts(rows, F.regexp_replace(both, "^/+|/+$", ""))
+    return attach(asked.select("request_id", *alike), written, alike, "inner").select(BRIEF_COLUMNS)
 
 
 def cluster_briefs(
@@ -379,8 +382,8 @@ def brief_json(rows: DataFrame) -> Column:
 
 def bundles(briefs: DataFrame, version: str) -> DataFrame:
     """Rows of the stored brief table; of several requests for one target the last counts."""
-    rows = briefs.select("request_id", "mct_id", "ym", F.lit(version).alias("version"), brief_json(briefs).alias("bundle"))
-    return dedupe_last(rows, ["mct_id", "ym", "version"], ["request_id"]).drop("request_id")
+    last = dedupe_last(briefs.withColumn("version", F.lit(version)), ["mct_id", "ym", "version"], ["request_id"])
+    return last.select("mct_id", "ym", "version", brief_json(last).alias("bundle"))
 
 
 def run(

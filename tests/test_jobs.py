@@ -360,3 +360,15 @@ def test_feature_steps_are_short_enough_to_be_compiled(spark, sf_dir, capsys):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", capsys.readouterr().out)]
     assert sizes and max(sizes) < 8000
+
+
+def test_only_bundles_that_are_kept_become_json(spark):
+    rows = spark.range(4).select(
+        F.col("id").alias("request_id"), F.lit("a").alias("mct_id"), F.lit("202501").alias("ym"),
+        *[F.col("id").alias(c) for c in briefs.BRIEF_COLUMNS[3:]],
+    )
+    made = briefs.bundles(rows, "v")
+    plan = made._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    kept = next(i for i, line in enumerate(plan) if "Aggregate" in line)
+    assert not any("json" in line for line in plan[kept + 1 :])
+    assert [json.loads(b)["k"] for b, in made.select("bundle").collect()] == [3]
