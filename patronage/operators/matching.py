@@ -1,9 +1,9 @@
 """Substring joins as equi-joins.
 
-`longest_names` puts every name under an anchor, that piece of up to four bytes of it which is rarest
-in the texts. A text is read once, whatever the lengths of the names: a table of fixed size says at
-which places of it an anchor may stand and how far names reach around it, and only what stands there
-meets the names, in a hash join on the anchor, and is checked for the whole name.
+`longest_names` puts every name under an anchor, its first four bytes or fewer. A text is read once,
+whatever the lengths of the names: a table of fixed size says at which places of it an anchor may stand
+and how long its names are, another one which hashes whole names have. Only pieces that both let through
+meet the names, each once for a run of the text's bytes, in a hash join on the whole piece.
 
 `like_matches` joins the pieces of short values that are as long as some pattern's literal part.
 In both, work grows with the texts, not with texts x names.
@@ -29,10 +29,12 @@ NAME_COLUMNS = [
 _ESCAPE = "\u0001"
 # Letters of a text that are searched at once.
 BLOCK = 64
-#: Bytes of an anchor, and places of the table that anchors are found by, as a power of two.
+#: Bytes of an anchor, and places of a table that names are found by, as a power of two.
 ANCHOR, TABLE_BITS = 4, 18
+#: Odd base of the hashes of pieces, modulo 2**64.
+BASE = 0xD1342543DE82EF95
 #: Bytes of text that are worked on at once inside a task.
-SLICE = 2_000_000
+SLICE = 250_000
 
 
 def _pieces(df: DataFrame, text: Column, lengths: Column, keep: list[str]) -> DataFrame:
@@ -82,101 +84,123 @@ def name_list(stg_store: DataFrame) -> DataFrame:
     return stg_store.select(F.inline(F.array(*entries))).filter(F.col("name").isNotNull()).distinct()
 
 
-def _grams(data: np.ndarray, size: int) -> np.ndarray:
-    """The piece of `size` bytes at every place, as one number that also tells the size."""
-    grams = np.zeros(max(len(data) - size + 1, 0), np.uint64)
-    for i in range(size):
-        grams = grams << np.uint64(8) | data[i : i + len(grams)]
-    return grams | np.uint64(size << 8 * ANCHOR)
+def _grams(data: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """(size, the piece of that size at every place as a number) for 1 to ANCHOR bytes."""
+    grams = data.astype(np.uint32)
+    yield 1, grams
+    for size in range(2, ANCHOR + 1):
+        grams = grams[:-1] << np.uint32(8) | data[size - 1 :]
+        yield size, grams
 
 
-def _places(grams: np.ndarray, bits: int) -> np.ndarray:
-    """Place of each piece in the table."""
-    return (grams * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)).astype(np.int64)
+def _places(grams: np.ndarray, size: int, bits: int) -> np.ndarray:
+    """Place of each piece in the anchors' table."""
+    return (grams + np.uint32(size * 0x01000193)) * np.uint32(0x9E3779B1) >> np.uint32(32 - bits)
 
 
-def _slices(texts: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(first text, end of each text, bytes) of runs of texts; a null text is empty."""
-    texts = texts.fill_null("").cast(pa.large_binary())
-    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
-    begin = 0
-    while begin < len(texts):
-        end = max(begin + 1, int(np.searchsorted(ends, ends[begin] + most, side="right")) - 1)
-        yield begin, ends[begin + 1 : end + 1] - ends[begin], data[ends[begin] : ends[end]]
-        begin = end
+def _powers(base: int, n: int) -> np.ndarray:
+    """The first n powers of a base, modulo 2**64."""
+    return np.cumprod(np.r_[np.uint64(1), np.full(n - 1, base, np.uint64)])
 
 
-def _name_grams(names: DataFrame, bits: int) -> DataFrame:
-    """Every piece of every name: (kind, name, gram, place, reach), reach being the bytes of the name that
-    stand before or after the piece's first byte, whichever are more."""
+def _sums(data: np.ndarray, powers: np.ndarray) -> np.ndarray:
+    """Sums of the bytes before each place, byte by byte times a power; differences of them are hashes of pieces."""
+    return np.r_[np.uint64(0), np.cumsum(data * powers[: len(data)])]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at, grams, reach = [], [], []
-            for i, name in enumerate(batch.column("name").to_pylist()):
-                data = np.frombuffer(name.encode(), np.uint8)
-                found = _grams(data, min(len(data), ANCHOR))
-                at.append(np.full(len(found), i))
-                grams.append(found)
-                before = np.arange(len(found))
-                reach.append(np.maximum(before, len(data) - before))
-            at, grams, reach = (np.concatenate([np.zeros(0, np.int64), *x]).astype(np.int64) for x in (at, grams, reach))
-            columns = [batch.column(c).take(pa.array(at)) for c in ("kind", "name")]
-            columns += [pa.array(grams), pa.array(_places(grams.view(np.uint64), bits)), pa.array(reach)]
-            yield pa.RecordBatch.from_arrays(columns, ["kind", "name", "gram", "place", "reach"])
 
-    return names.select("kind", "name").mapInArrow(run, "kind string, name string, gram long, place long, reach long")
+def _whole_places(hashes: np.ndarray, bits: int) -> np.ndarray:
+    """Place of each hash in the table of whole names."""
+    return hashes * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - bits)
 
 
-def _counted(texts: DataFrame, text: str, sizes: list[int], wanted: np.ndarray, most: int) -> DataFrame:
-    """(place, n): how often pieces with a wanted place stand in all texts."""
-    bits = len(wanted).bit_length() - 1
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(wanted), np.int64)
-        for batch in batches:
-            for _, _, data in _slices(batch.column(0), most):
-                for size in sizes:
-                    total += np.bincount(_places(_grams(data, size), bits), minlength=len(total))
-        at = np.flatnonzero(total * wanted)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["place", "n"])
+def _bit(length: int) -> np.uint64:
+    return np.uint64(1 << length % 64)
 
-    found = texts.select(text).mapInArrow(run, "place long, n long")
-    return found.groupBy("place").agg(F.sum("n").alias("n"))
 
+def _tables(names: DataFrame, bits: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """For each place the bits of the lengths of names whose anchor has it, for each place whether a whole name
+    has it, and the lengths that occur."""
 
-def _contexts(texts: DataFrame, key: str, text: str, sizes: list[int], reach: np.ndarray, most: int) -> DataFrame:
-    """(key, gram, context): where an anchor may stand, with as many bytes around as its names need; equal
-    ones of a run of texts once."""
-    bits = len(reach).bit_length() - 1
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = set()
+            for name in batch.column(0).to_pylist():
+                data = np.frombuffer(name.encode(), np.uint8)
+                size = min(len(data), ANCHOR)
+                gram = dict(_grams(data[:ANCHOR]))[size]
+                whole = _sums(data, _powers(BASE, len(data)))[-1:]
+                rows.add((0, int(_places(gram, size, bits)[0]), int(_bit(len(data)).view(np.int64))))
+                rows.add((1, int(_whole_places(whole, bits)[0]), 0))
+                rows.add((2, len(data), 0))
+            columns = [pa.array([r[c] for r in rows], pa.int64()) for c in range(3)]
+            yield pa.RecordBatch.from_arrays(columns, ["part", "place", "bits"])
+
+    found = names.select("name").mapInArrow(run, "part long, place long, bits long")
+    found = found.groupBy("part", "place").agg(F.bit_or("bits").alias("bits")).toArrow()
+    part, place, mask = (found.column(c).to_numpy() for c in found.column_names)
+    anchors, whole = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, bool)
+    anchors[place[part == 0]] = mask[part == 0].view(np.uint64)
+    whole[place[part == 1]] = True
+    return anchors, whole, sorted(place[part == 2].tolist())
+
+
+def _binaries(data: np.ndarray) -> pa.Array:
+    """The rows of a table of bytes."""
+    kind, rows = pa.binary(data.shape[1]), pa.py_buffer(np.ascontiguousarray(data))
+    return pa.Array.from_buffers(kind, len(data), [None, rows]).cast(pa.binary())
+
+
+def _candidates(
+    texts: DataFrame, key: str, text: str, anchors: np.ndarray, whole: np.ndarray, lengths: list[int], most: int
+) -> DataFrame:
+    """(key, piece): the pieces of each text that the tables take for names, each once a run of bytes."""
+    bits = len(whole).bit_length() - 1
+    hot, longest = anchors != 0, max(lengths, default=0)
+    of_size = {s: [n for n in lengths if min(n, ANCHOR) == s] for s in range(1, ANCHOR + 1)}
+
+    def found(data: np.ndarray, ends: np.ndarray, powers: np.ndarray, back: np.ndarray) -> Iterator[tuple[np.ndarray, pa.Array]]:
+        """(text, piece) of what begins in the first bytes, the last names reaching beyond them."""
+        sums = _sums(data, powers) if longest > ANCHOR else None
+        for size, grams in _grams(data[: most + ANCHOR - 1]):
+            if not of_size[size]:
+                continue
+            grams = grams[:most]
+            places = _places(grams, size, bits)
+            at = np.flatnonzero(hot[places])
+            of = np.searchsorted(ends, at, side="right")
+            room, near = ends[of] - at, anchors[places[at]]  # not across two texts
+            for length in of_size[size]:
+                fits = np.flatnonzero((near & _bit(length) != 0) & (room >= length))
+                if length == size:  # the anchor is the name
+                    pairs = np.unique(of[fits] << 32 | grams[at[fits]])
+                    pieces = (pairs & 0xFFFFFFFF).astype(">u4").view(np.uint8).reshape(-1, ANCHOR)
+                    yield pairs >> 32, _binaries(pieces[:, ANCHOR - size :])
+                    continue
+                starts = at[fits]
+                hashes = (sums[starts + length] - sums[starts]) * back[starts]
+                taken = whole[_whole_places(hashes, bits)]
+                if taken.any():
+                    pieces = _binaries(np.lib.stride_tricks.sliding_window_view(data, length)[starts[taken]])
+                    each = pa.table([pa.array(of[fits][taken]), pieces], ["of", "piece"])
+                    each = each.group_by(["of", "piece"], use_threads=False).aggregate([])
+                    yield each["of"].to_numpy(), each["piece"].combine_chunks()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, back = (_powers(base, most + longest) for base in (BASE, pow(BASE, -1, 1 << 64)))
         for batch in batches:
-            keys = batch.column(0)
-            for first, ends, data in _slices(batch.column(1), most):
-                raw, found = data.tobytes(), set()
-                for size in sizes:
-                    grams = _grams(data, size)
-                    near = reach[_places(grams, bits)]
-                    at = np.flatnonzero(near)
-                    of = np.searchsorted(ends, at, side="right")
-                    begins = np.concatenate([[0], ends])[of]
-                    inside = at + size <= ends[of]  # not across two texts
-                    low, high = np.maximum(at - near[at], begins), np.minimum(at + near[at], ends[of])
-                    hits = zip(of[inside].tolist(), grams[at][inside].tolist(), low[inside].tolist(), high[inside].tolist())
-                    found.update((i, gram, raw[a:b]) for i, gram, a, b in hits)
-                rows = list(found)
-                for i in range(0, len(rows), 50_000):
-                    part = rows[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays(
-                        [keys.take(pa.array([first + r[0] for r in part], pa.int64())), pa.array([r[1] for r in part], pa.int64())]
-                        + [pa.array([r[2] for r in part], pa.binary())],
-                        ["_key", "_gram", "_context"],
-                    )
+            keys, column = batch.column(0), batch.column(1).fill_null("").cast(pa.large_binary())
+            bounds = np.frombuffer(column.buffers()[1], np.int64)[column.offset : column.offset + len(column) + 1]
+            data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[bounds[0] : bounds[-1]]
+            ends = bounds[1:] - bounds[0]
+            for begin in range(0, len(data), most):
+                rows = list(found(data[begin : begin + most + longest], ends - begin, powers, back))
+                if rows:
+                    at = pa.array(np.concatenate([r[0] for r in rows]))
+                    pieces = pa.concat_arrays([r[1] for r in rows])
+                    yield pa.RecordBatch.from_arrays([keys.take(at), pieces], ["_key", "_piece"])
 
     kind = dict(texts.dtypes)[key]
-    return texts.select(key, text).mapInArrow(run, f"_key {kind}, _gram long, _context binary")
+    return texts.select(key, text).mapInArrow(run, f"_key {kind}, _piece binary")
 
 
 def longest_names(
@@ -184,25 +208,13 @@ def longest_names(
 ) -> DataFrame:
     """Per text and kind of name the longest name the text contains; equal lengths in name order.
 
-    ``names`` has distinct rows (kind, name). The driver sees one number for each place of the anchors'
-    table, which has a fixed size; the names are joined, broadcast or not, as Spark's size check finds.
+    ``names`` has distinct rows (kind, name). The driver sees two tables of fixed size and the lengths of
+    names; the names are joined, broadcast or not, as Spark's size check finds.
     Texts without any match are left out.
     """
-    grams = cut_lineage(_name_grams(names.filter(F.col("name") != ""), table_bits))
-    of_place = grams.groupBy("place").agg(F.max("reach").alias("reach"))
-    wanted = np.zeros(1 << table_bits, np.int64)
-    wanted[[r["place"] for r in of_place.collect()]] = 1  # at most the table
-    sizes = [r[0] for r in grams.select(F.shiftright("gram", 8 * ANCHOR)).distinct().collect()]  # 1 to ANCHOR
-    counts = _counted(texts, text, sizes, wanted, slice_bytes)
-    rarest = F.min_by(F.struct("gram", "place", "reach"), F.struct(F.coalesce("n", F.lit(0)), "gram", "reach"))
-    anchors = grams.join(counts, "place", "left").groupBy("kind", "name").agg(rarest.alias("_a"))
-    anchors = cut_lineage(anchors.select("kind", "name", "_a.*"))
-    reach = np.zeros(1 << table_bits, np.int64)
-    for r in anchors.groupBy("place").agg(F.max("reach").alias("reach")).collect():
-        reach[r["place"]] = r["reach"]
-    near = _contexts(texts, key, text, sizes, reach, slice_bytes)
-    hits = near.join(anchors.select("kind", "name", "gram"), F.col("_gram") == F.col("gram"))
-    hits = hits.filter(F.contains("_context", F.encode("name", "UTF-8")))
+    names = cut_lineage(names.filter(F.col("name") != "").select("kind", "name"))
+    pieces = _candidates(texts, key, text, *_tables(names, table_bits), slice_bytes)
+    hits = pieces.join(names, F.col("_piece") == F.encode("name", "UTF-8"))
     first = F.min_by("name", F.struct(-F.length("name"), F.col("name")))
     return hits.groupBy(F.col("_key").alias(key), "kind").agg(first.alias("name"))
 

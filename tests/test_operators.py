@@ -104,6 +104,21 @@ def test_longest_names_like_a_scan(spark, bits, size):
     assert rows(got) == sorted(want, key=repr)
 
 
+def test_longest_names_meets_names_once_a_text(spark, monkeypatch):
+    """However often names stand in a text and whatever stands around them, few rows come to a join."""
+    texts = spark.createDataFrame([(0, "".join(f"{i}name{i}" for i in range(3000))), (1, "x" * 3000)], "id int, text string")
+    names = spark.createDataFrame([("word", "name"), ("word", "am"), ("word", "name123"), ("word", "names")], "kind string, name string")
+    joined, join = [], type(texts).join
+
+    def counted(self, *args, **kwargs):
+        joined.append(self.count())
+        return join(self, *args, **kwargs)
+
+    monkeypatch.setattr(type(texts), "join", counted)
+    assert rows(longest_names(texts, "id", "text", names)) == [(0, "word", "name123")]
+    assert max(joined) < 20
+
+
 def _like(param, value):
     out, i = "", 0
     while i < len(param):
